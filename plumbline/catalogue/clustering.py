@@ -1,2 +1,33 @@
-REPORTS = {}
-SQL = {}
+"""Reports on clusterings, their scores, projections and the unsupervised run."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from plumbline.catalogue.registry import make_registry
+from plumbline.catalogue.tables import EMB_DIMS, emb_ds, r6
+from plumbline.operators import metrics as M
+from plumbline.operators.silhouette import silhouettes
+
+REPORTS, SQL, report = make_registry()
+
+
+@report("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+n AS (SELECT label, count(*) AS n FROM e GROUP BY label),
+d AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS s
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY ALL),
+m AS (SELECT vec_id, own, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+        min(CASE WHEN own <> other THEN s / n END) AS b
+      FROM d JOIN n ON n.label = d.other GROUP BY vec_id, own)
+SELECT round(sum(coalesce((b - a) / greatest(a, b), 0)) / (SELECT count(*) FROM e), 6) AS silhouette FROM m""")
+def silhouette_given_labels(spark, sf_dir):
+    points = emb_ds(spark, sf_dir)
+    return spark.createDataFrame([(silhouettes(points, ["label"])["label"],)], "silhouette double").select(
+        r6("silhouette").alias("silhouette"))
+
+
+@report("""WITH u AS (SELECT label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+c AS (SELECT label, i, avg(v) AS m FROM u GROUP BY 1, 2)
+SELECT round(sum((v - m) * (v - m)), 5) AS inertia FROM u JOIN c USING (label, i)""")
+def inertia_given_labels(spark, sf_dir):
+    return M.inertia(emb_ds(spark, sf_dir), "label", EMB_DIMS).select(r6("inertia", 5).alias("inertia"))

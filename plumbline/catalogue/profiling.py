@@ -4,27 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.catalogue.tables import DOCS_DS, ORDERS_DS, docs_ds, load, orders_ds, r6, users_ds
-from plumbline.functions.columns import filled
+from plumbline.catalogue.registry import make_registry
+from plumbline.catalogue.tables import DOCS_DS, ORDERS_DS, docs_ds, load, orders_ds, r6
 from plumbline.functions.medians import exact_medians
 from plumbline.operators import profile as P
-from plumbline.sources.text import NA_TOKENS, infer_types, normalise_missing
+from plumbline.sources.text import NA_TOKENS, infer_types, normalise_missing, read_table, shape_report
 
-REPORTS = {}
-SQL = {}
+REPORTS, SQL, report = make_registry()
 
 _NUMS = ["price", "price_dup", "k_const", "tiny"]
 
-
-def report(sql: str | None = None):
-    def register(fn):
-        REPORTS[fn.__name__] = fn
-        if sql is not None:
-            SQL[fn.__name__] = sql
-        return fn
-    return register
-
-
 _FILLED = f"""WITH {ORDERS_DS}, med AS (
   SELECT median(price) AS m1, median(price_dup) AS m2, median(k_const) AS m3, median(tiny) AS m4 FROM orders_ds),
 codes AS (SELECT status, row_number() OVER (ORDER BY status) - 1 AS y FROM (SELECT DISTINCT status FROM orders_ds)),
@@ -255,3 +244,8 @@ def type_infer(spark, sf_dir):
     typed = infer_types(normalise_missing(_raw_text(spark, sf_dir).drop("event_id")))
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in typed.schema.fields],
                                  "column string, dtype string")
+
+
+@report("SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns FROM orders")
+def shape(spark, sf_dir):
+    return shape_report(read_table(spark, f"{sf_dir}/orders.parquet"))

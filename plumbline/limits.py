@@ -27,3 +27,6 @@ MAX_CLASSES = 10_000
 
 # Label columns whose distance sums are accumulated in one pass.
 LABEL_COLUMNS_PER_PASS = 512
+
+# Rows of one key prefix that are ranked by a window when a split looks for its cut key.
+CELL_ROWS = 200_000

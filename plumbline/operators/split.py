@@ -16,52 +16,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.limits import BROADCAST_ROWS
+from plumbline.limits import BROADCAST_ROWS, CELL_ROWS
 
 
 def order_key(row_id: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}-"), F.col(row_id).cast("string")))
 
 
-def prefix_length(rows: int, groups: int = 1) -> int:
-    """Hex digits of the key prefix: about a million rows per prefix, few prefixes in all."""
-    wanted = math.ceil(math.log(max(rows / 1_000_000, 16), 16))
-    allowed = int(math.log(max(1_000_000 / groups, 16), 16))
-    return max(1, min(wanted, allowed))
-
-
-def cut_keys(df: DataFrame, key: str, cuts: dict, group: str | None = None, rows: int | None = None) -> dict:
+def cut_keys(df: DataFrame, key: str, cuts: dict, sizes: dict, group: str | None = None,
+             cell_rows: int = CELL_ROWS) -> dict:
     """Key at each 1-based rank of the key order: ``cuts`` maps a group to its ranks.
 
-    Without ``group`` the only group is ``None``. Returns ``{(group, rank): key}``.
+    ``sizes`` has the rows of every group; without ``group`` the only group is 0.
+    Returns ``{(group, rank): key}``. Each round counts the rows per longer key prefix
+    inside the prefixes that still hold a cut, until those are small enough to rank.
     """
-    if rows is None:
-        rows = df.count()
-    digits = prefix_length(rows, max(len(cuts), 1))
-    g = F.col(group) if group else F.lit(None).cast("string")
-    keyed = df.select(g.alias("g"), F.col(key).alias("k"), F.substring(key, 1, digits).alias("p"))
-    counts: dict = {}
-    for r in keyed.groupBy("g", "p").agg(F.count(F.lit(1)).alias("n")).collect():
-        counts.setdefault(r["g"], []).append((r["p"], r["n"]))
-    wanted = []
-    for gv, ranks in cuts.items():
-        cells = sorted(counts.get(gv, []))
-        ends = list(accumulate(n for _, n in cells))
-        for rank in ranks:
-            i = bisect_right(ends, rank - 1)
-            wanted.append((gv, cells[i][0], rank - (ends[i - 1] if i else 0), rank))
-    if not wanted:
-        return {}
-    # one row per cut: groups x folds, bounded by the class limit
     spark = df.sparkSession
+    keyed = df.select((F.col(group) if group else F.lit(0)).alias("g"), F.col(key).alias("k"))
     g_type = keyed.schema["g"].dataType.simpleString()
-    need = spark.createDataFrame(wanted, f"g {g_type}, p string, pos int, rank bigint")
-    cells = need.select("g", "p").distinct()
-    match = [F.col("a.g").eqNullSafe(F.col("b.g")), F.col("a.p") == F.col("b.p")]
-    inside = keyed.alias("a").join(F.broadcast(cells.alias("b")), match, "left_semi")
-    ranked = inside.withColumn("pos", F.row_number().over(W.partitionBy("g", "p").orderBy("k")))
-    hit = ranked.alias("a").join(F.broadcast(need.alias("b")), [*match, F.col("a.pos") == F.col("b.pos")])
-    return {(r["g"], r["rank"]): r["k"] for r in hit.select("b.g", "b.rank", "a.k").collect()}
+    # one entry per cut (groups x folds): its prefix, rank inside the prefix, rows of the prefix
+    open_ = {(g, rank): ("", rank, sizes[g]) for g, ranks in cuts.items() for rank in ranks}
+    digits = 0
+
+    def inside() -> DataFrame:
+        cells = spark.createDataFrame(sorted({(g, p) for (g, _), (p, _, _) in open_.items()}), f"g {g_type}, p string")
+        here = keyed.withColumn("p", F.substring("k", 1, digits) if digits else F.lit(""))
+        return here.join(F.broadcast(cells), ["g", "p"], "left_semi")
+
+    while open_ and max(n for _, _, n in open_.values()) > cell_rows and digits < 30:
+        counted = inside().groupBy("g", F.substring("k", 1, digits + 3).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        counts: dict = {}
+        for r in counted.collect():
+            counts.setdefault((r["g"], r["p"][:digits]), []).append((r["p"], r["n"]))
+        digits += 3
+        for (g, rank), (p, pos, _) in open_.items():
+            cells = sorted(counts[(g, p)])
+            ends = list(accumulate(n for _, n in cells))
+            i = bisect_right(ends, pos - 1)
+            open_[(g, rank)] = (cells[i][0], pos - (ends[i - 1] if i else 0), cells[i][1])
+    if not open_:
+        return {}
+    need = spark.createDataFrame([(g, p, pos, rank) for (g, rank), (p, pos, _) in open_.items()],
+                                 f"g {g_type}, p string, pos int, rank bigint")
+    ranked = inside().withColumn("pos", F.row_number().over(W.partitionBy("g", "p").orderBy("k")))
+    return {(r["g"], r["rank"]): r["k"] for r in ranked.join(F.broadcast(need), ["g", "p", "pos"]).collect()}
 
 
 def holdout_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, row_id: str = "row_id",
@@ -73,7 +71,7 @@ def holdout_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, row_id:
     n_test = math.ceil(test_size * rows)
     if not 0 < n_test < rows:
         raise ValueError(f"test_size {test_size} leaves no rows on one side of {rows}")
-    last = cut_keys(keyed.select("order_key"), "order_key", {None: [n_test]}, rows=rows)[(None, n_test)]
+    last = cut_keys(keyed.select("order_key"), "order_key", {0: [n_test]}, {0: rows})[(0, n_test)]
     return keyed.withColumn("is_test", F.col("order_key") <= F.lit(last))
 
 
@@ -85,20 +83,17 @@ def contiguous_folds(df: DataFrame, k: int = 5, key: str = "order_key", rows: in
         raise ValueError(f"{k} folds need at least {k} rows")
     sizes = [rows // k + (1 if i < rows % k else 0) for i in range(k)]
     ends = list(accumulate(sizes))[:-1]
-    keys = cut_keys(df.select(key), key, {None: ends}, rows=rows)
-    return df.withColumn("fold", _fold_of(F.col(key), [keys[(None, e)] for e in ends]))
+    keys = cut_keys(df.select(key), key, {0: ends}, {0: rows})
+    return df.withColumn("fold", _fold_of(F.col(key), [keys[(0, e)] for e in ends]))
 
 
-def stratified_folds(df: DataFrame, label: str, k: int = 5, key: str = "order_key",
-                     rows: int | None = None) -> DataFrame:
+def stratified_folds(df: DataFrame, label: str, k: int = 5, key: str = "order_key") -> DataFrame:
     """Add ``fold``: per class, contiguous parts of the key order.
 
     Part sizes deal the rows, sorted by class, to the folds in turn, so fold sizes
     and the class counts inside folds differ by at most one.
     """
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if rows is None:
-        rows = sum(counts.values())
     ends: dict = {}
     start = 0
     for value in sorted(counts):
@@ -107,10 +102,10 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, key: str = "order_ke
         ends[value] = list(accumulate(dealt))[:-1]
         start += n
     cuts = {v: sorted({e for e in es if 0 < e}) for v, es in ends.items()}
-    keys = cut_keys(df.select(label, key), key, {v: c for v, c in cuts.items() if c}, group=label, rows=rows)
+    keys = cut_keys(df.select(label, key), key, cuts, counts, group=label)
+    if len(ends) * k > BROADCAST_ROWS:
+        raise ValueError(f"{len(ends)} classes are too many for stratified folds")
     bounds = [(v, [keys.get((v, e), "") for e in es]) for v, es in ends.items()]
-    if len(bounds) > BROADCAST_ROWS:
-        raise ValueError(f"{len(bounds)} classes are too many for stratified folds")
     l_type = df.schema[label].dataType.simpleString()
     table = df.sparkSession.createDataFrame(bounds, f"_l {l_type}, _bounds array<string>")
     joined = df.join(F.broadcast(table), df[label] == table["_l"])
