@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from plumbline.catalogue.registry import make_registry
-from plumbline.catalogue.tables import EMB_DIMS, emb_ds, r6
+from plumbline.catalogue.tables import (EMB_DIMS, USERS_DS, USERS_FEATURES, emb_ds, load, r6, users_ds)
+from plumbline.operators import dbscan as D
+from plumbline.operators import kmeans as K
 from plumbline.operators import metrics as M
+from plumbline.operators import reduce as R
+from plumbline.operators import ward
+from plumbline.operators.prepare import fit_preparation
 from plumbline.operators.silhouette import silhouettes
 
 REPORTS, SQL, report = make_registry()
@@ -31,3 +37,123 @@ c AS (SELECT label, i, avg(v) AS m FROM u GROUP BY 1, 2)
 SELECT round(sum((v - m) * (v - m)), 5) AS inertia FROM u JOIN c USING (label, i)""")
 def inertia_given_labels(spark, sf_dir):
     return M.inertia(emb_ds(spark, sf_dir), "label", EMB_DIMS).select(r6("inertia", 5).alias("inertia"))
+
+
+def _users(spark, sf_dir, columns=USERS_FEATURES):
+    """Prepared user rows ``(row_id, x, features)``."""
+    df = users_ds(spark, sf_dir)
+    return fit_preparation(df, columns).transform(df, ["row_id"]).persist()
+
+
+_PLANE_COLUMNS = ["n_click", "avg_value"]
+_EPS, _MIN_SAMPLES = 0.4, 5
+_DBSCAN_SQL = f"""WITH RECURSIVE {USERS_DS}, g AS (
+  SELECT skewness(n_click) AS ga, min(n_click) AS la, skewness(avg_value) AS gb, min(avg_value) AS lb FROM users_ds),
+l AS (SELECT row_id, CASE WHEN abs(ga) > 0.75 AND la >= 0 THEN ln(1 + n_click) ELSE n_click END AS a,
+        CASE WHEN abs(gb) > 0.75 AND lb >= 0 THEN ln(1 + avg_value) ELSE avg_value END AS b FROM users_ds, g),
+s AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM l),
+p AS (SELECT row_id, (a - ma) / sa AS a, (b - mb) / sb AS b FROM l, s),
+near AS (SELECT x.row_id AS u, y.row_id AS v FROM p x JOIN p y
+  ON sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b)) <= {_EPS}),
+core AS (SELECT u AS id FROM near GROUP BY u HAVING count(*) >= {_MIN_SAMPLES}),
+links AS (SELECT u, v FROM near JOIN core a ON a.id = u JOIN core b ON b.id = v),
+walk(a, b) AS (SELECT id, id FROM core UNION SELECT w.a, l.v FROM walk w JOIN links l ON l.u = w.b),
+root AS (SELECT a AS id, min(b) AS r FROM walk GROUP BY a),
+num AS (SELECT id, dense_rank() OVER (ORDER BY r) - 1 AS cluster FROM root),
+border AS (SELECT u AS id, min(cluster) AS cluster FROM near JOIN num ON num.id = v
+  WHERE u NOT IN (SELECT id FROM core) GROUP BY u),
+labels AS (SELECT row_id, coalesce(n.cluster, b.cluster, -1) AS cluster FROM p LEFT JOIN num n ON n.id = row_id
+  LEFT JOIN border b ON b.id = row_id)"""
+
+
+def _dbscan(spark, sf_dir):
+    return D.dbscan(_users(spark, sf_dir, _PLANE_COLUMNS), _EPS, _MIN_SAMPLES, 2)
+
+
+@report(_DBSCAN_SQL + " SELECT row_id, cluster FROM labels")
+def dbscan_labels(spark, sf_dir):
+    return _dbscan(spark, sf_dir)
+
+
+@report(_DBSCAN_SQL + """
+SELECT count(DISTINCT CASE WHEN cluster <> -1 THEN cluster END) AS n_clusters,
+       count(*) FILTER (WHERE cluster = -1) AS n_noise FROM labels""")
+def dbscan_summary(spark, sf_dir):
+    return D.dbscan_summary(_dbscan(spark, sf_dir))
+
+
+@report()
+def ward_tree(spark, sf_dir):
+    return ward.merge_tree(_users(spark, sf_dir))
+
+
+@report()
+def ward_labels(spark, sf_dir):
+    return ward.ward_labels(_users(spark, sf_dir), 3, len(USERS_FEATURES))
+
+
+def _sweep(spark, sf_dir, max_k=10):
+    points = _users(spark, sf_dir)
+    ks = list(range(2, max_k + 1))
+    runs = K.fit_kmeans(points, ks, points.count())
+    labelled = K.kmeans_labels(points.select("row_id", "x"), runs)
+    scores = silhouettes(labelled, [f"km_{k}" for k in ks])
+    return labelled, runs, {k: scores[f"km_{k}"] for k in ks}
+
+
+@report()
+def k_sweep(spark, sf_dir):
+    _, runs, scores = _sweep(spark, sf_dir)
+    return spark.createDataFrame([(k, r.inertia, scores[k]) for k, r in runs.items()],
+                                 "k int, inertia double, silhouette double")
+
+
+@report()
+def kmeans_labels(spark, sf_dir):
+    labelled, _, scores = _sweep(spark, sf_dir)
+    return labelled.select("row_id", F.col(f"km_{K.best_k(scores)}").alias("cluster"))
+
+
+@report()
+def gmm_labels(spark, sf_dir):
+    points = _users(spark, sf_dir)
+    return R.mixture_labels(points, R.fit_mixture(points, 3))
+
+
+def _emb_features(spark, sf_dir):
+    return emb_ds(spark, sf_dir).withColumn("features", array_to_vector("x"))
+
+
+@report()
+def pca_report(spark, sf_dir):
+    points = _emb_features(spark, sf_dir)
+    model = R.fit_pca(points, EMB_DIMS, points.count())
+    return R.pca_report(spark, list(model.explainedVariance))
+
+
+@report()
+def pca_scatter(spark, sf_dir):
+    points = _users(spark, sf_dir)
+    return R.plane(points, R.fit_pca(points, len(USERS_FEATURES), points.count()))
+
+
+@report(f"""WITH {USERS_DS}, v AS (
+  """ + " UNION ALL ".join(f"SELECT {i + 1} AS component, var_samp({c}) AS v FROM users_ds"
+                           for i, c in enumerate(USERS_FEATURES)) + """),
+r AS (SELECT component, v / sum(v) OVER () AS e FROM v)
+SELECT CAST(component AS INT) AS component, round(e, 6) AS explained,
+       round(sum(e) OVER (ORDER BY component ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) AS cumulative FROM r""")
+def cumulative_variance(spark, sf_dir):
+    row = users_ds(spark, sf_dir).agg(*[F.var_samp(c).alias(c) for c in USERS_FEATURES]).first()
+    total = sum(row)
+    out = R.pca_report(spark, [v / total for v in row])
+    return out.select("component", r6("explained").alias("explained"), r6("cumulative").alias("cumulative"))
+
+
+@report("""SELECT 'label' AS algo, CAST(label AS BIGINT) AS cluster, count(*) AS n FROM embeddings GROUP BY label
+UNION ALL SELECT 'parity', CAST(label % 2 AS BIGINT), count(*) FROM embeddings GROUP BY label % 2""")
+def cluster_sizes(spark, sf_dir):
+    e = load(spark, sf_dir, "embeddings")
+    one = e.select(F.lit("label").alias("algo"), F.col("label").cast("bigint").alias("cluster"))
+    two = e.select(F.lit("parity").alias("algo"), (F.col("label") % 2).cast("bigint").alias("cluster"))
+    return M.cluster_sizes(one.unionByName(two))

@@ -132,11 +132,12 @@ def box_bounds(a: Side, b: Side, p: int) -> tuple[np.ndarray, np.ndarray]:
     return near, far
 
 
-def pair_blocks(left: Side, right: Side, allowed: np.ndarray, left_id: str, right_id: str):
+def pair_blocks(left: Side, right: Side, allowed: np.ndarray, left_id: str, right_id: str, half: bool = False):
     """Cogroup of every block of a left region with every block of the regions it may meet.
 
     ``allowed`` is a boolean matrix over region pairs. Both sides carry the key
-    ``(lb, rb)``; use ``.applyInPandas(kernel, schema)`` on the result.
+    ``(lb, rb)``; use ``.applyInPandas(kernel, schema)`` on the result. With ``half``,
+    for two equal sides and a symmetric kernel, each pair of blocks meets once.
     """
     lblocks, rblocks = left.with_block(left_id), right.with_block(right_id)
     if left.blocks.sum() <= 1 and right.blocks.sum() <= 1:
@@ -145,6 +146,8 @@ def pair_blocks(left: Side, right: Side, allowed: np.ndarray, left_id: str, righ
     else:
         lkeyed = _meet(lblocks, allowed, right, "lb", "rb")
         rkeyed = _meet(rblocks, allowed.T, left, "rb", "lb")
+        if half:
+            lkeyed, rkeyed = lkeyed.where("lb <= rb"), rkeyed.where("lb <= rb")
     return lkeyed.groupBy("lb", "rb").cogroup(rkeyed.groupBy("lb", "rb"))
 
 
