@@ -14,6 +14,7 @@ from plumbline.operators import reduce as R
 from plumbline.operators import ward
 from plumbline.operators.prepare import fit_preparation
 from plumbline.operators.silhouette import silhouettes
+from plumbline.plans.unsupervised import run_unsupervised
 
 REPORTS, SQL, report = make_registry()
 
@@ -128,7 +129,7 @@ def _emb_features(spark, sf_dir):
 def pca_report(spark, sf_dir):
     points = _emb_features(spark, sf_dir)
     model = R.fit_pca(points, EMB_DIMS, points.count())
-    return R.pca_report(spark, list(model.explainedVariance))
+    return R.pca_report(spark, list(model.explained))
 
 
 @report()
@@ -157,3 +158,25 @@ def cluster_sizes(spark, sf_dir):
     one = e.select(F.lit("label").alias("algo"), F.col("label").cast("bigint").alias("cluster"))
     two = e.select(F.lit("parity").alias("algo"), (F.col("label") % 2).cast("bigint").alias("cluster"))
     return M.cluster_sizes(one.unionByName(two))
+
+
+def _run(spark, sf_dir):
+    return run_unsupervised(spark, users_ds(spark, sf_dir), "row_id", dbscan_eps=1.0)
+
+
+@report()
+def unsupervised_run(spark, sf_dir):
+    return _run(spark, sf_dir).tables["cluster_model_table"]
+
+
+def _chart(name):
+    def chart(spark, sf_dir):
+        return _run(spark, sf_dir).tables[name]
+    chart.__name__ = name
+    return report()(chart)
+
+
+elbow, silhouette_by_k = _chart("elbow"), _chart("silhouette_by_k")
+scatter_kmeans, scatter_hierarchical = _chart("scatter_kmeans"), _chart("scatter_hierarchical")
+scatter_dbscan, scatter_gmm = _chart("scatter_dbscan"), _chart("scatter_gmm")
+variance_table, cluster_size_table = _chart("variance_table"), _chart("cluster_size_table")

@@ -12,6 +12,9 @@ from plumbline.operators import bayes as B
 from plumbline.operators import metrics as M
 from plumbline.operators import neighbors as N
 from plumbline.operators import split as S
+from plumbline.operators.learners import context, families
+from plumbline.operators.search import cross_validate
+from plumbline.plans.supervised import prepare_rows, run_supervised
 
 REPORTS, SQL, report = make_registry()
 
@@ -146,3 +149,106 @@ def knn_regress(spark, sf_dir):
     near = N.neighbours(split.where("is_test"), split.where("NOT is_test"), 5, (2,), 2)
     out = N.neighbour_predictions(near, False, (5,), ("uniform", "distance"))
     return out.select("row_id", r6("pred_5_uniform", 4).alias("uniform"), r6("pred_5_distance", 4).alias("distance"))
+
+
+def _classified_docs(spark, sf_dir):
+    return docs_ds(spark, sf_dir).drop("toxic")
+
+
+def _rows_for(spark, df, target, columns, task):
+    return prepare_rows(df, target, columns, task, df.count(), None, 0.2, 5, 42, "all")
+
+
+def _fit_one(spark, sf_dir, name, params, task="classification"):
+    """Holdout metrics of one family with given parameters."""
+    if task == "classification":
+        df, target, columns = _classified_docs(spark, sf_dir), "quality", ["n_chars", "n_lines", "lang", "source"]
+    else:
+        df, target, columns = part_ds(spark, sf_dir), "p_retailprice", ["p_size", "p_brand", "p_type"]
+    _, classes, train, test = _rows_for(spark, df, target, columns, task)
+    family = next(f for f in families(task) if f.name == name)
+    model = family.fit(train, params, context(train, len(columns), len(classes), 42))
+    predicted = model.predict(test)
+    if task == "classification":
+        return M.classification_metrics(predicted)
+    return M.regression_metrics(predicted)
+
+
+@report()
+def tree_regression(spark, sf_dir):
+    return _fit_one(spark, sf_dir, "DecisionTreeRegressor", {"max_depth": 5, "min_samples_split": 5}, "regression")
+
+
+@report()
+def forest_regression(spark, sf_dir):
+    return _fit_one(spark, sf_dir, "RandomForestRegressor",
+                    {"max_depth": 5, "min_samples_split": 5, "n_estimators": 50}, "regression")
+
+
+@report()
+def tree_classification(spark, sf_dir):
+    return _fit_one(spark, sf_dir, "DecisionTreeClassifier", {"max_depth": 5, "criterion": "entropy"})
+
+
+@report()
+def forest_classification(spark, sf_dir):
+    return _fit_one(spark, sf_dir, "RandomForestClassifier", {"max_depth": 5, "criterion": "gini", "n_estimators": 50})
+
+
+@report()
+def logreg_lbfgs(spark, sf_dir):
+    return _fit_one(spark, sf_dir, "LogisticRegression", {"C": 1, "solver": "lbfgs"})
+
+
+@report()
+def logreg_liblinear(spark, sf_dir):
+    return _fit_one(spark, sf_dir, "LogisticRegression", {"C": 1, "solver": "liblinear"})
+
+
+@report()
+def svm_linear(spark, sf_dir):
+    return _fit_one(spark, sf_dir, "SVM", {"C": 1, "kernel": "linear", "gamma": "scale"})
+
+
+@report()
+def svm_rbf(spark, sf_dir):
+    return _fit_one(spark, sf_dir, "SVM", {"C": 1, "kernel": "rbf", "gamma": "scale"})
+
+
+@report()
+def cv_score(spark, sf_dir):
+    """Mean validation accuracy of every neighbour candidate."""
+    columns = ["n_chars", "n_lines", "lang", "source"]
+    _, classes, train, _ = _rows_for(spark, _classified_docs(spark, sf_dir), "quality", columns, "classification")
+    family = next(f for f in families("classification") if f.name == "KNeighborsClassifier")
+    ctx = context(train, len(columns), len(classes), 42)
+    scores = cross_validate(family, train, "classification", 5, [ctx] * 5)
+    return spark.createDataFrame([(p["n_neighbors"], p["p"], p["weights"], s) for p, s in scores],
+                                 "k int, p int, weights string, score double")
+
+
+@report()
+def refit_winner(spark, sf_dir):
+    """Predictions for every document by the winner refitted on all of them."""
+    run = run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", grid="small", cv=3)
+    df = _classified_docs(spark, sf_dir)
+    ready = run.preparation.transform(df, ["row_id"])
+    return run.best_model.predict(ready).select("row_id", "prediction")
+
+
+@report()
+def model_comparison(spark, sf_dir):
+    return run_supervised(spark, part_ds(spark, sf_dir), "p_retailprice", "row_id", corr_threshold=0.0,
+                          grid="small", cv=3).results
+
+
+@report()
+def best_model(spark, sf_dir):
+    run = run_supervised(spark, part_ds(spark, sf_dir), "p_retailprice", "row_id", corr_threshold=0.0,
+                         grid="small", cv=3)
+    return run.results.where(F.col("model") == run.best_name).select("model", F.col("r2_score").alias("score"))
+
+
+@report()
+def supervised_run(spark, sf_dir):
+    return run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", grid="small", cv=3).results

@@ -148,7 +148,13 @@ def pair_blocks(left: Side, right: Side, allowed: np.ndarray, left_id: str, righ
         rkeyed = _meet(rblocks, allowed.T, left, "rb", "lb")
         if half:
             lkeyed, rkeyed = lkeyed.where("lb <= rb"), rkeyed.where("lb <= rb")
-    return lkeyed.groupBy("lb", "rb").cogroup(rkeyed.groupBy("lb", "rb"))
+    return cogroup_blocks(lkeyed, rkeyed)
+
+
+def cogroup_blocks(left: DataFrame, right: DataFrame):
+    """Cogroup on ``(lb, rb)``; fresh names keep two sides made from one table apart."""
+    renamed = right.select([F.col(c).alias(c) for c in right.columns])
+    return left.groupBy("lb", "rb").cogroup(renamed.groupBy("lb", "rb"))
 
 
 def _meet(df: DataFrame, allowed: np.ndarray, other: Side, own: str, theirs: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.ml.clustering import GaussianMixture
-from pyspark.ml.feature import PCA
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,9 +14,37 @@ from pyspark.sql import functions as F
 MAX_COMPONENTS = 10
 
 
-def fit_pca(features: DataFrame, dims: int, rows: int):
-    """Model with min(dims, rows, 10) components of the ``features`` column."""
-    return PCA(k=min(dims, rows, MAX_COMPONENTS), inputCol="features", outputCol="pc").fit(features.select("features"))
+@dataclass
+class Components:
+    """Loadings (features x components, largest entry of each positive) and variance ratios."""
+
+    loadings: np.ndarray
+    explained: np.ndarray
+
+    def table(self, spark) -> DataFrame:
+        rows = [(i + 1, float(e), self.loadings[:, i].tolist()) for i, e in enumerate(self.explained)]
+        return spark.createDataFrame(rows, "component int, explained double, loading array<double>")
+
+
+def fit_pca(points: DataFrame, dims: int, rows: int) -> Components:
+    """The first min(dims, rows, 10) principal components of ``points(x, features)``.
+
+    Spark reduces the rows to a features x features matrix; only that matrix is
+    decomposed on the driver.
+    """
+    spread = points.agg(*[F.stddev_samp(F.col("x")[i]).alias(f"s{i}") for i in range(dims)]).first()
+    std = np.array([spread[f"s{i}"] or 0.0 for i in range(dims)])
+    if dims > 1:
+        corr = np.nan_to_num(Correlation.corr(points.select("features"), "features").first()[0].toArray())
+    else:
+        corr = np.ones((1, 1))
+    cov = corr * std[:, None] * std[None, :]
+    np.fill_diagonal(cov, std * std)
+    values, vectors = np.linalg.eigh(cov)
+    order = np.argsort(values)[::-1][:min(dims, rows, MAX_COMPONENTS)]
+    pc = vectors[:, order]
+    pc = pc * np.where(pc[np.abs(pc).argmax(axis=0), np.arange(pc.shape[1])] < 0, -1.0, 1.0)
+    return Components(pc, np.maximum(values[order], 0.0) / values.sum())
 
 
 def pca_report(spark, ratios: list[float]) -> DataFrame:
@@ -24,15 +54,9 @@ def pca_report(spark, ratios: list[float]) -> DataFrame:
     return parts.withColumn("cumulative", F.sum("explained").over(running))
 
 
-def signed_loadings(model) -> np.ndarray:
-    """Loadings with the largest entry of every component positive."""
-    pc = model.pc.toArray()
-    return pc * np.sign(pc[np.abs(pc).argmax(axis=0), np.arange(pc.shape[1])])
-
-
-def plane(points: DataFrame, model) -> DataFrame:
+def plane(points: DataFrame, model: Components) -> DataFrame:
     """``(row_id, pc1, pc2)`` of ``points(row_id, x)``; pc2 is 0 when there is one component."""
-    pc = signed_loadings(model)
+    pc = model.loadings
 
     def score(j):
         if j >= pc.shape[1]:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.limits import BLOCK_ROWS, LABEL_COLUMNS_PER_PASS
-from plumbline.operators.blocks import matrix
+from plumbline.operators.blocks import cogroup_blocks, matrix
 
 
 def silhouettes(points: DataFrame, labelings: list[str], block_rows: int = BLOCK_ROWS,
@@ -98,8 +98,7 @@ def _pass(unique: DataFrame, labelings: list[str], sizes: dict, columns: list, b
     rows = unique.withColumn("block", block)
     left = rows.withColumn("rb", F.explode(F.sequence("block", F.lit(blocks - 1)))).withColumnRenamed("block", "lb")
     right = rows.withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("block")))).withColumnRenamed("block", "rb")
-    partial = left.groupBy("lb", "rb").cogroup(right.groupBy("lb", "rb")).applyInPandas(
-        kernel, "row_id bigint, sums array<double>")
+    partial = cogroup_blocks(left, right).applyInPandas(kernel, "row_id bigint, sums array<double>")
     total = partial.groupBy("row_id").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums"))
     joined = total.join(unique.select("row_id", "w", *labelings), "row_id")
     out = []
