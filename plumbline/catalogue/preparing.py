@@ -11,7 +11,7 @@ from plumbline.functions.dictionary import build_dictionary
 from plumbline.functions.medians import exact_medians
 from plumbline.operators import metrics as M
 from plumbline.operators import split as S
-from plumbline.operators.prepare import fit_preparation, modes
+from plumbline.operators.prepare import fit_preparation
 from plumbline.operators.profile import numeric_target
 
 REPORTS, SQL, report = make_registry()
@@ -30,7 +30,7 @@ def median_impute(spark, sf_dir):
 SELECT row_id, coalesce(priority, m) AS priority FROM orders_ds, m""")
 def mode_impute(spark, sf_dir):
     df = orders_ds(spark, sf_dir)
-    m = modes(build_dictionary(df, ["priority"]).table)
+    m = build_dictionary(df, ["priority"]).modes
     return df.select("row_id", filled("priority", m["priority"]).alias("priority"))
 
 

@@ -14,13 +14,12 @@ from plumbline.session import cut_lineage
 
 @dataclass
 class Dictionary:
-    """``table(column, value, n, code)`` with the number of values per column."""
+    """``table(column, value, n, code)``; per column its number of values, non-null rows and mode."""
 
     table: DataFrame
     sizes: dict[str, int]
-
-    def entries(self) -> int:
-        return sum(self.sizes.values())
+    present: dict[str, int]
+    modes: dict[str, str]
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -55,9 +54,14 @@ def build_dictionary(df: DataFrame, columns: list[str]) -> Dictionary | None:
     if not columns:
         return None
     counts = value_counts(df, columns).persist()
-    sizes = {r["column"]: r["n"] for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = {c: sizes.get(c, 0) for c in columns}
-    return Dictionary(ordered_codes(counts, sum(sizes.values())), sizes)
+    # the most frequent value; the smallest on ties
+    mode = F.min_by("value", F.struct((-F.col("n")).alias("k"), F.col("value")))
+    found = {r["column"]: r for r in counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("present"), mode.alias("mode")).collect()}
+    sizes = {c: found[c]["size"] if c in found else 0 for c in columns}
+    return Dictionary(ordered_codes(counts, sum(sizes.values())), sizes,
+                      {c: found[c]["present"] if c in found else 0 for c in columns},
+                      {c: r["mode"] for c, r in found.items()})
 
 
 def attach_code(df: DataFrame, value: Column, codes: DataFrame, size: int, rows: int, out: str,

@@ -54,6 +54,7 @@ SMALL_GRIDS = {
 DEEPEST = 30
 BINS = 256
 RANDOM_FEATURES = 256
+SVM_TOLERANCE = 1e-3
 
 
 def candidates(grid: dict[str, list]) -> list[dict]:
@@ -267,7 +268,7 @@ def _penalised_intercept(train: DataFrame, positive: int, penalty: float) -> tup
 
 
 def _svm(train: DataFrame, params: dict, ctx: FitContext):
-    machine = LinearSVC(regParam=1.0 / (params["C"] * ctx.rows), standardization=False)
+    machine = LinearSVC(regParam=1.0 / (params["C"] * ctx.rows), standardization=False, tol=SVM_TOLERANCE)
     mapping = None
     if params["kernel"] == "rbf":
         gamma = 1.0 / (ctx.dims * (ctx.spread or 1.0)) if params["gamma"] == "scale" else 1.0 / ctx.dims

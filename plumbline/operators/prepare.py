@@ -13,12 +13,11 @@ from dataclasses import asdict, dataclass
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.columns import (bias_corrected_skew, boolean_columns, filled, numeric_columns, text_columns)
-from plumbline.functions.dictionary import attach_code, build_dictionary
+from plumbline.functions.dictionary import Dictionary, attach_code, build_dictionary
 from plumbline.functions.medians import exact_medians
 
 SKEW_LIMIT = 0.75
@@ -99,12 +98,6 @@ class Preparation:
         return [asdict(f) for f in self.features]
 
 
-def modes(counts: DataFrame) -> dict[str, str]:
-    """Most frequent value per column of ``(column, value, n)``; ties give the smallest."""
-    best = counts.groupBy("column").agg(F.min_by("value", F.struct((-F.col("n")).alias("k"), F.col("value"))).alias("m"))
-    return {r["column"]: r["m"] for r in best.collect()}
-
-
 def numeric_moments(df: DataFrame, columns: list[str], medians: dict, loggable: set[str]) -> dict[str, dict]:
     """Skew, minimum, mean and population deviation, plain and after log1p, in one scan.
 
@@ -129,21 +122,19 @@ def numeric_moments(df: DataFrame, columns: list[str], medians: dict, loggable:
     return out
 
 
-def code_moments(table: DataFrame, fills: dict[str, str], rows: int) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation of each encoded column from its value counts."""
-    fill = F.create_map(*[F.lit(x) for pair in fills.items() for x in pair])
-    present = F.sum("n").over(W.partitionBy("column"))
-    weight = (F.col("n") + F.when(F.col("value") == fill[F.col("column")], F.lit(rows) - F.col("_p"))
-              .otherwise(F.lit(0))).cast("double")
-    totals = table.groupBy("column").agg(F.sum("n").alias("_p"))
-    first = (table.join(F.broadcast(totals), "column").withColumn("w", weight)
-             .groupBy("column").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("code")).alias("s")))
-    means = {r["column"]: r["s"] / r["w"] for r in first.collect()}
-    mean = F.create_map(*[F.lit(x) for pair in means.items() for x in pair])
-    second = (table.join(F.broadcast(totals), "column").withColumn("w", weight)
-              .withColumn("d", F.col("code") - mean[F.col("column")])
-              .groupBy("column").agg((F.sum(F.col("w") * F.col("d") * F.col("d")) / F.sum("w")).alias("v")))
-    return {r["column"]: (means[r["column"]], r["v"] ** 0.5) for r in second.collect()}
+def code_moments(words: Dictionary, rows: int) -> dict[str, tuple[float, float]]:
+    """Mean and population deviation of each encoded, mode-filled column from its value counts."""
+    fill = F.create_map(*[F.lit(x) for pair in words.modes.items() for x in pair])
+    n, code = F.col("n").cast("double"), F.col("code").cast("double")
+    sums = words.table.groupBy("column").agg(
+        F.sum(n * code).alias("s"), F.sum(n * code * code).alias("q"),
+        F.max(F.when(F.col("value") == fill[F.col("column")], code)).alias("f")).collect()
+    out = {}
+    for r in sums:
+        missing = rows - words.present[r["column"]]
+        mean = (r["s"] + missing * r["f"]) / rows
+        out[r["column"]] = mean, max((r["q"] + missing * r["f"] ** 2) / rows - mean * mean, 0.0) ** 0.5
+    return out
 
 
 def fit_preparation(df: DataFrame, columns: list[str], rows: int | None = None,
@@ -159,8 +150,8 @@ def fit_preparation(df: DataFrame, columns: list[str], rows: int | None = None,
         medians = exact_medians(frame, nums, rows)
     moments = numeric_moments(frame, nums + bools, medians, set(nums))
     words = build_dictionary(frame, texts)
-    fills = modes(words.table) if words else {}
-    coded = code_moments(words.table, fills, rows) if words else {}
+    fills = words.modes if words else {}
+    coded = code_moments(words, rows) if words else {}
     recipes = []
     for c in columns:
         if c in texts:

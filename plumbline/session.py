@@ -14,6 +14,7 @@ def local_session(cores: int | str = 8, app: str = "plumbline") -> SparkSession:
         SparkSession.builder.master(f"local[{n}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.adaptive.enabled", "true")
