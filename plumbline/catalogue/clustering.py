@@ -14,7 +14,7 @@ from plumbline.operators import reduce as R
 from plumbline.operators import ward
 from plumbline.operators.prepare import fit_preparation
 from plumbline.operators.silhouette import silhouettes
-from plumbline.plans.unsupervised import run_unsupervised
+from plumbline.plans.unsupervised import choose_clustering, run_unsupervised
 
 REPORTS, SQL, report = make_registry()
 
@@ -160,8 +160,63 @@ def cluster_sizes(spark, sf_dir):
     return M.cluster_sizes(one.unionByName(two))
 
 
+_SCALED_SQL = _DBSCAN_SQL.split("near AS")[0].replace("WITH RECURSIVE", "WITH").rstrip().rstrip(",")
+
+
+@report(_SCALED_SQL + """, r AS (SELECT corr(a, b) AS r FROM p), e AS (
+  SELECT 1 AS component, (1 + abs(r)) / 2 AS e FROM r UNION ALL SELECT 2, (1 - abs(r)) / 2 FROM r)
+SELECT component, round(e, 6) AS explained, round(sum(e) OVER (ORDER BY component), 6) AS cumulative FROM e""")
+def pca_two_features(spark, sf_dir):
+    points = _users(spark, sf_dir, _PLANE_COLUMNS)
+    out = R.pca_report(spark, list(R.fit_pca(points, 2, points.count()).explained))
+    return out.select("component", r6("explained").alias("explained"), r6("cumulative").alias("cumulative"))
+
+
+@report(_SCALED_SQL + """, r AS (SELECT corr(a, b) AS r FROM p)
+SELECT row_id, round(CASE WHEN r >= 0 THEN abs(a + b) ELSE abs(a - b) END / sqrt(2), 5) AS size1,
+       round(CASE WHEN r >= 0 THEN abs(a - b) ELSE abs(a + b) END / sqrt(2), 5) AS size2 FROM p, r""")
+def pca_two_scores(spark, sf_dir):
+    points = _users(spark, sf_dir, _PLANE_COLUMNS)
+    plane = R.plane(points, R.fit_pca(points, 2, points.count()))
+    return plane.select("row_id", r6(F.abs("pc1"), 5).alias("size1"), r6(F.abs("pc2"), 5).alias("size2"))
+
+
+@report(_SCALED_SQL + """, f AS (SELECT *, row_number() OVER (ORDER BY row_id) - 1 AS i FROM p ORDER BY row_id LIMIT 200),
+d AS (SELECT x.i AS "left", y.i AS "right", sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b)) AS d
+  FROM f x JOIN f y ON x.i < y.i)
+SELECT 0 AS step, "left", "right", round(d, 6) AS distance, CAST(2 AS BIGINT) AS size FROM d ORDER BY d LIMIT 1""")
+def ward_first_merge(spark, sf_dir):
+    tree = ward.merge_tree(_users(spark, sf_dir, _PLANE_COLUMNS))
+    return tree.where("step = 0").withColumn("distance", r6("distance"))
+
+
+@report("""WITH s AS (SELECT label AS c, label % 2 AS h, CAST(embedding AS DOUBLE[]) AS x, vec_id FROM embeddings),
+l AS (SELECT 'KMeans' AS algo, 0 AS pos, vec_id, x, c FROM s UNION ALL SELECT 'Hierarchical', 1, vec_id, x, h FROM s),
+n AS (SELECT algo, c, count(*) AS n FROM l GROUP BY ALL),
+d AS (SELECT a.algo, a.pos, a.vec_id, a.c AS own, b.c AS other, sum(list_distance(a.x, b.x)) AS s
+      FROM l a JOIN l b ON a.algo = b.algo AND a.vec_id <> b.vec_id GROUP BY ALL),
+m AS (SELECT d.algo, pos, vec_id, own, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
+        min(CASE WHEN own <> other THEN s / n END) AS b FROM d JOIN n ON n.algo = d.algo AND n.c = d.other GROUP BY ALL),
+r AS (SELECT algo, pos, avg(coalesce((b - a) / greatest(a, b), 0)) AS score FROM m GROUP BY ALL)
+SELECT algo, round(score, 6) + 0.0 AS score FROM r ORDER BY score DESC, pos DESC LIMIT 1""")
+def best_cluster_model(spark, sf_dir):
+    points = emb_ds(spark, sf_dir).select("row_id", "x", F.col("label").alias("KMeans"),
+                                          (F.col("label") % 2).alias("Hierarchical"))
+    scores = silhouettes(points, ["KMeans", "Hierarchical"])
+    best = choose_clustering(scores)
+    return spark.createDataFrame([(best, scores[best])], "algo string, score double").withColumn("score", r6("score") + 0.0)
+
+
+_RUNS: dict = {}
+
+
 def _run(spark, sf_dir):
-    return run_unsupervised(spark, users_ds(spark, sf_dir), "row_id", dbscan_eps=1.0)
+    """One unsupervised run per session and folder; its charts are tables of that run."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        _RUNS.clear()
+        _RUNS[key] = run_unsupervised(spark, users_ds(spark, sf_dir), "row_id", dbscan_eps=1.0)
+    return _RUNS[key]
 
 
 @report()
@@ -180,3 +235,4 @@ elbow, silhouette_by_k = _chart("elbow"), _chart("silhouette_by_k")
 scatter_kmeans, scatter_hierarchical = _chart("scatter_kmeans"), _chart("scatter_hierarchical")
 scatter_dbscan, scatter_gmm = _chart("scatter_dbscan"), _chart("scatter_gmm")
 variance_table, cluster_size_table = _chart("variance_table"), _chart("cluster_size_table")
+merge_tree, cluster_model_table = _chart("merge_tree"), _chart("cluster_model_table")

@@ -12,9 +12,12 @@ from plumbline.operators import bayes as B
 from plumbline.operators import metrics as M
 from plumbline.operators import neighbors as N
 from plumbline.operators import split as S
-from plumbline.operators.learners import context, families
+from plumbline.operators.learners import context, families, fold_contexts
 from plumbline.operators.search import cross_validate
-from plumbline.plans.supervised import prepare_rows, run_supervised
+from plumbline.operators.prepare import fit_preparation
+from plumbline.plans.supervised import SupervisedResult, prepare_rows, run_supervised
+from plumbline.session import scratch_folder
+from plumbline.sources.bundle import load_model_bundle, save_model_bundle
 
 REPORTS, SQL, report = make_registry()
 
@@ -32,6 +35,22 @@ def ols_one_feature(spark, sf_dir):
         r6(F.lit(slope), 4).alias("slope"), r6(F.lit(intercept), 3).alias("intercept"), r6("r2").alias("r2"))
 
 
+@report("""WITH c AS (SELECT var_samp(l_quantity) AS s11, var_samp(l_discount) AS s22, covar_samp(l_quantity, l_discount) AS s12,
+  covar_samp(l_quantity, l_extendedprice) AS s1, covar_samp(l_discount, l_extendedprice) AS s2, avg(l_quantity) AS m1,
+  avg(l_discount) AS m2, avg(l_extendedprice) AS my FROM lineitem),
+b AS (SELECT *, (s22 * s1 - s12 * s2) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2 - s12 * s1) / (s11 * s22 - s12 * s12) AS b2
+  FROM c)
+SELECT round(b1, 3) AS quantity, round(b2, 2) AS discount, round(my - b1 * m1 - b2 * m2, 2) AS intercept FROM b""")
+def ols_two_features(spark, sf_dir):
+    df = load(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", F.col("l_extendedprice").alias("label"))
+    rows = VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="features").transform(df)
+    family = next(f for f in families("regression") if f.name == "LinearRegression")
+    model = family.fit(rows, {"fit_intercept": True}, None).model
+    return spark.createDataFrame([(*[float(c) for c in model.coefficients], float(model.intercept))],
+                                 "quantity double, discount double, intercept double").select(
+        r6("quantity", 3).alias("quantity"), r6("discount", 2).alias("discount"), r6("intercept", 2).alias("intercept"))
+
+
 _DOC_X = ["n_chars", "n_lines", "n_words"]
 
 
@@ -215,16 +234,35 @@ def svm_rbf(spark, sf_dir):
     return _fit_one(spark, sf_dir, "SVM", {"C": 1, "kernel": "rbf", "gamma": "scale"})
 
 
-@report()
+_GRID_SQL = """WITH e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x, ntile(5) OVER (ORDER BY md5('42-' || vec_id)) - 1 AS fold
+  FROM embeddings),
+d AS (SELECT q.vec_id AS q, q.fold, q.label AS truth, t.vec_id AS t, t.label, list_distance(q.x, t.x) AS l2,
+        list_sum([abs(q.x[i] - t.x[i]) for i in range(1, 65)]) AS l1 FROM e q JOIN e t ON q.fold <> t.fold),
+u AS (SELECT q, fold, truth, t, label, 1 AS p, l1 AS d FROM d UNION ALL SELECT q, fold, truth, t, label, 2, l2 FROM d),
+n AS (SELECT *, row_number() OVER (PARTITION BY q, p ORDER BY d, t) AS rn FROM u),
+c AS (SELECT unnest([3, 5, 7, 10]) AS k),
+v AS (SELECT k, p, q, fold, truth, label, count(*) AS uniform, sum(1 / d) AS distance FROM n, c
+  WHERE rn <= k GROUP BY ALL),
+w AS (SELECT *, row_number() OVER (PARTITION BY k, p, q ORDER BY uniform DESC, label) AS ru,
+        row_number() OVER (PARTITION BY k, p, q ORDER BY distance DESC, label) AS rd FROM v),
+f AS (SELECT k, p, fold, 'uniform' AS weights, avg(CASE WHEN truth = label THEN 1.0 ELSE 0.0 END) AS a FROM w WHERE ru = 1
+      GROUP BY ALL
+      UNION ALL SELECT k, p, fold, 'distance', avg(CASE WHEN truth = label THEN 1.0 ELSE 0.0 END) FROM w WHERE rd = 1
+      GROUP BY ALL)
+SELECT k, p, weights, round(avg(a), 6) AS score FROM f GROUP BY ALL"""
+
+
+@report(_GRID_SQL)
 def cv_score(spark, sf_dir):
     """Mean validation accuracy of every neighbour candidate."""
-    columns = ["n_chars", "n_lines", "lang", "source"]
-    _, classes, train, _ = _rows_for(spark, _classified_docs(spark, sf_dir), "quality", columns, "classification")
+    df = emb_ds(spark, sf_dir).withColumn("label", F.col("label").cast("double"))
+    train = S.contiguous_folds(df.withColumn("order_key", S.order_key("row_id", 42))).persist()
     family = next(f for f in families("classification") if f.name == "KNeighborsClassifier")
-    ctx = context(train, len(columns), len(classes), 42)
-    scores = cross_validate(family, train, "classification", 5, [ctx] * 5)
+    contexts = fold_contexts(train, 5, EMB_DIMS, 10, 42)
+    scores = cross_validate(family, train, "classification", 5, contexts)
     return spark.createDataFrame([(p["n_neighbors"], p["p"], p["weights"], s) for p, s in scores],
-                                 "k int, p int, weights string, score double")
+                                 "k int, p int, weights string, score double").withColumn("score", r6("score"))
 
 
 @report()
@@ -249,6 +287,19 @@ def best_model(spark, sf_dir):
     return run.results.where(F.col("model") == run.best_name).select("model", F.col("r2_score").alias("score"))
 
 
+@report("""WITH s AS (SELECT regr_slope(p_retailprice, p_size) AS b, regr_intercept(p_retailprice, p_size) AS a FROM part)
+SELECT p_partkey AS row_id, round(a + b * p_size, 3) AS prediction FROM part, s""")
+def bundle_roundtrip(spark, sf_dir):
+    """Predictions for every part by a saved and reloaded least-squares model."""
+    df = part_ds(spark, sf_dir)
+    preparation = fit_preparation(df, ["p_size"])
+    train = preparation.transform(df, ["row_id", F.col("p_retailprice").alias("label")])
+    model = next(f for f in families("regression") if f.name == "LinearRegression").fit(train, {"fit_intercept": True}, None)
+    run = SupervisedResult(None, "LinearRegression", model, "regression", None, None, None, preparation)
+    path = save_model_bundle(spark, scratch_folder(spark, "bundle"), run, "p_retailprice")
+    return load_model_bundle(spark, path).score(df).select("row_id", r6("prediction", 3).alias("prediction"))
+
+
 @report()
 def supervised_run(spark, sf_dir):
     return run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", grid="small", cv=3).results

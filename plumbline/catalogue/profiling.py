@@ -8,6 +8,7 @@ from plumbline.catalogue.registry import make_registry
 from plumbline.catalogue.tables import DOCS_DS, ORDERS_DS, docs_ds, load, orders_ds, r6
 from plumbline.functions.medians import exact_medians
 from plumbline.operators import profile as P
+from plumbline.session import scratch_folder
 from plumbline.sources.text import NA_TOKENS, infer_types, normalise_missing, read_table, shape_report
 
 REPORTS, SQL, report = make_registry()
@@ -249,3 +250,10 @@ def type_infer(spark, sf_dir):
 @report("SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns FROM orders")
 def shape(spark, sf_dir):
     return shape_report(read_table(spark, f"{sf_dir}/orders.parquet"))
+
+
+@report("""SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer""")
+def csv_scan(spark, sf_dir):
+    path = scratch_folder(spark, "customer") + ".csv"
+    load(spark, sf_dir, "customer").write.option("header", True).csv(path)
+    return read_table(spark, path)

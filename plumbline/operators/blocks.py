@@ -53,8 +53,8 @@ def split_tree(df: DataFrame, rows: int, block_rows: int = BLOCK_ROWS, max_regio
     tree = SplitTree(np.zeros(max(n, 1), dtype=np.int64), np.zeros(max(n, 1)), depth)
     if depth == 0:
         return tree
-    share = min(1.0, 2 * BOUNDARY_SAMPLE_ROWS / rows)
-    sample = df.select("x").sample(share, seed=7).limit(BOUNDARY_SAMPLE_ROWS).toPandas()["x"]
+    share = min(1.0, BOUNDARY_SAMPLE_ROWS / rows)
+    sample = df.select("x").sample(share, seed=7).limit(2 * BOUNDARY_SAMPLE_ROWS).toPandas()["x"]
     parts = {0: matrix(sample)}
     for node in range(n):
         part = parts.pop(node)

@@ -75,11 +75,22 @@ class FitContext:
 
 
 def context(train: DataFrame, dims: int, classes: int, seed: int) -> FitContext:
+    """Context of a fit on all rows of ``train``."""
+    return fold_contexts(train.withColumn("fold", F.lit(0)), 0, dims, classes, seed)[-1]
+
+
+def fold_contexts(train: DataFrame, folds: int, dims: int, classes: int, seed: int) -> list[FitContext]:
+    """Contexts of the fits that leave out each fold, and last of the fit on all rows, from one scan."""
     total = F.aggregate("x", F.lit(0.0), lambda s, v: s + v)
     squares = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
-    r = train.agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("t"), F.sum(squares).alias("q")).first()
-    entries = r["n"] * dims
-    return FitContext(r["n"], dims, classes, r["q"] / entries - (r["t"] / entries) ** 2, seed)
+    parts = {r["fold"]: np.array([r["n"], r["t"], r["q"]]) for r in train.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(total).alias("t"), F.sum(squares).alias("q")).collect()}
+    every = sum(parts.values())
+    out = []
+    for n, t, q in [every - parts[f] for f in range(folds)] + [every]:
+        entries = n * dims
+        out.append(FitContext(int(n), dims, classes, q / entries - (t / entries) ** 2, seed))
+    return out
 
 
 @dataclass

@@ -189,7 +189,9 @@ def merge_tree(points: DataFrame, limit: int = 200) -> DataFrame:
 
     Leaves are numbered by row order; step s makes node ``leaves + s``.
     """
-    first = points.orderBy("row_id").limit(limit).select(F.lit(0).alias("g"), "row_id", "x")
+    # the ids alone decide which rows are first, so only those rows are read in full
+    ids = [r["row_id"] for r in points.select("row_id").orderBy("row_id").limit(limit).collect()]
+    first = points.where(F.col("row_id") <= max(ids, default=0)).select(F.lit(0).alias("g"), "row_id", "x")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row_id", ignore_index=True)

@@ -11,7 +11,7 @@ from plumbline.functions.columns import check_column_types, nan_to_null, with_ro
 from plumbline.limits import MAX_CLASSES
 from plumbline.operators import profile as P
 from plumbline.operators import search as S
-from plumbline.operators.learners import families
+from plumbline.operators.learners import context, families
 from plumbline.operators.prepare import Preparation, fit_preparation
 from plumbline.operators.split import contiguous_folds, holdout_split, stratified_folds
 from plumbline.sources.bundle import save_model_bundle
@@ -100,7 +100,7 @@ def run_supervised(spark: SparkSession, source: DataFrame | str, target: str, id
     rows = S.compare(found, test, task)
     best = found[S.choose(rows, task)]
     everything = train.drop("fold").unionByName(test)
-    model = best.family.fit(everything, best.params, S.context(everything, dims, len(classes), random_state))
+    model = best.family.fit(everything, best.params, context(everything, dims, len(classes), random_state))
     result = SupervisedResult(
         S.comparison_table(spark, rows, task), best.family.name, model, task, filtered.report(spark),
         preparation.report(spark), profile, preparation, classes, present, filtered.rows - present)
