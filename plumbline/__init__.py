@@ -1 +1,8 @@
 """Automated tabular analytics on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# task functions travel with the job, so executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -30,3 +30,9 @@ LABEL_COLUMNS_PER_PASS = 512
 
 # Rows of one key prefix that are ranked by a window when a split looks for its cut key.
 CELL_ROWS = 200_000
+
+# Rows sampled to start k-means runs.
+SEED_SAMPLE_ROWS = 5_000
+
+# Rows below which an iterative fit does not profit from another task.
+ROWS_PER_TASK = 20_000

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.limits import BOUNDARY_SAMPLE_ROWS
+from plumbline.limits import ROWS_PER_TASK, SEED_SAMPLE_ROWS
 from plumbline.operators.blocks import matrix
 
 
@@ -43,17 +43,52 @@ def seed_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(centers)
 
 
+def refine_start(sample: np.ndarray, centers: np.ndarray, max_iter: int = 100) -> np.ndarray:
+    """Move starting centres to where they settle on the sample."""
+    norms = (sample * sample).sum(axis=1)
+    for _ in range(max_iter):
+        label, _ = _assign(sample, norms, centers)
+        n = np.bincount(label, minlength=len(centers)).astype(float)
+        hot = np.zeros((len(sample), len(centers)))
+        hot[np.arange(len(sample)), label] = 1.0
+        new = np.where(n[:, None] > 0, hot.T @ sample / np.maximum(n, 1)[:, None], centers)
+        if np.array_equal(new, centers):
+            break
+        centers = new
+    return centers
+
+
+def starting_runs(points: DataFrame, sample: np.ndarray, ks: list[int], seeds: list[int]) -> list[KMeansRun]:
+    """One run per k and seed, started on the bounded sample; the runs are spread over tasks.
+
+    Settling the starts on a sample first (Bradley and Fayyad, 1998) leaves few
+    iterations that need all rows.
+    """
+    def start(batches):
+        for pdf in batches:
+            found = [refine_start(sample, seed_centers(sample, k, s)).ravel().tolist()
+                     for k, s in zip(pdf["k"], pdf["seed"], strict=True)]
+            yield pdf.assign(c=found)
+
+    spark = points.sparkSession
+    pairs = spark.createDataFrame([(k, s) for k in ks for s in seeds], "k int, seed int")
+    spread = pairs.repartition(min(len(ks) * len(seeds), spark.sparkContext.defaultParallelism))
+    rows = spread.mapInPandas(start, "k int, seed int, c array<double>").collect()
+    return [KMeansRun(r["k"], r["seed"], np.array(r["c"]).reshape(r["k"], -1)) for r in sorted(rows)]
+
+
 def fit_kmeans(points: DataFrame, ks: list[int], rows: int, seed: int = 42, restarts: int = 10, max_iter: int = 300,
                tol: float = 1e-4) -> dict[int, KMeansRun]:
     """Best run per k by inertia over ``restarts`` seeded starts of ``points(row_id, x)``.
 
-    Starts are drawn from about twenty thousand rows, chosen by a hash of the id;
-    every iteration and every inertia uses all rows. Cache ``points`` first.
+    Starts come from a bounded number of rows, chosen by a hash of the id; every
+    iteration and every inertia uses all rows. Cache ``points`` first.
     """
-    one_in = -(-rows // BOUNDARY_SAMPLE_ROWS)
+    one_in = -(-rows // SEED_SAMPLE_ROWS)
     chosen = points.where(F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(one_in)) == 0)
     sample = matrix(chosen.select("row_id", "x").toPandas().sort_values("row_id")["x"])
-    runs = [KMeansRun(k, seed + r, seed_centers(sample, k, seed + r)) for k in ks for r in range(restarts)]
+    points = points.select("x").coalesce(max(1, rows // ROWS_PER_TASK))
+    runs = starting_runs(points, sample, ks, [seed + r for r in range(restarts)])
     stop = tol * float(sample.var(axis=0).mean())
     moving = list(range(len(runs)))
     for _ in range(max_iter):

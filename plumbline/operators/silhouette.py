@@ -71,13 +71,12 @@ def _pass(unique: DataFrame, labelings: list[str], sizes: dict, columns: list, b
     place = {n: {c: i for i, (m, c) in enumerate(columns) if m == n} for n in labelings}
     width = len(columns)
 
-    def sums(x, others, weights, labels, distances):
+    def sums(others, weights, labels, distances):
         hot = np.zeros((len(others), width))
         for n in labelings:
-            for i, c in enumerate(labels[n].to_numpy()):
-                j = place[n].get(c)
-                if j is not None:
-                    hot[i, j] += weights[i]
+            column = labels[n].map(place[n]).to_numpy(dtype=float)
+            here = np.flatnonzero(~np.isnan(column))
+            hot[here, column[here].astype(int)] = weights[here]
         return distances @ hot
 
     def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -89,9 +88,9 @@ def _pass(unique: DataFrame, labelings: list[str], sizes: dict, columns: list, b
         same = left["lb"].iat[0] == left["rb"].iat[0]
         if same:
             d[left["row_id"].to_numpy()[:, None] == right["row_id"].to_numpy()[None, :]] = 0.0
-        found = [(left["row_id"], sums(a, b, right["w"].to_numpy(), right, d))]
+        found = [(left["row_id"], sums(b, right["w"].to_numpy(), right, d))]
         if not same:
-            found.append((right["row_id"], sums(b, a, left["w"].to_numpy(), left, d.T)))
+            found.append((right["row_id"], sums(a, left["w"].to_numpy(), left, d.T)))
         return pd.concat([pd.DataFrame({"row_id": ids.to_numpy(), "sums": list(s)}) for ids, s in found])
 
     block = F.pmod(F.xxhash64("row_id"), F.lit(blocks)).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import check_column_types, nan_to_null, with_row_id
-from plumbline.limits import MAX_CLASSES
+from plumbline.limits import MAX_CLASSES, ROWS_PER_TASK
 from plumbline.operators import profile as P
 from plumbline.operators import search as S
 from plumbline.operators.learners import context, families
@@ -60,7 +60,9 @@ def prepare_rows(df: DataFrame, target: str, columns: list[str], task: str, rows
         preparation = fit_preparation(df, columns, rows, medians)
     else:
         preparation = fit_preparation(split.where("NOT is_test"), columns)
-    ready = preparation.transform(split, ["row_id", "label", "order_key", "is_test"]).persist()
+    ready = preparation.transform(split, ["row_id", "label", "order_key", "is_test"])
+    # iterative fits run one job per step, so a small table should not be many tasks
+    ready = ready.coalesce(max(1, rows // ROWS_PER_TASK)).persist()
     train, test = ready.where("NOT is_test"), ready.where("is_test")
     if task == "classification":
         train = stratified_folds(train, "label", folds)
