@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.limits import BLOCK_ROWS, BOUNDARY_SAMPLE_ROWS, MAX_REGIONS
@@ -104,9 +104,20 @@ class Side:
         return self.df.withColumn("block", offsets[F.col("region")] + salt)
 
 
-def measure_side(df: DataFrame, tree: SplitTree, dims: int, block_rows: int = BLOCK_ROWS) -> Side:
-    """Count rows and bound values per region: one map-side combined aggregation."""
+def block_size(rows: int, spark: SparkSession) -> int:
+    """Rows per block: small enough to keep all cores busy, bounded by what a task may hold."""
+    return max(1024, min(BLOCK_ROWS, rows // spark.sparkContext.defaultParallelism))
+
+
+def measure_side(df: DataFrame, tree: SplitTree, dims: int, block_rows: int = BLOCK_ROWS,
+                 at_most: int | None = None) -> Side:
+    """Count rows and bound values per region: one map-side combined aggregation.
+
+    Rows already known to be ``at_most`` one block in an undivided space need no look.
+    """
     r = tree.regions
+    if r == 1 and at_most is not None and at_most <= block_rows:
+        return Side(df, np.array([at_most]), np.zeros((1, dims)), np.zeros((1, dims)), block_rows)
     counts, lo, hi = np.zeros(r, dtype=np.int64), np.full((r, dims), np.inf), np.full((r, dims), -np.inf)
     x = F.col("x")
     edges = [] if r == 1 else [f(x[i]).alias(f"{n}{i}") for i in range(dims) for n, f in (("l", F.min), ("h", F.max))]

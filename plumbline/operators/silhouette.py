@@ -15,11 +15,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.limits import BLOCK_ROWS, LABEL_COLUMNS_PER_PASS
-from plumbline.operators.blocks import cogroup_blocks, matrix
+from plumbline.limits import LABEL_COLUMNS_PER_PASS
+from plumbline.operators.blocks import block_size, cogroup_blocks, matrix
 
 
-def silhouettes(points: DataFrame, labelings: list[str], block_rows: int = BLOCK_ROWS,
+def silhouettes(points: DataFrame, labelings: list[str], block_rows: int | None = None,
                 columns_per_pass: int = LABEL_COLUMNS_PER_PASS) -> dict[str, float | None]:
     """Score per labeling column of ``points(row_id, x, <labelings>)``.
 
@@ -34,7 +34,8 @@ def silhouettes(points: DataFrame, labelings: list[str], block_rows: int = BLOCK
     columns = [(n, c) for n in scored for c in sorted(sizes[n])]
     unique = (points.where(F.coalesce(*[F.col(n).cast("bigint") for n in scored]).isNotNull())
               .groupBy("x", *scored).agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("w"))).persist()
-    blocks = -(-unique.count() // block_rows)
+    rows = unique.count()
+    blocks = -(-rows // (block_rows or block_size(rows, points.sparkSession)))
     passes = [columns[i:i + columns_per_pass] for i in range(0, len(columns), columns_per_pass)]
     parts = [_pass(unique, scored, sizes, cols, blocks) for cols in passes]
     merged = parts[0]

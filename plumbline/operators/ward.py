@@ -70,7 +70,7 @@ def merge_rounds(clusters: DataFrame, n: int, dims: int | None, finish_rows: int
 def nearest_cluster(clusters: DataFrame, n: int, dims: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(cid, dist, lo, hi)``: each cluster with its nearest; ties go to the lowest id pair."""
     tree = split_tree(clusters, n, block_rows)
-    side = measure_side(with_region(clusters, tree), tree, dims, block_rows)
+    side = measure_side(with_region(clusters, tree), tree, dims, block_rows, at_most=n)
     allowed = np.ones((tree.regions, tree.regions), dtype=bool)
     if tree.depth:
         sizes = side.df.groupBy("region").agg(F.min("size").alias("s"), F.max("size").alias("t")).collect()

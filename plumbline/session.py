@@ -48,9 +48,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written copy."""
+    """Write ``df`` to the checkpoint folder and continue from the written copy.
+
+    A checkpoint runs the last stage twice, to count and to write, unless it is cached.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist()
+    written = held.checkpoint(eager=True)
+    held.unpersist()
+    return written
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
