@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from plumbline.operators.blocks import block_size, box_bounds, matrix, measure_side, pair_blocks, split_tree, with_region
+from plumbline.limits import BLOCK_ROWS
+from plumbline.operators.blocks import box_bounds, matrix, measure_side, pair_blocks, split_tree, with_region
 
 NEIGHBOUR_SCHEMA = "qid bigint, p int, dist double, tid bigint, target double"
 
 
 def neighbours(queries: DataFrame, train: DataFrame, k: int, powers: tuple[int, ...] = (2,), dims: int | None = None,
-               folds: bool = False, block_rows: int | None = None) -> DataFrame:
+               folds: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(row_id, p, rn, dist, tid, target)``: the k nearest training rows of every query.
 
     ``queries`` has ``row_id, x`` and ``train`` has ``row_id, x, target``. With
@@ -29,12 +30,11 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, powers: tuple[int,
     fold = ["fold"] if folds else []
     if dims is None:
         dims = len(train.select("x").first()["x"])
-    asked = queries.groupBy("x", *fold).agg(F.min("row_id").alias("qid"))
+    asked = queries.groupBy("x", *fold).agg(F.min("row_id").alias("qid")).persist()
     copies = W.partitionBy("x", *fold).orderBy("row_id")
     kept = (train.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k)
             .select(F.col("row_id").alias("tid"), "x", F.col("target").cast("double").alias("target"), *fold)).persist()
     rows = kept.count()
-    block_rows = block_rows or block_size(rows, train.sparkSession)
     tree = split_tree(kept, rows, block_rows)
     left = measure_side(with_region(asked, tree), tree, dims, block_rows)
     right = measure_side(with_region(kept, tree), tree, dims, block_rows, at_most=rows)

@@ -99,7 +99,7 @@ def run_supervised(spark: SparkSession, source: DataFrame | str, target: str, id
         known, target, filtered.kept, task, present, medians, test_size, cv, random_state, fit_on)
     dims = len(preparation.features)
     found = S.search_all(families(task, grid), train, task, cv, dims, len(classes), random_state, parallelism)
-    rows = S.compare(found, test, task)
+    rows = S.compare(found, test, task, parallelism)
     best = found[S.choose(rows, task)]
     everything = train.drop("fold").unionByName(test)
     model = best.family.fit(everything, best.params, context(everything, dims, len(classes), random_state))

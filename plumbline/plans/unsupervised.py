@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,7 +114,8 @@ def sampled_scatter(scatter: DataFrame, one_in: int) -> DataFrame:
 def run_unsupervised(spark: SparkSession, source: DataFrame | str, id_col: str | None = None, max_k: int = 10,
                      dbscan_eps: float = 0.5, dbscan_min_samples: int = 5, min_support: float = 0.2,
                      min_confidence: float = 0.5, random_state: int = 42, restarts: int = 10,
-                     metric: str = "euclidean", save_to: str | None = None) -> UnsupervisedResult:
+                     metric: str = "euclidean", parallelism: int = 4,
+                     save_to: str | None = None) -> UnsupervisedResult:
     """Cluster a table four ways and rank the clusterings by silhouette.
 
     ``metric`` is the distance of the silhouette: ``euclidean`` compares all rows,
@@ -133,25 +135,31 @@ def run_unsupervised(spark: SparkSession, source: DataFrame | str, id_col: str |
 
     runs, labelled, by_k = sweep(points, max_k, rows, random_state, restarts, metric)
     k = K.best_k(by_k)
-    mixture = R.fit_mixture(points, k, random_state)
-    wide = (points.select("row_id", "x")
-            .join(labelled.select("row_id", F.col(f"km_{k}").alias("KMeans")), "row_id")
-            .join(ward.ward_labels(points.select("row_id", "x"), k, dims).withColumnRenamed("cluster", "Hierarchical"), "row_id")
-            .join(D.dbscan(points.select("row_id", "x"), dbscan_eps, dbscan_min_samples, dims)
-                  .withColumnRenamed("cluster", "DBSCAN"), "row_id")
-            .join(R.mixture_labels(points, mixture).withColumnRenamed("cluster", "GMM"), "row_id"))
+    plain = points.select("row_id", "x")
+    # these need only the prepared rows and k, so they share the cluster
+    with ThreadPoolExecutor(parallelism) as pool:
+        tree = pool.submit(ward.ward_labels, plain, k, dims)
+        dense = pool.submit(D.dbscan, plain, dbscan_eps, dbscan_min_samples, dims)
+        blend = pool.submit(R.fit_mixture, points, k, random_state)
+        mined = pool.submit(mine, kept, unscaled, preparation.names, min_support, min_confidence, rows)
+        axes = pool.submit(R.fit_pca, points, dims, rows)
+        linkage = pool.submit(ward.merge_tree, points)
+        mixture, pca, (itemsets, rules) = blend.result(), axes.result(), mined.result()
+        wide = (labelled.select("row_id", "x", F.col(f"km_{k}").alias("KMeans"))
+                .join(tree.result().withColumnRenamed("cluster", "Hierarchical"), "row_id")
+                .join(dense.result().withColumnRenamed("cluster", "DBSCAN"), "row_id")
+                .join(R.mixture_labels(points, mixture).withColumnRenamed("cluster", "GMM"), "row_id"))
+        merges = linkage.result()
     wide = cut_lineage(wide)
     live = wide.withColumn("DBSCAN", F.when(F.col("DBSCAN") >= 0, F.col("DBSCAN")))
     found = score_labelings(live, ALGORITHMS[1:], metric)
     scores = {"KMeans": by_k[k], "Hierarchical": found["Hierarchical"],
               "DBSCAN": -1.0 if found["DBSCAN"] is None else found["DBSCAN"], "GMM": found["GMM"]}
-    pca = R.fit_pca(points, dims, rows)
-    itemsets, rules = mine(kept, unscaled, preparation.names, min_support, min_confidence, rows)
     result = UnsupervisedResult(
         choose_clustering(scores), k, scores, metric, long_labels(wide),
         spark.createDataFrame([(i, r.inertia, by_k[i]) for i, r in sorted(runs.items())],
                               "k int, inertia double, silhouette double"),
-        runs[k], mixture, pca, R.plane(points, pca), ward.merge_tree(points), itemsets, rules,
+        runs[k], mixture, pca, R.plane(points, pca), merges, itemsets, rules,
         filtered.report(spark), preparation)
     result.tables = report_tables(spark, result)
     if save_to:
