@@ -10,6 +10,7 @@ from plumbline.catalogue.tables import (EMB_DIMS, USERS_DS, USERS_FEATURES, emb_
 from plumbline.operators import dbscan as D
 from plumbline.operators import kmeans as K
 from plumbline.operators import metrics as M
+from plumbline.operators import mixture as G
 from plumbline.operators import reduce as R
 from plumbline.operators import ward
 from plumbline.operators.prepare import fit_preparation
@@ -118,7 +119,9 @@ def kmeans_labels(spark, sf_dir):
 @report()
 def gmm_labels(spark, sf_dir):
     points = _users(spark, sf_dir)
-    return R.mixture_labels(points, R.fit_mixture(points, 3))
+    rows = points.count()
+    start = K.fit_kmeans(points, [3], rows)[3]
+    return G.mixture_labels(points, G.fit_mixture(points, start.centers, rows))
 
 
 def _emb_features(spark, sf_dir):

@@ -1,11 +1,10 @@
-"""Principal components and Gaussian mixtures on the assembled features."""
+"""Principal components of the assembled features."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -65,13 +64,3 @@ def plane(points: DataFrame, model: Components) -> DataFrame:
         return F.aggregate(F.zip_with("x", loading, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
 
     return points.select("row_id", score(0).alias("pc1"), score(1).alias("pc2"))
-
-
-def fit_mixture(features: DataFrame, k: int, seed: int = 42, max_iter: int = 100, tol: float = 1e-3):
-    """Full-covariance Gaussian mixture of the ``features`` column."""
-    return GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=tol).fit(features.select("features"))
-
-
-def mixture_labels(features: DataFrame, model) -> DataFrame:
-    return model.transform(features.select("row_id", "features")).select(
-        "row_id", F.col("prediction").cast("bigint").alias("cluster"))

@@ -12,6 +12,7 @@ from plumbline.functions.columns import check_column_types, nan_to_null, text_co
 from plumbline.operators import dbscan as D
 from plumbline.operators import kmeans as K
 from plumbline.operators import metrics as M
+from plumbline.operators import mixture as G
 from plumbline.operators import profile as P
 from plumbline.operators import reduce as R
 from plumbline.operators import rules as A
@@ -34,7 +35,7 @@ class UnsupervisedResult:
     labels: DataFrame
     k_sweep: DataFrame
     kmeans: K.KMeansRun
-    mixture: object
+    mixture: G.MixtureModel
     pca: R.Components
     plane: DataFrame
     merge_tree: DataFrame
@@ -140,7 +141,7 @@ def run_unsupervised(spark: SparkSession, source: DataFrame | str, id_col: str |
     with ThreadPoolExecutor(parallelism) as pool:
         tree = pool.submit(ward.ward_labels, plain, k, dims)
         dense = pool.submit(D.dbscan, plain, dbscan_eps, dbscan_min_samples, dims)
-        blend = pool.submit(R.fit_mixture, points, k, random_state)
+        blend = pool.submit(G.fit_mixture, points, runs[k].centers, rows)
         mined = pool.submit(mine, kept, unscaled, preparation.names, min_support, min_confidence, rows)
         axes = pool.submit(R.fit_pca, points, dims, rows)
         linkage = pool.submit(ward.merge_tree, points)
@@ -148,7 +149,7 @@ def run_unsupervised(spark: SparkSession, source: DataFrame | str, id_col: str |
         wide = (labelled.select("row_id", "x", F.col(f"km_{k}").alias("KMeans"))
                 .join(tree.result().withColumnRenamed("cluster", "Hierarchical"), "row_id")
                 .join(dense.result().withColumnRenamed("cluster", "DBSCAN"), "row_id")
-                .join(R.mixture_labels(points, mixture).withColumnRenamed("cluster", "GMM"), "row_id"))
+                .join(G.mixture_labels(points, mixture).withColumnRenamed("cluster", "GMM"), "row_id"))
         merges = linkage.result()
     wide = cut_lineage(wide)
     live = wide.withColumn("DBSCAN", F.when(F.col("DBSCAN") >= 0, F.col("DBSCAN")))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.learners import MODEL_KINDS
+from plumbline.operators.mixture import MixtureModel
 from plumbline.operators.prepare import FeatureRecipe, Preparation
 
 
@@ -77,7 +78,7 @@ def save_cluster_bundle(spark: SparkSession, folder: str, result) -> str:
     result.merge_tree.write.mode("overwrite").parquet(f"{path}/merge_tree")
     result.itemsets.write.mode("overwrite").parquet(f"{path}/itemsets")
     result.rules.write.mode("overwrite").parquet(f"{path}/rules")
-    result.mixture.write().overwrite().save(f"{path}/mixture")
+    result.mixture.table(spark).write.mode("overwrite").parquet(f"{path}/mixture")
     _write_facts(spark, path, {"best_k": result.best_k, "best_model": result.best_model,
                                "scores": result.scores, "preparation": _write_preparation(path, result.preparation)})
     return path
@@ -85,8 +86,7 @@ def save_cluster_bundle(spark: SparkSession, folder: str, result) -> str:
 
 def load_cluster_bundle(spark: SparkSession, path: str) -> dict:
     """Facts, preparation and tables of a saved unsupervised run."""
-    from pyspark.ml.clustering import GaussianMixtureModel
     facts = _read_facts(spark, path)
     tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("labels", "kmeans", "pca", "merge_tree", "itemsets", "rules")}
     return {**facts, **tables, "preparation": _read_preparation(spark, path, facts["preparation"]),
-            "mixture": GaussianMixtureModel.load(f"{path}/mixture")}
+            "mixture": MixtureModel.from_table(spark.read.parquet(f"{path}/mixture"))}

@@ -4,6 +4,7 @@ from pyspark.ml.functions import array_to_vector
 
 from plumbline.operators import dbscan as D
 from plumbline.operators import kmeans as K
+from plumbline.operators import mixture as G
 from plumbline.operators import reduce as R
 from plumbline.operators import ward
 from plumbline.operators.components import connected_components
@@ -157,3 +158,19 @@ def test_components_match_numpy(spark, make_points):
 def test_cluster_sizes(spark):
     labels = spark.createDataFrame([(1, "a", 0), (2, "a", 0), (3, "a", -1)], "row_id bigint, algo string, cluster bigint")
     assert {(r["cluster"], r["n"]) for r in cluster_sizes(labels).collect()} == {(0, 2), (-1, 1)}
+
+
+def test_mixture_finds_the_blobs(spark, make_points):
+    rng = np.random.default_rng(2)
+    truth = np.arange(240) % 2
+    x = rng.normal(size=(240, 2)) @ np.diag([0.3, 1.0]) + np.outer(truth, [4.0, 1.0])
+    points = make_points(x).persist()
+    model = G.fit_mixture(points, x[:2], 240)
+    label = np.array(labels_of(G.mixture_labels(points, model), 240))
+    assert (label == truth).all() or (label == 1 - truth).all()
+    c = label[0]
+    assert model.weights.sum() == pytest.approx(1.0)
+    assert model.means[c] == pytest.approx(x[truth == 0].mean(axis=0), abs=1e-3)
+    assert np.allclose(model.covariances[c], np.cov(x[truth == 0].T, ddof=0) + 1e-6 * np.eye(2), atol=1e-2)
+    again = G.MixtureModel.from_table(model.table(spark))
+    assert np.allclose(again.covariances, model.covariances)
