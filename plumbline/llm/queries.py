@@ -2,12 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import bpe, simhash
+from plumbline.llm import bpe, decontamination, html_text, language, resampling, sharding, simhash, surrogates, topk, toxicity
 from plumbline.llm.common import read_table
 
+#: The key of surrogates; a real corpus sets its own, and keeps it from readers.
+SURROGATE_KEY = os.environ.get("PLUMBLINE_SURROGATE_KEY", "a key for tests only").encode()
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def _remainder(column: Column, divisor: int) -> Column:
+    return F.crc32(column.cast("string").cast("binary")) % divisor
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                             held_out=lambda doc_id: _remainder(doc_id, 4) == 2)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"), held_out=_remainder(F.col("doc_id"), 3) == 1)
+
+
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_personal_data(docs, SURROGATE_KEY)
+
+
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(read_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op8_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=24)
+
 
 def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -15,12 +61,50 @@ def op9_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    return bpe.encode_documents(read_table(spark, sf_dir, "documents"),
-                                public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+    return bpe.encode_documents(read_table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN,
                                 carry=["doc_id"], with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op9_simhash_near_duplicates, op10_byte_bpe)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_benchmark_decontamination, op2_toxicity, op3_language_id, op4_pii_surrogates, op5_importance_resampling,
+    op6_html_main_text, op7_exact_top_k, op8_minimax_shards, op9_simhash_near_duplicates, op10_byte_bpe)}
+
+SQL = {
+    "op1_benchmark_decontamination": r"""
+WITH item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size, w[i:i + 9] AS words
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+doc_words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM documents),
+spots AS (
+  SELECT doc_id, size, i, w[i:i + size - 1] AS words
+  FROM (SELECT doc_id, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i FROM doc_words, sizes WHERE len(w) >= size)),
+found AS (SELECT doc_id, s.size, i, item FROM spots s JOIN windows v ON s.size = v.size AND s.words = v.words),
+hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(i, i + size - 1)) AS p FROM (SELECT DISTINCT doc_id, size, i FROM found)) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS named
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(named, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_exact_top_k": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5""",
+}
