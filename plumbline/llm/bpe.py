@@ -10,7 +10,9 @@ prefix before it; compatibility of two tokens is decided by undoing their merges
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -21,7 +23,9 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import bounded_batches, string
 
 #: Pieces whose ids a Python worker remembers; beyond that it starts anew.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 800_000
+#: Texts of a batch; the more are encoded at once, the more the new pieces share.
+BATCH_TEXTS = 1024
 NEVER = 1 << 40
 
 
@@ -38,7 +42,7 @@ class Vocabulary:
         self.halves: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
         self.inner: dict[bytes, int] = {}
-        self.lengths: dict[bytes, list[int]] = {}
+        self.long: dict[bytes, set[int]] = {}  # last three bytes -> lengths of the tokens that end with them
         for token, rank in sorted(ranks.items(), key=lambda item: (len(item[0]), item[1])):
             if len(token) > 1:
                 halves = self._last_merge(token)
@@ -47,8 +51,9 @@ class Vocabulary:
                 self.halves[rank] = halves
                 self.merged[halves] = rank
             self.inner[token] = rank
-            self.lengths.setdefault(token[-2:], []).append(len(token))
-        self.lengths = {end: sorted(set(sizes), reverse=True) for end, sizes in self.lengths.items()}
+            if len(token) > 2:
+                self.long.setdefault(token[-3:], set()).add(len(token))
+        self.long = {end: tuple(sorted(sizes, reverse=True)) for end, sizes in self.long.items()}
 
     @classmethod
     def from_parts(cls, parts: dict) -> Vocabulary:
@@ -116,17 +121,30 @@ class PrefixEncoder:
         ``stop(last)`` may end the work early.
         """
         last = [] if last is None else last
-        inner, lengths, fits = self.vocabulary.inner, self.vocabulary.lengths, self.compatible
+        inner, long, fits, known = self.vocabulary.inner.get, self.vocabulary.long.get, self.compatible, self._fits.get
         for end in range(len(last) + 1, len(piece) + 1):
-            for size in chain(lengths.get(piece[end - 2:end], ()) if end > 1 else (), (1,)):
+            token = None
+            for size in long(piece[end - 3:end], ()) if end > 2 else ():
                 if size > end:
                     continue
-                token = inner.get(piece[end - size:end])
-                if token is not None and (size == end or fits(last[end - size - 1], token)):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a byte")
+                token = inner(piece[end - size:end])
+                if token is not None:
+                    if size == end:
+                        break
+                    before = last[end - size - 1]
+                    fit = known((before, token))
+                    if fits(before, token) if fit is None else fit:
+                        break
+                    token = None
+            if token is None and end > 1:
+                token = inner(piece[end - 2:end])
+                if token is not None and end > 2 and not fits(last[end - 3], token):
+                    token = None
+            if token is None:
+                token = inner(piece[end - 1:end])
+                if token is None:
+                    raise ValueError("the vocabulary lacks a byte")
+            last.append(token)
             if stop is not None and stop(last):
                 break
         return last
@@ -139,8 +157,22 @@ class PrefixEncoder:
         return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
-        whole = self.vocabulary.ranks.get(piece)
-        return [whole] if whole is not None else self.tokens_of(piece, self.last_tokens(piece))
+        return next(self.encode_sorted([piece]))
+
+    def encode_sorted(self, pieces: list[bytes]) -> Iterator[list[int]]:
+        """Encodings of sorted pieces; what a piece shares with the one before it is not computed again."""
+        before, last = b"", []
+        for piece in pieces:
+            whole = self.vocabulary.ranks.get(piece)
+            if whole is not None:
+                yield [whole]
+                continue
+            common, most = 0, min(len(before), len(piece))
+            while common < most and before[common] == piece[common]:
+                common += 1
+            del last[common:]
+            before = piece
+            yield self.tokens_of(piece, self.last_tokens(piece, last))
 
 
 class PrefixTable:
@@ -173,25 +205,49 @@ class PrefixTable:
         return self.encoder.tokens_of(self.piece, self.last)
 
 
+#: Letters of the fast path; beyond ASCII all of À to ɏ but the signs of multiplication and division.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+
+
+def _latin_pattern(pattern: str) -> str:
+    """The pattern for texts of ASCII and Latin letters, with plain classes for the Unicode ones."""
+    plain = pattern.replace(r"[^\s\p{L}\p{N}]", rf"[^\t-\r 0-9{_LATIN}]")
+    plain = plain.replace(r"\p{L}", f"[{_LATIN}]").replace(r"\p{N}", "[0-9]")
+    return plain.replace(r"\s", r"[\t-\r ]").replace(r"\S", r"[^\t-\r ]")
+
+
 class TextEncoder:
     """Splits texts by the pattern and encodes each match separately, remembering matches."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         import regex
 
-        self.encoder, self.find = PrefixEncoder(vocabulary), regex.compile(pattern).findall
+        self.encoder, self._find = PrefixEncoder(vocabulary), regex.compile(pattern).findall
+        self._find_latin = re.compile(_latin_pattern(pattern)).findall
+        self._is_latin = re.compile(rf"[\x00-\x1b -\x7f{_LATIN}]*").fullmatch
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def find(self, text: str) -> list[str]:
+        return self._find_latin(text) if self._is_latin(text) else self._find(text)
+
+    def ids_of(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; what is new in all of them is encoded at once."""
+        known = self.known
+        if len(known) > CACHE_PIECES:
+            known.clear()
+        split = list(map(self.find, texts))
+        found = [list(map(known.get, pieces)) for pieces in split]
+        gaps = [None in got for got in found]
+        new = {p for pieces, got, gap in zip(split, found, gaps, strict=True) if gap
+               for p, ids in zip(pieces, got, strict=True) if ids is None}
+        order = sorted((piece.encode("utf-8"), piece) for piece in new)
+        for (_, piece), ids in zip(order, self.encoder.encode_sorted([p for p, _ in order]), strict=True):
+            known[piece] = tuple(ids)
+        for pieces, got, gap in zip(split, found, gaps, strict=True):
+            yield list(chain.from_iterable(map(known.__getitem__, pieces) if gap else got))
+
     def ids(self, text: str) -> list[int]:
-        known, pieces = self.known, self.find(text)
-        try:
-            return list(chain.from_iterable(map(known.__getitem__, pieces)))
-        except KeyError:
-            if len(known) > CACHE_PIECES:
-                known.clear()
-            for piece in set(pieces).difference(known):
-                known[piece] = tuple(self.encoder.encode(piece.encode("utf-8")))
-            return list(chain.from_iterable(map(known.__getitem__, pieces)))
+        return next(self.ids_of([text]))
 
 
 def decode(ids: list[int], bytes_of: dict[int, bytes]) -> bytes:
@@ -207,7 +263,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, carry:
     vocabulary is broadcast: its size is that of the rank file, whatever the corpus.
     """
     spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(spark, BATCH_TEXTS)
     shared = spark.sparkContext.broadcast(vars(load_vocabulary(vocabulary_path)))
     n = len(carry)
     plan = docs.select(*[F.col(f"`{c}`") for c in carry], string(text).alias("__text"))
@@ -218,10 +274,10 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, carry:
         vocabulary = Vocabulary.from_parts(shared.value)
         encoder, bytes_of = TextEncoder(vocabulary, pattern), vocabulary.bytes_of
         decimal = {rank: str(rank) for rank in bytes_of}
+        gc.disable()  # millions of small tuples without cycles
         for batch in batches:
             counts, digests, decoded, lists = [], [], [], []
-            for content in batch.column(n).to_pylist():
-                ids = encoder.ids(content)
+            for ids in encoder.ids_of(batch.column(n).to_pylist()):
                 counts.append(len(ids))
                 digests.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(decode(ids, bytes_of)).hexdigest())
@@ -234,5 +290,6 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, carry:
                 columns.append(pa.array(lists, pa.list_(pa.int32())))
                 names.append("token_ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        gc.enable()
 
     return plan.mapInArrow(run, schema)
