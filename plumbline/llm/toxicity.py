@@ -17,6 +17,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,7 +31,13 @@ FIT_ROWS = 20_000
 #: Letters of a learned beginning of a word.
 STEMS = range(4, 8)
 #: Texts that must hold a word or beginning before it can be learned, and the least share of toxic ones that is credible.
-LEAST_TEXTS, LEAST_SHARE = 4, 0.5
+LEAST_TEXTS, LEAST_SHARE = 8, 0.5
+#: Different words that a beginning must have been seen in.
+LEAST_TYPES = 4
+#: One in so many labelled rows calibrates and does not feed the lexicon.
+CALIBRATION_SHARE = 4
+#: Texts that the belief from its beginning counts beside a word's own.
+STEM_TEXTS = 1.5
 #: Words a scope lasts after a negation, a target or an intent.
 SCOPE = 4
 #: Words a worker remembers or counts before it starts anew.
@@ -56,7 +64,9 @@ CONTEXTS = ("plain", "aimed", "negated", "reported")
 #: Belief before any label is seen that a clause of this context is toxic, in texts counted.
 PRIOR = {"plain": 0.9, "aimed": 0.95, "negated": 0.25, "reported": 0.35}
 PRIOR_TEXTS = 8.0
-SEED_WEIGHT, THREAT_WEIGHT, LONE_THREAT = 0.9, 0.9, 0.05
+#: Texts that a clause's own weight counts beside the texts of its cell.
+CELL_TEXTS = 3.0
+SEED_WEIGHT, THREAT_WEIGHT, LONE_THREAT = 0.96, 0.96, 0.05
 
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]+")
 
@@ -125,11 +135,11 @@ class _Symbols(dict):
         if not word[0].isalpha() and word[0] in ".!?;:\n":
             found = (END, 0.0)
         else:
-            best = max((self.stems.get(word[:k], 0.0) for k in STEMS if k <= len(word)), default=0.0)
             found = self.words.get(word)
-            if found is None or found[0] == INSULT:
-                best = max(best, found[1] if found else 0.0)
-                found = (INSULT, best) if best > 0 else None
+            if found is None:
+                found = (INSULT, max((self.stems.get(word[:k], 0.0) for k in STEMS if k <= len(word)), default=0.0))
+            if found == (INSULT, 0.0):
+                found = None
         self[word] = found
         return found
 
@@ -152,11 +162,23 @@ class Reader:
         return self.grammar.clauses(symbols)
 
 
+def cell_of(clauses: list[tuple[str, float]]) -> str:
+    """How many clauses matched and how sure the surest is; texts of one cell are calibrated together."""
+    if not clauses:
+        return "none"
+    surest = max(weight for _, weight in clauses)
+    return f"{min(3, len(clauses))}{'sure' if surest >= 0.95 else 'likely' if surest >= 0.8 else 'weak'}"
+
+
 def score_of(clauses: list[tuple[str, float]], model: dict) -> float:
-    clean = 1.0 - model["base"]
+    """The chance that some clause is toxic, drawn towards the share of toxic texts in its cell."""
+    if not clauses:
+        return model["base"]
+    clean = 1.0
     for context, weight in clauses:
         clean *= 1.0 - min(0.999, weight * model["factors"][context])
-    return 1.0 - clean
+    n, bad = model["cells"].get(cell_of(clauses), (0, 0))
+    return max(model["base"], (bad * (1.0 - clean) + CELL_TEXTS * (1.0 - clean)) / (n + CELL_TEXTS))
 
 
 # ---------------------------------------------------------------- learning
@@ -168,27 +190,26 @@ def seed_lexicon() -> dict:
     return {"words": words | dict.fromkeys(INSULTS, (INSULT, SEED_WEIGHT)), "stems": {}}
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts and toxic texts per word (``=word``) and per beginning of a word (``word``)."""
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts and toxic texts per word."""
     texts, toxic = Counter(), Counter()
 
     def out():
-        terms = list(texts)
+        words = list(texts)
         made = pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.string()), pa.array([texts[t] for t in terms], pa.int64()),
-             pa.array([toxic[t] for t in terms], pa.int64())], ["term", "n", "bad"])
+            [pa.array(words, pa.string()), pa.array([texts[w] for w in words], pa.int64()),
+             pa.array([toxic[w] for w in words], pa.int64())], ["word", "n", "bad"])
         texts.clear()
         toxic.clear()
         return made
 
     for batch in batches:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = {w for w in _TOKEN.findall(text.lower()) if w[0].isalpha() and len(w) >= 3}
-            terms = {"=" + w for w in words if len(w) <= 30} | {w[:k] for w in words for k in STEMS if k <= len(w)}
-            texts.update(terms)
+            words = {w for w in _TOKEN.findall(text.lower()) if w[0].isalpha() and 3 <= len(w) <= 30}
+            texts.update(words)
             if label:
-                toxic.update(terms)
-        if len(texts) > 3 * WORDS_HELD:
+                toxic.update(words)
+        if len(texts) > WORDS_HELD:
             yield out()
     yield out()
 
@@ -199,39 +220,61 @@ def _credible(n: Column, bad: Column, z: float = 1.64) -> Column:
     return (share + zz / (2 * n) - z * F.sqrt(share * (1 - share) / n + zz / (4 * n * n))) / (1 + zz / n)
 
 
+def _learn_lexicon(rows: DataFrame) -> dict:
+    """The seeds and what the labelled rows teach: words of their own right, and beginnings shared by many words."""
+    words = set_down(rows.mapInArrow(_count_words, "word string, n bigint, bad bigint").groupBy("word").agg(
+        F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    lexicon, stems = seed_lexicon(), {}
+    for k in STEMS:
+        # A beginning is judged by its words, each counting once: it has to hold for words not seen yet.
+        types = words.where(F.length("word") >= k).groupBy(F.substring("word", 1, k).alias("stem")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("bad") / F.col("n")).alias("bad"))
+        good = (F.col("n") >= LEAST_TYPES) & (_credible(F.col("n"), F.col("bad"), z=1.0) >= LEAST_SHARE)
+        stems |= {r["stem"]: r["bad"] / r["n"] for r in types.where(good).collect()}
+    begins = [F.substring("word", 1, k).isin([x for x in stems if len(x) == k]) for k in STEMS if any(len(x) == k for x in stems)]
+    own = (F.col("n") >= LEAST_TEXTS) & (_credible(F.col("n"), F.col("bad")) >= LEAST_SHARE)
+    for word, n, bad in words.where(reduce(or_, begins, own)).collect():
+        if lexicon["words"].get(word, (INSULT,))[0] == INSULT:
+            # A word's own texts speak first; where they are few, its best beginning does.
+            belief = max((stems.get(word[:k], 0.0) for k in STEMS), default=0.0) or LEAST_SHARE
+            weight = (bad + STEM_TEXTS * belief) / (n + STEM_TEXTS)
+            lexicon["words"][word] = (INSULT, weight if weight >= 0.3 else 0.0)
+    lexicon["stems"] = stems
+    return lexicon
+
+
 def fit(labelled: DataFrame) -> dict:
-    """Lexicon, context factors and base rate from ``labelled(text, toxic)``, which is bounded by its maker."""
+    """Lexicon, context factors, cells and base rate from ``labelled(text, toxic)``, which is bounded by its maker."""
     spark = labelled.sparkSession
     bounded_batches(spark)
     rows = set_down(labelled.select(string("text").alias("text"), F.col("toxic").cast("int").alias("toxic")).where("toxic is not null"))
-    lexicon = seed_lexicon()
-    terms = rows.mapInArrow(_count_terms, "term string, n bigint, bad bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    learned = terms.where((F.col("n") >= LEAST_TEXTS) & (_credible(F.col("n"), F.col("bad")) >= LEAST_SHARE)).collect()
-    for term, n, bad in learned:
-        weight = (bad + 0.5) / (n + 1)
-        if term[0] != "=":
-            lexicon["stems"][term] = weight
-        elif lexicon["words"].get(term[1:], (INSULT,))[0] == INSULT:
-            lexicon["words"][term[1:]] = (INSULT, weight)
-    model = {"lexicon": lexicon, "factors": {c: 1.0 for c in CONTEXTS}, "base": 0.02}
-    shared = spark.sparkContext.broadcast(model)
-
-    def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value["lexicon"])
+    aside = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION_SHARE)) == 0
+    lexicon = _learn_lexicon(rows.where(~aside))
+    shared = spark.sparkContext.broadcast(lexicon)
+
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(shared.value)
         for batch in batches:
+            found = [reader.clauses(t) for t in batch.column(0).to_pylist()]
             # The context of a text is the strongest that any of its clauses has.
-            found = [sorted({c for c, _ in reader.clauses(t)}, key=lambda c: -PRIOR[c]) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] if f else "none" for f in found], pa.string()), batch.column(1)], ["context", "toxic"])
-
-    seen = {r["context"]: (r["n"], r["bad"]) for r in rows.mapInArrow(strongest, "context string, toxic int").groupBy("context").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad")).collect()}
+            contexts = [max((c for c, _ in f), key=PRIOR.__getitem__) if f else "none" for f in found]
+            yield pa.RecordBatch.from_arrays([pa.array(contexts, pa.string()), pa.array(list(map(cell_of, found)), pa.string()),
+                                              batch.column(1)], ["context", "cell", "toxic"])
+
+    seen = rows.where(aside).mapInArrow(matched, "context string, cell string, toxic int").groupBy("context", "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("bad")).collect()
+    contexts, cells = {}, {}
+    for r in seen:
+        for table, name in ((contexts, r["context"]), (cells, r["cell"])):
+            n, bad = table.get(name, (0, 0))
+            table[name] = (n + r["n"], bad + r["bad"])
     belief = {}
     for context in CONTEXTS:
-        n, bad = seen.get(context, (0, 0))
+        n, bad = contexts.get(context, (0, 0))
         belief[context] = (bad + PRIOR_TEXTS * PRIOR[context]) / (n + PRIOR_TEXTS)
-    n, bad = seen.get("none", (0, 0))
-    return model | {"base": min(0.1, (bad + 0.2) / (n + 10)),
-                    "factors": {c: min(1.0, belief[c] / max(belief.values())) for c in CONTEXTS}}
+    n, bad = cells.pop("none", (0, 0))
+    return {"lexicon": lexicon, "cells": cells, "base": min(0.1, (bad + 0.2) / (n + 10)),
+            "factors": {c: min(1.0, belief[c] / max(belief.values())) for c in CONTEXTS}}
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, learn: Column, limit: int = FIT_ROWS) -> DataFrame:
