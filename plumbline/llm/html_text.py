@@ -159,7 +159,7 @@ class Page:
             holder = container.parent if container.tag in ("p", "pre", "blockquote", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td") and container.parent else container
             share = 1.0
             for _ in range(3):
-                if holder is None or holder is self.root:
+                if holder is None:
                     break
                 scores[holder.path] = scores.get(holder.path, 0.0) + share * worth * _role(holder)
                 holder, share = holder.parent, share / 2

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,13 +143,13 @@ class Weigher:
 
     def weights(self, texts: list[str]) -> np.ndarray:
         owner, bucket = self.features.of(texts)
-        return np.bincount(owner, self.ratio[bucket], minlength=len(texts))
+        return np.bincount(owner, self.ratio[bucket], minlength=len(texts)).astype(np.float64)  # integers if there is no n-gram
 
     def keys(self, texts: list[str], ids: list) -> tuple[np.ndarray, np.ndarray]:
         """Weights, and keys with noise that depends on the id, the text and the seed only."""
         weight = self.weights(texts)
-        draws = [zlib.crc32(f"{self.seed}|{i}|{zlib.crc32(t.encode('utf-8', 'surrogatepass'))}".encode()) for i, t in zip(ids, texts, strict=True)]
-        uniform = (np.array(draws, np.float64) + 0.5) / 2.0 ** 32
+        draws = [xxhash.xxh64_intdigest(f"{i}|{t}".encode("utf-8", "surrogatepass"), self.seed) >> 11 for i, t in zip(ids, texts, strict=True)]
+        uniform = (np.array(draws, np.float64) + 0.5) / 2.0 ** 53
         return weight, weight - np.log(-np.log(uniform))
 
 
