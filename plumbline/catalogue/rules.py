@@ -70,9 +70,9 @@ def frequent_itemsets(spark, sf_dir):
 @report(_text(_SETS + _RULES + """
 SELECT antecedents, consequents, round(support, 6) AS support, round(confidence, 6) AS confidence,
        round(lift, 6) AS lift, round(leverage, 6) + 0.0 AS leverage, round(conviction, 6) AS conviction FROM rules""",
-              0.01, 0.1))
+              0.01, 0))
 def association_rules(spark, sf_dir):
-    rules = R.association_rules(_itemsets(spark, sf_dir, 0.01), 0.1)
+    rules = R.association_rules(_itemsets(spark, sf_dir, 0.01), 0.0)
     return rules.select(F.array_join("antecedents", "|").alias("antecedents"),
                         F.array_join("consequents", "|").alias("consequents"),
                         *[(r6(c) + 0.0).alias(c) for c in ("support", "confidence", "lift", "leverage", "conviction")])

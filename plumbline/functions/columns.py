@@ -50,10 +50,55 @@ def with_row_id(df: DataFrame, id_col: str | None = None) -> DataFrame:
     repeatable for every source, so the rows are written once with their id.
     """
     if id_col is not None:
-        return df.withColumnRenamed(id_col, "row_id").withColumn("row_id", F.col("row_id").cast("bigint"))
+        named = df.withColumnRenamed(id_col, "row_id").withColumn("row_id", F.col("row_id").cast("bigint"))
+        check_ids(named)
+        return named
     return cut_lineage(df.withColumn("row_id", F.monotonically_increasing_id()))
 
 
+def check_ids(df: DataFrame) -> None:
+    """Every step joins and splits by the id, so it has to be whole, present and unique."""
+    r = df.agg(F.count(F.lit(1)).alias("rows"), F.count("row_id").alias("present"), F.count_distinct("row_id").alias("ids")).first()
+    if r["present"] < r["rows"]:
+        raise ValueError(f"{r['rows'] - r['present']} rows have no id, or one that is no whole number")
+    if r["ids"] < r["rows"]:
+        raise ValueError(f"ids repeat: {r['rows']} rows have {r['ids']} different ids")
+
+
+def plain_name(name: str) -> str:
+    """A column name that needs no quoting: dots and backticks become underscores."""
+    return name.replace(".", "_").replace("`", "_")
+
+
+def with_plain_names(df: DataFrame) -> DataFrame:
+    """Rename columns whose names Spark would read as paths; a clash gets a further underscore."""
+    if all(plain_name(c) == c for c in df.columns):
+        return df
+    taken = {c for c in df.columns if plain_name(c) == c}
+    names = []
+    for c in df.columns:
+        name = plain_name(c)
+        while name != c and name in taken:
+            name += "_"
+        taken.add(name)
+        names.append(name)
+    return df.toDF(*names)
+
+
+def truth_as_text(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """Turn truth columns with gaps into the texts True and False; they are then filled and coded like other text."""
+    columns = boolean_columns(df, exclude)
+    if not columns:
+        return df
+    r = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    gaps = {c for i, c in enumerate(columns) if r[f"n{i}"]}
+    return df.withColumns({c: truth_text(c) for c in gaps}) if gaps else df
+
+
+def truth_text(column: str) -> Column:
+    return F.initcap(F.col(column).cast("string"))
+
+
 def filled(column: str, value: float | str | None) -> Column:
     return F.col(column) if value is None else F.coalesce(F.col(column), F.lit(value))
 

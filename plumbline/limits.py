@@ -22,17 +22,11 @@ BOUNDARY_SAMPLE_ROWS = 20_000
 # Active clusters below which the remaining Ward merges are finished in one task.
 WARD_FINISH_ROWS = 2048
 
-# Distinct class labels a classifier accepts; model tables are classes x features.
-MAX_CLASSES = 10_000
-
 # Label columns whose distance sums are accumulated in one pass.
 LABEL_COLUMNS_PER_PASS = 512
 
 # Rows of one key prefix that are ranked by a window when a split looks for its cut key.
 CELL_ROWS = 200_000
 
-# Rows sampled to start k-means runs.
-SEED_SAMPLE_ROWS = 5_000
-
 # Rows below which an iterative fit does not profit from another task.
 ROWS_PER_TASK = 20_000

@@ -8,24 +8,22 @@ from pyspark.sql import functions as F
 from plumbline.session import cut_lineage
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` for every node of ``edges(a, b)``; the component is its lowest id.
 
     Each round hangs the neighbours of a node under the lowest of them (Kiveris et
     al., 2014). A node is met only through its minimum, one row per node, so a hub
-    never collects its neighbours anywhere. Rounds are cut by a checkpoint.
+    never collects its neighbours anywhere. Rounds, each cut by a checkpoint, go
+    on until nothing moves.
     """
     current = cut_lineage(edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = _fingerprint(current)
-    for _ in range(max_rounds):
+    before = None
+    while state != before:
+        before = state
         current = cut_lineage(_small_star(_large_star(current)))
-        after = _fingerprint(current)
-        if after == state:
-            break
-        state = after
-    else:
-        raise RuntimeError("components did not settle")
+        state = _fingerprint(current)
     roots = current.select(F.col("b").alias("id"), F.col("b").alias("component"))
     return current.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots).distinct()
 

@@ -14,9 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.limits import ROWS_PER_TASK, SEED_SAMPLE_ROWS
+from plumbline.limits import ROWS_PER_TASK
 from plumbline.operators.blocks import matrix
 
+#: Rounds in which candidates for starts are drawn.
+START_ROUNDS = 4
+
 
 @dataclass
 class KMeansRun:
@@ -30,66 +33,95 @@ class KMeansRun:
                                      "cluster int, center array<double>")
 
 
-def seed_centers(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """Spread starting centres: each next one drawn by squared distance to those before."""
-    rng = np.random.default_rng(seed)
-    centers = [sample[rng.integers(len(sample))]]
-    d = ((sample - centers[0]) ** 2).sum(axis=1)
+def seed_centers(points: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Spread centres among weighted points: each next one drawn by weighted squared distance to those before."""
+    centers = [points[rng.choice(len(points), p=weight / weight.sum())]]
+    d = ((points - centers[0]) ** 2).sum(axis=1)
     for _ in range(1, k):
-        total = d.sum()
-        pick = rng.integers(len(sample)) if total == 0 else rng.choice(len(sample), p=d / total)
-        centers.append(sample[pick])
-        d = np.minimum(d, ((sample - centers[-1]) ** 2).sum(axis=1))
+        mass = weight * d
+        pick = rng.integers(len(points)) if mass.sum() == 0 else rng.choice(len(points), p=mass / mass.sum())
+        centers.append(points[pick])
+        d = np.minimum(d, ((points - centers[-1]) ** 2).sum(axis=1))
     return np.array(centers)
 
 
-def refine_start(sample: np.ndarray, centers: np.ndarray, max_iter: int = 100) -> np.ndarray:
-    """Move starting centres to where they settle on the sample."""
-    norms = (sample * sample).sum(axis=1)
+def refine_start(points: np.ndarray, weight: np.ndarray, centers: np.ndarray, max_iter: int = 100) -> np.ndarray:
+    """Move starting centres to where they settle among weighted points."""
+    norms = (points * points).sum(axis=1)
     for _ in range(max_iter):
-        label, _ = _assign(sample, norms, centers)
-        n = np.bincount(label, minlength=len(centers)).astype(float)
-        hot = np.zeros((len(sample), len(centers)))
-        hot[np.arange(len(sample)), label] = 1.0
-        new = np.where(n[:, None] > 0, hot.T @ sample / np.maximum(n, 1)[:, None], centers)
+        label, _ = _assign(points, norms, centers)
+        hot = np.zeros((len(points), len(centers)))
+        hot[np.arange(len(points)), label] = weight
+        n = hot.sum(axis=0)
+        new = np.where(n[:, None] > 0, hot.T @ points / np.maximum(n, 1e-300)[:, None], centers)
         if np.array_equal(new, centers):
             break
         centers = new
     return centers
 
 
-def starting_runs(points: DataFrame, sample: np.ndarray, ks: list[int], seeds: list[int]) -> list[KMeansRun]:
-    """One run per k and seed, started on the bounded sample; the runs are spread over tasks.
+def spread_candidates(points: DataFrame, seeds: list[int], expected: int) -> list[np.ndarray]:
+    """Per seed a set of rows that covers all rows well (Bahmani et al., 2012); the seeds share every scan.
 
-    Settling the starts on a sample first (Bradley and Fayyad, 1998) leaves few
-    iterations that need all rows.
+    Each round draws a row by its share of the squared distance to the candidates so
+    far, ``expected`` rows a round and seed, whatever the number of rows. A far group
+    of rows holds much of that distance however few they are, so it gets candidates.
+    The draw depends on the id and the seed only.
     """
-    def start(batches):
-        for pdf in batches:
-            found = [refine_start(sample, seed_centers(sample, k, s)).ravel().tolist()
-                     for k, s in zip(pdf["k"], pdf["seed"], strict=True)]
-            yield pdf.assign(c=found)
+    first = points.agg(*[F.min_by("x", F.xxhash64("row_id", F.lit(s))).alias(f"s{s}") for s in seeds]).first()
+    found = [np.array([first[f"s{s}"]]) for s in seeds]
+    for turn in range(START_ROUNDS):
+        costs = [cost for _, _, cost in _center_sums(points, found)]
+        drawn = _draw(points, found, costs, seeds, turn, expected)
+        found = [np.unique(np.concatenate([c, rows]), axis=0) if len(rows) else c for c, rows in zip(found, drawn, strict=True)]
+    return found
 
-    spark = points.sparkSession
-    pairs = spark.createDataFrame([(k, s) for k in ks for s in seeds], "k int, seed int")
-    spread = pairs.repartition(min(len(ks) * len(seeds), spark.sparkContext.defaultParallelism))
-    rows = spread.mapInPandas(start, "k int, seed int, c array<double>").collect()
-    return [KMeansRun(r["k"], r["seed"], np.array(r["c"]).reshape(r["k"], -1)) for r in sorted(rows)]
+
+def _draw(points: DataFrame, found: list[np.ndarray], costs: list[float], seeds: list[int], turn: int, expected: int) -> list[np.ndarray]:
+    """Rows drawn for every seed, each with the chance ``expected`` times its share of the seed's cost."""
+    def scan(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            x = matrix(pdf["x"])
+            norms, draws = (x * x).sum(axis=1), matrix(pdf["u"])
+            out = []
+            for m, centers in enumerate(found):
+                _, d = _assign(x, norms, centers)
+                chosen = np.flatnonzero(draws[:, m] * max(costs[m], 1e-300) < expected * d)
+                out += [(m, x[i]) for i in chosen]
+            yield pd.DataFrame(out, columns=["m", "x"])
+
+    # 52 bits of a hash as a number below 1
+    u = F.array(*[F.pmod(F.xxhash64("row_id", F.lit(s), F.lit(turn)), F.lit(1 << 52)) / F.lit(float(1 << 52)) for s in seeds])
+    rows = points.select("x", u.alias("u")).mapInPandas(scan, "m int, x array<double>").collect()
+    dims = found[0].shape[1]
+    return [np.array([r["x"] for r in rows if r["m"] == m]).reshape(-1, dims) for m in range(len(seeds))]
+
+
+def starting_runs(points: DataFrame, ks: list[int], seeds: list[int]) -> list[KMeansRun]:
+    """One run per k and seed, started from the candidates of its seed weighted by the rows next to them."""
+    found = spread_candidates(points, seeds, 2 * max(ks))
+    runs = []
+    for s, candidates, (n, _, _) in zip(seeds, found, _center_sums(points, found), strict=True):
+        for k in ks:
+            rng = np.random.default_rng([s, k])
+            runs.append(KMeansRun(k, s, refine_start(candidates, n, seed_centers(candidates, n, k, rng))))
+    return sorted(runs, key=lambda r: (r.k, r.seed))
 
 
 def fit_kmeans(points: DataFrame, ks: list[int], rows: int, seed: int = 42, restarts: int = 10, max_iter: int = 300,
                tol: float = 1e-4) -> dict[int, KMeansRun]:
     """Best run per k by inertia over ``restarts`` seeded starts of ``points(row_id, x)``.
 
-    Starts come from a bounded number of rows, chosen by a hash of the id; every
-    iteration and every inertia uses all rows. Cache ``points`` first.
+    Starts, stop tolerance, every iteration and every inertia use all rows. Cache
+    ``points`` first.
     """
-    one_in = -(-rows // SEED_SAMPLE_ROWS)
-    chosen = points.where(F.pmod(F.xxhash64("row_id", F.lit(seed)), F.lit(one_in)) == 0)
-    sample = matrix(chosen.select("row_id", "x").toPandas().sort_values("row_id")["x"])
-    points = points.select("x").coalesce(max(1, rows // ROWS_PER_TASK))
-    runs = starting_runs(points, sample, ks, [seed + r for r in range(restarts)])
-    stop = tol * float(sample.var(axis=0).mean())
+    points = points.select("row_id", "x").coalesce(max(1, rows // ROWS_PER_TASK))
+    runs = starting_runs(points, ks, [seed + r for r in range(restarts)])
+    dims = runs[0].centers.shape[1]
+    spread = points.agg(*[F.var_pop(F.col("x")[i]).alias(f"v{i}") for i in range(dims)]).first()
+    stop = tol * float(np.mean(spread))
     moving = list(range(len(runs)))
     for _ in range(max_iter):
         if not moving:

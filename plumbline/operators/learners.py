@@ -264,11 +264,14 @@ def _penalised_intercept(train: DataFrame, positive: int, penalty: float) -> tup
     """Logistic fit of one class against the rest whose intercept is penalised like a weight.
 
     The intercept becomes the weight of an extra feature. A constant one would be
-    ignored, so half of the rows are mirrored: features, constant and label flip,
-    which leaves the loss unchanged.
+    ignored, so about half of the rows are mirrored: features, constant and label
+    flip, which leaves the loss unchanged. Which rows is decided by a hash of the id;
+    the first and the last id differ by rule, so that both signs always occur.
     """
+    ends = train.agg(F.min("row_id").alias("first"), F.max("row_id").alias("last")).first()
     y = F.when(F.col("label") == positive, 1.0).otherwise(0.0)
-    sign = F.when(F.pmod(F.col("row_id"), F.lit(2)) == 1, -1.0).otherwise(1.0)
+    sign = (F.when(F.col("row_id") == ends["first"], 1.0).when(F.col("row_id") == ends["last"], -1.0)
+            .when(F.pmod(F.xxhash64("row_id"), F.lit(2)) == 1, -1.0).otherwise(1.0))
     mirrored = train.select(
         array_to_vector(F.transform(F.concat("x", F.array(F.lit(1.0))), lambda v: v * sign)).alias("features"),
         F.when(sign < 0, 1.0 - y).otherwise(y).alias("label"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.columns import (bias_corrected_skew, boolean_columns, filled, numeric_columns, text_columns)
+from plumbline.functions.columns import (bias_corrected_skew, boolean_columns, filled, numeric_columns, text_columns, truth_text)
 from plumbline.functions.dictionary import Dictionary, attach_code, build_dictionary
 from plumbline.functions.medians import exact_medians
 
@@ -43,6 +43,7 @@ class FeatureRecipe:
     mean: float
     std: float
     size: int = 0
+    fill_code: int | None = None
 
 
 @dataclass
@@ -75,7 +76,9 @@ class Preparation:
         """Impute, de-skew and encode; feature columns become doubles."""
         for f in (f for f in self.features if f.role == "categorical"):
             own = self.codes.where(F.col("column") == f.column)
-            df = attach_code(df, filled(f.column, f.fill), own, f.size, self.rows, f"_code_{f.column}")
+            truth = isinstance(df.schema[f.column].dataType, T.BooleanType)
+            value = F.coalesce(truth_text(f.column) if truth else F.col(f.column), F.lit(f.fill))
+            df = attach_code(df, value, own, f.size, self.rows, f"_code_{f.column}")
         exprs = {f.column: self._value(f) for f in self.features}
         kept = [c for c in df.columns if not c.startswith("_code_")]
         return df.select([exprs[c].alias(c) if c in exprs else F.col(c) for c in kept])
@@ -89,9 +92,9 @@ class Preparation:
 
     @staticmethod
     def _value(f: FeatureRecipe) -> Column:
-        if f.role == "categorical":
-            return F.col(f"_code_{f.column}").cast("double")
-        value = filled(f.column, f.fill).cast("double") if f.role == "numeric" else F.col(f.column).cast("double")
+        if f.role == "categorical":  # a value that the fit has not seen counts as missing
+            return F.coalesce(F.col(f"_code_{f.column}"), F.lit(f.fill_code)).cast("double")
+        value = filled(f.column, f.fill).cast("double")
         return F.log1p(value) if f.log1p else value
 
     def to_records(self) -> list[dict]:
@@ -122,8 +125,8 @@ def numeric_moments(df: DataFrame, columns: list[str], medians: dict, loggable:
     return out
 
 
-def code_moments(words: Dictionary, rows: int) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation of each encoded, mode-filled column from its value counts."""
+def code_moments(words: Dictionary, rows: int) -> dict[str, tuple[float, float, int]]:
+    """Mean and population deviation of each encoded, mode-filled column from its value counts, and the mode's code."""
     fill = F.create_map(*[F.lit(x) for pair in words.modes.items() for x in pair])
     n, code = F.col("n").cast("double"), F.col("code").cast("double")
     sums = words.table.groupBy("column").agg(
@@ -133,7 +136,7 @@ def code_moments(words: Dictionary, rows: int) -> dict[str, tuple[float, float]]
     for r in sums:
         missing = rows - words.present[r["column"]]
         mean = (r["s"] + missing * r["f"]) / rows
-        out[r["column"]] = mean, max((r["q"] + missing * r["f"] ** 2) / rows - mean * mean, 0.0) ** 0.5
+        out[r["column"]] = mean, max((r["q"] + missing * r["f"] ** 2) / rows - mean * mean, 0.0) ** 0.5, int(r["f"])
     return out
 
 
@@ -155,11 +158,11 @@ def fit_preparation(df: DataFrame, columns: list[str], rows: int | None = None,
     recipes = []
     for c in columns:
         if c in texts:
-            mean, std = coded[c]
-            recipes.append(FeatureRecipe(c, "categorical", fills[c], None, False, mean, std or 1.0, words.sizes[c]))
+            mean, std, code = coded[c]
+            recipes.append(FeatureRecipe(c, "categorical", fills[c], None, False, mean, std or 1.0, words.sizes[c], code))
         elif c in bools:
             m = moments[c]
-            recipes.append(FeatureRecipe(c, "boolean", None, m["skew"], False, m["mean"], m["std"] or 1.0))
+            recipes.append(FeatureRecipe(c, "boolean", m["mean"] >= 0.5, m["skew"], False, m["mean"], m["std"] or 1.0))
         else:
             m = moments[c]
             recipes.append(FeatureRecipe(c, "numeric", medians[c], m["skew"], m["log1p"], m["mean"], m["std"] or 1.0))

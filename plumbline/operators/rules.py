@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.medians import exact_medians
+from plumbline.session import cut_lineage
 
 ITEMSET_SCHEMA = "items array<string>, freq bigint, support double"
 
@@ -40,22 +41,29 @@ def frequent_itemsets(baskets: DataFrame, min_support: float, rows: int) -> Data
 def association_rules(itemsets: DataFrame, min_confidence: float) -> DataFrame:
     """Every split of an itemset into two non-empty parts, with the usual measures.
 
-    Parts are enumerated by bit masks over the sorted items. Their supports come
-    back by two equi-joins on the part, both of which are frequent themselves.
+    Consequents grow by one item a level. Moving an item from the antecedent to the
+    consequent never raises the confidence, so only splits that reach it grow on, and
+    nothing of the size of all subsets is made. Supports of both parts come back by
+    equi-joins; both parts are frequent themselves.
     """
-    size = F.size("items")
-    masks = F.sequence(F.lit(1).cast("bigint"), F.expr("shiftleft(1L, size(items))") - 2)
-    split = itemsets.where(size > 1).withColumn("mask", F.explode(masks))
-
-    def part(bit):
-        return F.expr(f"filter(items, (v, i) -> (shiftright(mask, i) & 1L) = {bit})")
-
-    sides = split.select(part(1).alias("antecedents"), part(0).alias("consequents"), "support")
-    left = itemsets.select(F.col("items").alias("antecedents"), F.col("support").alias("_a"))
-    right = itemsets.select(F.col("items").alias("consequents"), F.col("support").alias("_c"))
-    strong = (sides.join(left, "antecedents").withColumn("confidence", F.col("support") / F.col("_a"))
-              .where(F.col("confidence") >= min_confidence))
-    return strong.join(right, "consequents").select(
+    known = itemsets.select("items", "support")
+    left = known.select(F.col("items").alias("antecedents"), F.col("support").alias("_a"))
+    right = known.select(F.col("items").alias("consequents"), F.col("support").alias("_c"))
+    sized = known.where(F.size("items") > 1)
+    grown = sized.select("items", "support", F.explode(F.transform("items", lambda v: F.array(v))).alias("consequents"))
+    found = None
+    while True:
+        sides = grown.withColumn("antecedents", F.array_except("items", "consequents"))
+        strong = cut_lineage(sides.join(left, "antecedents").withColumn("confidence", F.col("support") / F.col("_a"))
+                             .where(F.col("confidence") >= min_confidence))
+        found = strong if found is None else found.unionByName(strong)
+        wider = strong.where(F.size("items") > F.size("consequents") + 1)
+        if not wider.limit(1).count():
+            break
+        later = F.filter("items", lambda v: v > F.element_at("consequents", -1))
+        grown = wider.select("items", "support", "consequents", F.explode(later).alias("_next")).select(
+            "items", "support", F.concat("consequents", F.array("_next")).alias("consequents"))
+    return found.join(right, "consequents").select(
         "antecedents", "consequents", "support", "confidence",
         (F.col("confidence") / F.col("_c")).alias("lift"),
         (F.col("support") - F.col("_a") * F.col("_c")).alias("leverage"),

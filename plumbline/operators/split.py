@@ -103,12 +103,10 @@ def stratified_folds(df: DataFrame, label: str, k: int = 5, key: str = "order_ke
         start += n
     cuts = {v: sorted({e for e in es if 0 < e}) for v, es in ends.items()}
     keys = cut_keys(df.select(label, key), key, cuts, counts, group=label)
-    if len(ends) * k > BROADCAST_ROWS:
-        raise ValueError(f"{len(ends)} classes are too many for stratified folds")
     bounds = [(v, [keys.get((v, e), "") for e in es]) for v, es in ends.items()]
     l_type = df.schema[label].dataType.simpleString()
     table = df.sparkSession.createDataFrame(bounds, f"_l {l_type}, _bounds array<string>")
-    joined = df.join(F.broadcast(table), df[label] == table["_l"])
+    joined = df.join(F.broadcast(table) if len(ends) * k <= BROADCAST_ROWS else table, df[label] == table["_l"])
     passed = F.size(F.filter("_bounds", lambda b: b < F.col(key)))
     return joined.withColumn("fold", passed.cast("int")).drop("_l", "_bounds")
 

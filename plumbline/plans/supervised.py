@@ -7,8 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import check_column_types, nan_to_null, with_row_id
-from plumbline.limits import MAX_CLASSES, ROWS_PER_TASK
+from plumbline.functions.columns import check_column_types, nan_to_null, plain_name, truth_as_text, with_row_id
+from plumbline.limits import BROADCAST_ROWS, ROWS_PER_TASK
 from plumbline.operators import profile as P
 from plumbline.operators import search as S
 from plumbline.operators.learners import context, families
@@ -35,11 +35,8 @@ class SupervisedResult:
 
 
 def class_labels(df: DataFrame, target: str) -> list:
-    """Sorted distinct classes; a number of them no learner could hold is an error."""
-    found = [r[0] for r in df.select(target).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"the target has more than {MAX_CLASSES} classes")
-    return sorted(found)
+    """Sorted distinct classes; every learner holds a table of them."""
+    return sorted(r[0] for r in df.select(target).distinct().collect())
 
 
 def with_label(df: DataFrame, target: str, task: str, classes: list) -> DataFrame:
@@ -48,7 +45,11 @@ def with_label(df: DataFrame, target: str, task: str, classes: list) -> DataFram
         return df.withColumn("label", F.col(target).cast("double"))
     dtype = df.schema[target].dataType.simpleString()
     index = df.sparkSession.createDataFrame([(c, float(i)) for i, c in enumerate(classes)], f"_c {dtype}, label double")
-    return df.join(F.broadcast(index), df[target] == index["_c"]).drop("_c")
+    if len(classes) <= BROADCAST_ROWS:
+        index = F.broadcast(index)
+    # without the number of classes in the column's metadata, trees and forests stop at 100
+    nominal = {"ml_attr": {"type": "nominal", "num_vals": max(2, len(classes)), "name": "label"}}
+    return df.join(index, df[target] == index["_c"]).drop("_c").withMetadata("label", nominal)
 
 
 def prepare_rows(df: DataFrame, target: str, columns: list[str], task: str, rows: int, medians: dict | None,
@@ -84,9 +85,10 @@ def run_supervised(spark: SparkSession, source: DataFrame | str, target: str, id
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on is all or train")
     df = read_table(spark, source)
+    target, id_col = plain_name(target), id_col and plain_name(id_col)
     if target not in df.columns:
         raise ValueError(f"no column {target}")
-    df = with_row_id(nan_to_null(df), id_col)
+    df = truth_as_text(with_row_id(nan_to_null(df), id_col), ("row_id", target))
     check_column_types(df, ("row_id", target))
     filtered = P.filter_supervised(df, target, variance_threshold, corr_threshold, multicollinearity_threshold,
                                    exclude=("row_id",))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.columns import check_column_types, nan_to_null, text_columns, with_row_id
+from plumbline.functions.columns import check_column_types, nan_to_null, plain_name, text_columns, truth_as_text, with_row_id
 from plumbline.operators import dbscan as D
 from plumbline.operators import kmeans as K
 from plumbline.operators import metrics as M
@@ -124,7 +124,7 @@ def run_unsupervised(spark: SparkSession, source: DataFrame | str, id_col: str |
     """
     if metric not in ("euclidean", "squared"):
         raise ValueError("metric is euclidean or squared")
-    df = with_row_id(nan_to_null(read_table(spark, source)), id_col)
+    df = truth_as_text(with_row_id(nan_to_null(read_table(spark, source)), id_col and plain_name(id_col)), ("row_id",))
     check_column_types(df, ("row_id",))
     filtered = P.filter_unsupervised(df, exclude=("row_id",))
     rows = filtered.rows

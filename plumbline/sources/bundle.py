@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.columns import nan_to_null, with_plain_names
 from plumbline.operators.learners import MODEL_KINDS
 from plumbline.operators.mixture import MixtureModel
 from plumbline.operators.prepare import FeatureRecipe, Preparation
@@ -53,8 +54,12 @@ class ModelBundle:
     model: object
 
     def score(self, df: DataFrame) -> DataFrame:
-        """``(row_id, prediction)`` for new rows with the feature columns and a ``row_id``."""
-        ready = self.preparation.transform(df, ["row_id"])
+        """``(row_id, prediction)`` for new rows with the feature columns and a ``row_id``.
+
+        Missing and NaN values are filled as in the fit; a category that the fit has
+        not seen counts as missing. Ids have to be unique.
+        """
+        ready = self.preparation.transform(nan_to_null(with_plain_names(df)), ["row_id"])
         scored = self.model.predict(ready).select("row_id", "prediction")
         if self.task == "regression":
             return scored

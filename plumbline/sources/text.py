@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.columns import with_plain_names
+
 # The tokens a default tabular text reader takes for missing.
 NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -54,20 +56,20 @@ def infer_types(df: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, source: DataFrame | str, multiline: bool = False) -> DataFrame:
-    """A DataFrame as it is, a parquet folder, or a CSV file with a header row.
+    """A DataFrame, a parquet folder, or a CSV file with a header row; dots in names become underscores.
 
     ``multiline`` allows line breaks inside quotes, at the price of one task per file.
     """
     if isinstance(source, DataFrame):
-        return source
+        return with_plain_names(source)
     name = source.lower().rstrip("/")
     if name.endswith(".parquet"):
-        return spark.read.parquet(source)
+        return with_plain_names(spark.read.parquet(source))
     if not name.endswith(".csv"):
-        raise ValueError("only .csv and .parquet files and DataFrames are supported")
+        raise ValueError(f"cannot read {source}: a table is a DataFrame, a .csv file or a .parquet folder")
     raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
            .option("multiLine", multiline).csv(source))
-    return infer_types(normalise_missing(raw))
+    return infer_types(normalise_missing(with_plain_names(raw)))
 
 
 def shape_report(df: DataFrame) -> DataFrame:
