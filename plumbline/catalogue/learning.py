@@ -268,7 +268,7 @@ def cv_score(spark, sf_dir):
 @report()
 def refit_winner(spark, sf_dir):
     """Predictions for every document by the winner refitted on all of them."""
-    run = run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", grid="small", cv=3)
+    run = run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", parallelism=8)
     df = _classified_docs(spark, sf_dir)
     ready = run.preparation.transform(df, ["row_id"])
     return run.best_model.predict(ready).select("row_id", "prediction")
@@ -277,13 +277,13 @@ def refit_winner(spark, sf_dir):
 @report()
 def model_comparison(spark, sf_dir):
     return run_supervised(spark, part_ds(spark, sf_dir), "p_retailprice", "row_id", corr_threshold=0.0,
-                          grid="small", cv=3).results
+                          parallelism=8).results
 
 
 @report()
 def best_model(spark, sf_dir):
     run = run_supervised(spark, part_ds(spark, sf_dir), "p_retailprice", "row_id", corr_threshold=0.0,
-                         grid="small", cv=3)
+                         parallelism=8)
     return run.results.where(F.col("model") == run.best_name).select("model", F.col("r2_score").alias("score"))
 
 
@@ -302,4 +302,4 @@ def bundle_roundtrip(spark, sf_dir):
 
 @report()
 def supervised_run(spark, sf_dir):
-    return run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", grid="small", cv=3).results
+    return run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", parallelism=8).results

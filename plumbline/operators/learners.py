@@ -54,6 +54,8 @@ SMALL_GRIDS = {
 DEEPEST = 30
 BINS = 256
 RANDOM_FEATURES = 256
+# Memory for the statistics of the nodes that one pass splits; deep forests need fewer passes with more.
+FOREST_MB = 512
 SVM_TOLERANCE = 1e-3
 
 
@@ -235,7 +237,7 @@ def _tree_regressor(train: DataFrame, params: dict, ctx: FitContext):
 def _forest_regressor(train: DataFrame, params: dict, ctx: FitContext):
     return SparkModel(RandomForestRegressor(
         seed=ctx.seed, numTrees=params["n_estimators"], maxDepth=_depth(params), maxBins=BINS,
-        minInstancesPerNode=_leaf_rows(params), featureSubsetStrategy="all", subsamplingRate=1.0).fit(train))
+        maxMemoryInMB=FOREST_MB, minInstancesPerNode=_leaf_rows(params), featureSubsetStrategy="all", subsamplingRate=1.0).fit(train))
 
 
 def _tree_classifier(train: DataFrame, params: dict, ctx: FitContext):
@@ -246,7 +248,7 @@ def _tree_classifier(train: DataFrame, params: dict, ctx: FitContext):
 def _forest_classifier(train: DataFrame, params: dict, ctx: FitContext):
     return SparkModel(RandomForestClassifier(
         seed=ctx.seed, numTrees=params["n_estimators"], maxDepth=_depth(params), maxBins=BINS,
-        impurity=params["criterion"], featureSubsetStrategy="sqrt").fit(train))
+        maxMemoryInMB=FOREST_MB, impurity=params["criterion"], featureSubsetStrategy="sqrt").fit(train))
 
 
 def _logistic(train: DataFrame, params: dict, ctx: FitContext):
