@@ -14,6 +14,7 @@ from plumbline.operators import kmeans as K
 from plumbline.operators import ward
 from plumbline.operators.learners import context, families
 from plumbline.operators.prepare import fit_preparation
+from plumbline.session import scratch_folder
 
 REPORTS, SQL, report = make_registry()
 
@@ -128,6 +129,21 @@ def kmeans_two_means(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), r6(F.avg(F.col("x")[0]), 4).alias("center"))
 
 
+@report(f"""WITH {USERS_DS}, o AS (
+  SELECT avg_value AS x, row_number() OVER w AS k, sum(avg_value) OVER w AS sl, sum(avg_value) OVER () AS s, count(*) OVER () AS n
+  FROM users_ds WINDOW w AS (ORDER BY avg_value, row_id ROWS UNBOUNDED PRECEDING)),
+b AS (SELECT x, k FROM o WHERE k < n ORDER BY sl * sl / k + (s - sl) * (s - sl) / (n - k) DESC, k LIMIT 1)
+SELECT row_id, CAST(avg_value > (SELECT x FROM b) AS INT) AS cluster FROM users_ds""")
+def kmeans_reloaded_labels(spark, sf_dir):
+    """Labels by a clustering that was saved as a table and read again."""
+    points = users_ds(spark, sf_dir).select("row_id", F.array("avg_value").alias("x")).persist()
+    path = scratch_folder(spark, "kmeans")
+    K.fit_kmeans(points, [2], points.count())[2].table(spark).write.parquet(path)
+    model = K.KMeansRun.from_table(spark.read.parquet(path))
+    low = int(model.centers[:, 0].argmin())
+    return K.kmeans_labels(points, {2: model}).select("row_id", (F.col("km_2") != low).cast("int").alias("cluster"))
+
+
 _PLANE_SQL = _DBSCAN_SQL[:_DBSCAN_SQL.index("near AS (")].rstrip().rstrip(",")
 
 

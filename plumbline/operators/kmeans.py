@@ -32,6 +32,11 @@ class KMeansRun:
         return spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(self.centers)],
                                      "cluster int, center array<double>")
 
+    @staticmethod
+    def from_table(table: DataFrame) -> KMeansRun:
+        rows = sorted(table.collect(), key=lambda r: r["cluster"])  # one row per cluster
+        return KMeansRun(len(rows), 0, np.array([r["center"] for r in rows]))
+
 
 def seed_centers(points: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     """Spread centres among weighted points: each next one drawn by weighted squared distance to those before."""

@@ -24,6 +24,11 @@ class Components:
         rows = [(i + 1, float(e), self.loadings[:, i].tolist()) for i, e in enumerate(self.explained)]
         return spark.createDataFrame(rows, "component int, explained double, loading array<double>")
 
+    @staticmethod
+    def from_table(table: DataFrame) -> Components:
+        rows = sorted(table.collect(), key=lambda r: r["component"])  # one row per component
+        return Components(np.array([r["loading"] for r in rows]).T, np.array([r["explained"] for r in rows]))
+
 
 def fit_pca(points: DataFrame, dims: int, rows: int) -> Components:
     """The first min(dims, rows, 10) principal components of ``points(x, features)``.

@@ -31,6 +31,7 @@ class SupervisedResult:
     classes: list = field(default_factory=list)
     rows: int = 0
     rows_without_target: int = 0
+    notes: DataFrame | None = None
     bundle: str | None = None
 
 
@@ -107,7 +108,8 @@ def run_supervised(spark: SparkSession, source: DataFrame | str, target: str, id
     model = best.family.fit(everything, best.params, context(everything, dims, len(classes), random_state))
     result = SupervisedResult(
         S.comparison_table(spark, rows, task), best.family.name, model, task, filtered.report(spark),
-        preparation.report(spark), profile, preparation, classes, present, filtered.rows - present)
+        preparation.report(spark), profile, preparation, classes, present, filtered.rows - present,
+        filtered.note_table(spark))
     if save_to:
         result.bundle = save_model_bundle(spark, save_to, result, target)
     return result

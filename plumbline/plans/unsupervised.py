@@ -152,6 +152,7 @@ def run_unsupervised(spark: SparkSession, source: DataFrame | str, id_col: str |
                 .join(G.mixture_labels(points, mixture).withColumnRenamed("cluster", "GMM"), "row_id"))
         merges = linkage.result()
     wide = cut_lineage(wide)
+    labelled.unpersist()
     live = wide.withColumn("DBSCAN", F.when(F.col("DBSCAN") >= 0, F.col("DBSCAN")))
     found = score_labelings(live, ALGORITHMS[1:], metric)
     scores = {"KMeans": by_k[k], "Hierarchical": found["Hierarchical"],

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import nan_to_null, with_plain_names
 from plumbline.operators.learners import MODEL_KINDS
-from plumbline.operators.mixture import MixtureModel
+from plumbline.operators.kmeans import KMeansRun, kmeans_labels
+from plumbline.operators.mixture import MixtureModel, mixture_labels
 from plumbline.operators.prepare import FeatureRecipe, Preparation
+from plumbline.operators.reduce import Components, plane
 
 
 def _write_facts(spark: SparkSession, path: str, facts: dict) -> None:
@@ -89,9 +91,29 @@ def save_cluster_bundle(spark: SparkSession, folder: str, result) -> str:
     return path
 
 
-def load_cluster_bundle(spark: SparkSession, path: str) -> dict:
-    """Facts, preparation and tables of a saved unsupervised run."""
+@dataclass
+class ClusterBundle:
+    """A saved unsupervised run: its facts and tables, and the fitted models for new rows."""
+
+    facts: dict
+    tables: dict[str, DataFrame]
+    preparation: Preparation
+    kmeans: KMeansRun
+    pca: Components
+    mixture: MixtureModel
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        """``(row_id, kmeans, mixture, pc1, pc2)`` for new rows with the feature columns and a ``row_id``."""
+        ready = self.preparation.transform(nan_to_null(with_plain_names(df)), ["row_id"])
+        near = kmeans_labels(ready.select("row_id", "x"), {self.kmeans.k: self.kmeans}).select(
+            "row_id", F.col(f"km_{self.kmeans.k}").alias("kmeans"))
+        blend = mixture_labels(ready, self.mixture).withColumnRenamed("cluster", "mixture")
+        return near.join(blend, "row_id").join(plane(ready, self.pca), "row_id")
+
+
+def load_cluster_bundle(spark: SparkSession, path: str) -> ClusterBundle:
     facts = _read_facts(spark, path)
     tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("labels", "kmeans", "pca", "merge_tree", "itemsets", "rules")}
-    return {**facts, **tables, "preparation": _read_preparation(spark, path, facts["preparation"]),
-            "mixture": MixtureModel.from_table(spark.read.parquet(f"{path}/mixture"))}
+    preparation = _read_preparation(spark, path, facts.pop("preparation"))
+    return ClusterBundle(facts, tables, preparation, KMeansRun.from_table(tables["kmeans"]), Components.from_table(tables["pca"]),
+                         MixtureModel.from_table(spark.read.parquet(f"{path}/mixture")))

@@ -80,8 +80,11 @@ def test_unsupervised_run_and_bundle(spark, csv, tmp_path):
     assert run.tables["scatter_gmm"].count() == 120 and run.merge_tree.count() == 119
     assert sampled_scatter(run.tables["scatter_gmm"], 1).count() == 120
     back = load_cluster_bundle(spark, run.bundle)
-    assert back["best_model"] == run.best_model and back["best_k"] == run.best_k
-    assert back["labels"].count() == 480 and back["rules"].count() == run.rules.count()
+    new = spark.createDataFrame(people(30, 9).reset_index(names="row_id"))
+    assert back.assign(new).where("kmeans IS NOT NULL AND mixture IS NOT NULL AND pc1 IS NOT NULL").count() == 30
+    assert back.facts["best_model"] == run.best_model and back.facts["best_k"] == run.best_k
+    assert back.tables["labels"].count() == 480 and back.tables["rules"].count() == run.rules.count()
+    assert np.allclose(back.kmeans.centers, run.kmeans.centers) and np.allclose(back.pca.loadings, run.pca.loadings)
 
 
 def test_numeric_table_uses_median_items_and_squared_scores(spark):
