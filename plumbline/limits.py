@@ -13,6 +13,10 @@ MEDIAN_BUFFER_ROWS = 2_000_000
 # Rows of one side of a distance block; a block pair is what one task holds.
 BLOCK_ROWS = 4096
 
+# Rows of one side of a silhouette tile, and numbers that its sums may hold.
+TILE_ROWS = 65_536
+TILE_CELLS = 8_000_000
+
 # Leaf regions of the space partition used to prune block pairs.
 MAX_REGIONS = 256
 

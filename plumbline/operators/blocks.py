@@ -20,7 +20,7 @@ from plumbline.limits import BLOCK_ROWS, BOUNDARY_SAMPLE_ROWS, MAX_REGIONS
 
 
 def matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()) if len(column) else np.empty((0, 0))
+    return np.concatenate(column.to_numpy()).reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
 @dataclass

@@ -8,6 +8,8 @@ are one weighted row.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -15,11 +17,26 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.limits import BLOCK_ROWS, LABEL_COLUMNS_PER_PASS
+from plumbline.limits import BLOCK_ROWS, LABEL_COLUMNS_PER_PASS, TILE_CELLS, TILE_ROWS
 from plumbline.operators.blocks import cogroup_blocks, matrix
 
+#: Rows of a side whose distances are held at a time.
+PIECE_ROWS = 2048
+
+
+def tiles_for(rows: int, width: int, slots: int, block_rows: int | None = None) -> int:
+    """Tiles per side: as few as fit a task's memory, but enough for all task slots.
+
+    A row is copied once for every tile of the other side, which is about the square
+    root of twice the tasks. A tile's sums are ``rows x width`` numbers.
+    """
+    if block_rows is not None:
+        return max(1, -(-rows // block_rows))
+    fit = max(BLOCK_ROWS, min(TILE_ROWS, TILE_CELLS // max(1, width)))
+    return max(1, -(-rows // fit), min(math.ceil(math.sqrt(2 * slots)), -(-rows // BLOCK_ROWS)))
+
 
-def silhouettes(points: DataFrame, labelings: list[str], block_rows: int = BLOCK_ROWS,
+def silhouettes(points: DataFrame, labelings: list[str], block_rows: int | None = None,
                 columns_per_pass: int = LABEL_COLUMNS_PER_PASS) -> dict[str, float | None]:
     """Score per labeling column of ``points(row_id, x, <labelings>)``.
 
@@ -34,7 +51,8 @@ def silhouettes(points: DataFrame, labelings: list[str], block_rows: int = BLOCK
     columns = [(n, c) for n in scored for c in sorted(sizes[n])]
     unique = (points.where(F.coalesce(*[F.col(n).cast("bigint") for n in scored]).isNotNull())
               .groupBy("x", *scored).agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("w"))).persist()
-    blocks = -(-unique.count() // block_rows)
+    slots = points.sparkSession.sparkContext.defaultParallelism
+    blocks = tiles_for(unique.count(), min(len(columns), columns_per_pass), slots, block_rows)
     passes = [columns[i:i + columns_per_pass] for i in range(0, len(columns), columns_per_pass)]
     parts = [_pass(unique, scored, sizes, cols, blocks) for cols in passes]
     merged = parts[0]
@@ -71,27 +89,37 @@ def _pass(unique: DataFrame, labelings: list[str], sizes: dict, columns: list, b
     place = {n: {c: i for i, (m, c) in enumerate(columns) if m == n} for n in labelings}
     width = len(columns)
 
-    def sums(others, weights, labels, distances):
-        hot = np.zeros((len(others), width))
+    def member(rows: pd.DataFrame) -> np.ndarray:
+        """Weight of each row in the column of its cluster, for every labeling."""
+        hot, weights = np.zeros((len(rows), width)), rows["w"].to_numpy()
         for n in labelings:
-            column = labels[n].map(place[n]).to_numpy(dtype=float)
+            column = rows[n].map(place[n]).to_numpy(dtype=float)
             here = np.flatnonzero(~np.isnan(column))
             hot[here, column[here].astype(int)] = weights[here]
-        return distances @ hot
+        return hot
 
     def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """Distances of a tile are made a piece at a time and turned into sums at once."""
         if left.empty or right.empty:
             return pd.DataFrame({"row_id": [], "sums": []})
+        same = left["lb"].iat[0] == right["rb"].iat[0]
         a, b = matrix(left["x"]), matrix(right["x"])
-        d = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
-        np.sqrt(np.maximum(d, 0.0, out=d), out=d)
-        same = left["lb"].iat[0] == left["rb"].iat[0]
-        if same:
-            d[left["row_id"].to_numpy()[:, None] == right["row_id"].to_numpy()[None, :]] = 0.0
-        found = [(left["row_id"], sums(b, right["w"].to_numpy(), right, d))]
-        if not same:
-            found.append((right["row_id"], sums(a, left["w"].to_numpy(), left, d.T)))
-        return pd.concat([pd.DataFrame({"row_id": ids.to_numpy(), "sums": list(s)}) for ids, s in found])
+        ids, others = left["row_id"].to_numpy(), right["row_id"].to_numpy()
+        to_left, to_right = np.zeros((len(a), width)), np.zeros((0 if same else len(b), width))
+        for j in range(0, len(b), PIECE_ROWS):
+            part = b[j:j + PIECE_ROWS]
+            squares, hot = (part * part).sum(axis=1), member(right.iloc[j:j + PIECE_ROWS])
+            for i in range(0, len(a), PIECE_ROWS):
+                own = a[i:i + PIECE_ROWS]
+                d = (own * own).sum(axis=1)[:, None] + squares[None, :] - 2.0 * (own @ part.T)
+                np.sqrt(np.maximum(d, 0.0, out=d), out=d)
+                if same:
+                    d[ids[i:i + PIECE_ROWS, None] == others[None, j:j + PIECE_ROWS]] = 0.0
+                to_left[i:i + PIECE_ROWS] += d @ hot
+                if not same:
+                    to_right[j:j + PIECE_ROWS] += d.T @ member(left.iloc[i:i + PIECE_ROWS])
+        found = [(ids, to_left)] if same else [(ids, to_left), (others, to_right)]
+        return pd.concat([pd.DataFrame({"row_id": rows, "sums": list(s)}) for rows, s in found])
 
     block = F.pmod(F.xxhash64("row_id"), F.lit(blocks)).cast("int")
     rows = unique.withColumn("block", block)

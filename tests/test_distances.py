@@ -112,3 +112,30 @@ def test_bayes_grid_matches_numpy(make_points):
                 + (x[~t] - x[t][y[t] == c].mean(axis=0)) ** 2 / (x[t][y[t] == c].var(axis=0) + eps)).sum(axis=1)
                 for c in range(3)], axis=1)
             assert got[f][f"acc_{j}"] == pytest.approx((score.argmax(axis=1) == y[~t]).mean())
+
+
+def test_tiles_grow_with_the_root_of_the_tasks():
+    from plumbline.operators.silhouette import tiles_for
+    assert tiles_for(150, 54, 8) == 1 and tiles_for(10_000, 54, 8) == 3
+    assert tiles_for(1_000_000, 54, 8) == 16 and tiles_for(1_000_000, 512, 8) == 64
+    assert tiles_for(10 ** 7, 54, 2000) == 153 and tiles_for(10 ** 6, 54, 2000) == 64
+
+
+def test_silhouette_pieces_equal_brute_force(spark, make_points, monkeypatch):
+    from plumbline.operators import silhouette as S
+    monkeypatch.setattr(S, "PIECE_ROWS", 7)
+    rng = np.random.default_rng(5)
+    x, label = rng.normal(size=(90, 3)), rng.integers(0, 30, 90)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    scores = []
+    for i in range(90):
+        own = label == label[i]
+        if own.sum() == 1:
+            scores.append(0.0)
+            continue
+        a = d[i, own].sum() / (own.sum() - 1)
+        b = min(d[i, label == c].mean() for c in set(label) - {label[i]})
+        scores.append((b - a) / max(a, b))
+    points = make_points(x, label=[float(v) for v in label])
+    for rows in (None, 25, 90):
+        assert S.silhouettes(points, ["label"], rows)["label"] == pytest.approx(np.mean(scores))
