@@ -13,7 +13,7 @@ from plumbline.session import cut_lineage
 #: Rows of one Arrow batch; a Python worker holds one batch, so this bounds its memory.
 BATCH_ROWS = 512
 #: Bytes of one Arrow batch, beyond which Spark starts another.
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
