@@ -2,8 +2,9 @@
 
 Every page's containers are scored by the running text they hold. A container is
 named by its generalised path: tags with their classes, numbers left out. The scores
-vote per host in Spark, and each page is read again at the path that won for its
-host, so a page with an odd layout still follows its host.
+vote per host in Spark. A second vote widens the winner to the containers around it
+as long as what they add is no list of links; each page is then read at the path of
+its host, so a page with an odd layout still follows its host.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ APART_WORDS = re.compile(
 #: Elements that hold the page or the article, whatever their classes say, and words for what holds both article and parts set apart.
 WHOLE = frozenset("html body main article".split())
 HOLDS_ALL = re.compile(r"content|article|main|wrap|container|layout|page|has-|with-|no-", re.I)
+#: Share of linked text up to which what stands around the winner belongs to it.
+LINKED = 0.3
 #: An element that starts closes an open one of these before it.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}}
@@ -120,7 +123,7 @@ class Page:
             self._open = node
             return
         names = dict((k.lower(), a or b or c) for k, a, b, c in _ATTRIBUTE.findall(attributes))
-        classes = sorted({re.sub(r"\d+", "", x).strip("-_") for x in names.get("class", "").lower().split()} - {""})
+        classes = sorted({re.sub(r"[\d/]+", "", x).strip("-_") for x in names.get("class", "").lower().split()} - {""})
         apart = node.apart or tag in APART or (tag not in WHOLE and any(map(_says_apart, names.values())))
         self._open = Container(tag, f"{node.path}/{'.'.join([tag, *classes])}", apart, node)
 
@@ -165,6 +168,24 @@ class Page:
                 holder, share = holder.parent, share / 2
         return scores
 
+    def around(self, path: str) -> dict[int, tuple[float, float]]:
+        """Per number of steps of ``path``: text, and linked text, in blocks that share just these with it."""
+        own, known, sums = path.split("/"), {}, {}
+        for container, text, linked in self.blocks:
+            if container.apart:
+                continue
+            level = known.get(container.path)
+            if level is None:
+                level = 0
+                for a, b in zip(own, container.path.split("/"), strict=False):
+                    if a != b:
+                        break
+                    level += 1
+                known[container.path] = level
+            chars, links = sums.get(level, (0.0, 0.0))
+            sums[level] = chars + len(text), links + len(text) * linked
+        return sums
+
     def text(self, path: str | None) -> str:
         """Blocks inside the elements of ``path`` that are not set apart, joined by line feeds.
 
@@ -173,7 +194,9 @@ class Page:
         chosen = self._inside(path) if path else []
         if not chosen:
             votes = self.votes()
-            chosen = self._inside(max(sorted(votes), key=votes.__getitem__)) if votes else []
+            if votes:
+                best = max(sorted(votes), key=votes.__getitem__)
+                chosen = self._inside(widened(best, self.around(best)))
         return "\n".join(chosen)
 
     def _inside(self, path: str) -> list[str]:
@@ -184,6 +207,24 @@ class Page:
         return out
 
 
+def widened(path: str, around: dict[int, tuple[float, float]]) -> str:
+    """The outermost container, up to an article or main and below the body, that adds no list of links to ``path``."""
+    own = path.split("/")
+    best = len(own)
+    for level in range(len(own), 1, -1):
+        tag = own[level - 1].partition(".")[0]
+        if tag in ("html", "body"):
+            break
+        chars, linked = around.get(level, (0.0, 0.0)) if level < len(own) else (0.0, 0.0)
+        if linked > LINKED * chars:
+            break
+        if chars:
+            best = level
+        if tag in ("article", "main"):
+            break
+    return "/".join(own[:best])
+
+
 def _role(container: Container) -> float:
     name = container.path.rpartition("/")[2]
     return 4.0 if container.tag == "article" else 3.0 if container.tag == "main" or re.search(r"article|content|post|entry|story", name) else 1.0
@@ -229,6 +270,45 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     return sums.join(best, ["host", "share"]).groupBy("host").agg(F.min("path").alias("path"))
 
 
+def _vote_around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What stands around the host's winner, as shares of each page, added up within a task."""
+    held: dict[tuple[str, int], list] = {}
+
+    def out():
+        rows = [(host, level, *sums) for (host, level), sums in held.items()]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+            (pa.string(), pa.int32(), pa.float64(), pa.float64()))], ["host", "level", "chars", "linked"])
+
+    for batch in batches:
+        for host, path, source in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            around = Page(source).around(path)
+            total = sum(chars for chars, _ in around.values())
+            for level, (chars, linked) in around.items():
+                sums = held.setdefault((host, level), [0.0, 0.0])
+                sums[0] += chars / total
+                sums[1] += linked / total
+        if len(held) > 50_000:
+            yield out()
+    yield out()
+
+
+def _widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths = [path and widened(path, {a["level"]: (a["chars"], a["linked"]) for a in around or ()})
+                 for path, around in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string()), batch.column(2)], ["host", "path", "n"])
+
+
+def widened_paths(rows: DataFrame, winners: DataFrame) -> DataFrame:
+    """``(host, path, n)``: ``winners(host, path, n)`` widened by the votes of ``rows(host, html)``."""
+    joined = join_with_heavy_keys(rows.select("host", "html"), winners, "host", "n").where("path is not null").select("host", "path", "html")
+    sums = joined.mapInArrow(_vote_around, "host string, level int, chars double, linked double").groupBy("host", "level").agg(
+        F.round(F.sum("chars"), 6).alias("chars"), F.round(F.sum("linked"), 6).alias("linked"))
+    levels = sums.groupBy("host").agg(F.collect_list(F.struct("level", "chars", "linked")).alias("around"))
+    return winners.join(levels, "host", "left").select("host", "path", "n", "around").mapInArrow(_widen, "host string, path string, n bigint")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every page.
 
@@ -244,7 +324,9 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", host_of("url").alias("host"), string("html").alias("html"))
     sizes = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
     winning_paths(pages).join(sizes, "host", "full_outer").write.parquet(folder)
-    joined = join_with_heavy_keys(rows, spark.read.parquet(folder), "host", "n").select("page_id", "url", "path", "html")
+    wider = scratch_folder(spark, "host-paths")
+    widened_paths(rows, spark.read.parquet(folder)).write.parquet(wider)
+    joined = join_with_heavy_keys(rows, spark.read.parquet(wider), "host", "n").select("page_id", "url", "path", "html")
     id_type = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -60,3 +60,18 @@ def test_ties_go_to_the_first_path(spark):
     both = page("<div class='b'><p>Same text here.</p></div><div class='a'><p>Same text here.</p></div>")
     got = extract(spark, [(i, "http://t.example", both) for i in range(4)])
     assert len({r.text for r in got}) == 1
+
+
+def test_what_stands_around_the_winner_belongs_to_it(spark):
+    body = "<p>Long running text, with words. " + "And more of it, on and on. " * 40 + "</p>"
+    links = "<ul class='more'>" + "<li><a href='/x'>Another page of this host</a></li>" * 9 + "</ul>"
+    article = page(f"<article><h1>Title</h1><p>The lead.</p><div class='entry-content'>{body}</div><div class='after'><p>Sibling.</p></div>"
+                   "<div class='share'>Share</div></article><p>Outside</p>")
+    neutral = page(f"<div class='w-1/2'><div class='lead'>The lead.</div><div class='text'>{body}</div></div>")
+    linked = page(f"<div class='box'>{links}<div class='text'>{body}</div></div>")
+    rows = [(10 * h + i, f"http://h{h}.example/{i}", source) for h, source in enumerate((article, neutral, linked)) for i in range(3)]
+    rows.append((40, "http://h0.example/odd", page(f"<section><div class='lead'>The lead.</div><div class='text'>{body}</div></section>")))
+    got = {r.page_id: r.text.split("\n") for r in extract(spark, rows)}
+    assert [x[:9] for x in got[0]] == ["Title", "The lead.", "Long runn", "Sibling."]
+    assert [x[:9] for x in got[10]] == ["The lead.", "Long runn"] and [x[:9] for x in got[20]] == ["Long runn"]
+    assert [x[:9] for x in got[40]] == ["The lead.", "Long runn"]
