@@ -64,8 +64,11 @@ _NUMBERS = [
     ("account", re.compile(r"(?<![\d.,-])\d(?:[ -]?\d){12,18}(?!\d)")),
 ]
 _NAME = r"[^\W\d_][^\W\d_]+(?:['’-][^\W\d_]+)?"
-_NAMED = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES.values())})\.? +(?P<titled>{_NAME}(?: +{_NAME})?)"
-                    rf"|(?P<given>{'|'.join(GIVEN_M + GIVEN_F)}) +(?P<family>{_NAME}))\b")
+_WORD = re.compile(_NAME)
+#: What a name starts with, and each further word of it: initials and lower-case particles may stand before a name word.
+_NAMED = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES.values())})\b\.?(?= )|(?P<given>{'|'.join(GIVEN_M + GIVEN_F)})\b(?= |['’-]))")
+_NEXT = re.compile(rf" +(?:[^\W\d_]\.? +)*(?:(?:van|von|vom|zu|zum|zur|den|der|ter|ten|de|del|della|di|da|dos|du|la|le|bin|ibn|al) +)*(?P<word>{_NAME})")
+_POSSESSIVE = re.compile(r"['’]s\Z", re.I)
 _NAME_HINTS = [*"|".join(TITLES.values()).split("|"), *GIVEN_M, *GIVEN_F]
 
 
@@ -253,6 +256,10 @@ def _gender(title: str) -> str:
     return next(g for g, names in TITLES.items() if title in names.split("|"))
 
 
+_TITLES = frozenset("|".join(TITLES.values()).split("|"))
+_LISTED = {x.lower(): "m" for x in GIVEN_M} | {x.lower(): "f" for x in GIVEN_F}
+
+
 class Finder:
     """Entities of a text as ``(start, end, kind, found text)``, left to right without overlap.
 
@@ -275,8 +282,7 @@ class Finder:
         if any(start in text for start in KEY_STARTS):
             found += [(*m.span(), "secret") for m in _KEY.finditer(text)]
         if any(name in text for name in _NAME_HINTS):
-            for m in _NAMED.finditer(text):
-                found += self._parts(m)
+            found += self._names(text)
         if not found:
             return found
         out, end = [], 0
@@ -336,19 +342,52 @@ class Finder:
         return Finder._hex_run(text, at)
 
     @staticmethod
-    def _parts(m: re.Match) -> list[tuple[int, int, str]]:
-        """The given name and the surname apart, so that each has its surrogate wherever it stands."""
-        if m.group("given"):
-            gender = "m" if m.group("given") in GIVEN_M else "f"
-            return [(*m.span("given"), f"name_{gender}"), (*m.span("family"), "name_s")] if m.group("family")[0].isupper() else []
-        start = m.start("titled")
-        words = [w for w in re.finditer(r"\S+", m.group("titled"))]
-        if len(words) == 2 and not words[1].group()[0].isupper():
-            words.pop()
-        if not words[0].group()[0].isupper():
+    def _names(text: str) -> list[tuple[int, int, str]]:
+        """Name parts after titles and listed given names, and every other mention of these parts in the text.
+
+        The given names and the surname are apart, so that each has its surrogate
+        wherever it stands. A given name has one gender in a text: that of the lists,
+        else of most of its titles and of the given names before it.
+        """
+        parts, genders, at = [], {}, 0
+        while m := _NAMED.search(text, at):
+            title, at = m.group("title"), m.end()
+            words = [] if title else [Finder._word(text, m.start(), _WORD.match(text, m.start()).end())]
+            here = words[0][1] if words else at
+            while (n := _NEXT.match(text, here)) and n.group("word")[0].isupper():
+                if _NAMED.match(text, n.start("word")) and n.group("word") in _TITLES:
+                    break
+                words.append(Finder._word(text, *n.span("word")))
+                here = words[-1][1]
+                if here < n.end("word"):
+                    break  # a possessive ends the name
+            if not words or (not title and len(words) == 1):
+                continue
+            at = max(at, here)
+            lead = _LISTED.get(text[slice(*words[0])].lower()) or (_gender(title) if title else "u")
+            for start, stop in words[:-1]:
+                canon = text[start:stop].lower()
+                genders.setdefault(canon, []).append(_LISTED.get(canon) or lead)
+                parts.append((start, stop, canon, True))
+            parts.append((*words[-1], text[slice(*words[-1])].lower(), False))
+        if not parts:
             return []
-        kinds = ["name_s"] if len(words) == 1 else [f"name_{_gender(m.group('title'))}", "name_s"]
-        return [(start + w.start(), start + w.end(), kind) for w, kind in zip(words, kinds, strict=True)]
+        kinds = {canon: "name_" + max("mfu", key=lambda g, v=votes: (g != "u" and v.count(g), v.count(g))) for canon, votes in genders.items()}
+        out = [(start, stop, kinds[canon] if given else "name_s") for start, stop, canon, given in parts]
+        taken = {start for start, *_ in parts}
+        spelt = {form: kind for start, stop, kind in out for form in (text[start:stop], text[start:stop].upper())}
+        for m in _WORD.finditer(text):
+            start, stop = Finder._word(text, *m.span())
+            if start not in taken and (kind := spelt.get(text[start:stop])) and not (start and (text[start - 1].isalnum() or text[start - 1] == "_")):
+                if not text[stop:stop + 1].isdigit() and text[stop:stop + 1] != "_":
+                    out.append((start, stop, kind))
+        return out
+
+    @staticmethod
+    def _word(text: str, start: int, stop: int) -> tuple[int, int]:
+        """A word without a possessive ending."""
+        ending = _POSSESSIVE.search(text[start:stop])
+        return start, stop - (len(ending.group()) if ending else 0)
 
 
 class Replacer:
@@ -405,15 +444,17 @@ def changed_surrogates(docs: DataFrame, key: bytes, text: str = "text") -> DataF
     """``(kind, canon, attempt)`` of the entities whose first surrogate collides, over the whole corpus.
 
     A surrogate collides if an entity of the same type smaller in order has it too, or
-    if it is itself an entity of that type. Rounds go on until there is no collision.
+    if it is itself an entity of that type; names of all kinds are one type. Rounds go
+    on until there is no collision.
     """
     entities = docs.select(string(text).alias("text")).mapInArrow(_collect_entities, "kind string, canon string").distinct()
     state = set_down(_with_surrogates(entities.withColumn("attempt", F.lit(0)), key))
     while True:
-        shared = state.groupBy("kind", "made").agg(F.min(F.struct("attempt", "canon")).alias("first"), F.count(F.lit(1)).alias("n"))
-        later = state.join(shared.where("n > 1"), ["kind", "made"]).where("canon <> first.canon").select("kind", "canon")
-        real = state.select("kind", "made", "attempt", F.col("canon").alias("c")).join(
-            state.select("kind", F.col("canon").alias("made")), ["kind", "made"], "left_semi").where(F.col("attempt") < REAL_ATTEMPTS).select("kind", F.col("c").alias("canon"))
+        typed = state.withColumn("type", F.when(F.col("kind").startswith("name"), F.lit("name")).otherwise(F.col("kind")))
+        shared = typed.groupBy("type", "made").agg(F.min(F.struct("attempt", "canon", "kind")).alias("first"), F.count(F.lit(1)).alias("n"))
+        later = typed.join(shared.where("n > 1"), ["type", "made"]).where("canon <> first.canon or kind <> first.kind").select("kind", "canon")
+        real = typed.select("type", "kind", "made", "attempt", F.col("canon").alias("c")).join(
+            typed.select("type", F.col("canon").alias("made")), ["type", "made"], "left_semi").where(F.col("attempt") < REAL_ATTEMPTS).select("kind", F.col("c").alias("canon"))
         bad = later.unionByName(real).distinct()
         if not bad.limit(1).count():
             return state.where("attempt > 0").select("kind", "canon", "attempt")

@@ -93,3 +93,30 @@ def test_odd_rows(spark, make_docs):
     assert "password=" + "k9" * 400 not in dict(texts)[6]
     assert s.replace_personal_data(docs.limit(0), KEY).count() == 0
     assert {r.doc_id: r.entities for r in s.count_entities(docs, ["doc_id"]).collect()}[4] == {"email": 1}
+
+
+def test_whole_names_everywhere_in_a_text():
+    text = ("Dr Anna Maria Keller met Mary Ann Smith and Mr. Jan van der Berg. Keller's friend, KELLER, wrote. Dr Robin Hall; Mrs Robin Hall; "
+            "Berg saw John F. Kennedy. Kellerman stayed; Mrs Smith too.")
+    found = [(kind, name) for _, _, kind, name in s.Finder().entities(text)]
+    assert found == [("name_f", "Anna"), ("name_f", "Maria"), ("name_s", "Keller"), ("name_f", "Mary"), ("name_f", "Ann"), ("name_s", "Smith"),
+                     ("name_m", "Jan"), ("name_s", "Berg"), ("name_s", "Keller"), ("name_s", "KELLER"), ("name_f", "Robin"), ("name_s", "Hall"),
+                     ("name_f", "Robin"), ("name_s", "Hall"), ("name_s", "Berg"), ("name_m", "John"), ("name_s", "Kennedy"), ("name_s", "Smith")]
+    out = s.Replacer(KEY).replace(text)[0]
+    assert not re.search(r"Anna|Maria|Keller\b|KELLER|Mary|Smith|Berg|Hall|Kennedy", out) and "Kellerman" in out
+
+
+def test_one_gender_for_one_name():
+    given = {s.Finder().entities(t)[0] for t in ("Dr John Smith", "Mr John Smith")}
+    assert {kind for _, _, kind, _ in given} == {"name_m"} and s.Finder().entities("John Smith")[0][2] == "name_m"
+
+
+def test_kinds_of_names_never_share_a_surrogate(spark, make_docs, monkeypatch):
+    made = s.surrogate
+    monkeypatch.setattr(s, "_name", lambda p, kind, canon, attempt: "same" if not attempt else f"{canon}{kind}{attempt}x")
+    frame = spark.createDataFrame([("name_m", "john", 0), ("name_s", "smith", 0), ("phone", "555", 0)], "kind string, canon string, attempt int")
+    monkeypatch.setattr(s, "_with_surrogates", lambda entities, key: spark.createDataFrame(
+        [(r.kind, r.canon, r.attempt, made(s.Permutation(key), r.kind, r.canon, r.attempt)) for r in entities.collect()],
+        "kind string, canon string, attempt int, made string"))
+    assert frame.count() == 3
+    assert s.changed_surrogates(make_docs([(1, "Mr John Smith")]), KEY).count() == 1
