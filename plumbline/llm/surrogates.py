@@ -12,6 +12,7 @@ the later one another surrogate until none is left.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import math
 import re
 from collections.abc import Iterator
@@ -48,19 +49,24 @@ _TRIGGER = re.compile(r"[0-9@+(=:]")
 _LOCAL = re.compile(r"[\w.%+-]+")
 _DOMAIN = re.compile(r"@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+")
 _ASSIGNED = re.compile(SECRET_NAMES + r"[\"']?\s{0,4}\Z")
-_VALUE = re.compile(r"[=:]\W{0,4}?(?P<value>[^\s\"'&%$*#!|,;=:]{6,})")
+#: A quoted value runs to its quote; another one to white space or the next ``name=`` after one of ``&;,``.
+_VALUE = re.compile(r"""[=:][^\w\n]{0,4}?(?:"(?P<double>(?:[^"\\\n]|\\.){6,}+)"|'(?P<single>(?:[^'\\\n]|\\.){6,}+)'"""
+                    r"""|(?P<value>(?:[^\s"'&;,]|["'](?=\w)|[&;,](?!["']?[\w.-]{1,64}["']?[=:])){6,}+))""")
+_AFTER_VALUE = ".,;:!?)]}>\"'"
 _PEM = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s\\]*(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?")
 _KEY = re.compile(r"(?<![0-9A-Za-z])(?:AKIA[0-9A-Z]{16}|gh[pousr]_\w{20,}|xox[abprs]-[\w-]{10,}|sk-[\w-]{20,}|eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]*)")
 _HEX = re.compile(r"[0-9a-fA-F]{32,}(?![0-9A-Za-z])")
 _IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])")
 _MAC = re.compile(r"(?<![0-9A-Za-z:-])(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2}(?![0-9A-Za-z:-])")
-_IP6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])")
+_IP6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:(?:\d{1,3}\.){3}\d{1,3}|[0-9A-Fa-f]{0,4})(?![\w:])")
 #: Kinds that start at a digit, a plus or a bracket, in the order in which they are tried.
 _NUMBERS = [
     ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\) ?\d{3,4}[ .-]\d{3,4}"
-                         r"|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)")),
+                         r"|\d{3}[.-]\d{3}[.-]\d{4}"
+                         r"|(?<![\w+.,/:-])(?!(?:\d[ /-]?){12}\d)(?:\d{3} \d{3}[ .-]\d{4}"
+                         r"|(?=0(?:[ /-]?\d){8,11}(?!\d))0\d{2,5}[ /-]?\d{2,4}(?:[ -]?\d{2,4}){1,3}|0\d(?P<sep>[ .-]?)\d{2}(?:(?P=sep)\d{2}){3}))(?!\d)")),
     ("account", re.compile(r"(?<![\d.,-])\d(?:[ -]?\d){12,18}(?!\d)")),
 ]
 _NAME = r"[^\W\d_][^\W\d_]+(?:['’-][^\W\d_]+)?"
@@ -152,10 +158,16 @@ def _private(ip: str) -> bool:
     return a in (10, 127) or (a, b) == (192, 168) or (a == 172 and 16 <= b < 32)
 
 
+def _local_ip6(exploded: str) -> bool:
+    return exploded[:2] in ("fc", "fd") or exploded[:3] in ("fe8", "fe9", "fea", "feb") or exploded[:4] == "0000"
+
+
 def canonical(kind: str, text: str) -> str:
     if kind == "email":
         return text.lower()
-    if kind in ("hex", "mac", "ip6"):
+    if kind == "ip6":
+        return ":".join(re.findall("....", f"{int(ipaddress.IPv6Address(text)):032x}"))
+    if kind in ("hex", "mac"):
         return re.sub("-", ":", text).lower() if kind == "mac" else text.lower()
     if kind in ("phone", "account", "ssn"):
         return ("+" if text.startswith("+") else "") + re.sub(r"\D", "", text)
@@ -181,7 +193,11 @@ def surrogate(p: Permutation, kind: str, canon: str, attempt: int = 0) -> str:
         moved = [_permuted(p, x, f"{tweak}|domain") for x in labels[:-fixed]]
         longer = str(p.of(attempt, 10 ** attempt, canon)) if attempt else ""  # a short name must not run out of others
         return f"{_permuted(p, local, tweak)}{longer}@{'.'.join(moved + labels[-fixed:])}"
-    if kind in ("hex", "mac", "ip6"):
+    if kind == "ip6":  # local addresses stay local; the first group of another one stays no local one
+        local = _local_ip6(canon)
+        first = canon[:4] if local else _permuted(p, canon[:4], f"{tweak}|first", lambda c: _LOWER_HEX, accept=lambda x: not _local_ip6(x))
+        return first + _permuted(p, canon[4:], f"{tweak}|{canon[:4]}", lambda c: _LOWER_HEX if c in _LOWER_HEX else None)
+    if kind in ("hex", "mac"):
         return _permuted(p, canon, tweak, lambda c: _LOWER_HEX if c in _LOWER_HEX else None)
     if kind == "ip":
         private = _private(canon)
@@ -194,6 +210,10 @@ def surrogate(p: Permutation, kind: str, canon: str, attempt: int = 0) -> str:
     if kind == "phone" and canon[0] == "+":
         keep = 1 + _country_code(canon[1:])
         return canon[:keep] + _permuted(p, canon[keep:], f"{tweak}|{canon[:keep]}")
+    if kind == "phone" and canon[0] == "0":
+        return "0" + _permuted(p, canon[1:], f"{tweak}|0")
+    if kind == "phone":
+        return _permuted(p, canon, tweak, accept=lambda x: x[0] != "0")
     if kind == "account":
         valid = _luhn(canon)
         return _permuted(p, canon, f"{tweak}|{valid}", accept=lambda s: _luhn(s) == valid)
@@ -307,7 +327,11 @@ class Finder:
         if _ASSIGNED.search(text, max(0, at - 24), at):
             m = _VALUE.match(text, at)
             if m:
-                out.append((*m.span("value"), "secret"))
+                start, stop = m.span(m.lastgroup)
+                if m.lastgroup == "value":
+                    bare = len(text[start:stop].rstrip(_AFTER_VALUE))
+                    stop = start + bare if bare >= 6 else stop
+                out.append((start, stop, "secret"))
         if text[at] == ":":
             out += Finder._hex_run(text, at)
         return out
@@ -317,11 +341,20 @@ class Finder:
         start = at
         while start and (text[start - 1] in "0123456789abcdefABCDEF:-") and at - start < 64:
             start -= 1
-        for kind, pattern in (("mac", _MAC), ("ip6", _IP6)):
-            m = pattern.match(text, start)
-            if m:
-                return [(*m.span(), kind)]
-        return []
+        m = _MAC.match(text, start)
+        if m:
+            return [(*m.span(), "mac")]
+        start = at
+        while start and (text[start - 1] in "0123456789abcdefABCDEF:") and at - start < 64:
+            start -= 1
+        m = _IP6.match(text, start)
+        if not m:
+            return []
+        stop = m.end() - (m.group().endswith(":") and not m.group().endswith("::"))
+        try:  # an address without a digit, or of no host, is none
+            return [(start, stop, "ip6")] if int(ipaddress.IPv6Address(text[start:stop])) > 1 and re.search(r"\d", m.group()) else []
+        except ValueError:
+            return []
 
     @staticmethod
     def _number(text: str, at: int) -> list:

@@ -120,3 +120,24 @@ def test_kinds_of_names_never_share_a_surrogate(spark, make_docs, monkeypatch):
         "kind string, canon string, attempt int, made string"))
     assert frame.count() == 3
     assert s.changed_surrogates(make_docs([(1, "Mr John Smith")]), KEY).count() == 1
+
+
+@pytest.mark.parametrize(("text", "kind", "entity"), [
+    ("password=Pa$$w0rd!x now", "secret", "Pa$$w0rd!x"), ("secret=ab,cd12345.", "secret", "ab,cd12345"),
+    ("password=Tr0ub4dor&3 and", "secret", "Tr0ub4dor&3"), ("?token=abcdef12&user=me", "secret", "abcdef12"),
+    ('{"password": "a b, c=\\"d1", "x": 1}', "secret", 'a b, c=\\"d1'), ("pwd='x y|z 123' ", "secret", "x y|z 123"),
+    ("at 2001:db8::1, or", "ip6", "2001:db8::1"), ("fe80::1", "ip6", "fe80::1"), ("[2001:db8:0:0:0:0:0:1]:80", "ip6", "2001:db8:0:0:0:0:0:1"),
+    ("::ffff:8.8.8.8", "ip6", "::ffff:8.8.8.8"), ("call 555 123 4567.", "phone", "555 123 4567"),
+    ("Tel. 0171 1234567,", "phone", "0171 1234567"), ("020 7946 0958", "phone", "020 7946 0958"), ("01 23 45 67 89", "phone", "01 23 45 67 89")])
+def test_forms_that_are_found_whole(text, kind, entity):
+    assert [(k, e) for _, _, k, e in s.Finder().entities(text)] == [(kind, entity)]
+    out = s.Replacer(KEY).replace(text)[0]
+    assert entity not in out and len(s.Finder().entities(out)) == 1
+
+
+def test_one_address_in_two_notations():
+    p = s.Permutation(KEY)
+    assert s.canonical("ip6", "2001:DB8::1") == s.canonical("ip6", "2001:db8:0:0:0:0:0:1")
+    assert s.surrogate(p, "ip6", s.canonical("ip6", "fe80::1")).startswith("fe80:")
+    for clean in ("std::vector", "a::b", "::1", "at 10:30:15", "01.02.2024 10:30", "2024-01-02 10:30", "01-02-2024 10", "0.0171 12345", "1 000 000"):
+        assert s.Finder().entities(clean) == [], clean
