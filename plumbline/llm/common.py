@@ -71,3 +71,24 @@ def join_with_heavy_keys(left: DataFrame, right: DataFrame, key: str, weight: st
 def set_down(df: DataFrame) -> DataFrame:
     """A copy in the shared checkpoint folder; the plan starts anew from it."""
     return cut_lineage(df)
+
+
+def numbered(rows: DataFrame, *order: Column) -> DataFrame:
+    """``rows`` with ``position`` (0 upwards in the given order) and ``part``, the sorted partition it lies in; set down.
+
+    The rows are dealt by range and sorted there; only the rows of each partition are counted
+    on the driver. Equal rows follow in any order, dealt over partitions by their place in the
+    input, so a row that repeats very often is no large partition: put ``rows`` down before.
+    """
+    spread = rows.withColumn("__tie", F.monotonically_increasing_id())
+    dealt = set_down(spread.repartitionByRange(*order, F.col("__tie")).sortWithinPartitions(*order, F.col("__tie"))
+                     .withColumn("__at", F.monotonically_increasing_id()))
+    part, within = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted((r[0], r[1]) for r in dealt.groupBy(part).count().collect())
+    starts, before = [], 0
+    for number, n in counts:
+        starts.append((number, before))
+        before += n
+    offsets = F.broadcast(rows.sparkSession.createDataFrame(starts, "part bigint, __before bigint"))
+    return dealt.withColumn("part", part).join(offsets, "part").withColumn("position", F.col("__before") + within).drop(
+        "__tie", "__at", "__before")
