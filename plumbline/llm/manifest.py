@@ -31,14 +31,14 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LEVEL_BITS, _TOP_LEVEL = 56, 64
 
 _CLIMB = """
-WITH RECURSIVE climb(leaf, block, node, pos, folded, proof) AS (
-  SELECT position, block, node, pos, folded, CAST('' AS BINARY) FROM {leaves}
+WITH RECURSIVE climb(leaf, block, node, pos, folded, step, siblings) AS (
+  SELECT position, block, node, pos, folded, 0, CAST('' AS BINARY) FROM {leaves}
   UNION ALL
   SELECT c.leaf, c.block, n.parent, n.parent_pos,
          unhex(sha2(lower(concat(hex(substring(n.kids, 1, 32 * c.pos)), hex(c.folded), hex(substring(n.kids, 32 * c.pos + 33)))), 256)),
-         concat(c.proof, substring(n.kids, 1, 32 * c.pos), substring(n.kids, 32 * c.pos + 33))
+         c.step + 1, concat(substring(n.kids, 1, 32 * c.pos), substring(n.kids, 32 * c.pos + 33))
   FROM climb c JOIN {nodes} n ON c.node = n.node AND c.block = n.block)
-SELECT leaf AS position, folded AS reached, sha2(lower(hex(proof)), 256) AS proof_sha256 FROM climb WHERE node IS NULL
+SELECT leaf AS position, step, siblings, CASE WHEN node IS NULL THEN folded END AS reached FROM climb
 """
 
 
@@ -88,7 +88,8 @@ def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
     """``(position, reached, proof_sha256)`` of every leaf, by the recursive query; set down.
 
     A leaf joins its node by the node's id and the leaf's block, so that the root, which all
-    leaves reach, is met by one block of leaves at a time.
+    leaves reach, is met by one block of leaves at a time. Every step appends a row with the siblings
+    it passed; the next step carries the folded digest alone, and a leaf's rows meet once at the end.
     """
     spark = leaves.sparkSession
     blocks = F.explode(F.sequence(F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS))).alias("block")
@@ -101,7 +102,10 @@ def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
     before = spark.conf.get(setting)
     spark.conf.set(setting, "-1")  # the limit is on all rows of the recursion, whatever the table's size
     try:
-        return set_down(spark.sql(_CLIMB.format(**views)))
+        steps = spark.sql(_CLIMB.format(**views)).groupBy("position").agg(
+            F.max("reached").alias("reached"), F.sort_array(F.collect_list(F.struct("step", "siblings"))).alias("steps"))
+        proof = F.aggregate("steps", F.lit(b""), lambda all_, one: F.concat(all_, one["siblings"]))
+        return set_down(steps.select("position", "reached", F.sha2(F.lower(F.hex(proof)), 256).alias("proof_sha256")))
     finally:
         spark.conf.set(setting, before)
         for view in views.values():
