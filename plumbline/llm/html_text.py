@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,49 +22,94 @@ from plumbline.llm.common import bounded_batches, join_with_heavy_keys, string
 from plumbline.session import scratch_folder
 
 # Elements whose content is no text of the page; elements without end; elements that part blocks.
-SILENT = frozenset("script style template noscript iframe svg math canvas object audio video head title textarea select".split())
+SILENT = frozenset("script style template noscript iframe svg math canvas object audio video title textarea select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
-#: Elements whose role is not the article's, and words in class, id or role that say so.
+#: Elements that hold a piece of running text, and those that are so when they stand in the body itself.
+TEXT = frozenset("p pre blockquote li h1 h2 h3 h4 h5 h6 td".split())
+BESIDE = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 figure".split())
+# Elements and roles that are not the article's, and words of a class or id that say so.
 APART = frozenset("nav header footer aside form menu dialog button label fieldset".split())
-APART_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|alert|popup|modal|newsletter|subscribe|signup|"
-    r"nav|navbar|navigation|menu|breadcrumb\w*|header|masthead|footer|sidebar|side|widget\w*|related|recommend\w*|share|sharing|social|"
-    r"comment|comments|comment-?list|disqus\w*|replies|respond|pagination|pager|login|search|toolbar|skip-?link)(?:$|[\s_-])", re.I)
-#: Elements that hold the page or the article, whatever their classes say, and words for what holds both article and parts set apart.
+APART_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
+APART_WORDS = frozenset("""ad ads advert adverts advertisement advertisements advertising sponsor sponsors sponsored promo promos promotion
+banner banners cookie cookies consent gdpr notice notices alert alerts popup modal newsletter subscribe subscription signup nav navbar
+navigation menu menus breadcrumb breadcrumbs header masthead footer sidebar side widget widgets related recommended recommendations
+share sharing social comment comments commentlist disqus reply replies respond pagination pager login search searchbox toolbar skip
+skiplink""".split())
+#: Words that say where or how large a part is, not what it is, and words for what holds the article.
+NEUTRAL = frozenset("""site top bottom left right global primary secondary container wrapper wrap box area block list section item items link
+links bar unit slot group inner outer panel thread buttons icons media mobile desktop sticky fixed to""".split())
+HOLDERS = frozenset("post posts article entry page content main body story blog".split())
+#: Elements that hold the page or the article, whatever their classes say.
 WHOLE = frozenset("html body main article".split())
-HOLDS_ALL = re.compile(r"content|article|main|wrap|container|layout|page|has-|with-|no-", re.I)
 #: Share of linked text up to which what stands around the winner belongs to it.
 LINKED = 0.3
 #: An element that starts closes an open one of these before it.
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}}
+#: Ends a path to which the running text beside it in the body belongs.
+WITH_BESIDE = "/*"
 
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_VALUE = r"\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)"
+_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+                   rf"<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]|[^\s/>=]++(?:{_VALUE})?|=)*+)(?:>|\Z)", re.S)
+_ATTRIBUTE = re.compile(r"([^\s/>=]++)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
+_NAMED = re.compile(r"class|id|role", re.I)
 
 
-def _says_apart(names: str) -> bool:
-    return any(APART_WORDS.search(name) and not HOLDS_ALL.search(name) for name in names.split())
+@lru_cache(maxsize=20_000)
+def says_apart(name: str) -> bool:
+    """Whether a class or an id is that of a part set apart, all its words taken together.
+
+    Its last word says so, after words for places or holders (``site-footer``, ``post-comments``),
+    or its first, before words for places (``sidebar-left``); ``ad-free`` and ``has-sidebar`` do not.
+    """
+    words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+    if not words:
+        return False
+    rest = APART_WORDS | NEUTRAL
+    if words[-1] in APART_WORDS and all(w in rest or (w in HOLDERS and words[-1] != "header") for w in words[:-1]):
+        return True
+    return words[0] in APART_WORDS and all(w in rest for w in words[1:])
+
+
+def names_of(attributes: str) -> dict[str, str]:
+    """Class, id and role of an element; the first of a name counts."""
+    out: dict[str, str] = {}
+    if _NAMED.search(attributes):
+        for name, a, b, c in _ATTRIBUTE.findall(attributes):
+            if name.lower() in ("class", "id", "role"):
+                out.setdefault(name.lower(), html.unescape(a or b or c))
+    return out
+
+
+def _set_apart(tag: str, names: dict[str, str], inside_article: bool) -> bool:
+    if tag in APART and not (tag == "header" and inside_article):
+        return True
+    if tag in WHOLE or not names:
+        return False
+    return names.get("role", "").lower() in APART_ROLES or any(says_apart(n) for k in ("class", "id") for n in names.get(k, "").split())
 
 
-class Container:
-    """An open or closed element that may hold blocks."""
+class Element:
+    """An open or closed element. ``holder`` is the innermost element with a path, the element itself if it parts blocks."""
 
-    __slots__ = ("apart", "parent", "path", "tag")
+    __slots__ = ("apart", "article", "holder", "linked", "parent", "path", "tag")
 
-    def __init__(self, tag: str, path: str, apart: bool, parent: Container | None):
-        self.tag, self.path, self.apart, self.parent = tag, path, apart, parent
+    def __init__(self, tag: str, path: str, apart: bool, linked: bool, parent: Element | None):
+        self.tag, self.path, self.apart, self.linked, self.parent = tag, path, apart, linked, parent
+        self.article = tag in ("article", "main") or (parent is not None and parent.article)
+        self.holder = self if path or parent is None else parent.holder
 
 
 class Page:
     """A page read once: blocks in order, each with its container and the share of its text inside links."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[Container, str, float]] = []
-        self.root = Container("", "", False, None)
-        self._open, self._parts, self._linked, self._link = self.root, [], 0, 0
+        self.blocks: list[tuple[Element, str, float]] = []
+        self.root = Element("", "", False, False, None)
+        self._open, self._parts, self._linked = self.root, [], 0
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -76,74 +122,74 @@ class Page:
             if mark.start() > at:
                 self._text(source[at:mark.start()])
             at = mark.end()
-            if mark.group().startswith("<![CDATA["):
-                self._text(html.escape(mark.group()[9:].removesuffix("]]>"), quote=False))
-            elif mark.group(2):
+            if mark.group(2):
                 tag = mark.group(2).lower()
                 if mark.group(1):
                     self._close(tag)
                 elif tag in SILENT:
                     if not mark.group(3).rstrip().endswith("/") or tag not in ("svg", "math", "canvas", "object"):
-                        after = re.compile(rf"</{tag}\b[^>]*>" if tag != "head" else r"</head\b[^>]*>|<body\b", re.I).search(source, at)
-                        at = end if after is None else after.start() if after.group().lower().startswith("<body") else after.end()
+                        after = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
+                        at = end if after is None else after.end()
                 else:
                     self._start(tag, mark.group(3))
+            elif mark.group().startswith("<![CDATA["):
+                self._text(html.escape(mark.group()[9:].removesuffix("]]>"), quote=False))
         self._flush()
 
     def _text(self, text: str) -> None:
+        if self._open.apart:
+            return
         self._parts.append(text)
-        if self._link:
+        if self._open.linked:
             self._linked += len(text.strip())
 
     def _flush(self) -> None:
-        raw = "".join(self._parts)
-        text = " ".join(html.unescape(raw).split())
-        if text:
-            self.blocks.append((self._open, text, min(1.0, self._linked / max(1, len(raw.strip())))))
-        self._parts, self._linked = [], 0
+        if self._parts:
+            raw = "".join(self._parts)
+            text = " ".join(html.unescape(raw).split())
+            if text:
+                self.blocks.append((self._open.holder, text, min(1.0, self._linked / max(1, len(raw.strip())))))
+            self._parts, self._linked = [], 0
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag == "br":
-            self._parts.append(" ")
+            self._text(" ")
             return
-        if tag == "a":
-            self._link = 1
-            return
-        if tag not in BLOCKS and not self._marks_apart(attributes):
+        if tag not in BLOCKS:
+            if tag in VOID:
+                return
+            node = self._open
+            if tag == "a":  # a link ends an open one
+                self._close("a")
+                node = self._open
+            apart = node.apart or _set_apart(tag, names_of(attributes), node.article)
+            self._open = Element(tag, "", apart, node.linked or tag == "a", node)
             return
         self._flush()
-        self._link = 0
-        closes = CLOSED_BY.get(tag, ())
-        node = self._open
-        while closes and node.tag in closes:
-            node = node.parent
-        if tag in BLOCKS and node.tag == "p":  # a block ends an open paragraph
-            node = node.parent
+        node, closes = self._open, CLOSED_BY.get(tag, ())
+        while closes and node.holder.tag in closes:
+            node = node.holder.parent
+        if node.holder.tag == "p":  # a block ends an open paragraph
+            node = node.holder.parent
         if tag in VOID:
             self._open = node
             return
-        names = dict((k.lower(), a or b or c) for k, a, b, c in _ATTRIBUTE.findall(attributes))
+        names = names_of(attributes)
         classes = sorted({re.sub(r"[\d/]+", "", x).strip("-_") for x in names.get("class", "").lower().split()} - {""})
-        apart = node.apart or tag in APART or (tag not in WHOLE and any(map(_says_apart, names.values())))
-        self._open = Container(tag, f"{node.path}/{'.'.join([tag, *classes])}", apart, node)
-
-    @staticmethod
-    def _marks_apart(attributes: str) -> bool:
-        return bool(attributes) and any(_says_apart(a or b or c) for _, a, b, c in _ATTRIBUTE.findall(attributes))
+        apart = node.apart or _set_apart(tag, names, node.article)
+        self._open = Element(tag, f"{node.holder.path}/{'.'.join([tag, *classes])}", apart, node.linked, node)
 
     def _close(self, tag: str) -> None:
-        if tag == "a":
-            self._link = 0
-            return
-        node = self._open
-        while node is not None and node.tag != tag:
+        """Ends the innermost open element of that name; the end of an inline element ends none that parts blocks."""
+        node, block = self._open, tag in BLOCKS
+        while node is not None and node.tag != tag and (block or node.holder is not node):
             node = node.parent
-        if node is None or node is self.root:
-            if tag in BLOCKS:
+        if node is None or node is self.root or node.tag != tag:
+            if block:
                 self._flush()
             return
-        self._flush()
-        self._link = 0
+        if block:
+            self._flush()
         self._open = node.parent
 
     # ------------------------------------------------------------ scoring
@@ -156,24 +202,21 @@ class Page:
         """
         scores: dict[str, float] = {}
         for container, text, linked in self.blocks:
-            if container.apart:
-                continue
             worth = len(text) * (1 - linked) + 20 * min(3, text.count(",") + text.count("."))
-            holder = container.parent if container.tag in ("p", "pre", "blockquote", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td") and container.parent else container
+            holder = container.parent.holder if container.tag in TEXT else container
             share = 1.0
-            for _ in range(3):
-                if holder is None:
-                    break
+            while holder is not None:
                 scores[holder.path] = scores.get(holder.path, 0.0) + share * worth * _role(holder)
-                holder, share = holder.parent, share / 2
+                holder, share = holder.parent and holder.parent.holder, share / 2
         return scores
 
     def around(self, path: str) -> dict[int, tuple[float, float]]:
-        """Per number of steps of ``path``: text, and linked text, in blocks that share just these with it."""
+        """Per number of steps of ``path``: text, and linked text, in blocks that share just these with it.
+
+        In the body only running text that stands there itself counts.
+        """
         own, known, sums = path.split("/"), {}, {}
         for container, text, linked in self.blocks:
-            if container.apart:
-                continue
             level = known.get(container.path)
             if level is None:
                 level = 0
@@ -181,6 +224,8 @@ class Page:
                     if a != b:
                         break
                     level += 1
+                if level < len(own) and own[level - 1].partition(".")[0] in ("", "html", "body") and not _beside(container, "/".join(own[:level])):
+                    level = -1
                 known[container.path] = level
             chars, links = sums.get(level, (0.0, 0.0))
             sums[level] = chars + len(text), links + len(text) * linked
@@ -200,24 +245,36 @@ class Page:
         return "\n".join(chosen)
 
     def _inside(self, path: str) -> list[str]:
-        out = []
+        inner = path.removesuffix(WITH_BESIDE)
+        outer = inner.rpartition("/")[0] if inner != path else None
+        out, found = [], False
         for container, text, _ in self.blocks:
-            if not container.apart and (container.path == path or container.path.startswith(path + "/")):
+            inside = container.path == inner or container.path.startswith(inner + "/")
+            found |= inside
+            if inside or (outer is not None and _beside(container, outer)):
                 out.append(text)
-        return out
+        return out if found else []
+
+
+def _beside(container: Element, outer: str) -> bool:
+    """Running text that stands in the element of path ``outer`` itself."""
+    return container.path == outer or (container.tag in BESIDE and container.path.rpartition("/")[0] == outer)
 
 
 def widened(path: str, around: dict[int, tuple[float, float]]) -> str:
-    """The outermost container, up to an article or main and below the body, that adds no list of links to ``path``."""
+    """The outermost container, up to an article or main, that adds no list of links to ``path``.
+
+    What the body (or a page without one) holds itself is added if it is running text, as ``WITH_BESIDE``.
+    """
     own = path.split("/")
     best = len(own)
-    for level in range(len(own), 1, -1):
+    for level in range(len(own), 0, -1):
         tag = own[level - 1].partition(".")[0]
-        if tag in ("html", "body"):
-            break
         chars, linked = around.get(level, (0.0, 0.0)) if level < len(own) else (0.0, 0.0)
         if linked > LINKED * chars:
             break
+        if tag in ("", "html", "body"):
+            return "/".join(own[:level + 1]) + WITH_BESIDE if chars and level < len(own) else "/".join(own[:best])
         if chars:
             best = level
         if tag in ("article", "main"):
@@ -225,7 +282,7 @@ def widened(path: str, around: dict[int, tuple[float, float]]) -> str:
     return "/".join(own[:best])
 
 
-def _role(container: Container) -> float:
+def _role(container: Element) -> float:
     name = container.path.rpartition("/")[2]
     return 4.0 if container.tag == "article" else 3.0 if container.tag == "main" or re.search(r"article|content|post|entry|story", name) else 1.0
 

@@ -75,3 +75,71 @@ def test_what_stands_around_the_winner_belongs_to_it(spark):
     assert [x[:9] for x in got[0]] == ["Title", "The lead.", "Long runn", "Sibling."]
     assert [x[:9] for x in got[10]] == ["The lead.", "Long runn"] and [x[:9] for x in got[20]] == ["Long runn"]
     assert [x[:9] for x in got[40]] == ["The lead.", "Long runn"]
+
+
+def text_of(source):
+    return html_text.Page(source).text(None)
+
+
+REPRODUCED = [
+    ("<html><head><title>x</title><p>Hello</p></html>", "Hello"),
+    ("<head><meta charset=utf-8><title>T</title><h1>Top</h1><p>Text.</p>", "Top\nText."),
+    ("<body><div class='post ad-free'><p>Kept, all of it.</p></div></body>", "Kept, all of it."),
+    ("<body><article><section class='social-history'><p>Past.</p></section><div class='notice-board'><p>Board.</p></div><p data-id=share>Id.</p></article>",
+     "Past.\nBoard.\nId."),
+    ("<body><nav>menu</nav><h1>TITLE</h1><p>LEAD</p><section><p>Long running text, here. And more of it, there.</p></section></body>",
+     "TITLE\nLEAD\nLong running text, here. And more of it, there."),
+    ("<article><header><h1>TITLE</h1><p>Byline</p></header><p>Text.</p><footer>tags</footer></article><header>Site</header>", "TITLE\nByline\nText."),
+    ("<p title=it's>One</p><p>Two, it's here.</p>", "One\nTwo, it's here."),
+    ("<p title=\"a>b\" data-x='c>d' checked>One</p>", "One"),
+    ("<article><p>Go <a class='ad'>Buy</a> on.</p></article>", "Go on."),
+    ("<article><p>Go <span class='ad'>Buy <span>now</span> cheap</span> on.</p></article>", "Go on."),
+    ("<article><p>a <button>PRESS</button> b <label>L</label> c</p></article>", "a b c"),
+    ("<article><a class='promo' href='/x'><div>Buy</div></a><p>Text <b>bold</i></b>.</p></article>", "Text bold."),
+    ("<article><p>Text</p><div class='cookieBanner'>C</div><div class='site-footer'>F</div><div class='post-comments'>R</div><div id='sidebar-left'>S</div>"
+     "<div role='navigation'>N</div><div class='has-sidebar'>H</div></article>", "Text\nH"),
+    ("<main><header class='page-header'><h1>T</h1></header><p>x</p></main>", "T\nx"),
+]
+
+
+def test_reproduced_losses_and_leaks():
+    for source, want in REPRODUCED:
+        assert text_of(source) == want, source
+
+
+JUNK = ["<nav><ul><li><a href='/'>Home</a></li></ul></nav>", "<div class='ads-top'><p>Buy this, now. It is good.</p></div>", "<form><input><button>Go</button></form>",
+        "<aside><p>Also read, on this site. More.</p></aside>", "<div id='comments'><p>First! I say, so long. And so on.</p></div>",
+        "<script>var a = '<p>no</p>';</script>", "<div class='share-buttons'><a href='#'>Share</a></div>"]
+LAYOUTS = [
+    "<html><head><title>t</title></head><body>{j}<article>{a}{j}</article>{j}<footer>f</footer></body></html>",
+    "<body><header>Site</header>{j}<main>{a}</main>{j}</body>",
+    "<body>{j}<div class='wrapper has-sidebar'><div class='post-content'>{a}</div>{j}</div></body>",
+    "<body>{j}{a}{j}</body>",
+    "<html>{j}<body class='no-ads'><div id=page><div class='entry'>{a}{j}</div></div>{j}",
+    "<body><table><tr><td>{a}</td></tr></table>{j}</body>",
+    "<article><div><div><div>{a}</div></div>{j}</div></article>{j}",
+    "{j}<section class='social-history'>{a}</section>{j}",
+    "<body>{j}<article>{j}{a}</article></body>",
+    "<body><div><div><div><div><div class=\"it's\" title=it's>{a}</div></div></div></div></div>{j}</body>",
+    "<body>{j}<main><header>{h}</header>{a}<footer>end</footer></main></body>",
+]
+
+
+def test_layouts_made_of_known_blocks(spark):
+    """Pages are put together of known article blocks and junk, so the text is known without reading the page."""
+    import random
+    rng, rows, want = random.Random(2), [], {}
+    for layout, source in enumerate(LAYOUTS):
+        for k in range(6):
+            blocks = [" ".join(rng.choice("some words of a text, that runs. on and &amp; ends".split()) for _ in range(rng.randrange(8, 40)))
+                      for _ in range(rng.randrange(3, 7))]
+            head = f"Title {k}"
+            made = "".join(f"<{t}>{b}</{t}>" for t, b in zip(["h1", "p", "p", "blockquote", "p", "p", "p"], blocks))
+            page_id = layout * 10 + k
+            body = source.replace("{h}", f"<h1>{head}</h1>").replace("{a}", made)
+            while "{j}" in body:
+                body = body.replace("{j}", "".join(rng.sample(JUNK, 2)), 1)
+            rows.append((page_id, f"http://host{layout}.example/{k}", body))
+            want[page_id] = "\n".join(([head] if "{h}" in source else []) + [b.replace("&amp;", "&") for b in blocks])
+    got = {r.page_id: r.text for r in extract(spark, rows)}
+    assert {i: t for i, t in got.items() if t != want[i]} == {}
