@@ -10,16 +10,18 @@ of a decision, and the logarithms of eight of them are the code length of a byte
 
 Everything that grows is a Spark table: counts of (context, byte) over the corpus, the levels of the
 trees, and the code lengths. The deepest two levels, which are most of a tree, are worked out as arrays,
-many stems at a time: below a stem there are at most 2^24 codes, in real text some thousands. Texts are scored in one pass against the most frequent code lengths and
+the codes of many stems at a time: below a stem there are at most 2^24 codes, in real text some thousands. Texts are scored in one pass against the most frequent code lengths and
 word counts, as many as ``HELD_GRAMS`` and ``HELD_TOKENS`` allow; what is rarer is joined.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +36,15 @@ from plumbline.session import scratch_folder
 DEPTH = 6
 #: Bytes by which the contexts below a stem are longer than it; what lies below one stem is worked on together.
 BELOW = 2
-#: Rows of complete stems that a task works on at a time, if one stem has no more.
+#: Codes of whole stems in one packed row, if one stem has no more.
 CHUNK = 250_000
 #: Code lengths and word counts that are broadcast at most, the most frequent ones.
-HELD_GRAMS = 4_000_000
+HELD_GRAMS = 2_000_000
 HELD_TOKENS = 1_000_000
 #: Distinct (context, byte) pairs, distinct words, and bytes of text that a task sums up before it sends the counts on.
 SUMMED_GRAMS, SUMMED_TOKENS, SUMMED_BYTES = 1_000_000, 400_000, 64 << 20
-#: Rows of one batch of counts, and texts of one batch, if these have fewer bytes than a batch may.
-ROWS_SENT, TEXTS = 1 << 16, 2048
+#: Texts of one batch, if these have fewer bytes than a batch may.
+TEXTS = 2048
 
 END = b"\n"
 _LOWERED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -102,25 +104,67 @@ class _Sums:
         return (self.bytes > SUMMED_BYTES or sum(map(len, self.tokens)) > SUMMED_TOKENS
                 or (len(self.codes) == 1 and len(self.codes[0][0]) > SUMMED_GRAMS))
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        """``(gram, token, train, n)``; one of gram and token is null. The sums start anew."""
-        names = ["gram", "token", "train", "n"]
+    def rows(self, buckets: int, stem: int) -> Iterator[pa.RecordBatch]:
+        """One row a bucket: its codes and their counts, packed, and its words with counts. The sums start anew."""
         self._merge()
-        for codes, train, n in self.codes:
-            for i in range(0, len(codes), ROWS_SENT):
-                cut = slice(i, i + ROWS_SENT)
-                yield pa.RecordBatch.from_arrays([pa.array(codes[cut]), pa.nulls(len(codes[cut]), pa.binary()), pa.array(train[cut]),
-                                                  pa.array(n[cut])], names)
-        held, train = self.tokens
-        words = list(held.keys() | train.keys())
-        for i in range(0, len(words), ROWS_SENT):
-            part = words[i:i + ROWS_SENT]
-            learnt = np.array([train[w] for w in part], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.int64()), pa.array(part, pa.binary()), pa.array(learnt),
-                                              pa.array(learnt + [held[w] for w in part])], names)
+        codes, train, n = self.codes[0] if self.codes else (np.zeros(0, np.int64),) * 3
+        at = _stems(codes, self.depth, stem) % buckets
+        order = np.argsort(at, kind="stable")  # codes stay in order inside a bucket
+        cuts = np.searchsorted(at[order], np.arange(buckets + 1))
+        held, learnt = self.tokens
+        words: list[list[bytes]] = [[] for _ in range(buckets)]
+        for word in held.keys() | learnt.keys():
+            words[zlib.crc32(word) % buckets].append(word)
+        for bucket in range(buckets):
+            some, own = order[cuts[bucket]:cuts[bucket + 1]], words[bucket]
+            if len(some) or own:
+                yield _packed_row(bucket, codes[some], train[some], n[some], own, [learnt[w] for w in own], [learnt[w] + held[w] for w in own])
         self.start_anew()
 
 
+#: A packed row: codes as bytes of their sorted differences, counts as bytes, and words with counts.
+_PACKED = "bucket int, codes binary, train binary, n binary, words array<binary>, word_train array<bigint>, word_n array<bigint>"
+
+
+def _packed_row(bucket: int, codes: np.ndarray, train: np.ndarray, n: np.ndarray, words: list, word_train: list, word_n: list) -> pa.RecordBatch:
+    values = [[bucket], [np.diff(codes, prepend=0).astype("<i8").tobytes()], [train.astype("<i8").tobytes()], [n.astype("<i8").tobytes()],
+              [words], [word_train], [word_n]]
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)],
+                                      ["bucket", "codes", "train", "n", "words", "word_train", "word_n"])
+
+
+def _unpacked(codes: bytes, train: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.cumsum(np.frombuffer(codes, "<i8")), np.frombuffer(train, "<i8"), np.frombuffer(n, "<i8")
+
+
+def _stems(codes: np.ndarray, depth: int, stem: int) -> np.ndarray:
+    return (codes & ((1 << 8 * depth) - 1)) >> 8 * (depth - stem)
+
+
+def _merged(rows: list[tuple], depth: int, stem: int) -> Iterator[pa.RecordBatch]:
+    """A bucket's rows as one row for each ``CHUNK`` codes of whole stems, and one for its words."""
+    bucket = rows[0][0]
+    parts = [_unpacked(*r[1:4]) for r in rows]
+    codes, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    train, n = (np.bincount(place, np.concatenate([p[i] for p in parts]), len(codes)).astype(np.int64) for i in (1, 2))
+    order = np.argsort(_stems(codes, depth, stem), kind="stable")
+    stems = _stems(codes, depth, stem)[order]
+    start = 0
+    while start < len(order):
+        end = len(order) if start + CHUNK >= len(order) else int(np.searchsorted(stems, stems[start + CHUNK], "right"))
+        some = np.sort(order[start:end])
+        yield _packed_row(bucket, codes[some], train[some], n[some], [], [], [])
+        start = end
+    learnt, every = Counter(), Counter()
+    for r in rows:
+        for word, t, k in zip(r[4], r[5], r[6], strict=True):
+            learnt[word] += t
+            every[word] += k
+    none = np.zeros(0, np.int64)
+    yield _packed_row(bucket, none, none, none, list(every), [learnt[w] for w in every], list(every.values()))
+
+
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """A copy of ``df`` as Parquet in the shared folder."""
     folder = scratch_folder(df.sparkSession, name)
@@ -128,9 +172,15 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
-def count_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataFrame:
-    """``(gram, token, train, n)``: counts of all (context, byte) pairs and all words, in training texts and in all."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def count_corpus(docs: DataFrame, held_out: Column, depth: int, stem: int, buckets: int) -> DataFrame:
+    """Packed rows with the counts of all (context, byte) pairs and all words, in training texts and in all.
+
+    Tasks sum up what they read, deal it into buckets by stem or word, and send a row a bucket; a bucket
+    is merged by one task.
+    """
+    spark = docs.sparkSession
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(depth)
         for batch in batches:
             lists, held = [tokens_of(t) for t in batch.column(0).to_pylist()], batch.column(1).to_pylist()
@@ -139,13 +189,24 @@ def count_corpus(docs: DataFrame, held_out: Column, depth: int = DEPTH) -> DataF
                 if some:
                     sums.add(some, train)
             if sums.full():
-                yield from sums.rows()
-        yield from sums.rows()
+                yield from sums.rows(buckets, stem)
+        yield from sums.rows(buckets, stem)
 
-    bounded_batches(docs.sparkSession, TEXTS)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield from _merged(held, depth, stem)
+                    held = []
+                held.append(row)
+        if held:
+            yield from _merged(held, depth, stem)
+
+    bounded_batches(spark, TEXTS)
     rows = docs.select(utf8("text").alias("body"), F.coalesce(held_out, F.lit(False)).alias("held"))
-    counted = rows.mapInArrow(run, "gram bigint, token binary, train bigint, n bigint")
-    return _stored(counted.groupBy("gram", "token").agg(F.sum("train").alias("train"), F.sum("n").alias("n")), "counted")
+    dealt = rows.mapInArrow(count, _PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return _stored(dealt.mapInArrow(merge, _PACKED), "counted")
 
 
 def _log_gamma(n: Column, extra: float) -> Column:
@@ -207,42 +268,22 @@ class Below:
         return np.log10(np.where(self.bits == 0, zero[self.place], one[self.place])).sum(axis=0)
 
 
-def _whole_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """Columns of all rows of some stems at a time, from batches sorted by ``stem``."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= CHUNK:
-            table = pa.Table.from_batches(held)
-            stems = table.column("stem").to_numpy()
-            cut = int(np.searchsorted(stems, stems[-1]))
-            if cut:
-                yield {name: table.column(name)[:cut].to_numpy() for name in table.column_names}
-                held = table.slice(cut).to_batches()
-    if sum(b.num_rows for b in held):
-        table = pa.Table.from_batches(held)
-        yield {name: table.column(name).to_numpy() for name in table.column_names}
-
-
-def _stem_of(depth: int, stem: int) -> Column:
-    return F.shiftright(F.col("gram").bitwiseAND(F.lit((1 << 8 * depth) - 1)), 8 * (depth - stem))
-
-
-def tree_levels(grams: DataFrame, depth: int, stem: int) -> list[DataFrame]:
+def tree_levels(counted: DataFrame, depth: int, stem: int) -> list[DataFrame]:
     """Nodes ``(ctx, node, a, b, own, children)`` by length of the context, from none to that of the stems.
 
     ``a`` and ``b`` count zeros and ones, ``own`` is the logarithm of the node's own estimate and
     ``children`` the sum of the logarithms of its children's weighted ones.
     """
     def climb(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_stems(batches):
-            keys, zeros, ones, own, children, _ = Below(rows["gram"], rows["train"], depth, stem).levels[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys >> 8, (keys & 255).astype(np.int32), zeros, ones, own, children)],
-                                             ["ctx", "node", "a", "b", "own", "children"])
-
-    bounded_batches(grams.sparkSession, ROWS_SENT)
-    dealt = grams.select(_stem_of(depth, stem).alias("stem"), "gram", "train").repartition("stem").sortWithinPartitions("stem")
-    level = _stored(dealt.mapInArrow(climb, "ctx bigint, node int, a bigint, b bigint, own double, children double"), "stems")
+        for batch in batches:
+            for packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                codes, train, _ = _unpacked(*packed)
+                keys, zeros, ones, own, children, _ = Below(codes, train, depth, stem).levels[-1]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys >> 8, (keys & 255).astype(np.int32), zeros, ones, own, children)],
+                                                 ["ctx", "node", "a", "b", "own", "children"])
+
+    chunks = counted.where(F.octet_length("codes") > 0).select("codes", "train", "n")
+    level = _stored(chunks.mapInArrow(climb, "ctx bigint, node int, a bigint, b bigint, own double, children double"), "stems")
     levels = [level]
     weighted = F.greatest("own", "children") + F.log1p(F.exp(-F.abs(F.col("own") - F.col("children")))) - F.lit(math.log(2))
     for d in range(stem - 1, -1, -1):
@@ -253,14 +294,13 @@ def tree_levels(grams: DataFrame, depth: int, stem: int) -> list[DataFrame]:
     return levels[::-1]
 
 
-def code_lengths(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``(gram, n, cost)``: log10 probability of the byte after its context, for every row ``(gram, train, n)``.
+def code_lengths(counted: DataFrame, depth: int, stem: int, buckets: int) -> DataFrame:
+    """``(gram, n, cost)``: log10 probability of the byte after its context, for every code in packed rows.
 
-    Rows with no training count add nothing to the model; they only ask for a probability.
+    Codes with no training count add nothing to the model; they only ask for a probability.
     """
-    stem = max(depth - BELOW, 0)
     mixed = None
-    for d, level in enumerate(tree_levels(grams, depth, stem)):
+    for d, level in enumerate(tree_levels(counted, depth, stem)):
         rows = level.withColumns({"zero": F.lit(0.0), "one": F.lit(0.0), "rest": F.lit(1.0)}) if mixed is None else level.join(
             mixed.withColumnsRenamed({"ctx": "above", "node": "above_node"}),
             (F.shiftright("ctx", 8) == F.col("above")) & (F.col("node") == F.col("above_node")))
@@ -272,19 +312,19 @@ def code_lengths(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
             (F.col("rest") * (1 - share)).alias("rest")), f"mixed-{d}")
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_stems(batches):
-            state = rows["node"] > 0
-            asked, train = rows["gram"][~state], rows["train"][~state]
-            key = rows["stem"][state] << 8 | rows["node"][state]
-            cost = Below(asked, train, depth, stem).costs(key, *(rows[c][state] for c in ("zero", "one", "rest")))
-            yield pa.RecordBatch.from_arrays([pa.array(asked), pa.array(rows["n"][~state]), pa.array(cost)], ["gram", "n", "cost"])
+        for batch in batches:
+            states = batch.column("states")
+            for i, packed in enumerate(zip(*(batch.column(c).to_pylist() for c in ("codes", "train", "n")), strict=True)):
+                codes, train, n = _unpacked(*packed)
+                key, *state = (states[i].values.field(c).to_numpy(zero_copy_only=False) for c in ("key", "zero", "one", "rest"))
+                cost = Below(codes, train, depth, stem).costs(key, *state)
+                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n), pa.array(cost)], ["gram", "n", "cost"])
 
-    none, no = F.lit(0).cast("bigint"), F.lit(0.0)
-    both = grams.select(_stem_of(depth, stem).alias("stem"), F.lit(0).alias("node"), "gram", "train", "n", no.alias("zero"),
-                        no.alias("one"), no.alias("rest")).unionByName(
-        mixed.select(F.col("ctx").alias("stem"), "node", none.alias("gram"), none.alias("train"), none.alias("n"), "zero", "one", "rest"))
-    bounded_batches(grams.sparkSession, ROWS_SENT)
-    return _stored(both.repartition("stem").sortWithinPartitions("stem").mapInArrow(descend, "gram bigint, n bigint, cost double"), "costs")
+    key = F.shiftleft("ctx", 8).bitwiseOR(F.col("node").cast("bigint")).alias("key")
+    states = mixed.groupBy(F.pmod("ctx", F.lit(buckets)).cast("int").alias("bucket")).agg(
+        F.collect_list(F.struct(key, "zero", "one", "rest")).alias("states"))
+    chunks = counted.where(F.octet_length("codes") > 0).select("bucket", "codes", "train", "n").join(states, "bucket")
+    return _stored(chunks.mapInArrow(descend, "gram bigint, n bigint, cost double"), "costs")
 
 
 class Slots:
@@ -293,26 +333,19 @@ class Slots:
     EMPTY = -1  # no key has this value
 
     def __init__(self, keys: np.ndarray, *values: np.ndarray):
-        self.keys, self.values = keys, values
-        self.bits = len(keys).bit_length() - 1
-
-    @classmethod
-    def arrays(cls, keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The arrays that hold ``values`` by distinct ``keys``."""
-        size = 1 << max(4, int(2 * len(keys)).bit_length())
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        size = 1 << self.bits
         place = np.full(size, -1, np.int32)
-        pending = np.arange(len(keys), dtype=np.int32)
-        at = cls(place)._home(keys)
+        pending, at = np.arange(len(keys), dtype=np.int32), self._home(keys)
         while len(pending):
             free = place[at] < 0
             place[at[free]] = pending[free]
             left = place[at] != pending
             pending, at = pending[left], (at[left] + 1) & (size - 1)
-        used = place >= 0
-        arrays = [np.full(size, cls.EMPTY, np.int64), *[np.zeros(size, v.dtype) for v in values]]
-        for array, v in zip(arrays, (keys, *values), strict=True):
+        used = np.flatnonzero(place >= 0)
+        self.keys, self.values = np.full(size, self.EMPTY, np.int64), [np.zeros(size, v.dtype) for v in values]
+        for array, v in zip((self.keys, *self.values), (keys, *values), strict=True):
             array[used] = v[place[used]]
-        return tuple(arrays)
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -349,9 +382,17 @@ def _word_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """What a worker knows: the frequent code lengths and training counts, and whether these are all.
 
-    ``facts`` are plain values, as they are broadcast.
+    ``facts`` are plain values, as they are broadcast; a worker process makes its tables of them once.
     """
 
+    _made: tuple = (None, None)
+
+    @classmethod
+    def of(cls, facts: dict) -> Model:
+        if cls._made[0] != facts["name"]:
+            cls._made = facts["name"], cls(facts)
+        return cls._made[1]
+
     def __init__(self, facts: dict):
         self.costs, self.counts = Slots(*facts["costs"]), Slots(*facts["counts"])
         self.all_counts, self.total, self.distinct = facts["all_counts"], facts["total"], facts["distinct"]
@@ -414,7 +455,7 @@ def _scored(docs: DataFrame, held_out: Column, shared) -> DataFrame:
               "codes array<bigint>, words array<binary>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _Scorer(Model(shared.value))
+        scorer = _Scorer(Model.of(shared.value))
         for batch in batches:
             n = batch.num_rows
             tokens, known, base, score, at, codes, word_at, words = scorer.score(batch.column(2).to_pylist())
@@ -435,11 +476,10 @@ def _load(costs: DataFrame, tokens: DataFrame, depth: int, held_grams: int, held
                                        F.max(F.when(F.col("token") == END, F.col("train")))).first()
     from_codes, from_words = _frequent(costs, held_grams), _frequent(tokens, held_tokens)
     few = costs.where(F.col("n") >= from_codes).select("gram", "cost").toArrow()
-    lengths = Slots.arrays(few.column("gram").to_numpy(), few.column("cost").to_numpy().astype(np.float32))
+    lengths = few.column("gram").to_numpy(), few.column("cost").to_numpy().astype(np.float32)
     few = tokens.where(F.col("n") >= from_words).select("token", "train").toArrow()
-    first, second = _word_keys(few.column("token").to_pylist())
-    counts = Slots.arrays(first, second, few.column("train").to_numpy())
-    return {"costs": lengths, "counts": counts, "all_counts": from_words == 1, "total": total or 0, "distinct": distinct or 0,
+    counts = *_word_keys(few.column("token").to_pylist()), few.column("train").to_numpy()
+    return {"name": uuid4().hex, "costs": lengths, "counts": counts, "all_counts": from_words == 1, "total": total or 0, "distinct": distinct or 0,
             "ends": ends or 0, "depth": depth}, from_codes, from_words
 
 
@@ -457,9 +497,13 @@ def score_documents(docs: DataFrame, held_out: Column, depth: int = DEPTH, held_
     if not 1 <= depth <= 6:
         raise ValueError("depth is 1 to 6")
     spark = docs.sparkSession
-    counted = count_corpus(docs, held_out, depth)
-    costs = code_lengths(counted.where("gram is not null").select("gram", "train", "n"), depth)
-    tokens = counted.where("token is not null").select("token", "train", "n")
+    stem = max(depth - BELOW, 0)
+    # as many buckets as partitions of the input, at least those of a shuffle; odd, as codes end in like bytes
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions()) | 1
+    counted = count_corpus(docs, held_out, depth, stem, buckets)
+    costs = code_lengths(counted, depth, stem, buckets)
+    tokens = counted.select(F.explode(F.arrays_zip("words", "word_train", "word_n")).alias("w")).select(
+        F.col("w.words").alias("token"), F.col("w.word_train").alias("train"), F.col("w.word_n").alias("n"))
     facts, from_codes, from_words = _load(costs, tokens, depth, held_grams, held_tokens)
     scored = _scored(docs, held_out, spark.sparkContext.broadcast(facts))
     if from_codes > 1 or from_words > 1:
