@@ -13,11 +13,13 @@ rejection are calibrated on training rows kept out of the counts.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,17 +34,25 @@ FLOOR, LEAST = 1.0 / 1000, 1e-12
 WORD_LETTERS = 64
 #: Words a Python worker remembers or counts before it starts anew.
 WORDS_HELD = 200_000
-#: One in so many training rows is kept for calibration, and at most so many of these are used.
-CALIBRATION_SHARE, CALIBRATION_ROWS = 50, 4000
+#: Training rows kept for calibration: at most so many in all, alike for each language, and at most one in so many of a language.
+CALIBRATION_ROWS, CALIBRATION_SHARE = 4000, 50
 #: Standard deviations above its language's usual cross-entropy at which a text is rejected.
 REJECT_SIGMA = 6.0
 
-_WORD = re.compile(r"[^\W\d_]{1,%d}" % WORD_LETTERS)
+_LETTERS = re.compile(r"[^\W\d_]{1,%d}" % WORD_LETTERS)
+#: Vowel signs and accents that are characters of their own belong to the word; texts without any take the plain form.
+_MARKED = regex.compile(r"\p{L}[\p{L}\p{M}\u200c\u200d]{0,%d}" % (WORD_LETTERS - 1))
+_MARK = re.compile("[%s]" % "".join(re.escape(chr(c)) for c in range(0x300, 0x1F000) if unicodedata.category(chr(c))[0] == "M"))
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 # ---------------------------------------------------------------- counting
 
+def find_words(text: str) -> list[str]:
+    """Runs of letters, with the marks that follow a letter."""
+    return (_LETTERS if text.isascii() or not _MARK.search(text) else _MARKED).findall(text)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, Counter] = {}
 
@@ -54,7 +64,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+            held.setdefault(lang, Counter()).update(find_words(text.lower()))
         if sum(map(len, held.values())) > WORDS_HELD:
             yield out()
     yield out()
@@ -68,7 +78,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 def _words(text: str) -> list[str]:
     """The words of a text; none where it has no letter at all."""
-    words = _WORD.findall(text.lower())
+    words = find_words(text.lower())
     return words if any(x.isalpha() or any(c.isalpha() for c in x) for x in words) else []
 
 
@@ -379,11 +389,30 @@ def predict(docs: DataFrame, model: dict, carry: list[str]) -> DataFrame:
     return plan.mapInArrow(run, result)
 
 
+def _kept_aside(train: DataFrame) -> list[int]:
+    """Keys of the rows to calibrate on: of each language those of lowest key, none that occurs twice.
+
+    Keys are hashes, so the lowest lie below a cut that the number of rows tells; only what lies below
+    is collected.
+    """
+    rows = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
+    wanted = {lang: min(CALIBRATION_ROWS // len(rows), n // CALIBRATION_SHARE) for lang, n in rows.items()}
+    cuts = [(lang, int(2.0 ** 63 * min(1.0, 2 * wanted[lang] / n)) - 2 ** 62 - 2 ** 62) for lang, n in rows.items() if wanted[lang]]
+    if not cuts:
+        return []
+    low = F.broadcast(train.sparkSession.createDataFrame(cuts, "lang string, cut bigint"))
+    found: dict[str, list] = {}
+    once = train.join(low, "lang").where(F.col("key") < F.col("cut")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("lang").alias("lang"))
+    for r in once.where("n = 1").orderBy("key").collect():
+        found.setdefault(r["lang"], []).append(r["key"])
+    return [key for lang, keys in found.items() for key in keys[:wanted[lang]]]
+
+
 def identify(docs: DataFrame, held_out: Column) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score, cross_entropy, rejected)`` for every document.
 
-    Learns from the text and non-null ``lang`` of rows that are not held out; predicts
-    from the text alone. A null text and one without a letter are ``und`` with score 0,
+    Learns from the text and non-null ``lang`` of rows that are not held out: all of them are counted
+    but the at most ``CALIBRATION_ROWS`` kept for calibration. Predicts from the text alone. A null text and one without a letter are ``und`` with score 0,
     as is every text when there is nothing to learn from. ``rejected`` marks a text
     unlike all learned languages; its ``lang_pred`` is still the nearest. Ties go to
     the first language by name. Repeated rows give repeated rows; other columns are
@@ -392,8 +421,8 @@ def identify(docs: DataFrame, held_out: Column) -> DataFrame:
     held = F.coalesce(held_out, F.lit(False))
     key = F.xxhash64("doc_id", "text")
     train = docs.where(~held).where("lang is not null").select("lang", "text", key.alias("key"))
-    aside = F.pmod(F.col("key"), F.lit(CALIBRATION_SHARE)) == 0
-    model = fit(train.where(~aside))
+    aside = F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in _kept_aside(train)], "key bigint"))
+    model = fit(train.join(aside, "key", "left_anti"))
     if model["langs"]:
-        model = _fit_confidence(model, train.where(aside))
+        model = _fit_confidence(model, train.join(aside, "key", "left_semi"))
     return predict(docs.select("doc_id", held.alias("held_out"), "text"), model, ["doc_id", "held_out"])

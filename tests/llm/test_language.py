@@ -102,6 +102,28 @@ def test_held_out_languages_are_not_read(spark, make_docs):
     assert a == b
 
 
+def test_all_but_the_calibration_rows_are_counted(spark, make_docs, monkeypatch):
+    """Every training row is counted or calibrated on, copies of a row and a language of one row are counted."""
+    monkeypatch.setattr(language, "CALIBRATION_ROWS", 20)
+    monkeypatch.setattr(language, "CALIBRATION_SHARE", 5)
+    rows = corpus() + [(i, f"solo{i % 3}", "zz") for i in range(4)] + [(5000, "copied", "en")] * 50
+    docs, seen = make_docs(rows), {}
+    real = {"fit": language.fit, "_fit_confidence": language._fit_confidence}
+    monkeypatch.setattr(language, "fit", lambda rows: seen.update(counted=rows) or real["fit"](rows))
+    monkeypatch.setattr(language, "_fit_confidence", lambda model, rows: seen.update(aside=rows) or real["_fit_confidence"](model, rows))
+    language.identify(docs, held(F.col("doc_id")))
+    train = docs.where(~held(F.col("doc_id")))
+    parts = {k: sorted((r.lang, r.text) for r in v.select("lang", "text").collect()) for k, v in seen.items()}
+    assert sorted(parts["counted"] + parts["aside"]) == sorted((r.lang, r.text) for r in train.select("lang", "text").collect())
+    per_lang = Counter(lang for lang, _ in parts["aside"])
+    assert set(per_lang) == set(WORDS) and max(per_lang.values()) == 5 and ("en", "copied") not in parts["aside"]
+
+
+def test_marks_belong_to_words():
+    assert language.find_words("हिन्दी भाषा 12 e\u0301te\u0301, la") == ["हिन्दी", "भाषा", "e\u0301te\u0301", "la"]
+    assert language.find_words("größe x1y") == ["größe", "x", "y"]
+
+
 def test_nothing_to_learn_from(spark, make_docs):
     docs = make_docs([(1, "the thing", None), (2, None, None)])
     assert [r.lang_pred for r in language.identify(docs, held(F.col("doc_id"))).collect()] == ["und", "und"]
