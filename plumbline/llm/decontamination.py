@@ -72,13 +72,15 @@ class WuManber:
 class Matcher:
     """The windows of a block, one search for each window length."""
 
-    def __init__(self, rows: list[tuple[str, str]]):
+    def __init__(self, rows: list[tuple[str, str | None]]):
         self.vocabulary: dict[bytes, int] = {}
         lengths: dict[int, dict[tuple[int, ...], list[str]]] = {}
         for window, item in rows:
             words = window.encode("utf-8").split(b" ")
             key = tuple(self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words)
-            lengths.setdefault(len(key), {}).setdefault(key, []).append(item)
+            named = lengths.setdefault(len(key), {}).setdefault(key, [])
+            if item is not None:
+                named.append(item)
         self.searches = [WuManber(size, windows) for size, windows in sorted(lengths.items())]
 
     def match(self, words: list[bytes], hit: bytearray, items: set[str]) -> None:
@@ -103,35 +105,42 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array([item] * len(found), pa.string())], ["window", "item"])
 
 
-def _blocks(benchmark: DataFrame) -> list:
-    """Broadcast blocks of windows, each of about ``BLOCK_WINDOWS`` rows at most."""
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[object, bool]]:
+    """Blocks of windows, each of about ``BLOCK_WINDOWS`` rows at most, and whether it is the last.
+
+    A block is collected and broadcast when it is asked for, and released when the next one is.
+    """
     spark = benchmark.sparkSession
     bounded_batches(spark)
-    named = benchmark.select(F.col("item_id").cast("string").alias("item"), utf8("text").alias("body")).where("item is not null")
+    named = benchmark.select(F.col("item_id").cast("string").alias("item"), utf8("text").alias("body"))
     rows = set_down(named.mapInArrow(_windows, "window string, item string").distinct())
     count = -(-rows.count() // BLOCK_WINDOWS) or 1
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(count)))
-    return [spark.sparkContext.broadcast([(r[0], r[1]) for r in dealt.where(F.col("block") == b).drop("block").collect()])
-            for b in range(count)]
+    for b in range(count):
+        block = spark.sparkContext.broadcast([(r[0], r[1]) for r in dealt.where(F.col("block") == b).drop("block").collect()])
+        yield block, b == count - 1
+        if b < count - 1:
+            block.destroy()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)``, a row for every document.
 
     Null or empty texts have no words and no hit. A benchmark item of fewer than
-    ``WINDOW`` words is one window, one of no words or without an id is none; an
-    empty benchmark leaves all clean. Repeated rows give repeated rows. Only the id
-    and text columns are read, so other columns cannot clash. The benchmark is
-    searched in blocks of bounded size, one after the other in the same pass.
+    ``WINDOW`` words is one window, one of no words is none; an empty benchmark leaves
+    all clean. Windows of an item without an id make words hit but name no item.
+    Repeated rows give repeated rows. Only the id and text columns are read, so other
+    columns cannot clash. The benchmark is searched in blocks of bounded size, one at a
+    time; with several, what is found so far is set down between two passes.
     """
     bounded_batches(docs.sparkSession)
     state = docs.select(F.col("doc_id"), utf8("text").alias("body"), F.lit(b"").alias("hit"),
                         F.array().cast("array<string>").alias("items"))
     id_type = state.schema["doc_id"].dataType.simpleString()
-    blocks = _blocks(benchmark)
-    for block in blocks[:-1]:
-        state = state.mapInArrow(_search(block, False), f"doc_id {id_type}, body binary, hit binary, items array<string>")
-    return state.mapInArrow(_search(blocks[-1], True), f"doc_id {id_type}, n_words bigint, n_hit bigint, n_items bigint, "
+    for block, last in _blocks(benchmark):
+        if not last:
+            state = set_down(state.mapInArrow(_search(block, False), f"doc_id {id_type}, body binary, hit binary, items array<string>"))
+    return state.mapInArrow(_search(block, True), f"doc_id {id_type}, n_words bigint, n_hit bigint, n_items bigint, "
                             "items_sha256 string, contaminated boolean")
 
 
@@ -165,8 +174,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with all their columns."""
     bounded_batches(docs.sparkSession)
     position = docs.columns.index("text")
-    for block in _blocks(benchmark):
+    for block, last in _blocks(benchmark):
         docs = docs.mapInArrow(_clean(block, position), docs.schema)
+        docs = docs if last else set_down(docs)
     return docs
 
 

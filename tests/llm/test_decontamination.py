@@ -17,8 +17,8 @@ def brute(docs, items):
     windows = {}
     for item, text in items:
         w = words(text)
-        for i in range(max(1, len(w) - 9) if w and item is not None else 0):
-            windows.setdefault(tuple(w[i:i + 10]), set()).add(str(item))
+        for i in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(tuple(w[i:i + 10]), set()).update([] if item is None else [str(item)])
     out = []
     for doc, text in docs:
         w, hit, found = words(text), set(), set()
@@ -43,7 +43,7 @@ def fixture():
             inner = items[random.randrange(3)][1].split()
             body[5:5] = inner[random.randint(0, 3):]
         docs.append((i, random.choice([" ", " - ", "!\n"]).join(body).upper() if i % 5 == 0 else "  ".join(body)))
-    return docs + [(100, None), (101, ""), (102, "?"), (None, items[2][1]), (7, docs[7][1]), (103, ("the of " * 40_000) + items[2][1])], items
+    return docs + [(100, None), (101, ""), (104, "said no ID here twice"), (105, "The of no id here " + items[2][1]), (102, "?"), (None, items[2][1]), (7, docs[7][1]), (103, ("the of " * 40_000) + items[2][1])], items
 
 
 def test_documents(spark, make_docs, monkeypatch):
