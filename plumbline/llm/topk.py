@@ -6,29 +6,30 @@ that is the cosine a vector of the bucket must reach. Above 1 the bucket is left
 A low cosine prunes little, so the bucket is cut by length only; a high one bounds the
 coordinates, and only vectors within the feasible ranges of the query's largest
 coordinates are multiplied out. What remains is verified by its integer product.
+
+Vectors lie in tiles by falling length, queries in tiles by the length a vector must have for
+them. All queries meet the first tile, which gives their bounds; after that a query meets only the
+tiles that hold a vector long enough, and a pair of tiles is one task's work.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from plumbline.llm.common import bounded_batches, set_down
+from plumbline.llm.common import bounded_batches, numbered, set_down
 
-#: Queries of one block; a block is broadcast, so this times the dimension bounds the broadcast.
-QUERY_BLOCK = 4096
-#: Vectors of one bucket within a task.
+#: Vectors of a tile and queries of a tile; a task holds one of each.
+TILE_ROWS, QUERY_ROWS = 16_384, 8192
+#: Vectors of one bucket within a tile.
 BUCKET_ROWS = 512
-#: Longest vectors from which the first bounds come.
-PROBE_ROWS = 4096
 #: Local cosine from which coordinates prune more than they cost, and the coordinates used.
 COORDINATE_COSINE, FOCUS = 0.8, 2
+#: Queries multiplied out together.
+STRIP = 256
 #: Rounding allowance of a cosine; pruning by it never drops a vector that reaches its bound.
 SLACK = 1e-9
 _OUT = "query_id bigint, vec_id bigint, score bigint"
@@ -46,8 +47,7 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", embedding: str = "embe
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    flat = column.flatten() if isinstance(column, pa.ListArray) else column.values
-    return np.asarray(flat, np.int64).reshape(-1, dim)
+    return np.asarray(column.flatten(), np.int64).reshape(len(column), dim)
 
 
 def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -86,14 +86,19 @@ def _search_bucket(q: np.ndarray, q_ids: np.ndarray, q_len: np.ndarray, v: np.nd
     by_coordinate = alive[cosine[alive] >= COORDINATE_COSINE]
     by_length = alive[cosine[alive] < COORDINATE_COSINE]
     if len(by_length):
-        scores = _products(q[by_length], v)
-        for row in np.flatnonzero((scores >= best.floors[by_length, None]).any(axis=1)):
-            i = by_length[row]
-            floor = best.floors[i]
-            reach = np.searchsorted(-v_len, -(floor / q_len[i]) * (1 - SLACK), "right") if floor > 0 else len(v)
-            good = np.flatnonzero((scores[row, :reach] >= floor) & (v_ids[:reach] != q_ids[i]))
-            if len(good):
-                best.add(i, scores[row, good], v_ids[good])
+        floors = best.floors[by_length]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            least = np.where(floors > 0, floors / q_len[by_length] * (1 - SLACK), 0.0)
+        reach = np.searchsorted(-v_len, -least, "right")
+        order = np.argsort(-reach, kind="stable")
+        for s in range(0, len(order), STRIP):  # queries that reach about as far are multiplied out together, no further
+            rows = order[s:s + STRIP]
+            scores = _products(q[by_length[rows]], v[:reach[rows[0]]])
+            for row in np.flatnonzero((scores >= floors[rows, None]).any(axis=1)):
+                i, far = by_length[rows[row]], reach[rows[row]]
+                good = np.flatnonzero((scores[row, :far] >= best.floors[i]) & (v_ids[:far] != q_ids[i]))
+                if len(good):
+                    best.add(i, scores[row, good], v_ids[good])
     if len(by_coordinate):
         unit = v / np.maximum(v_len, 1e-300)[:, None]
         for i in by_coordinate:
@@ -119,69 +124,94 @@ def _feasible(unit: np.ndarray, direction: np.ndarray, theta: float) -> np.ndarr
     return ((unit[:, focus] >= low) & (unit[:, focus] <= high)).all(axis=1)
 
 
-def _scan(block, k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q_ids, flat, dim, floors = block.value
-        q = np.asarray(flat, np.int64).reshape(len(q_ids), dim)
-        q_len, best = np.sqrt((q.astype(np.float64) ** 2).sum(axis=1)), _Best(np.asarray(floors, np.float64), k)
-        q_ids = np.asarray(q_ids, np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, length = np.asarray(batch.column(0)), np.asarray(batch.column(2))
-            v = _matrix(batch.column(1), dim)
-            order = np.argsort(-length, kind="stable")
-            for s in range(0, len(ids), BUCKET_ROWS):
-                part = order[s:s + BUCKET_ROWS]
-                _search_bucket(q, q_ids, q_len, v[part], ids[part], length[part], best)
+def _tile(k: int, dim: int):
+    """Best candidates for the queries of a tile among the vectors of a tile."""
+    def run(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        q_ids, floors = queries.column("q_vec_id").to_numpy(), queries.column("q_floor").to_numpy()
+        q, v = (_matrix(c.combine_chunks(), dim) for c in (queries.column("q_x"), vectors.column("v_x")))
+        ids, length = vectors.column("v_vec_id").to_numpy(), vectors.column("v_length").to_numpy()
+        q_len, best = queries.column("q_length").to_numpy(), _Best(floors.astype(np.float64), k)
+        order = np.argsort(-length, kind="stable")
+        for s in range(0, len(ids) if len(q_ids) else 0, BUCKET_ROWS):
+            part = order[s:s + BUCKET_ROWS]
+            _search_bucket(q, q_ids, q_len, v[part], ids[part], length[part], best)
         rows = [(int(q_ids[i]), vec, -neg) for i, kept in best.kept.items() for neg, vec in kept]
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)],
-                                         ["query_id", "vec_id", "score"])
+        return pa.table([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
     return run
 
 
+def _searched(queries: DataFrame, vectors: DataFrame, k: int, dim: int) -> DataFrame:
+    """Candidates of ``queries(tile, q_tile, vec_id, x, length, floor)`` among ``vectors(tile, q_tile, vec_id, x, length)``."""
+    # new names, as both sides may come from one frame
+    asking = queries.select(*[F.col(c).alias(f"q_{c}") for c in ("tile", "q_tile", "vec_id", "x", "length", "floor")])
+    given = vectors.select(*[F.col(c).alias(f"v_{c}") for c in ("tile", "q_tile", "vec_id", "x", "length")])
+    return asking.groupBy("q_tile", "q_q_tile").cogroup(given.groupBy("v_tile", "v_q_tile")).applyInArrow(_tile(k, dim), _OUT)
+
+
 def _best_of(rows: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _tiled(rows: DataFrame, size: int, name: str, *order) -> DataFrame:
+    """``rows`` with the number of their tile in the given order, set down."""
+    return set_down(numbered(set_down(rows), *order).withColumn(name, F.floor(F.col("position") / size)).drop("position", "part"))
+
+
+def _last_tiles(asked: DataFrame, held: DataFrame) -> DataFrame:
+    """``asked`` with ``last``, the last tile of ``held`` that has a vector as long as the query's ``need``.
+
+    Needs and the tiles' largest lengths are put in one falling order: the tiles before a need are its
+    place there less its place among the needs.
+    """
+    order = F.desc("length"), F.asc("kind"), F.asc("vec_id"), F.asc("x")
+    needs = set_down(asked.select("vec_id", "x", F.col("need").alias("length"), F.lit(1).alias("kind")))
+    tiles = held.groupBy("tile").agg(F.max("length").alias("length")).select(
+        F.col("tile").alias("vec_id"), F.array().cast("array<bigint>").alias("x"), "length", F.lit(0).alias("kind"))
+    place = numbered(set_down(needs.unionByName(tiles)), *order).where("kind = 1").select("vec_id", "x", "position")
+    among = numbered(needs, *order).select("vec_id", "x", F.col("position").alias("before"))
+    last = place.join(among, ["vec_id", "x"]).select("vec_id", "x", (F.col("position") - F.col("before") - 1).alias("last"))
+    return asked.join(last, ["vec_id", "x"])
+
+
+def _of_dimension(vectors: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
+    """``(query_id, vec_id, score)`` of vectors and queries of one dimension, the best ``k`` among others."""
+    fields = "tile", "q_tile", "vec_id", "x", "length"
+    held = _tiled(vectors, TILE_ROWS, "tile", F.desc("length"), F.asc("vec_id"))
+    asked = queries.select("vec_id", "x", "length").distinct()
+    one = _tiled(asked, QUERY_ROWS, "q_tile", F.asc("vec_id")).withColumn("floor", F.lit(float("-inf"))).withColumn("tile", F.lit(0).cast("bigint"))
+    tiles = one.agg(F.max("q_tile")).first()[0]
+    if tiles is None:
+        return queries.sparkSession.createDataFrame([], _OUT)
+    longest = held.where("tile = 0").withColumn("q_tile", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(tiles).cast("bigint"))))
+    found = set_down(_best_of(_searched(one.select(*fields, "floor"), longest.select(*fields), k, dim), k))
+    floors = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("bound"))
+    bounded = one.drop("floor", "tile", "q_tile").join(floors, "vec_id", "left").withColumn(
+        "floor", F.coalesce("bound", F.lit(float("-inf")))).drop("bound")
+    need = F.when((F.col("floor") > 0) & (F.col("length") > 0), F.col("floor") / F.col("length") * (1 - SLACK)).otherwise(F.lit(-1.0))
+    further = _last_tiles(set_down(bounded.withColumn("need", need)), held).where("last > 0")
+    dealt = _tiled(further, QUERY_ROWS, "q_tile", F.desc("last"), F.asc("vec_id"))
+    pairs = dealt.groupBy("q_tile").agg(F.max("last").alias("last")).select(
+        "q_tile", F.explode(F.sequence(F.lit(1).cast("bigint"), "last")).alias("tile"))
+    asking = dealt.withColumn("tile", F.explode(F.sequence(F.lit(1).cast("bigint"), "last"))).select(*fields, "floor")
+    rest = _searched(asking, held.where("tile > 0").join(pairs, "tile").select(*fields), k, dim)
+    return found.select("query_id", "vec_id", "score").unionByName(rest)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` best products of each query with the vectors, its own id apart.
 
     Both frames come from ``quantised``. Ties go to the smaller vec_id; a query meets
-    vectors of its own dimension only, so one that is alone has no rows. Repeated rows
-    are candidates each; queries that repeat an id have one list. Empty frames give an empty result. The queries are a stated
-    set: they are taken in blocks of ``QUERY_BLOCK``, and each block is one pass over
-    the vectors, which are dealt by length once and held in the shared folder.
+    vectors of its own dimension only, so one that is alone has no rows. Empty vectors are a dimension
+    of their own, in which all products are 0. Repeated rows are candidates each; rows that share an id
+    are no candidates of each other, and queries that repeat an id have one list. Empty frames give
+    an empty result. Only the dimensions and the number of query tiles are known to the driver.
     """
     spark = vectors.sparkSession
     bounded_batches(spark, 8192)
-    held = set_down(vectors.repartitionByRange(F.desc("length"), "vec_id").sortWithinPartitions(F.desc("length")))
-    asked = set_down(queries)
-    found = None
-    for dim, count in sorted((r["dim"], r["count"]) for r in asked.groupBy("dim").count().collect()):
-        of_dim = held.where(F.col("dim") == dim)
-        blocks = -(-count // QUERY_BLOCK)
-        probe = of_dim.orderBy(F.desc("length"), "vec_id").limit(PROBE_ROWS).collect()
-        long_ids = np.array([r["vec_id"] for r in probe], np.int64)
-        longest = np.array([r["x"] for r in probe], np.int64).reshape(len(probe), dim)
-        mine = asked.where(F.col("dim") == dim).withColumn("block", F.pmod(F.xxhash64("vec_id", "x"), F.lit(blocks)))
-        for b in range(blocks):
-            rows = mine.where(F.col("block") == b).select("vec_id", "x").distinct().collect()
-            ids = [r["vec_id"] for r in rows]
-            x = np.array([r["x"] for r in rows], np.int64).reshape(len(rows), dim)
-            shared = spark.sparkContext.broadcast((ids, x.ravel(), dim, _floors(x, ids, longest, long_ids, k)))
-            part = of_dim.select("vec_id", "x", "length").mapInArrow(_scan(shared, k), _OUT)
-            found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = spark.createDataFrame([], T._parse_datatype_string(_OUT))
+    held, asked = set_down(vectors), set_down(queries)
+    found = spark.createDataFrame([], _OUT)
+    for (dim,) in sorted(asked.select("dim").distinct().collect()):
+        of_dim = held.where(F.col("dim") == dim).select("vec_id", "x", "length")
+        found = found.unionByName(_of_dimension(of_dim, asked.where(F.col("dim") == dim), dim, k))
     return _best_of(found, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
-
-
-def _floors(q: np.ndarray, ids: list[int], longest: np.ndarray, long_ids: np.ndarray, k: int) -> np.ndarray:
-    """For each query the k-th best score among the longest vectors; none if they are fewer."""
-    scores = _products(q, longest).astype(np.float64)
-    scores[np.asarray(ids, np.int64)[:, None] == long_ids[None, :]] = -np.inf
-    if scores.shape[1] < k:
-        return np.full(len(ids), -np.inf)
-    return np.partition(scores, -k, axis=1)[:, -k]

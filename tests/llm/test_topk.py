@@ -28,8 +28,9 @@ def run(spark, rows, every=5, k=5):
 @pytest.mark.parametrize("spread", ["unit", "skewed", "clustered"])
 def test_all_products(spark, spread, monkeypatch):
     monkeypatch.setattr(topk, "BUCKET_ROWS", 37)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 30)
-    monkeypatch.setattr(topk, "PROBE_ROWS", 50)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 30)
+    monkeypatch.setattr(topk, "TILE_ROWS", 50)
+    monkeypatch.setattr(topk, "STRIP", 7)
     rng = np.random.default_rng(3)
     x = rng.normal(size=(600, 8))
     if spread == "skewed":
@@ -42,7 +43,9 @@ def test_all_products(spark, spread, monkeypatch):
 
 def test_odd_rows(spark):
     rows = [(0, [0.1, 0.2]), (1, None), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [float("inf"), 0.0]), (5, [0.0, 0.0]),
-            (6, [0.1, 0.2]), (7, [0.1, 0.2]), (8, [-1.0, -3.0]), (None, [5.0, 5.0]), (10, [1.0, 2.0, 3.0]), (9, [0.1, 0.2])]
+            (6, [0.1, 0.2]), (7, [0.1, 0.2]), (8, [-1.0, -3.0]), (None, [5.0, 5.0]), (10, [1.0, 2.0, 3.0]), (9, [0.1, 0.2]),
+            (15, []), (16, []), (20, []), (25, [0.3, 0.1]), (25, [0.2, -0.1])]
     assert run(spark, rows) == brute(rows, 5, 5)
+    assert run(spark, [(5, []), (1, [1.0])]) == set()
     assert run(spark, []) == set()
     assert run(spark, [(0, [1.0])]) == set()
