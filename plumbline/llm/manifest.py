@@ -17,6 +17,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.limits import BROADCAST_ROWS
 from plumbline.llm.common import numbered, set_down
 
 #: Nodes of a run, which have one parent.
@@ -38,7 +39,7 @@ WITH RECURSIVE climb(leaf, block, node, pos, folded, step, siblings) AS (
          unhex(sha2(lower(concat(hex(substring(n.kids, 1, 32 * c.pos)), hex(c.folded), hex(substring(n.kids, 32 * c.pos + 33)))), 256)),
          c.step + 1, concat(substring(n.kids, 1, 32 * c.pos), substring(n.kids, 32 * c.pos + 33))
   FROM climb c JOIN {nodes} n ON c.node = n.node AND c.block = n.block)
-SELECT leaf AS position, step, siblings, CASE WHEN node IS NULL THEN folded END AS reached FROM climb
+SELECT leaf AS position, step, siblings, CASE WHEN node IS NULL THEN folded END AS reached FROM climb WHERE step > 0
 """
 
 
@@ -85,7 +86,7 @@ def _build(rows: DataFrame, base: int, largest: int) -> tuple[list[DataFrame], l
 
 
 def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
-    """``(position, reached, proof_sha256)`` of every leaf, by the recursive query; set down.
+    """``(position, reached, proof_sha256)`` of every leaf that is not the root, by the recursive query; set down.
 
     A leaf joins its node by the node's id and the leaf's block, so that the root, which all
     leaves reach, is met by one block of leaves at a time. Every step appends a row with the siblings
@@ -139,8 +140,9 @@ def manifest(docs: DataFrame, tampered: Column) -> DataFrame:
     trees = trees.withColumn("up", parent[0] if count > 1 else F.lit(None).cast("bigint")).withColumn(
         "up_pos", parent[1] if count > 1 else F.lit(None).cast("int"))
     # a tree meets each sorted partition it lies in, and leaves their partition's row, so that no language is one key
-    spots = placed.select("part", "tree").distinct().join(trees, "tree")
-    leaves = set_down(placed.join(spots, ["part", "tree"]).withColumn("idx", F.col("position") - F.col("start")))
+    spots = set_down(placed.select("part", "tree").distinct().join(trees, "tree"))
+    small = spots.count() <= BROADCAST_ROWS
+    leaves = set_down(placed.join(F.broadcast(spots) if small else spots, ["part", "tree"]).withColumn("idx", F.col("position") - F.col("start")))
     nodes, roots = _build(leaves.select("start", "idx", "n", "digest", F.col("position").alias("lo"), F.col("position").alias("hi"),
                                         "up", "up_pos"), 0, largest or 0)
     subroots = set_down(reduce(DataFrame.unionByName, [r.select("start", "digest", "lo", "hi", "n") for r in roots]))
@@ -157,7 +159,8 @@ def manifest(docs: DataFrame, tampered: Column) -> DataFrame:
         F.coalesce("changed", "digest").alias("folded")), nodes + top_nodes)
     named = spots.select("part", "start").join(subroots.select("start", F.col("digest").alias("subroot")), "start")
     known = F.lit(bytes(root[0]) if root else None).cast("binary")
-    text = {c: F.lower(F.hex(c)) for c in ("digest", "subroot", "reached")}
-    return leaves.join(named, ["part", "start"]).join(climbed, "position").select(
-        "doc_id", text["digest"].alias("leaf"), text["subroot"].alias("subroot"), F.lower(F.hex(known)).alias("root"), "proof_sha256",
-        text["reached"].alias("folded_root"), (F.col("reached") == known).alias("verified"))
+    own = leaves.select("doc_id", "position", "part", "start", "digest", F.coalesce("changed", "digest").alias("copy"))
+    reached, empty = F.coalesce("reached", "copy"), F.sha2(F.lit(""), 256)
+    return own.join(F.broadcast(named) if small else named, ["part", "start"]).join(climbed, "position", "left").select(
+        "doc_id", F.lower(F.hex("digest")).alias("leaf"), F.lower(F.hex("subroot")).alias("subroot"), F.lower(F.hex(known)).alias("root"),
+        F.coalesce("proof_sha256", empty).alias("proof_sha256"), F.lower(F.hex(reached)).alias("folded_root"), (reached == known).alias("verified"))
