@@ -14,6 +14,8 @@ from plumbline.session import cut_lineage
 BATCH_ROWS = 512
 #: Bytes of one Arrow batch, beyond which Spark starts another.
 BATCH_BYTES = 8 << 20
+#: Rows of one key that a join may send to one task, and keys with more that may be broadcast.
+KEY_ROWS, HEAVY_KEYS = 2000, 20_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,21 +52,31 @@ def replaced(batches: Iterator[pa.RecordBatch], position: int, edit) -> Iterator
         yield batch.set_column(position, batch.schema.field(position), texts)
 
 
-def join_with_heavy_keys(left: DataFrame, right: DataFrame, key: str, weight: str, share: int = 1000,
-                         how: str = "left") -> DataFrame:
+def join_with_heavy_keys(left: DataFrame, right: DataFrame, key: str, weight: str, rows: int = KEY_ROWS, how: str = "left") -> DataFrame:
     """Join on ``key``, where ``right`` has one row per key and ``weight``, the key's rows in ``left``.
 
-    Keys with more than a ``share``-th of all rows number at most ``share``: that
-    proves the bound of their broadcast. The others meet in an ordinary join, in
-    which no key is heavy.
+    Keys of more than ``rows`` rows are joined by a broadcast, at most ``HEAVY_KEYS`` of them, the
+    heaviest. The others meet in an ordinary join; if keys of more rows are left for it, both sides
+    are salted so that no task meets more than about ``rows`` rows of a key.
     """
-    slim, total = right.drop(weight), right.agg(F.sum(weight)).first()[0] or 0
-    rows = right.where(F.col(weight) > max(total // share, 1)).drop(weight).collect()
-    if not rows:
+    slim = right.drop(weight)
+    heavy = right.where(F.col(weight) > rows).orderBy(F.desc(weight)).limit(HEAVY_KEYS + 1).collect()
+    rest, salts = slim, 1
+    if len(heavy) > HEAVY_KEYS:
+        salts = -(-heavy.pop()[weight] // rows)
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)) if salts > 1 else None
+    if salts > 1:
+        rest = slim.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    if not heavy:
         return left.join(slim, key, how)
-    few = F.broadcast(left.sparkSession.createDataFrame(rows, slim.schema))
+    names = [c for c in right.columns if c != weight]
+    few = F.broadcast(left.sparkSession.createDataFrame([tuple(r[c] for c in names) for r in heavy], slim.schema))
     hot = left.join(few, key, "inner")
-    cold = left.join(few.select(key), key, "left_anti").join(slim, key, how)
+    cold = left.join(few.select(key), key, "left_anti")
+    if salts > 1:
+        cold = cold.withColumn("__salt", spread).join(rest, [key, "__salt"], how).drop("__salt")
+    else:
+        cold = cold.join(rest, key, how)
     return hot.unionByName(cold)
 
 
