@@ -28,18 +28,20 @@ BLOCK_BITS = 10
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Node ids hold their level above their place; levels of the last tree start here.
-_LEVEL_BITS, _TOP_LEVEL = 56, 64
+#: Node ids hold their level above their place, and rise with it; levels of the last tree start here. A spot is a
+#: place under a node: the node's id times the fanout and the place.
+_LEVEL_BITS, _TOP_LEVEL = 52, 64
 
 _CLIMB = """
-WITH RECURSIVE climb(leaf, block, node, pos, folded, step, siblings) AS (
-  SELECT position, block, node, pos, folded, 0, CAST('' AS BINARY) FROM {leaves}
+WITH RECURSIVE climb(leaf, spot, folded, passed, siblings) AS (
+  SELECT position, spot, folded, CAST(NULL AS BIGINT), CAST('' AS BINARY) FROM {leaves}
   UNION ALL
-  SELECT c.leaf, c.block, n.parent, n.parent_pos,
-         unhex(sha2(lower(concat(hex(substring(n.kids, 1, 32 * c.pos)), hex(c.folded), hex(substring(n.kids, 32 * c.pos + 33)))), 256)),
-         c.step + 1, concat(substring(n.kids, 1, 32 * c.pos), substring(n.kids, 32 * c.pos + 33))
-  FROM climb c JOIN {nodes} n ON c.node = n.node AND c.block = n.block)
-SELECT leaf AS position, step, siblings, CASE WHEN node IS NULL THEN folded END AS reached FROM climb WHERE step > 0
+  SELECT c.leaf, n.spot,
+         unhex(sha2(lower(concat(hex(substring(n.kids, 1, 32 * (c.spot % {fanout}))), hex(c.folded),
+                                 hex(substring(n.kids, 32 * (c.spot % {fanout}) + 33)))), 256)),
+         n.node, concat(substring(n.kids, 1, 32 * (c.spot % {fanout})), substring(n.kids, 32 * (c.spot % {fanout}) + 33))
+  FROM climb c JOIN {nodes} n ON c.spot DIV {fanout} = n.node AND shiftright(c.leaf, {bits}) = n.block)
+SELECT leaf AS position, passed, siblings, CASE WHEN spot IS NULL THEN folded END AS reached FROM climb WHERE passed IS NOT NULL
 """
 
 
@@ -60,26 +62,29 @@ def _node(level: int, place: Column) -> Column:
     return F.lit(level << _LEVEL_BITS) + place
 
 
+def _spot(level: int) -> Column:
+    """The spot of a tree's node ``idx`` under its parent, which lies in ``level``."""
+    return _node(level, F.col("start") + F.floor(F.col("idx") / FANOUT)) * FANOUT + F.col("idx") % FANOUT
+
+
 def _build(rows: DataFrame, base: int, largest: int) -> tuple[list[DataFrame], list[DataFrame]]:
     """All levels above ``rows``: the nodes of each, and the rows that are the root of their tree.
 
     ``rows`` has ``start`` (which tells trees apart), ``idx`` (place in the tree), ``n`` (nodes of
-    this level), ``digest``, ``lo`` and ``hi`` (leaves below), ``up`` and ``up_pos`` (parent and
-    place of the tree's root); ``largest`` is the highest ``n``.
+    this level), ``digest``, ``lo`` and ``hi`` (leaves below) and ``up`` (spot of the tree's root, null
+    for the last tree); ``largest`` is the highest ``n``.
     """
     nodes, roots, level = [], [rows.where("n = 1")], base
     while largest > 1:
         runs = rows.where("n > 1").groupBy("start", F.floor(F.col("idx") / FANOUT).alias("idx")).agg(
             F.sort_array(F.collect_list(F.struct("idx", "digest"))).alias("list"), F.max("n").alias("n"), F.min("lo").alias("lo"),
-            F.max("hi").alias("hi"), F.max("up").alias("up"), F.max("up_pos").alias("up_pos"))
+            F.max("hi").alias("hi"), F.max("up").alias("up"))
         kids = F.aggregate("list", F.lit(b""), lambda all_, one: F.concat(all_, one["digest"]))
         runs = runs.withColumn("kids", kids).drop("list").withColumn("n", F.ceil(F.col("n") / FANOUT))
         rows = set_down(runs.withColumn("digest", _hashed(F.lower(F.hex("kids")))))
-        last = F.col("n") == 1
         nodes.append(rows.select(
             _node(level, F.col("start") + F.col("idx")).alias("node"), "kids", "lo", "hi",
-            F.when(last, F.col("up")).otherwise(_node(level + 1, F.col("start") + F.floor(F.col("idx") / FANOUT))).alias("parent"),
-            F.when(last, F.col("up_pos")).otherwise(F.col("idx") % FANOUT).cast("int").alias("parent_pos")))
+            F.when(F.col("n") == 1, F.col("up")).otherwise(_spot(level + 1)).alias("spot")))
         roots.append(rows.where("n = 1"))
         level, largest = level + 1, -(-largest // FANOUT)
     return nodes, roots
@@ -94,8 +99,8 @@ def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
     """
     spark = leaves.sparkSession
     blocks = F.explode(F.sequence(F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS))).alias("block")
-    empty = spark.createDataFrame([], "node bigint, kids binary, lo bigint, hi bigint, parent bigint, parent_pos int")
-    every = reduce(DataFrame.unionByName, nodes, empty).select("node", "kids", "parent", "parent_pos", blocks)
+    empty = spark.createDataFrame([], "node bigint, kids binary, lo bigint, hi bigint, spot bigint")
+    every = reduce(DataFrame.unionByName, nodes, empty).select("node", "kids", "spot", blocks)
     views = {"leaves": f"leaves_{uuid4().hex}", "nodes": f"nodes_{uuid4().hex}"}
     leaves.createOrReplaceTempView(views["leaves"])
     every.createOrReplaceTempView(views["nodes"])
@@ -103,8 +108,8 @@ def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
     before = spark.conf.get(setting)
     spark.conf.set(setting, "-1")  # the limit is on all rows of the recursion, whatever the table's size
     try:
-        steps = spark.sql(_CLIMB.format(**views)).groupBy("position").agg(
-            F.max("reached").alias("reached"), F.sort_array(F.collect_list(F.struct("step", "siblings"))).alias("steps"))
+        steps = spark.sql(_CLIMB.format(**views, fanout=FANOUT, bits=BLOCK_BITS)).groupBy("position").agg(
+            F.max("reached").alias("reached"), F.sort_array(F.collect_list(F.struct("passed", "siblings"))).alias("steps"))
         proof = F.aggregate("steps", F.lit(b""), lambda all_, one: F.concat(all_, one["siblings"]))
         return set_down(steps.select("position", "reached", F.sha2(F.lower(F.hex(proof)), 256).alias("proof_sha256")))
     finally:
@@ -136,27 +141,22 @@ def manifest(docs: DataFrame, tampered: Column) -> DataFrame:
     trees = numbered(set_down(placed.groupBy("tree").agg(F.min("position").alias("start"), F.count(F.lit(1)).alias("n"))),
                      F.col("tree")).select("tree", "start", "n", F.col("position").alias("number"))
     count, largest = trees.agg(F.count(F.lit(1)), F.max("n")).first()
-    parent = _node(_TOP_LEVEL, F.floor(F.col("number") / FANOUT)), (F.col("number") % FANOUT).cast("int")
-    trees = trees.withColumn("up", parent[0] if count > 1 else F.lit(None).cast("bigint")).withColumn(
-        "up_pos", parent[1] if count > 1 else F.lit(None).cast("int"))
+    trees = trees.withColumn("up", _node(_TOP_LEVEL, F.floor(F.col("number") / FANOUT)) * FANOUT + F.col("number") % FANOUT
+                             if count > 1 else F.lit(None).cast("bigint"))
     # a tree meets each sorted partition it lies in, and leaves their partition's row, so that no language is one key
     spots = set_down(placed.select("part", "tree").distinct().join(trees, "tree"))
     small = spots.count() <= BROADCAST_ROWS
     leaves = set_down(placed.join(F.broadcast(spots) if small else spots, ["part", "tree"]).withColumn("idx", F.col("position") - F.col("start")))
     nodes, roots = _build(leaves.select("start", "idx", "n", "digest", F.col("position").alias("lo"), F.col("position").alias("hi"),
-                                        "up", "up_pos"), 0, largest or 0)
+                                        "up"), 0, largest or 0)
     subroots = set_down(reduce(DataFrame.unionByName, [r.select("start", "digest", "lo", "hi", "n") for r in roots]))
     top = subroots.join(trees.select("start", "number"), "start").select(
         F.lit(0).cast("bigint").alias("start"), F.col("number").alias("idx"), F.lit(count).cast("bigint").alias("n"), "digest", "lo", "hi",
-        F.lit(None).cast("bigint").alias("up"), F.lit(None).cast("int").alias("up_pos"))
+        F.lit(None).cast("bigint").alias("up"))
     top_nodes, top_roots = _build(top, _TOP_LEVEL, count)
     root = reduce(DataFrame.unionByName, [r.select("digest") for r in top_roots]).first()
-    lone = F.col("n") == 1
-    climbed = _climbed(leaves.select(
-        "position", F.shiftright("position", BLOCK_BITS).alias("block"),
-        F.when(lone, F.col("up")).otherwise(_node(0, F.col("start") + F.floor(F.col("idx") / FANOUT))).alias("node"),
-        F.when(lone, F.col("up_pos")).otherwise((F.col("idx") % FANOUT).cast("int")).alias("pos"),
-        F.coalesce("changed", "digest").alias("folded")), nodes + top_nodes)
+    climbed = _climbed(leaves.select("position", F.when(F.col("n") == 1, F.col("up")).otherwise(_spot(0)).alias("spot"),
+                                     F.coalesce("changed", "digest").alias("folded")), nodes + top_nodes)
     named = spots.select("part", "start").join(subroots.select("start", F.col("digest").alias("subroot")), "start")
     known = F.lit(bytes(root[0]) if root else None).cast("binary")
     own = leaves.select("doc_id", "position", "part", "start", "digest", F.coalesce("changed", "digest").alias("copy"))
