@@ -42,7 +42,8 @@ REJECT_SIGMA = 6.0
 _LETTERS = re.compile(r"[^\W\d_]{1,%d}" % WORD_LETTERS)
 #: Vowel signs and accents that are characters of their own belong to the word; texts without any take the plain form.
 _MARKED = regex.compile(r"\p{L}[\p{L}\p{M}\u200c\u200d]{0,%d}" % (WORD_LETTERS - 1))
-_MARK = re.compile("[%s]" % "".join(re.escape(chr(c)) for c in range(0x300, 0x1F000) if unicodedata.category(chr(c))[0] == "M"))
+_MARKS = frozenset(chr(c) for c in range(0x300, 0x1F000) if unicodedata.category(chr(c))[0] == "M")
+_HIGH = re.compile("[\u0300-\U0010ffff]")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,7 +51,8 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 def find_words(text: str) -> list[str]:
     """Runs of letters, with the marks that follow a letter."""
-    return (_LETTERS if text.isascii() or not _MARK.search(text) else _MARKED).findall(text)
+    plain = text.isascii() or not _HIGH.search(text) or _MARKS.isdisjoint(text)
+    return (_LETTERS if plain else _MARKED).findall(text)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
