@@ -1,8 +1,8 @@
 """Catalogue of runnable reports over the test tables, each with its SQL twin where SQL can say it."""
 
-from plumbline.catalogue import clustering, exact, learning, preparing, profiling, rules
+from plumbline.catalogue import clustering, deeper, exact, learning, preparing, profiling, rules
 
-_PARTS = (profiling, preparing, learning, clustering, rules, exact)
+_PARTS = (profiling, preparing, learning, clustering, rules, exact, deeper)
 
 
 def all_reports() -> dict:

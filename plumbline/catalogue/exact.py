@@ -101,8 +101,8 @@ def _logistic_rows(spark, sf_dir):
 
 @report(_newton(0))
 def logreg_lbfgs_newton(spark, sf_dir):
-    model = _fit("classification", "LogisticRegression", _logistic_rows(spark, sf_dir), {"C": 1, "solver": "lbfgs"}, 2).model
-    return spark.createDataFrame([(round(float(model.coefficients[0]), 3), round(float(model.intercept), 3))], "weight double, intercept double")
+    model = _fit("classification", "LogisticRegression", _logistic_rows(spark, sf_dir), {"C": 1, "solver": "lbfgs"}, 2)
+    return spark.createDataFrame([(round(model.weights[0][0], 3), round(model.intercepts[0], 3))], "weight double, intercept double")
 
 
 @report(_newton(1))

@@ -265,10 +265,24 @@ def cv_score(spark, sf_dir):
                                  "k int, p int, weights string, score double").withColumn("score", r6("score"))
 
 
+_RUNS: dict = {}
+
+
+def _searched(spark, sf_dir: str, task: str) -> SupervisedResult:
+    """The full search over parts (regression) or documents, once for a session and folder."""
+    key = spark.sparkContext.applicationId, sf_dir, task
+    if key not in _RUNS:
+        if task == "regression":
+            _RUNS[key] = run_supervised(spark, part_ds(spark, sf_dir), "p_retailprice", "row_id", corr_threshold=0.0, parallelism=8)
+        else:
+            _RUNS[key] = run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", parallelism=8)
+    return _RUNS[key]
+
+
 @report()
 def refit_winner(spark, sf_dir):
     """Predictions for every document by the winner refitted on all of them."""
-    run = run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", parallelism=8)
+    run = _searched(spark, sf_dir, "classification")
     df = _classified_docs(spark, sf_dir)
     ready = run.preparation.transform(df, ["row_id"])
     return run.best_model.predict(ready).select("row_id", "prediction")
@@ -276,14 +290,12 @@ def refit_winner(spark, sf_dir):
 
 @report()
 def model_comparison(spark, sf_dir):
-    return run_supervised(spark, part_ds(spark, sf_dir), "p_retailprice", "row_id", corr_threshold=0.0,
-                          parallelism=8).results
+    return _searched(spark, sf_dir, "regression").results
 
 
 @report()
 def best_model(spark, sf_dir):
-    run = run_supervised(spark, part_ds(spark, sf_dir), "p_retailprice", "row_id", corr_threshold=0.0,
-                         parallelism=8)
+    run = _searched(spark, sf_dir, "regression")
     return run.results.where(F.col("model") == run.best_name).select("model", F.col("r2_score").alias("score"))
 
 
@@ -302,4 +314,4 @@ def bundle_roundtrip(spark, sf_dir):
 
 @report()
 def supervised_run(spark, sf_dir):
-    return run_supervised(spark, _classified_docs(spark, sf_dir), "quality", "row_id", parallelism=8).results
+    return _searched(spark, sf_dir, "classification").results

@@ -7,21 +7,23 @@ Class labels are indexes into the sorted classes.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import bayes as B
 from plumbline.operators import neighbors as N
+from plumbline.operators import newton as O
+from plumbline.operators import trees as D
 from plumbline.operators.blocks import matrix
 
 # The parameter grids to search, per family, in the order families are tried.
@@ -51,12 +53,6 @@ SMALL_GRIDS = {
     "SVM": {"C": [1], "kernel": ["linear"], "gamma": ["scale"]},
 }
 
-DEEPEST = 30
-BINS = 256
-RANDOM_FEATURES = 256
-# Memory for the statistics of the nodes that one pass splits; deep forests need fewer passes with more.
-FOREST_MB = 512
-SVM_TOLERANCE = 1e-3
 
 
 def candidates(grid: dict[str, list]) -> list[dict]:
@@ -97,50 +93,22 @@ def fold_contexts(train: DataFrame, folds: int, dims: int, classes: int, seed: i
 
 @dataclass
 class SparkModel:
-    """A Spark ML model, after an optional feature map of the rows."""
+    """A Spark ML model."""
 
     model: object
-    mapping: RandomFeatures | None = None
     kind: str = "spark"
 
     def predict(self, df: DataFrame) -> DataFrame:
-        rows = self.mapping.apply(df) if self.mapping else df
-        out = self.model.transform(rows)
+        out = self.model.transform(df)
         return out.select(*df.columns, F.col("prediction").cast("double").alias("prediction"))
 
     def save(self, spark: SparkSession, path: str) -> dict:
         PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
-        return {"mapping": self.mapping.as_dict() if self.mapping else None}
+        return {}
 
     @staticmethod
     def load(spark: SparkSession, path: str, facts: dict) -> SparkModel:
-        mapping = RandomFeatures(**facts["mapping"]) if facts["mapping"] else None
-        return SparkModel(PipelineModel.load(f"{path}/model").stages[0], mapping)
-
-
-@dataclass
-class RandomFeatures:
-    """Random Fourier features of the Gaussian kernel (Rahimi and Recht, 2007)."""
-
-    gamma: float
-    dims: int
-    size: int
-    seed: int
-
-    def as_dict(self) -> dict:
-        return {"gamma": self.gamma, "dims": self.dims, "size": self.size, "seed": self.seed}
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        rng = np.random.default_rng(self.seed)
-        w = rng.normal(scale=np.sqrt(2 * self.gamma), size=(self.dims, self.size))
-        b = rng.uniform(0, 2 * np.pi, self.size)
-        scale = np.sqrt(2 / self.size)
-
-        @F.pandas_udf("array<double>")
-        def project(x: pd.Series) -> pd.Series:
-            return pd.Series(list(scale * np.cos(matrix(x) @ w + b)))
-
-        return df.withColumn("features", array_to_vector(project("x")))
+        return SparkModel(PipelineModel.load(f"{path}/model").stages[0])
 
 
 @dataclass
@@ -214,44 +182,68 @@ class NeighbourVotes:
         return NeighbourVotes(spark.read.parquet(f"{path}/model"), **facts)
 
 
-MODEL_KINDS = {"spark": SparkModel, "linear": LinearScores, "bayes": BayesScores, "neighbours": NeighbourVotes}
+MODEL_KINDS = {"spark": SparkModel, "linear": LinearScores, "bayes": BayesScores, "neighbours": NeighbourVotes,
+               "forest": D.Forest, "decision": O.Decision}
 
 
 def _linear_regression(train: DataFrame, params: dict, ctx: FitContext):
     return SparkModel(LinearRegression(regParam=0.0, solver="normal", fitIntercept=params["fit_intercept"]).fit(train))
 
 
-def _depth(params: dict) -> int:
-    return DEEPEST if params["max_depth"] is None else params["max_depth"]
+def growth(params: dict, ctx: FitContext) -> D.Growth:
+    """How the trees of a candidate grow; limits of depth and rows apply when the trees are read."""
+    forest, classes = "n_estimators" in params, max(ctx.classes, 2) if "criterion" in params else 0
+    features = max(1, math.isqrt(ctx.dims)) if forest and classes else ctx.dims
+    return D.Growth(classes, params.get("criterion", "variance"), params.get("n_estimators", 1), forest, features, ctx.dims, ctx.seed)
 
 
-def _leaf_rows(params: dict) -> int:
-    return max(1, params["min_samples_split"] // 2)
+def stop_of(params: dict) -> tuple[int | None, int]:
+    """The greatest depth and the least rows of a split."""
+    return params["max_depth"], params.get("min_samples_split", 2)
 
 
-def _tree_regressor(train: DataFrame, params: dict, ctx: FitContext):
-    return SparkModel(DecisionTreeRegressor(seed=ctx.seed, maxDepth=_depth(params), maxBins=BINS,
-                                            minInstancesPerNode=_leaf_rows(params)).fit(train))
+def _trees(train: DataFrame, params: dict, ctx: FitContext):
+    grown = growth(params, ctx)
+    return D.Forest(grown, D.fit_trees(train, grown), *stop_of(params), grown.trees)
 
 
-def _forest_regressor(train: DataFrame, params: dict, ctx: FitContext):
-    return SparkModel(RandomForestRegressor(
-        seed=ctx.seed, numTrees=params["n_estimators"], maxDepth=_depth(params), maxBins=BINS,
-        maxMemoryInMB=FOREST_MB, minInstancesPerNode=_leaf_rows(params), featureSubsetStrategy="all", subsamplingRate=1.0).fit(train))
+def problems(params: dict, ctx: FitContext, fold: int | None, kernel: int | None = None) -> list[O.Fit]:
+    """The fits that make up one candidate's model on the rows outside ``fold``."""
+    classes = max(ctx.classes, 2)
+    if "kernel" in params:
+        pairs = [(1, 0)] if classes == 2 else list(itertools.combinations(range(classes), 2))
+        return [O.Fit("hinge", params["C"], fold, a, b, kernel=kernel) for a, b in pairs]
+    if params["solver"] == "lbfgs":
+        return [O.Fit("softmax", params["C"], fold, outputs=classes) if classes > 2 else O.Fit("logistic", params["C"], fold)]
+    return [O.Fit("logistic", params["C"], fold, c, intercept=True) for c in ([1] if classes == 2 else range(classes))]
+
 
+def kernel_width(params: dict, ctx: FitContext) -> float | None:
+    """The factor of the squared distance in a Gaussian kernel."""
+    if params.get("kernel") != "rbf":
+        return None
+    return 1.0 / (ctx.dims * (ctx.spread or 1.0)) if params["gamma"] == "scale" else 1.0 / ctx.dims
 
-def _tree_classifier(train: DataFrame, params: dict, ctx: FitContext):
-    return SparkModel(DecisionTreeClassifier(seed=ctx.seed, maxDepth=_depth(params), maxBins=BINS,
-                                             impurity=params["criterion"]).fit(train))
 
+def too_wide(params: dict, ctx: FitContext) -> bool:
+    """Whether a linear fit has more parameters than one matrix of curvatures may."""
+    outputs = ctx.classes if params.get("solver") == "lbfgs" and ctx.classes > 2 else 1
+    return params.get("kernel") != "rbf" and outputs * (ctx.dims + 1) > O.WIDEST
 
-def _forest_classifier(train: DataFrame, params: dict, ctx: FitContext):
-    return SparkModel(RandomForestClassifier(
-        seed=ctx.seed, numTrees=params["n_estimators"], maxDepth=_depth(params), maxBins=BINS,
-        maxMemoryInMB=FOREST_MB, impurity=params["criterion"], featureSubsetStrategy="sqrt").fit(train))
+
+def _newton(train: DataFrame, params: dict, ctx: FitContext):
+    if too_wide(params, ctx) and "solver" in params:
+        return _logistic(train, params, ctx)
+    width = kernel_width(params, ctx)
+    rows = train.select("row_id", "x", "label", F.lit(0).alias("fold")).persist()
+    kernels = [] if width is None else [O.fit_kernel(rows, width, None)]
+    fits = O.solve(rows, problems(params, ctx, None, 0 if kernels else None), kernels, ctx.dims)
+    rows.unpersist()
+    return O.Decision(fits, kernels, max(ctx.classes, 2))
 
 
 def _logistic(train: DataFrame, params: dict, ctx: FitContext):
+    """Fits of very many features, by Spark's own solver."""
     # a penalty on the mean loss equals one on the summed loss scaled by C and the rows
     penalty = 1.0 / (params["C"] * ctx.rows)
     if params["solver"] == "lbfgs":
@@ -283,17 +275,6 @@ def _penalised_intercept(train: DataFrame, positive: int, penalty: float) -> tup
     return w[:-1].tolist(), float(w[-1])
 
 
-def _svm(train: DataFrame, params: dict, ctx: FitContext):
-    machine = LinearSVC(regParam=1.0 / (params["C"] * ctx.rows), standardization=False, tol=SVM_TOLERANCE)
-    mapping = None
-    if params["kernel"] == "rbf":
-        gamma = 1.0 / (ctx.dims * (ctx.spread or 1.0)) if params["gamma"] == "scale" else 1.0 / ctx.dims
-        mapping = RandomFeatures(gamma, ctx.dims, RANDOM_FEATURES, ctx.seed)
-        train = mapping.apply(train)
-    estimator = machine if ctx.classes <= 2 else OneVsRest(classifier=machine)
-    return SparkModel(estimator.fit(train), mapping)
-
-
 def _bayes(train: DataFrame, params: dict, ctx: FitContext):
     return BayesScores(B.fit_bayes(B.class_moments(train, ctx.dims), params["var_smoothing"]))
 
@@ -314,21 +295,21 @@ class Family:
     ignored: Callable[[dict], dict] = field(default=lambda p: p)
 
 
-def _without_unused_gamma(params: dict) -> dict:
+def without_unused_gamma(params: dict) -> dict:
     """A linear kernel has no width, so its candidates with different widths are one model."""
     return {**params, "gamma": None} if params["kernel"] == "linear" else params
 
 
 _FITTERS = {
     "LinearRegression": (_linear_regression, None),
-    "DecisionTreeRegressor": (_tree_regressor, None),
-    "RandomForestRegressor": (_forest_regressor, None),
+    "DecisionTreeRegressor": (_trees, "trees"),
+    "RandomForestRegressor": (_trees, "trees"),
     "KNeighborsRegressor": (_neighbours(False), "neighbours"),
-    "LogisticRegression": (_logistic, None),
-    "DecisionTreeClassifier": (_tree_classifier, None),
-    "RandomForestClassifier": (_forest_classifier, None),
+    "LogisticRegression": (_newton, "newton"),
+    "DecisionTreeClassifier": (_trees, "trees"),
+    "RandomForestClassifier": (_trees, "trees"),
     "NaiveBayes": (_bayes, "bayes"),
-    "SVM": (_svm, None),
+    "SVM": (_newton, "newton"),
     "KNeighborsClassifier": (_neighbours(True), "neighbours"),
 }
 
@@ -340,4 +321,4 @@ def families(task: str, grid: str = "full") -> list[Family]:
     grids = CLASSIFICATION_GRIDS if task == "classification" else REGRESSION_GRIDS
     if grid == "small":
         grids = {n: SMALL_GRIDS.get(n, g) for n, g in grids.items()}
-    return [Family(n, g, *_FITTERS[n], *((_without_unused_gamma,) if n == "SVM" else ())) for n, g in grids.items()]
+    return [Family(n, g, *_FITTERS[n], *((without_unused_gamma,) if n == "SVM" else ())) for n, g in grids.items()]

@@ -48,9 +48,7 @@ def with_label(df: DataFrame, target: str, task: str, classes: list) -> DataFram
     index = df.sparkSession.createDataFrame([(c, float(i)) for i, c in enumerate(classes)], f"_c {dtype}, label double")
     if len(classes) <= BROADCAST_ROWS:
         index = F.broadcast(index)
-    # without the number of classes in the column's metadata, trees and forests stop at 100
-    nominal = {"ml_attr": {"type": "nominal", "num_vals": max(2, len(classes)), "name": "label"}}
-    return df.join(index, df[target] == index["_c"]).drop("_c").withMetadata("label", nominal)
+    return df.join(index, df[target] == index["_c"]).drop("_c")
 
 
 def prepare_rows(df: DataFrame, target: str, columns: list[str], task: str, rows: int, medians: dict | None,

@@ -4,6 +4,7 @@ from pyspark.ml.functions import array_to_vector
 
 from plumbline.operators import learners as L
 from plumbline.operators import metrics as M
+from plumbline.operators import newton as O
 from plumbline.operators import search as S
 
 
@@ -62,8 +63,8 @@ def test_logistic_solvers(make_points, sample, c):
     ctx = L.context(df, 3, 2, 42)
     assert ctx.rows == 160 and ctx.spread == pytest.approx(x.var())
     fit = family("classification", "LogisticRegression").fit
-    plain = fit(df, {"C": c, "solver": "lbfgs"}, ctx).model
-    assert np.allclose([*plain.coefficients.toArray(), plain.intercept], newton(x, y, c, False), atol=1e-4)
+    plain = fit(df, {"C": c, "solver": "lbfgs"}, ctx)
+    assert np.allclose([*plain.weights[0], plain.intercepts[0]], newton(x, y, c, False), atol=1e-4)
     other = fit(df, {"C": c, "solver": "liblinear"}, ctx)
     assert np.allclose([*other.weights[0], other.intercepts[0]], newton(x, y, c, True), atol=1e-4)
     predicted = [r["prediction"] for r in other.predict(df).orderBy("row_id").collect()]
@@ -83,6 +84,80 @@ def test_many_classes(make_points, sample):
         assert M.classification_metrics(model.predict(df)).first()["accuracy"] > 0.75, name
 
 
+def exact_svm(k, y, c, rounds=4000):
+    """Dual of a machine with a free intercept, by steps on the pair that violates optimality most."""
+    a, g = np.zeros(len(y)), -np.ones(len(y))
+    for _ in range(rounds):
+        up = np.where(((y > 0) & (a < c)) | ((y < 0) & (a > 0)), -y * g, -np.inf)
+        low = np.where(((y < 0) & (a < c)) | ((y > 0) & (a > 0)), -y * g, np.inf)
+        i, j = int(np.argmax(up)), int(np.argmin(low))
+        if up[i] - low[j] < 1e-6:
+            break
+        step = (up[i] - low[j]) / max(k[i, i] + k[j, j] - 2 * k[i, j], 1e-12)
+        step = min(step, c - a[i] if y[i] > 0 else a[i], a[j] if y[j] > 0 else c - a[j])
+        a[i] += y[i] * step
+        a[j] -= y[j] * step
+        g += y * (k[:, i] - k[:, j]) * step
+    return a, (up[i] + low[j]) / 2, a.sum() - 0.5 * (a * y) @ k @ (a * y)
+
+
+@pytest.mark.parametrize("c", [0.1, 1, 10])
+def test_linear_machine_reaches_its_optimum(make_points, sample, c):
+    x, y = sample
+    df = frame(make_points, x, y)
+    model = family("classification", "SVM").fit(df, {"C": c, "kernel": "linear", "gamma": "scale"}, L.context(df, 3, 2, 42))
+    _, _, best = exact_svm(x @ x.T, 2 * y - 1, c)
+    fit = model.fits[0]
+    assert abs(fit.gap) <= 1e-3 * fit.objective and best - 1e-3 * best <= fit.objective <= best * (1 + 2e-3)
+
+
+def test_gaussian_machine_votes_like_an_exact_one(make_points):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 4))
+    y = np.digitize((x[:, :2] ** 2).sum(axis=1) + 0.3 * rng.normal(size=700), [0.8, 2.2]).astype(float)
+    train, test = np.arange(700) < 500, np.arange(700) >= 500
+    df = frame(make_points, x[train], y[train])
+    ctx = L.context(df, 4, 3, 42)
+    model = family("classification", "SVM").fit(df, {"C": 1, "kernel": "rbf", "gamma": "scale"}, ctx)
+    got = O.decided(model.fits, model.kernels, x[test], 3)
+    gamma, votes = 1 / (4 * x[train].var()), np.zeros((200, 3))
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        rows = np.flatnonzero(train)[np.isin(y[train], [a, b])]
+        sign = np.where(y[rows] == a, 1.0, -1.0)
+        alpha, shift, _ = exact_svm(O.gaussian(x[rows], x[rows], gamma), sign, 1.0)
+        score = O.gaussian(x[test], x[rows], gamma) @ (alpha * sign) + shift
+        votes[np.arange(200), np.where(score > 0, a, b)] += 1
+    want = votes.argmax(axis=1)
+    assert abs((got == y[test]).mean() - (want == y[test]).mean()) <= 0.01 and (got == want).mean() > 0.98
+
+
+def test_softmax_is_stationary(make_points, sample):
+    x, _ = sample
+    y = np.digitize(x[:, 0] + 0.5 * x[:, 1], [-0.5, 0.5]).astype(float)
+    df = frame(make_points, x, y)
+    model = family("classification", "LogisticRegression").fit(df, {"C": 2, "solver": "lbfgs"}, L.context(df, 3, 3, 42))
+    w, b = np.array(model.weights), np.array(model.intercepts)
+    p = np.exp(x @ w.T + b)
+    p /= p.sum(axis=1, keepdims=True)
+    assert np.abs(w + 2 * (p - np.eye(3)[y.astype(int)]).T @ x).max() < 1e-3 and np.abs((p - np.eye(3)[y.astype(int)]).sum(axis=0)).max() < 1e-3
+
+
+def test_shared_scans_equal_single_fits(make_points, sample):
+    x, y = sample
+    fold = np.arange(160) % 3
+    df = frame(make_points, x, y, fold).persist()
+    contexts = L.fold_contexts(df, 3, 3, 2, 42)
+    for name, grid in (("LogisticRegression", {"C": [0.1, 10], "solver": ["lbfgs", "liblinear"]}), ("SVM", {"C": [1], "kernel": ["rbf", "linear"], "gamma": ["auto"]})):
+        f = family("classification", name)
+        f.grid = grid
+        for params, got in S.cross_validate(f, df, "classification", 3, contexts[:3]):
+            single = []
+            for k in range(3):
+                model = f.fit(df.where(f"fold <> {k}").drop("fold"), params, contexts[k])
+                single.append(M.classification_metrics(model.predict(df.where(f"fold = {k}"))).first()["accuracy"])
+            assert got == pytest.approx(np.mean(single), abs=1e-9), (name, params)
+
+
 def test_neighbour_search_equals_single_fits(make_points, sample):
     x, y = sample
     fold = np.arange(160) % 4
@@ -104,8 +179,8 @@ def test_linear_kernel_is_fitted_once(make_points, sample, monkeypatch):
     df = frame(make_points, x, y, np.arange(160) % 2).persist()
     f = family("classification", "SVM")
     calls = []
-    real = f.fit
-    f.fit = lambda train, params, ctx: calls.append(params) or real(train, params, ctx)
+    real = O.solve
+    monkeypatch.setattr(O, "solve", lambda rows, fits, *rest: calls.extend(fits) or real(rows, fits, *rest))
     f.grid = {"C": [1], "kernel": ["linear"], "gamma": ["scale", "auto"]}
     ctx = L.context(df, 3, 2, 42)
     scores = S.cross_validate(f, df, "classification", 2, [ctx] * 2)
