@@ -1,11 +1,12 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A lexicon transducer turns words into symbols with weights; negation, reported
-speech, target and threat transducers read the symbols and annotate them. Composed,
-they are one machine over a clause, which writes the clauses it matches: an insult or
-a threat, plain, aimed at someone, negated or reported, each with a weight. The score
-of a text is the chance that at least one of its matched clauses is toxic. Single
-words never score: only clauses that reach an accepting state do.
+A lexicon transducer turns words into symbols with weights. Negation, reported speech, target and
+intent transducers each read the symbols and mark them; insult and threat transducers read the
+marked symbols, wait for a target behind the word, and write the clauses they match with a weight.
+Chained, they are one machine over a text: an insult or a threat counts when it is aimed at someone,
+and a negated or reported one as much as labels say. The score of a text is the chance that at least
+one of its matched clauses is toxic. A lone word of the built-in lists matches nothing; a word that
+labelled texts show to be toxic by itself is accepted alone, with the weight they give it.
 
 The lexicon starts from a few words of each class and learns insults, as words or as
 beginnings of words, from labelled texts; how much a negated or reported clause still
@@ -39,7 +40,7 @@ CALIBRATION_SHARE = 4
 #: Texts that the belief from its beginning counts beside a word's own.
 STEM_TEXTS = 1.5
 #: Words a scope lasts after a negation, a target or an intent.
-SCOPE = 4
+SCOPE = 6
 #: Words a worker remembers or counts before it starts anew.
 WORDS_HELD = 200_000
 
@@ -51,8 +52,8 @@ imbécile débile connard connasse salaud ordure minable crétin abruti dégoût
 idiota imbécil estúpido estúpida basura escoria patético asqueroso inútil cabrón pendejo""".split()
 THREATS = """kill murder hurt destroy beat stab shoot strangle punch burn hang rape töten umbringen schlagen vernichten erschießen
 tuer frapper détruire égorger brûler matar golpear destruir quemar apuñalar""".split()
-TARGETS = """you your yours yourself u ur he him she her they them their du dich dir dein deine ihr euch sie er
-tu toi te vous ton ta votre il elle ils tú te ti vosotros usted ustedes él ella ellos""".split()
+TARGETS = """you your yours yourself u ur du dich dir dein deine ihr euch tu toi te vous ton ta votre tú ti vosotros usted ustedes""".split()
+OTHERS = "he him she her they them their sie er il elle ils él ella ellos".split()
 INTENTS = """will gonna shall going want should must werde werden will soll muss vais va veux dois voy va quiero debo debería""".split()
 NEGATIONS = """not never no nobody isn aren wasn don doesn didn cannot neither nor without nicht kein keine niemals nie ohne
 pas jamais aucun sans ne nunca jamás sin tampoco ningún""".split()
@@ -67,63 +68,108 @@ PRIOR_TEXTS = 8.0
 #: Texts that a clause's own weight counts beside the texts of its cell.
 CELL_TEXTS = 3.0
 SEED_WEIGHT, THREAT_WEIGHT, LONE_THREAT = 0.96, 0.96, 0.05
+#: What a target symbol carries: whether it is the one spoken to or someone else.
+SPOKEN_TO, OTHER = 2.0, 3.0
 
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]+")
 
 
 # ---------------------------------------------------------------- transducers
+#
+# A symbol is (class, weight, weight alone, words since the symbol before). A transducer has a start
+# state and a step from (state, symbol, marks) to (state, what it writes); marks are what the
+# transducers before it wrote for this symbol.
 
 def _scope(opens: int):
-    """A machine that is on for ``SCOPE`` words after its symbol; its state is the words left."""
-    def step(left: int, symbol: int | None, passed: int) -> int:
-        return SCOPE if symbol == opens else 0 if symbol == END else max(0, left - passed)
-    return step
+    """Marks what lies within ``SCOPE`` words after its symbol; writes the symbol's weight, or 0."""
+    def step(state, symbol, marks):
+        kind, weight, _, passed = symbol
+        left, held = state
+        left = max(0, left - passed)
+        if kind == END:
+            return (0, 0.0), 0.0
+        if kind == opens:
+            return (SCOPE, weight or 1.0), held if left else 0.0
+        return (left, held), held if left else 0.0
+    return (0, 0.0), step
 
 
 def _rest_of_clause(opens: int):
-    """A machine that is on from its symbol to the end of the clause."""
-    def step(on: int, symbol: int | None, passed: int) -> int:
-        return 0 if symbol == END else int(on or symbol == opens)
-    return step
+    """Marks what follows its symbol up to the end of the clause."""
+    def step(on, symbol, marks):
+        return (False if symbol[0] == END else on or symbol[0] == opens), on and symbol[0] != END
+    return False, step
+
+
+def _insults(state, symbol, marks):
+    """Insults: aimed where a target is marked before or comes within ``SCOPE`` words behind; else alone."""
+    kind, weight, alone, _ = symbol
+    waiting, out = _elapsed(state, symbol)
+    written = []
+    for left, held, lone, context in out + (waiting if kind == TARGET else []):
+        if kind == TARGET and left >= 0:
+            written.append((context or "aimed", held))
+        elif context or lone:
+            written.append((context or "plain", held if context else lone))
+    waiting = [] if kind == TARGET else waiting
+    if kind == INSULT:
+        if marks["target"]:
+            written.append((marks["context"] or "aimed", weight))
+        else:
+            waiting = [*waiting, (SCOPE, weight, alone, marks["context"])]
+    return waiting, written
+
+
+def _threats(state, symbol, marks):
+    """Threats: an intent before and one spoken to, or someone else unless the one spoken to shall act, behind.
+
+    With less than that a threat is next to nothing, and without both an intent and a target nothing.
+    """
+    kind, weight, _, _ = symbol
+    waiting, out = _elapsed(state, symbol)
+    written = []
+    for left, intent, subject, context in out + (waiting if kind == TARGET else []):
+        met = kind == TARGET and left >= 0
+        strong = met and intent and (weight == SPOKEN_TO or subject != SPOKEN_TO)
+        if strong or met or intent or subject:
+            written.append((context or ("aimed" if met or subject else "plain"), THREAT_WEIGHT if strong else LONE_THREAT))
+    waiting = [] if kind == TARGET else waiting
+    if kind == THREAT:
+        waiting = [*waiting, (SCOPE, marks["intent"], marks["target"], marks["context"])]
+    return waiting, written
+
 
+def _elapsed(state: list[tuple], symbol) -> tuple[list[tuple], list[tuple]]:
+    """Waiting words with the words that have passed taken off, and those whose wait is over."""
+    moved = [(left - symbol[3], *rest) for left, *rest in state]
+    over = [m for m in moved if m[0] < 0 or symbol[0] == END]
+    return [m for m in moved if m[0] >= 0 and symbol[0] != END], [(-1, *m[1:]) for m in over]
 
-#: The composed machine: one state per component, stepped together.
-MACHINES = (_scope(NEGATION), _rest_of_clause(REPORT), _scope(TARGET), _scope(INTENT))
+
+#: Transducers that mark symbols, and those that write clauses from the marked symbols.
+MARKERS = {"negated": _scope(NEGATION), "reported": _rest_of_clause(REPORT), "target": _scope(TARGET), "intent": _scope(INTENT)}
+WRITERS = (_insults, _threats)
 
 
 class Grammar:
-    """The composition of the transducers over symbols ``(class, weight, words since the last symbol)``."""
+    """The chain of the transducers over symbols ``(class, weight, weight alone, words since the last symbol)``."""
 
-    def clauses(self, symbols: list[tuple[int, float, int]]) -> list[tuple[str, float]]:
+    def clauses(self, symbols: list[tuple[int, float, float, int]]) -> list[tuple[str, float]]:
         """``(context, weight)`` of every matched clause part."""
-        state, found = (0,) * len(MACHINES), []
-        for at, (symbol, weight, passed) in enumerate(symbols):
-            state = tuple(machine(s, symbol, passed) for machine, s in zip(MACHINES, state, strict=True))
-            negated, reported, target, intent = state
-            if symbol not in (INSULT, THREAT):
-                continue
-            aimed = target > 0 or self._target_follows(symbols, at)
-            if symbol == THREAT:
-                weight = THREAT_WEIGHT if aimed and intent else LONE_THREAT if aimed or intent else 0.0
-                if not weight:
-                    continue
-            found.append(("negated" if negated else "reported" if reported else "aimed" if aimed else "plain", weight))
+        states, waiting, found = {name: start for name, (start, _) in MARKERS.items()}, [[] for _ in WRITERS], []
+        for symbol in [*symbols, (END, 0.0, 0.0, 1)]:
+            marks = {}
+            for name, (_, step) in MARKERS.items():
+                states[name], marks[name] = step(states[name], symbol, marks)
+            marks["context"] = "negated" if marks["negated"] else "reported" if marks["reported"] else ""
+            for i, writer in enumerate(WRITERS):
+                waiting[i], written = writer(waiting[i], symbol, marks)
+                found += written
         return found
 
-    @staticmethod
-    def _target_follows(symbols, at: int) -> bool:
-        gone = 0
-        for symbol, _, passed in symbols[at + 1:at + 1 + SCOPE]:
-            gone += passed
-            if symbol == END or gone > SCOPE:
-                return False
-            if symbol == TARGET:
-                return True
-        return False
-
 
 class _Symbols(dict):
-    """Word -> (class, weight) or None; unknown words are looked up by their beginnings once."""
+    """Word -> (class, weight, weight alone) or None; unknown words are looked up by their beginnings once."""
 
     def __init__(self, lexicon: dict):
         super().__init__()
@@ -133,12 +179,13 @@ class _Symbols(dict):
         if len(self) > WORDS_HELD:
             self.clear()
         if not word[0].isalpha() and word[0] in ".!?;:\n":
-            found = (END, 0.0)
+            found = (END, 0.0, 0.0)
         else:
             found = self.words.get(word)
             if found is None:
-                found = (INSULT, max((self.stems.get(word[:k], 0.0) for k in STEMS if k <= len(word)), default=0.0))
-            if found == (INSULT, 0.0):
+                belief = max((self.stems.get(word[:k], 0.0) for k in STEMS if k <= len(word)), default=0.0)
+                found = (INSULT, belief, belief)
+            if found[:2] == (INSULT, 0.0):
                 found = None
         self[word] = found
         return found
@@ -157,7 +204,7 @@ class Reader:
         symbols, last = [], -1
         for at, found in enumerate(classes):
             if found is not None:
-                symbols.append((found[0], found[1], at - last))
+                symbols.append((*found, at - last))
                 last = at
         return self.grammar.clauses(symbols)
 
@@ -185,9 +232,10 @@ def score_of(clauses: list[tuple[str, float]], model: dict) -> float:
 
 def seed_lexicon() -> dict:
     words = {}
-    for symbol, names in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (INTENT, INTENTS), (TARGET, TARGETS), (THREAT, THREATS)):
-        words |= dict.fromkeys(names, (symbol, 0.0))
-    return {"words": words | dict.fromkeys(INSULTS, (INSULT, SEED_WEIGHT)), "stems": {}}
+    for symbol, weight, names in ((REPORT, 0.0, REPORTS), (NEGATION, 0.0, NEGATIONS), (INTENT, 0.0, INTENTS), (TARGET, OTHER, OTHERS),
+                                  (TARGET, SPOKEN_TO, TARGETS), (THREAT, 0.0, THREATS)):
+        words |= dict.fromkeys(names, (symbol, weight, 0.0))
+    return {"words": words | dict.fromkeys(INSULTS, (INSULT, SEED_WEIGHT, 0.0)), "stems": {}}
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +253,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = {w for w in _TOKEN.findall(text.lower()) if w[0].isalpha() and 3 <= len(w) <= 30}
+            words = {w for w in _TOKEN.findall(text.lower()) if w[0].isalpha()}
             texts.update(words)
             if label:
                 toxic.update(words)
@@ -234,11 +282,13 @@ def _learn_lexicon(rows: DataFrame) -> dict:
     begins = [F.substring("word", 1, k).isin([x for x in stems if len(x) == k]) for k in STEMS if any(len(x) == k for x in stems)]
     own = (F.col("n") >= LEAST_TEXTS) & (_credible(F.col("n"), F.col("bad")) >= LEAST_SHARE)
     for word, n, bad in words.where(reduce(or_, begins, own)).collect():
-        if lexicon["words"].get(word, (INSULT,))[0] == INSULT:
+        known = lexicon["words"].get(word)
+        if known is None or known[0] == INSULT:
             # A word's own texts speak first; where they are few, its best beginning does.
             belief = max((stems.get(word[:k], 0.0) for k in STEMS), default=0.0) or LEAST_SHARE
             weight = (bad + STEM_TEXTS * belief) / (n + STEM_TEXTS)
-            lexicon["words"][word] = (INSULT, weight if weight >= 0.3 else 0.0)
+            weight = weight if weight >= 0.3 else 0.0
+            lexicon["words"][word] = (INSULT, max(weight, known[1] if known else 0.0), weight)
     lexicon["stems"] = stems
     return lexicon
 
