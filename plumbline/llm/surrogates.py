@@ -15,6 +15,7 @@ import hashlib
 import ipaddress
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,8 +27,9 @@ from plumbline.llm.common import bounded_batches, replaced, set_down, string
 
 #: Changed surrogates up to this number are broadcast; beyond, each document gets its own by a join.
 BROADCAST_CHANGES = 100_000
-#: Attempts after which an entity may bear the name of another one, which has a third name; the same name twice never stays.
-REAL_ATTEMPTS = 8
+#: Attempts after which an entity of a fixed shape, as a number, may bear the name of another one, which has a third name: its shape
+#: may have no other left. Names and addresses grow with the attempts and never bear a real one; the same name twice never stays.
+REAL_ATTEMPTS = 64
 #: Characters up to which a string is permuted as one number.
 LONG = 256
 #: Surrogates a worker remembers before it starts anew.
@@ -41,6 +43,20 @@ Jürgen Wolfgang Stefan Pierre Jean Jacques Louis Antoine José Juan Carlos Luis
 GIVEN_F = """Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Anna Emily Laura Julia Ursula Monika Petra
 Sabine Marie Claire Sophie Isabelle María Carmen Ana Lucía Olga Natalia Анна Ольга Наталья Мария""".split()
 
+# Words that follow a title or a given name in ordinary text and are no name.
+NO_NAMES = frozenset("""my the your his her our their this that these those and or but if is was will words president chairman chairwoman speaker
+minister chancellor secretary ambassador justice judge mayor governor director attorney you me who please said says has had would could
+should may might can does did""".split())
+
+def _plain(word: str) -> str:
+    """The word without accents."""
+    return "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c)) if not re.search("[а-яё]", word) else word
+
+
+def _with_plain(names: list[str]) -> list[str]:
+    return list(dict.fromkeys([*names, *map(_plain, names)]))
+
+
 SECRET_NAMES = r"(?i:api[_-]?key|access[_-]?key|private[_-]?key|auth|token|secret|passw(?:or)?d|pwd)"
 KEY_STARTS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-", "sk-", "eyJ")
 
@@ -69,13 +85,18 @@ _NUMBERS = [
                          r"|(?=0(?:[ /-]?\d){8,11}(?!\d))0\d{2,5}[ /-]?\d{2,4}(?:[ -]?\d{2,4}){1,3}|0\d(?P<sep>[ .-]?)\d{2}(?:(?P=sep)\d{2}){3}))(?!\d)")),
     ("account", re.compile(r"(?<![\d.,-])\d(?:[ -]?\d){12,18}(?!\d)")),
 ]
-_NAME = r"[^\W\d_][^\W\d_]+(?:['’-][^\W\d_]+)?"
+_NAME = r"(?:[^\W\d_]['’](?=[^\W\d_]))?[^\W\d_][^\W\d_]+(?:['’-][^\W\d_]+)?"
 _WORD = re.compile(_NAME)
 #: What a name starts with, and each further word of it: initials and lower-case particles may stand before a name word.
-_NAMED = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES.values())})\b\.?(?= )|(?P<given>{'|'.join(GIVEN_M + GIVEN_F)})\b(?= |['’-]))")
+_NAMED = re.compile(rf"\b(?:(?P<title>{'|'.join(TITLES.values())}|mrs?|ms)\b\.?(?= )|(?P<given>{'|'.join(_with_plain(GIVEN_M + GIVEN_F))})\b(?= |['’-]))")
 _NEXT = re.compile(rf" +(?:[^\W\d_]\.? +)*(?:(?:van|von|vom|zu|zum|zur|den|der|ter|ten|de|del|della|di|da|dos|du|la|le|bin|ibn|al) +)*(?P<word>{_NAME})")
+#: Values that are named in running text rather than assigned, and words before digits that are no entity.
+_BEARER = re.compile(r"(?i:\bbearer|\bbasic) +(?P<value>[\w.~+/=-]{16,})")
+_SPOKEN = re.compile(rf"{SECRET_NAMES} +(?i:is|was|ist|est|es) +[\"']?(?P<value>(?=[^\s\"']*\d)[^\s\"']{{6,}})")
+_NO_IP = re.compile(r"(?i:\bversions?|\bver\.?|\brelease|\bv|\bsection|§) ?\Z")
+_NO_ACCOUNT = re.compile(r"(?i:\bISBN(?:-1[03])?|\bISSN|\bEAN):? ?\Z")
 _POSSESSIVE = re.compile(r"['’]s\Z", re.I)
-_NAME_HINTS = [*"|".join(TITLES.values()).split("|"), *GIVEN_M, *GIVEN_F]
+_NAME_HINTS = ["mr", "ms", *"|".join(TITLES.values()).split("|"), *_with_plain(GIVEN_M + GIVEN_F)]
 
 
 # ---------------------------------------------------------------- keyed permutations
@@ -273,11 +294,19 @@ def _dressed(kind: str, found: str, made: str) -> str:
 
 
 def _gender(title: str) -> str:
-    return next(g for g, names in TITLES.items() if title in names.split("|"))
+    return next(g for g, names in TITLES.items() if title.capitalize() in names.split("|"))
 
 
 _TITLES = frozenset("|".join(TITLES.values()).split("|"))
-_LISTED = {x.lower(): "m" for x in GIVEN_M} | {x.lower(): "f" for x in GIVEN_F}
+_LISTED = {x.lower(): "m" for x in _with_plain(GIVEN_M)} | {x.lower(): "f" for x in _with_plain(GIVEN_F)}
+
+
+_NOT_AFTER = {"ip": _NO_IP, "account": _NO_ACCOUNT}
+_SECRET_HINTS = ("passw", "Passw", "PASSW", "token", "Token", "secret", "Secret", "key", "Key", "KEY", "pwd", "auth")
+
+
+def _spoken(text: str):
+    return _SPOKEN.finditer(text) if any(hint in text for hint in _SECRET_HINTS) else ()
 
 
 class Finder:
@@ -301,6 +330,10 @@ class Finder:
             found += [(*m.span(), "pem") for m in _PEM.finditer(text)]
         if any(start in text for start in KEY_STARTS):
             found += [(*m.span(), "secret") for m in _KEY.finditer(text)]
+        if "earer " in text or "asic " in text or "EARER " in text:
+            found += [(*m.span("value"), "secret") for m in _BEARER.finditer(text)]
+        if " is " in text or " was " in text or " es" in text or " ist " in text:
+            found += [(*m.span("value"), "secret") for m in _spoken(text)]
         if any(name in text for name in _NAME_HINTS):
             found += self._names(text)
         if not found:
@@ -365,7 +398,7 @@ class Finder:
             return [(*m.span(), "iban")]
         for kind, pattern in _NUMBERS:
             m = pattern.match(text, at)
-            if m:
+            if m and not (kind in _NOT_AFTER and _NOT_AFTER[kind].search(text, max(0, at - 16), at)):
                 return [(*m.span(), kind)]
         start = at
         while before.isalpha() and start and text[start - 1] in "0123456789abcdefABCDEF":
@@ -387,8 +420,9 @@ class Finder:
             title, at = m.group("title"), m.end()
             words = [] if title else [Finder._word(text, m.start(), _WORD.match(text, m.start()).end())]
             here = words[0][1] if words else at
-            while (n := _NEXT.match(text, here)) and n.group("word")[0].isupper():
-                if _NAMED.match(text, n.start("word")) and n.group("word") in _TITLES:
+            lower = title is not None and title.islower()  # a title in small letters stands before one name in small letters
+            while (n := _NEXT.match(text, here)) and (n.group("word")[0].isupper() or (lower and not words)):
+                if (_NAMED.match(text, n.start("word")) and n.group("word") in _TITLES) or n.group("word").lower() in NO_NAMES:
                     break
                 words.append(Finder._word(text, *n.span("word")))
                 here = words[-1][1]
@@ -487,7 +521,8 @@ def changed_surrogates(docs: DataFrame, key: bytes, text: str = "text") -> DataF
         shared = typed.groupBy("type", "made").agg(F.min(F.struct("attempt", "canon", "kind")).alias("first"), F.count(F.lit(1)).alias("n"))
         later = typed.join(shared.where("n > 1"), ["type", "made"]).where("canon <> first.canon or kind <> first.kind").select("kind", "canon")
         real = typed.select("type", "kind", "made", "attempt", F.col("canon").alias("c")).join(
-            typed.select("type", F.col("canon").alias("made")), ["type", "made"], "left_semi").where(F.col("attempt") < REAL_ATTEMPTS).select("kind", F.col("c").alias("canon"))
+            typed.select("type", F.col("canon").alias("made")), ["type", "made"], "left_semi").where(
+            F.col("type").isin("name", "email") | (F.col("attempt") < REAL_ATTEMPTS)).select("kind", F.col("c").alias("canon"))
         bad = later.unionByName(real).distinct()
         if not bad.limit(1).count():
             return state.where("attempt > 0").select("kind", "canon", "attempt")

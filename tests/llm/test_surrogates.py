@@ -141,3 +141,36 @@ def test_one_address_in_two_notations():
     assert s.surrogate(p, "ip6", s.canonical("ip6", "fe80::1")).startswith("fe80:")
     for clean in ("std::vector", "a::b", "::1", "at 10:30:15", "01.02.2024 10:30", "2024-01-02 10:30", "01-02-2024 10", "0.0171 12345", "1 000 000"):
         assert s.Finder().entities(clean) == [], clean
+
+
+def kinds_of(text):
+    return [(kind, found) for _, _, kind, found in s.Finder().entities(text)]
+
+
+def test_names_with_apostrophes_small_letters_and_plain_accents():
+    for name in ("Dr. O'Neill", "Mr D'Angelo", "Mr O’Brien"):
+        assert kinds_of(f"Ask {name} about it.") == [("name_s", name.split(" ")[1])], name
+    assert kinds_of("Ask Sean O'Brien.") == []  # neither a title nor a listed given name
+    assert [k for k, _ in kinds_of("Maria Lopez and Lucia Perez met mr smith.")] == ["name_f", "name_s", "name_f", "name_s", "name_s"]
+    assert ("name_s", "O'Neill") in kinds_of("Dr. Ann O'Neill came. O'Neill left.")[1:]
+
+
+def test_secrets_in_running_text():
+    assert kinds_of("Authorization: Bearer abcdefGHIJK0123456789xyz") == [("secret", "abcdefGHIJK0123456789xyz")]
+    assert kinds_of("The password is hunter2hunter2 for now.") == [("secret", "hunter2hunter2")]
+    assert kinds_of("The secret is out, the key was found and the token is valid.") == []
+
+
+def test_what_is_no_entity():
+    for text in ("Mark My Words", "Mr. President spoke", "version 1.2.3.4 is out", "see v1.2.3.4", "ISBN 978 3 16 148410 0", "Will you, Miss?", "ms is short"):
+        assert kinds_of(text) == [], text
+
+
+def test_no_name_is_a_real_one(spark, make_docs, monkeypatch):
+    """With few syllables nearly every first surrogate is a name of the corpus; in the end none is, and none is shared."""
+    monkeypatch.setattr(s, "_SYLLABLES", {"latin": ["ba", "be"], "cyrillic": ["ба"]})
+    monkeypatch.setattr(s, "_ENDINGS", {(script, g): [e] for script, e in (("latin", "ton"), ("cyrillic", "ин")) for g in "mfus"})
+    names = [f"{a}{b}ton".capitalize() for a in ("ba", "be") for b in ("ba", "be")]
+    docs = make_docs([(i, f"Mr {n} came.") for i, n in enumerate([*names, "Keller", "Moser"])])
+    made = [r.text.split(" ")[1] for r in s.replace_personal_data(docs, b"k").orderBy("doc_id").collect()]
+    assert len(set(made)) == 6 and not set(made) & {*names, "Keller", "Moser"}
