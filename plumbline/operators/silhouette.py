@@ -1,9 +1,11 @@
 """Mean Euclidean silhouette of one or many labelings of the same rows, exactly.
 
 Distances between all rows are what the score is defined on. They are computed
-once for all labelings: a block pair turns its distances into sums per cluster of
-every labeling, so no pair of rows is ever written. Equal rows with equal labels
-are one weighted row.
+once for all labelings of few clusters: a block pair turns its distances into sums per
+cluster of every labeling, so no pair of rows is ever written. A labeling of many
+clusters has a pass of its own, in which whole clusters lie in one tile, so that only
+the own and the nearest mean of a row leave the task. Equal rows with equal labels are
+one weighted row.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from plumbline.limits import BLOCK_ROWS, LABEL_COLUMNS_PER_PASS, TILE_CELLS, TILE_ROWS
 from plumbline.operators.blocks import cogroup_blocks, matrix
+from plumbline.session import cut_lineage
 
 #: Rows of a side whose distances are held at a time.
 PIECE_ROWS = 2048
@@ -43,11 +46,16 @@ def silhouettes(points: DataFrame, labelings: list[str], block_rows: int | None
     A null label leaves the row out of that labeling. A labeling with fewer than
     two clusters, or as many clusters as rows, scores ``None``.
     """
-    sizes = _cluster_sizes(points, labelings)
-    scored = [n for n in labelings if 2 <= len(sizes[n]) <= sum(sizes[n].values()) - 1]
+    counts = points.agg(*[f(F.col(n)).alias(f"{k}_{n}") for n in labelings for k, f in (("clusters", F.count_distinct), ("rows", F.count))]).first()
+    known = [n for n in labelings if 2 <= counts[f"clusters_{n}"] <= counts[f"rows_{n}"] - 1]
+    many = [n for n in known if counts[f"clusters_{n}"] > columns_per_pass]
     out: dict[str, float | None] = dict.fromkeys(labelings)
+    for n in many:
+        out[n] = _score_of_many(points, n, counts[f"rows_{n}"], block_rows)
+    scored = [n for n in known if n not in many]
     if not scored:
         return out
+    sizes = _cluster_sizes(points, scored)
     columns = [(n, c) for n in scored for c in sorted(sizes[n])]
     unique = (points.where(F.coalesce(*[F.col(n).cast("bigint") for n in scored]).isNotNull())
               .groupBy("x", *scored).agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("w"))).persist()
@@ -74,6 +82,81 @@ def silhouettes(points: DataFrame, labelings: list[str], block_rows: int | None
     return out
 
 
+def _score_of_many(points: DataFrame, name: str, rows: int, tile_rows: int | None) -> float:
+    """The score of a labeling of many clusters: every row meets every tile of whole clusters once.
+
+    Clusters of more than half a tile are spread over tiles, and the sums over their parts are added up; there
+    are at most two such clusters for each tile's worth of rows.
+    """
+    tile = tile_rows or BLOCK_ROWS
+    label = F.col(name).cast("bigint").alias("c")
+    unique = points.where(F.col(name).isNotNull()).groupBy("x", label).agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("w"))
+    sizes = unique.groupBy("c").agg(F.sum("w").alias("size"), F.count(F.lit(1)).alias("kinds"))
+    # labels are dealt by their own value first, so a large cluster is no single key of this join
+    unique = cut_lineage(unique.join(sizes, "c"))
+    tiles = max(1, -(-unique.count() // tile))
+    large = F.col("kinds") > tile // 2
+    by_cluster = F.pmod(F.xxhash64("c"), F.lit(tiles))
+    placed = unique.withColumn("rb", F.when(large, F.pmod(F.xxhash64("row_id"), F.lit(tiles))).otherwise(by_cluster).cast("int")).withColumn("large", large)
+    left = unique.select("row_id", "x", "c", "size", "w", F.pmod(F.xxhash64("row_id", F.lit(1)), F.lit(tiles)).cast("int").alias("lb")).withColumn(
+        "rb", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+    right = placed.withColumn("lb", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+    found = cogroup_blocks(left, right).applyInPandas(_nearest_of_tile, "row_id bigint, c bigint, other bigint, own double, near double, part double")
+    whole = found.where("other IS NULL").groupBy("row_id").agg(F.sum("own").alias("own"), F.min("near").alias("near"))
+    parts = found.where("other IS NOT NULL").groupBy("row_id", "c", "other").agg(F.sum("part").alias("sum")).join(
+        sizes.where(F.col("kinds") > tile // 2).select(F.col("c").alias("other"), F.col("size").alias("others")), "other")
+    spread = parts.groupBy("row_id").agg(F.sum(F.when(F.col("c") == F.col("other"), F.col("sum"))).alias("own_large"),
+                                         F.min(F.when(F.col("c") != F.col("other"), F.col("sum") / F.col("others"))).alias("near_large"))
+    met = unique.select("row_id", "w", "size").join(whole, "row_id").join(spread, "row_id", "left")
+    a = F.coalesce("own", "own_large") / F.nullif(F.col("size") - 1, F.lit(0))
+    b = F.least("near", "near_large")
+    s = F.when(F.col("size") == 1, 0.0).otherwise(F.coalesce((b - a) / F.nullif(F.greatest(a, b), F.lit(0.0)), F.lit(0.0)))
+    return met.agg(F.sum(s * F.col("w")) / rows).first()[0]
+
+
+def _nearest_of_tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """For each row on the left: its sum over its own cluster and the nearest mean of another, of clusters that lie whole on
+    the right; and its sums over the parts of large clusters there."""
+    names = ["row_id", "c", "other", "own", "near", "part"]
+    if left.empty:
+        return pd.DataFrame({n: [] for n in names})
+    ids, label = left["row_id"].to_numpy(), left["c"].to_numpy()
+    own, near = np.full(len(ids), np.nan), np.full(len(ids), np.nan)
+    extra = []
+    if len(right):
+        right = right.sort_values("c", kind="stable")
+        b, weight, others, cluster = matrix(right["x"]), right["w"].to_numpy(float), right["row_id"].to_numpy(), right["c"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], cluster[1:] != cluster[:-1]]))
+        names_here, size = cluster[starts], right["size"].to_numpy(float)[starts]
+        split = right["large"].to_numpy(bool)[starts]
+        by_id = np.argsort(others)
+        squares = (b * b).sum(axis=1)
+        for i in range(0, len(ids), PIECE_ROWS):
+            cut = slice(i, i + PIECE_ROWS)
+            a = matrix(left["x"].iloc[cut])
+            d = (a * a).sum(axis=1)[:, None] + squares[None, :] - 2.0 * (a @ b.T)
+            np.sqrt(np.maximum(d, 0.0, out=d), out=d)
+            at = by_id[np.minimum(np.searchsorted(others, ids[cut], sorter=by_id), len(others) - 1)]
+            itself = np.flatnonzero(others[at] == ids[cut])
+            d[itself, at[itself]] = 0.0
+            sums = np.add.reduceat(d * weight, starts, axis=1)
+            mine = names_here[None, :] == label[cut, None]
+            for k in np.flatnonzero(split):
+                extra.append(pd.DataFrame({"row_id": ids[cut], "c": label[cut], "other": names_here[k], "own": np.nan, "near": np.nan, "part": sums[:, k]}))
+            if not split.all():
+                whole = ~split
+                mean = np.where(mine[:, whole], np.inf, sums[:, whole] / size[whole])
+                near[cut] = mean.min(axis=1)
+                has = (mine & whole).any(axis=1)
+                own[cut] = np.where(has, np.where(mine & whole, sums, 0.0).sum(axis=1), np.nan)
+        near[np.isinf(near)] = np.nan
+    base = pd.DataFrame({"row_id": ids, "c": label, "other": pd.array([None] * len(ids), "Int64"), "own": own, "near": near, "part": np.nan})
+    out = pd.concat([base, *[e.astype({"other": "Int64"}) for e in extra]], ignore_index=True)
+    for n in ("own", "near", "part"):
+        out[n] = out[n].astype("object").where(out[n].notna(), None)
+    return out
+
+
 def _cluster_sizes(points: DataFrame, labelings: list[str]) -> dict[str, dict]:
     cells = F.array(*[F.struct(F.lit(n).alias("n"), F.col(n).cast("bigint").alias("c")) for n in labelings])
     counted = (points.select(F.explode(cells).alias("e")).select("e.*").where("c is not null")

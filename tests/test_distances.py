@@ -139,3 +139,15 @@ def test_silhouette_pieces_equal_brute_force(spark, make_points, monkeypatch):
     points = make_points(x, label=[float(v) for v in label])
     for rows in (None, 25, 90):
         assert S.silhouettes(points, ["label"], rows)["label"] == pytest.approx(np.mean(scores))
+
+
+@pytest.mark.parametrize("tile", [16, 4096])
+def test_silhouette_of_many_clusters(make_points, tile):
+    """More clusters than columns: whole clusters in tiles, large ones spread, rows that repeat."""
+    rng = np.random.default_rng(11)
+    x = np.round(rng.normal(size=(260, 3)), 1)
+    x[200:] = x[:60]
+    labels = np.concatenate([rng.integers(0, 70, 200), np.full(60, 3)])
+    labels[:30] = 3
+    points = make_points(x, a=labels.tolist())
+    assert silhouettes(points, ["a"], tile, 8)["a"] == pytest.approx(brute_silhouette(x, labels), abs=1e-7)
