@@ -9,7 +9,6 @@ row's own key with literals, so the table is neither sorted nor shuffled.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -28,38 +27,42 @@ def cut_keys(df: DataFrame, key: str, cuts: dict, sizes: dict, group: str | None
     """Key at each 1-based rank of the key order: ``cuts`` maps a group to its ranks.
 
     ``sizes`` has the rows of every group; without ``group`` the only group is 0.
-    Returns ``{(group, rank): key}``. Each round counts the rows per longer key prefix
-    inside the prefixes that still hold a cut, until those are small enough to rank.
+    Returns ``{(group, rank): key}``. Each round counts the rows per longer key prefix inside the
+    prefixes that hold a cut and are still large, and adds the counts up by a window per prefix: one
+    row a cut comes back. Small prefixes are left as they are and ranked at the end.
     """
     spark = df.sparkSession
     keyed = df.select((F.col(group) if group else F.lit(0)).alias("g"), F.col(key).alias("k"))
     g_type = keyed.schema["g"].dataType.simpleString()
     # one entry per cut (groups x folds): its prefix, rank inside the prefix, rows of the prefix
     open_ = {(g, rank): ("", rank, sizes[g]) for g, ranks in cuts.items() for rank in ranks}
-    digits = 0
 
-    def inside() -> DataFrame:
-        cells = spark.createDataFrame(sorted({(g, p) for (g, _), (p, _, _) in open_.items()}), f"g {g_type}, p string")
+    def table(rows: list, schema: str) -> DataFrame:
+        made = spark.createDataFrame(rows, f"g {g_type}, {schema}")
+        return F.broadcast(made) if len(rows) <= BROADCAST_ROWS else made
+
+    def inside(cells: list[tuple], digits: int) -> DataFrame:
         here = keyed.withColumn("p", F.substring("k", 1, digits) if digits else F.lit(""))
-        return here.join(F.broadcast(cells), ["g", "p"], "left_semi")
-
-    while open_ and max(n for _, _, n in open_.values()) > cell_rows and digits < 30:
-        counted = inside().groupBy("g", F.substring("k", 1, digits + 3).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        counts: dict = {}
-        for r in counted.collect():
-            counts.setdefault((r["g"], r["p"][:digits]), []).append((r["p"], r["n"]))
-        digits += 3
-        for (g, rank), (p, pos, _) in open_.items():
-            cells = sorted(counts[(g, p)])
-            ends = list(accumulate(n for _, n in cells))
-            i = bisect_right(ends, pos - 1)
-            open_[(g, rank)] = (cells[i][0], pos - (ends[i - 1] if i else 0), cells[i][1])
-    if not open_:
-        return {}
-    need = spark.createDataFrame([(g, p, pos, rank) for (g, rank), (p, pos, _) in open_.items()],
-                                 f"g {g_type}, p string, pos int, rank bigint")
-    ranked = inside().withColumn("pos", F.row_number().over(W.partitionBy("g", "p").orderBy("k")))
-    return {(r["g"], r["rank"]): r["k"] for r in ranked.join(F.broadcast(need), ["g", "p", "pos"]).collect()}
+        return here.join(table(cells, "p string"), ["g", "p"], "left_semi")
+
+    for digits in range(0, 30, 3):
+        large = [(g, rank, p, pos) for (g, rank), (p, pos, n) in open_.items() if n > cell_rows]
+        if not large:
+            break
+        counted = inside(sorted({(g, p) for g, _, p, _ in large}), digits).groupBy(
+            "g", "p", F.substring("k", 1, digits + 3).alias("longer")).agg(F.count(F.lit(1)).alias("n"))
+        ended = counted.withColumn("end", F.sum("n").over(W.partitionBy("g", "p").orderBy("longer")))
+        held = ended.join(table([(g, p, pos, rank) for g, rank, p, pos in large], "p string, pos bigint, rank bigint"), ["g", "p"])
+        for r in held.where("end - n < pos AND pos <= end").collect():
+            open_[(r["g"], r["rank"])] = (r["longer"], r["pos"] - (r["end"] - r["n"]), r["n"])
+    found = {}
+    for digits in sorted({len(p) for p, _, _ in open_.values()}):
+        mine = [(g, p, pos, rank) for (g, rank), (p, pos, _) in open_.items() if len(p) == digits]
+        ranked = inside(sorted({(g, p) for g, p, _, _ in mine}), digits).withColumn(
+            "pos", F.row_number().over(W.partitionBy("g", "p").orderBy("k")))
+        need = table(mine, "p string, pos int, rank bigint")
+        found |= {(r["g"], r["rank"]): r["k"] for r in ranked.join(need, ["g", "p", "pos"]).collect()}
+    return found
 
 
 def holdout_split(df: DataFrame, test_size: float = 0.2, seed: int = 42, row_id: str = "row_id",

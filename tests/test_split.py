@@ -55,3 +55,22 @@ def test_bad_sizes(spark):
         S.holdout_split(df, 1.0)
     with pytest.raises(ValueError):
         S.contiguous_folds(df.withColumn("order_key", S.order_key("row_id", 1)), 5)
+
+
+def test_many_classes_with_one_large(spark, monkeypatch):
+    """Only the large class is counted by prefix, and no collect holds more rows than classes times folds."""
+    small, large = 2000, 30_000
+    df = spark.range(small * 3 + large).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") < small * 3, F.col("id") % small).otherwise(small).cast("double").alias("label"))
+    df = df.withColumn("order_key", S.order_key("row_id", 42)).persist()
+    monkeypatch.setattr(S, "CELL_ROWS", 500)
+    seen, real = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: seen.append(real(self)) or seen[-1])
+    monkeypatch.setattr(S.cut_keys, "__defaults__", (None, 500))
+    out = S.stratified_folds(df, "label", 5)
+    assert max(map(len, seen)) <= (small + 1) * 5
+    monkeypatch.undo()
+    per = out.groupBy("label", "fold").count().groupBy("label").agg(F.max("count") - F.min("count"), F.count(F.lit(1))).collect()
+    assert all(r[1] <= 1 for r in per) and out.count() == small * 3 + large
+    keys_of = out.where("label = 2000").groupBy("fold").agg(F.min("order_key").alias("a"), F.max("order_key").alias("b")).orderBy("fold").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(keys_of, keys_of[1:]))
