@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.limits import BROADCAST_ROWS
 from plumbline.llm.common import bounded_batches, join_with_heavy_keys, set_down, utf8
 from plumbline.operators.components import connected_components
 
@@ -30,6 +31,8 @@ CHUNK = 200_000
 NUMBER_ROWS = 1 << 14
 #: Groups up to this size are compared by shifts, larger ones by growing components.
 SMALL_GROUP = 12
+#: Fingerprints of one anchor up to which they meet in one task, and of a block of a crowded one.
+ANCHOR_ROWS = 20_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -161,11 +164,30 @@ def _pairs(held, most: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
 
+def _split_anchors(wide: DataFrame) -> DataFrame:
+    """``wide(anchor, fp)`` where the fingerprints of a crowded anchor are cut into blocks, and each two blocks meet.
+
+    Two blocks are named by a hash; if it is that of other ones too, their fingerprints are compared in vain.
+    """
+    crowded = set_down(wide.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > ANCHOR_ROWS))
+    many = crowded.count()
+    if not many:
+        return wide
+    blocks = crowded.select("anchor", F.ceil(F.col("n") / ANCHOR_ROWS).alias("blocks"))
+    dealt = wide.join(F.broadcast(blocks) if many <= BROADCAST_ROWS else blocks, "anchor", "left")
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    other = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
+        F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).alias("other")
+    met = dealt.select("anchor", "fp", "blocks", own.alias("own"), other)
+    pair = F.xxhash64("anchor", F.least("own", "other"), F.greatest("own", "other"))
+    return met.select(F.when(F.col("blocks").isNull(), F.col("anchor")).otherwise(pair).alias("anchor"), "fp")
+
+
 def links(distinct: DataFrame, max_bits: int = 4) -> DataFrame:
     """``(a, b)``: links that connect all distinct fingerprints ``fp`` joined by chains of at most ``max_bits`` bits."""
     if not 0 <= max_bits <= 5:
         raise ValueError("anchors within radius 2 cover up to 5 differing bits")
-    wide = distinct.select("fp").mapInArrow(_replicate, "anchor bigint, fp bigint")
+    wide = _split_anchors(distinct.select("fp").mapInArrow(_replicate, "anchor bigint, fp bigint"))
     met = wide.repartition("anchor").sortWithinPartitions("anchor")
     return met.mapInArrow(_links(max_bits), "a bigint, b bigint").distinct()
 

@@ -86,6 +86,31 @@ def odd_rows():
     return rows + [(200 + i, " ".join(random.choices("abcdefghij", k=50))) for i in range(30)]
 
 
+def test_crowded_anchors_are_compared_in_blocks(spark, monkeypatch):
+    """A third of all fingerprints lie around one word: its anchors are cut, and no link is lost."""
+    monkeypatch.setattr(simhash, "ANCHOR_ROWS", 9)
+    random.seed(6)
+    base = random.getrandbits(64)
+    prints = {base ^ sum(1 << b for b in random.sample(range(64), random.randint(0, 3))) for _ in range(150)}
+    prints |= {random.getrandbits(64) for _ in range(300)}
+    rows = [(int(np.uint64(p).view(np.int64)),) for p in prints]
+    found = simhash.links(spark.createDataFrame(rows, "fp bigint"), 4).collect()
+    nodes = sorted((int(np.int64(v).view(np.uint64)), int(np.int64(v).view(np.uint64))) for (v,) in rows)
+    parent = {i: i for i, _ in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for r in found:
+        a, b = (int(np.int64(v).view(np.uint64)) for v in (r["a"], r["b"]))
+        assert (a ^ b).bit_count() <= 4
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    assert {i: find(i) for i, _ in nodes} == groups(nodes, 4)
+
+
 def test_documents(spark, make_docs):
     rows = odd_rows()
     got = simhash.near_duplicates(make_docs(rows + [rows[0]])).withColumn("hex", simhash.hex_of("fp")).collect()
