@@ -91,7 +91,7 @@ def _build(rows: DataFrame, base: int, largest: int) -> tuple[list[DataFrame], l
 
 
 def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
-    """``(position, reached, proof_sha256)`` of every leaf that is not the root, by the recursive query; set down.
+    """``leaves`` with ``reached`` and ``proof``, the siblings in order as bytes, by the recursive query; set down.
 
     A leaf joins its node by the node's id and the leaf's block, so that the root, which all
     leaves reach, is met by one block of leaves at a time. Every step appends a row with the siblings
@@ -102,16 +102,21 @@ def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
     empty = spark.createDataFrame([], "node bigint, kids binary, lo bigint, hi bigint, spot bigint")
     every = reduce(DataFrame.unionByName, nodes, empty).select("node", "kids", "spot", blocks)
     views = {"leaves": f"leaves_{uuid4().hex}", "nodes": f"nodes_{uuid4().hex}"}
-    leaves.createOrReplaceTempView(views["leaves"])
+    leaves.select("position", "spot", "folded").createOrReplaceTempView(views["leaves"])
     every.createOrReplaceTempView(views["nodes"])
     setting = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "-1")  # the limit is on all rows of the recursion, whatever the table's size
     try:
-        steps = spark.sql(_CLIMB.format(**views, fanout=FANOUT, bits=BLOCK_BITS)).groupBy("position").agg(
-            F.max("reached").alias("reached"), F.sort_array(F.collect_list(F.struct("passed", "siblings"))).alias("steps"))
+        own = [c for c in leaves.columns if c not in ("position", "spot")]
+        facts = leaves.select("position", F.struct(*own).alias("leaf"))
+        steps = spark.sql(_CLIMB.format(**views, fanout=FANOUT, bits=BLOCK_BITS))
+        met = steps.unionByName(facts, allowMissingColumns=True).groupBy("position").agg(
+            F.max("reached").alias("reached"), F.first("leaf", ignorenulls=True).alias("leaf"),
+            F.sort_array(F.collect_list(F.when(F.col("passed").isNotNull(), F.struct("passed", "siblings")))).alias("steps"))
         proof = F.aggregate("steps", F.lit(b""), lambda all_, one: F.concat(all_, one["siblings"]))
-        return set_down(steps.select("position", "reached", F.sha2(F.lower(F.hex(proof)), 256).alias("proof_sha256")))
+        return set_down(met.select("leaf.*", F.coalesce("reached", "leaf.folded").alias("reached"),
+                                   F.sha2(F.lower(F.hex(proof)), 256).alias("proof_sha256")).drop("folded"))
     finally:
         spark.conf.set(setting, before)
         for view in views.values():
@@ -155,12 +160,11 @@ def manifest(docs: DataFrame, tampered: Column) -> DataFrame:
         F.lit(None).cast("bigint").alias("up"))
     top_nodes, top_roots = _build(top, _TOP_LEVEL, count)
     root = reduce(DataFrame.unionByName, [r.select("digest") for r in top_roots]).first()
-    climbed = _climbed(leaves.select("position", F.when(F.col("n") == 1, F.col("up")).otherwise(_spot(0)).alias("spot"),
-                                     F.coalesce("changed", "digest").alias("folded")), nodes + top_nodes)
+    climbed = _climbed(leaves.select(
+        "position", F.when(F.col("n") == 1, F.col("up")).otherwise(_spot(0)).alias("spot"), F.coalesce("changed", "digest").alias("folded"),
+        "doc_id", "part", "start", "digest"), nodes + top_nodes)
     named = spots.select("part", "start").join(subroots.select("start", F.col("digest").alias("subroot")), "start")
     known = F.lit(bytes(root[0]) if root else None).cast("binary")
-    own = leaves.select("doc_id", "position", "part", "start", "digest", F.coalesce("changed", "digest").alias("copy"))
-    reached, empty = F.coalesce("reached", "copy"), F.sha2(F.lit(""), 256)
-    return own.join(F.broadcast(named) if small else named, ["part", "start"]).join(climbed, "position", "left").select(
+    return climbed.join(F.broadcast(named) if small else named, ["part", "start"]).select(
         "doc_id", F.lower(F.hex("digest")).alias("leaf"), F.lower(F.hex("subroot")).alias("subroot"), F.lower(F.hex(known)).alias("root"),
-        F.coalesce("proof_sha256", empty).alias("proof_sha256"), F.lower(F.hex(reached)).alias("folded_root"), (reached == known).alias("verified"))
+        "proof_sha256", F.lower(F.hex("reached")).alias("folded_root"), (F.col("reached") == known).alias("verified"))
