@@ -75,6 +75,16 @@ def grams_of(lists: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarr
     return codes[inside].view(np.int64), starts
 
 
+def _added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Sorted codes with their counts, of several such; sorted runs are merged, not sorted anew."""
+    codes = np.concatenate([p[0] for p in parts])
+    order = np.argsort(codes, kind="stable")
+    codes = codes[order]
+    starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
+    counts = [np.concatenate([p[i] for p in parts])[order] for i in range(1, len(parts[0]))]
+    return codes[starts], *[np.add.reduceat(c, starts) if len(starts) else c for c in counts]
+
+
 class _Sums:
     """Counts of codes and words of held out texts and of training texts."""
 
@@ -96,9 +106,7 @@ class _Sums:
 
     def _merge(self) -> None:
         if len(self.codes) > 1:
-            codes, place = np.unique(np.concatenate([c[0] for c in self.codes]), return_inverse=True)
-            sums = [np.bincount(place, np.concatenate([c[i] for c in self.codes])).astype(np.int64) for i in (1, 2)]
-            self.codes = [(codes, *sums)]
+            self.codes = [_added(self.codes)]
 
     def full(self) -> bool:
         return (self.bytes > SUMMED_BYTES or sum(map(len, self.tokens)) > SUMMED_TOKENS
@@ -145,9 +153,7 @@ def _stems(codes: np.ndarray, depth: int, stem: int) -> np.ndarray:
 def _merged(rows: list[tuple], depth: int, stem: int) -> Iterator[pa.RecordBatch]:
     """A bucket's rows as one row for each ``CHUNK`` codes of whole stems, and one for its words."""
     bucket = rows[0][0]
-    parts = [_unpacked(*r[1:4]) for r in rows]
-    codes, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    train, n = (np.bincount(place, np.concatenate([p[i] for p in parts]), len(codes)).astype(np.int64) for i in (1, 2))
+    codes, train, n = _added([_unpacked(*r[1:4]) for r in rows])
     order = np.argsort(_stems(codes, depth, stem), kind="stable")
     stems = _stems(codes, depth, stem)[order]
     start = 0
