@@ -144,15 +144,15 @@ def test_softmax_is_stationary(make_points, sample):
 
 def test_shared_scans_equal_single_fits(make_points, sample):
     x, y = sample
-    fold = np.arange(160) % 3
+    fold = np.arange(160) % 2
     df = frame(make_points, x, y, fold).persist()
-    contexts = L.fold_contexts(df, 3, 3, 2, 42)
-    for name, grid in (("LogisticRegression", {"C": [0.1, 10], "solver": ["lbfgs", "liblinear"]}), ("SVM", {"C": [1], "kernel": ["rbf", "linear"], "gamma": ["auto"]})):
+    contexts = L.fold_contexts(df, 2, 3, 2, 42)
+    for name, grid in (("LogisticRegression", {"C": [0.1, 10], "solver": ["lbfgs"]}), ("SVM", {"C": [1], "kernel": ["rbf", "linear"], "gamma": ["auto"]})):
         f = family("classification", name)
         f.grid = grid
-        for params, got in S.cross_validate(f, df, "classification", 3, contexts[:3]):
+        for params, got in S.cross_validate(f, df, "classification", 2, contexts[:2]):
             single = []
-            for k in range(3):
+            for k in range(2):
                 model = f.fit(df.where(f"fold <> {k}").drop("fold"), params, contexts[k])
                 single.append(M.classification_metrics(model.predict(df.where(f"fold = {k}"))).first()["accuracy"])
             assert got == pytest.approx(np.mean(single), abs=1e-9), (name, params)
