@@ -2,7 +2,8 @@
 
 All runs advance together: one scan per iteration sums the rows of every centre of
 every run that still moves, so a sweep over k with restarts reads the data as often
-as its slowest run, not once per run and iteration.
+as its slowest run, not once per run and iteration. The iterations of a table that one
+task holds are made inside a few tasks.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,6 +129,9 @@ def fit_kmeans(points: DataFrame, ks: list[int], rows: int, seed: int = 42, rest
     dims = runs[0].centers.shape[1]
     spread = points.agg(*[F.var_pop(F.col("x")[i]).alias(f"v{i}") for i in range(dims)]).first()
     stop = tol * float(np.mean(spread))
+    if rows <= ROWS_PER_TASK:
+        _move_in_tasks(points, runs, stop, max_iter)
+        return {k: min((r for r in runs if r.k == k), key=lambda r: r.inertia) for k in ks}
     moving = list(range(len(runs)))
     for _ in range(max_iter):
         if not moving:
@@ -144,6 +149,33 @@ def fit_kmeans(points: DataFrame, ks: list[int], rows: int, seed: int = 42, rest
     return {k: min((r for r in runs if r.k == k), key=lambda r: r.inertia) for k in ks}
 
 
+def _move_in_tasks(points: DataFrame, runs: list[KMeansRun], stop: float, max_iter: int) -> None:
+    """The iterations of a table that one task holds: a few tasks with all rows and some of the runs each."""
+    spark, starts = points.sparkSession, [r.centers for r in runs]
+    parts = max(1, min(len(runs), 2 * spark.sparkContext.defaultParallelism))
+
+    def run(table: pa.Table) -> pa.Table:
+        x = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+        norms, out = (x * x).sum(axis=1), []
+        for i in range(table.column("part")[0].as_py(), len(starts), parts):
+            centers = starts[i]
+            k = len(centers)
+            for _ in range(max_iter):
+                label, _ = _assign(x, norms, centers)
+                n = np.bincount(label, minlength=k)
+                sums = np.stack([np.bincount(label, x[:, d], minlength=k) for d in range(x.shape[1])], axis=1)
+                new = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centers)
+                moved, centers = ((new - centers) ** 2).sum(), new
+                if moved <= stop:
+                    break
+            out.append((i, centers.tobytes(), float(_assign(x, norms, centers)[1].sum())))
+        return pa.table([pa.array([r[c] for r in out], kind) for c, kind in enumerate((pa.int32(), pa.binary(), pa.float64()))], ["i", "centers", "inertia"])
+
+    dealt = points.select("x", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")).repartition(parts, "part")
+    for r in dealt.groupBy("part").applyInArrow(run, "i int, centers binary, inertia double").collect():
+        runs[r["i"]].centers, runs[r["i"]].inertia = np.frombuffer(r["centers"]).reshape(runs[r["i"]].centers.shape).copy(), r["inertia"]
+
+
 def _assign(x: np.ndarray, norms: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     d = norms[:, None] + (centers * centers).sum(axis=1)[None, :] - 2.0 * (x @ centers.T)
     label = d.argmin(axis=1)

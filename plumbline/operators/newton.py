@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.limits import ROWS_PER_TASK
 from plumbline.operators.blocks import matrix
 
 #: Parameters of one fit up to which its curvature is a matrix on the driver.
@@ -209,16 +210,65 @@ def _step(fit: Fit, sums: np.ndarray, value: float) -> np.ndarray | None:
 def solve(rows: DataFrame, fits: list[Fit], kernels: list[Kernel], dims: int) -> list[Fit]:
     """All fits brought to their optimum; ``rows`` is cached and has ``x, label, fold``.
 
-    One scan serves the full steps of all fits; only fits that a full step would make worse take part
-    in a second one, over step lengths.
+    A table that one task holds goes to a few tasks, each with some of the fits; of a larger one every
+    step is a scan.
     """
     for fit in fits:
         size = (dims if fit.kernel is None else kernels[fit.kernel].whiten.shape[1]) + 1
         fit.weights = np.zeros(size * fit.outputs)
+    if rows.count() <= ROWS_PER_TASK:
+        _solve_in_tasks(rows, fits, kernels)
+    else:
+        _descend(fits, lambda live, each: _scan(rows, live, kernels, each))
+    return fits
+
+
+def _solve_in_tasks(rows: DataFrame, fits: list[Fit], kernels: list[Kernel]) -> None:
+    spark = rows.sparkSession
+    order = sorted(range(len(fits)), key=lambda i: (fits[i].kernel is not None, fits[i].kernel))
+    parts = max(1, min(len(fits), 2 * spark.sparkContext.defaultParallelism))
+    shared = spark.sparkContext.broadcast(([(i, vars(fits[i])) for i in order], [vars(k) for k in kernels]))
+
+    def run(table: pa.Table) -> pa.Table:
+        every, maps = shared.value[0], [Kernel(**k) for k in shared.value[1]]
+        mine = every[table.column("part")[0].as_py()::parts]
+        own = [Fit(**f) for _, f in mine]
+        x = table.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+        label, fold = table.column("label").to_numpy(), table.column("fold").to_numpy()
+        seen = {k: _with_one(x if k is None else maps[k].features(x)) for k in {f.kernel for f in own}}
+
+        def scan(live: list[Fit], each) -> dict[int, np.ndarray]:
+            out = {}
+            for n, fit in enumerate(live):
+                at, sign = _problem(fit, label, fold)
+                if len(at):
+                    out[n] = each(n, fit, seen[fit.kernel][at], sign[at])
+            return out
+
+        _descend(own, scan)
+        facts = [(i, f.weights.tobytes(), f.objective, f.gap, f.balance) for (i, _), f in zip(mine, own, strict=True)]
+        kinds = pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.float64()
+        return pa.table([pa.array([r[c] for r in facts], kind) for c, kind in enumerate(kinds)], ["fit", "weights", "objective", "gap", "balance"])
+
+    dealt = rows.select("x", "label", F.coalesce("fold", F.lit(-1)).cast("int").alias("fold"),
+                        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")).repartition(parts, "part")
+    solved = dealt.groupBy("part").applyInArrow(run, "fit int, weights binary, objective double, gap double, balance double")
+    for r in solved.collect():
+        fit = fits[r["fit"]]
+        fit.weights, fit.objective, fit.gap, fit.balance, fit.done = np.frombuffer(r["weights"]), r["objective"], r["gap"], r["balance"], True
+    shared.destroy()
+
+
+def _descend(fits: list[Fit], scan) -> None:
+    """Newton steps of all fits until they are done; ``scan(fits, each)`` adds up ``each`` over the rows.
+
+    One scan serves the full steps of all fits; only fits that a full step would make worse take part
+    in a second one, over step lengths.
+    """
     order = sorted(range(len(fits)), key=lambda i: (fits[i].kernel is not None, fits[i].kernel))
-    steps, before = dict.fromkeys(order, 0), {}  # before: value, weights and step of a fit that tries a full step
+    steps, before = dict.fromkeys(order, 0), {}  # before: value, weights, step and slope of a fit that tries a full step
     while live := [i for i in order if not fits[i].done]:
-        sums = _scan(rows, [fits[i] for i in live], kernels, lambda n, fit, x, y: _terms(fit, x, y))
+        sums = scan([fits[i] for i in live], lambda n, fit, x, y: _terms(fit, x, y))
         short = {}
         for n, i in enumerate(live):
             fit = fits[i]
@@ -243,7 +293,7 @@ def solve(rows: DataFrame, fits: list[Fit], kernels: list[Kernel], dims: int) ->
                 fit.weights = fit.weights + step
         if not short:
             continue
-        tried = _tried(rows, [fits[i] for i in live], kernels, {n: s[2] for n, s in short.items()})
+        tried = _tried([fits[i] for i in live], {n: s[2] for n, s in short.items()}, scan)
         for n, (_, weights, step, _) in short.items():
             fit = fits[live[n]]
             values = [_penalty(fit, weights + t * step)[0] + fit.c * v for t, v in zip([0.0, *_LENGTHS], tried[n], strict=True)]
@@ -253,7 +303,6 @@ def solve(rows: DataFrame, fits: list[Fit], kernels: list[Kernel], dims: int) ->
             else:
                 _settled(fit)
                 steps[live[n]] = 0
-    return fits
 
 
 def _settled(fit: Fit) -> None:
@@ -264,7 +313,7 @@ def _settled(fit: Fit) -> None:
         fit.smooth *= 0.25
 
 
-def _tried(rows: DataFrame, fits: list[Fit], kernels: list[Kernel], moves: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+def _tried(fits: list[Fit], moves: dict[int, np.ndarray], scan) -> dict[int, np.ndarray]:
     """Losses at the present weights and at all step lengths."""
     going = list(moves)
 
@@ -276,7 +325,7 @@ def _tried(rows: DataFrame, fits: list[Fit], kernels: list[Kernel], moves: dict[
         here, there = y * (x @ fit.weights), y * (x @ moves[going[n]])
         return np.array([_losses(fit, here + t * there).sum() for t in lengths])
 
-    found = _scan(rows, [fits[n] for n in going], kernels, losses)
+    found = scan([fits[n] for n in going], losses)
     return {n: found[i] for i, n in enumerate(going)}
 
 

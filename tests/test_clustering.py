@@ -174,3 +174,14 @@ def test_mixture_finds_the_blobs(spark, make_points):
     assert np.allclose(model.covariances[c], np.cov(x[truth == 0].T, ddof=0) + 1e-6 * np.eye(2), atol=1e-2)
     again = G.MixtureModel.from_table(model.table(spark))
     assert np.allclose(again.covariances, model.covariances)
+
+
+def test_kmeans_in_tasks_equals_scans(make_points, monkeypatch):
+    from plumbline.operators import kmeans
+    rng = np.random.default_rng(12)
+    points = make_points(np.concatenate([rng.normal(m, 0.6, size=(60, 3)) for m in (0, 2, 5)])).persist()
+    small = kmeans.fit_kmeans(points, [2, 3, 4], 180, restarts=3)
+    monkeypatch.setattr(kmeans, "ROWS_PER_TASK", 1)
+    scanned = kmeans.fit_kmeans(points, [2, 3, 4], 180, restarts=3)
+    for k in (2, 3, 4):
+        assert small[k].inertia == pytest.approx(scanned[k].inertia, rel=1e-9) and np.allclose(small[k].centers, scanned[k].centers)

@@ -142,6 +142,20 @@ def test_softmax_is_stationary(make_points, sample):
     assert np.abs(w + 2 * (p - np.eye(3)[y.astype(int)]).T @ x).max() < 1e-3 and np.abs((p - np.eye(3)[y.astype(int)]).sum(axis=0)).max() < 1e-3
 
 
+def test_scans_and_tasks_agree(make_points, sample, monkeypatch):
+    """A table for one task and one that is scanned for every step end at the same weights."""
+    x, _ = sample
+    y = np.digitize(x[:, 0] - x[:, 1], [-0.8, 0.8]).astype(float)
+    df = frame(make_points, x, y, np.arange(160) % 2).persist()
+    def fits():
+        return [O.Fit("hinge", 0.5, 0, 0, 1), O.Fit("logistic", 2.0, 1, 2, intercept=True), O.Fit("softmax", 1.0, None, outputs=3), O.Fit("hinge", 1.0, 9, 1, 2, kernel=0)]
+    kernels = [O.fit_kernel(df, 0.3, None)]
+    small = O.solve(df, fits(), kernels, 3)
+    monkeypatch.setattr(O, "ROWS_PER_TASK", 0)
+    for a, b in zip(small, O.solve(df, fits(), kernels, 3), strict=True):
+        assert a.objective == pytest.approx(b.objective, rel=1e-5) and np.allclose(a.weights, b.weights, atol=1e-2)
+
+
 def test_shared_scans_equal_single_fits(make_points, sample):
     x, y = sample
     fold = np.arange(160) % 2
