@@ -25,6 +25,7 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +44,8 @@ HELD_GRAMS = 2_000_000
 HELD_TOKENS = 1_000_000
 #: Distinct (context, byte) pairs, distinct words, and bytes of text that a task sums up before it sends the counts on.
 SUMMED_GRAMS, SUMMED_TOKENS, SUMMED_BYTES = 1_000_000, 400_000, 64 << 20
-#: Texts of one batch, if these have fewer bytes than a batch may.
-TEXTS = 2048
+#: Texts of one batch, if these have fewer bytes than a batch may, and bytes of texts that are arrays at a time.
+TEXTS, PIECE_BYTES = 2048, 2 << 20
 
 END = b"\n"
 _LOWERED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -85,6 +86,18 @@ def _added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     return codes[starts], *[np.add.reduceat(c, starts) if len(starts) else c for c in counts]
 
 
+def _pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """``(start, count)`` of runs of texts of at most ``PIECE_BYTES`` together, or of one text."""
+    start, size = 0, 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        if i > start and size + n > PIECE_BYTES:
+            yield start, i - start
+            start, size = i, 0
+        size += n
+    if len(texts) > start:
+        yield start, len(texts) - start
+
+
 class _Sums:
     """Counts of codes and words of held out texts and of training texts."""
 
@@ -188,8 +201,8 @@ def count_corpus(docs: DataFrame, held_out: Column, depth: int, stem: int, bucke
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(depth)
-        for batch in batches:
-            lists, held = [tokens_of(t) for t in batch.column(0).to_pylist()], batch.column(1).to_pylist()
+        for batch, at, n in ((b, *piece) for b in batches for piece in _pieces(b.column(0))):
+            lists, held = [tokens_of(t) for t in batch.column(0).slice(at, n).to_pylist()], batch.column(1).slice(at, n).to_pylist()
             for train in (False, True):
                 some = [words for words, h in zip(lists, held, strict=True) if h != train]
                 if some:
@@ -462,7 +475,7 @@ def _scored(docs: DataFrame, held_out: Column, shared) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(Model.of(shared.value))
-        for batch in batches:
+        for batch in (b.slice(*piece) for b in batches for piece in _pieces(b.column(2))):
             n = batch.num_rows
             tokens, known, base, score, at, codes, word_at, words = scorer.score(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(

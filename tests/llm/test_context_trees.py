@@ -99,7 +99,7 @@ def test_rare_codes_and_words_are_joined(spark, make_docs):
 def test_stems_in_many_chunks(spark, make_docs, monkeypatch):
     docs = make_docs(sample())
     whole = sorted(map(tuple, C.score_documents(docs, held_rows(), 4).fillna(-1).collect()))
-    for name, value in (("CHUNK", 7), ("SUMMED_GRAMS", 10), ("SUMMED_TOKENS", 5)):
+    for name, value in (("CHUNK", 7), ("SUMMED_GRAMS", 10), ("SUMMED_TOKENS", 5), ("PIECE_BYTES", 40)):
         monkeypatch.setattr(C, name, value)
     assert sorted(map(tuple, C.score_documents(docs, held_rows(), 4).fillna(-1).collect())) == whole
 
