@@ -10,6 +10,7 @@ from plumbline.catalogue.tables import load, r6
 from plumbline.operators import newton as O
 from plumbline.operators import trees as T
 from plumbline.operators.learners import context, families
+from plumbline.plans.supervised import class_labels, run_supervised, with_label
 
 REPORTS, SQL, report = make_registry()
 
@@ -173,3 +174,80 @@ def svm_linear_optimum(spark, sf_dir):
     fit = O.solve(rows.withColumn("fold", F.lit(0)), pairs, [], 2)[0]
     return spark.createDataFrame([(1, bool(fit.done), round(float(fit.objective) / rows.count(), 2), bool(abs(fit.gap) < 1e-3 * fit.objective))],
                                  "n bigint, solved boolean, mean_objective double, gap_below_a_thousandth boolean")
+
+
+# ---------------------------------------------------------------- a whole search of two families
+
+def _r2(truth: str, predicted: str) -> str:
+    return f"1 - sum(({truth} - {predicted}) * ({truth} - {predicted})) / (sum({truth} * {truth}) - sum({truth}) * sum({truth}) / count(*))"
+
+
+_SPLIT_SQL = """v AS (SELECT p_partkey AS row_id, CAST(p_size AS DOUBLE) AS x0, ln(1 + p_partkey) AS x1, p_retailprice + 3 * p_size AS y FROM part),
+t0 AS (SELECT abs(skewness(x0)) AS g0, abs(skewness(x1)) AS g1, min(x0) AS m0, min(x1) AS m1 FROM v),
+u AS (SELECT row_id, y, CASE WHEN g0 > 0.75 AND m0 >= 0 THEN ln(1 + x0) ELSE x0 END AS x0,
+  CASE WHEN g1 > 0.75 AND m1 >= 0 THEN ln(1 + x1) ELSE x1 END AS x1 FROM v, t0),
+z AS (SELECT row_id, (x0 - avg(x0) OVER ()) / stddev_pop(x0) OVER () AS a, (x1 - avg(x1) OVER ()) / stddev_pop(x1) OVER () AS b, y,
+  row_number() OVER (ORDER BY md5('42-' || row_id)) AS k, count(*) OVER () AS n FROM u),
+t AS (SELECT *, ntile(5) OVER (ORDER BY k) - 1 AS fold FROM z WHERE k > ceil(0.2 * n)),
+e AS (SELECT * FROM z WHERE k <= ceil(0.2 * n)),
+rounds AS (SELECT unnest([0, 1, 2, 3, 4, -1]) AS f),
+asked AS (SELECT fold AS f, row_id, a, b, y FROM t UNION ALL SELECT -1, row_id, a, b, y FROM e)"""
+
+_LINE_SQL = f"""moments AS (
+  SELECT f, count(*) AS n, sum(a) AS sa, sum(b) AS sb, sum(y) AS sy, sum(a * a) AS aa, sum(b * b) AS bb, sum(a * b) AS ab, sum(a * y) AS ay, sum(b * y) AS by_
+  FROM t, rounds WHERE fold <> f GROUP BY f),
+centred AS (
+  SELECT f, n, i, sa, sb, sy, aa - i * sa * sa / n AS aa, bb - i * sb * sb / n AS bb, ab - i * sa * sb / n AS ab, ay - i * sa * sy / n AS ay,
+         by_ - i * sb * sy / n AS by_ FROM moments, (SELECT unnest([1, 0]) AS i)),
+line AS (SELECT f, i, n, sa, sb, sy, (bb * ay - ab * by_) / (aa * bb - ab * ab) AS u, (aa * by_ - ab * ay) / (aa * bb - ab * ab) AS w FROM centred),
+fitted AS (SELECT f, i, row_id, asked.y, u * asked.a + w * asked.b + i * (sy - u * sa - w * sb) / n AS p FROM asked JOIN line USING (f)),
+line_scores AS (SELECT i, avg(r) AS cv FROM (SELECT f, i, {_r2('y', 'p')} AS r FROM fitted WHERE f >= 0 GROUP BY f, i) GROUP BY i),
+line_best AS (SELECT i, cv FROM line_scores ORDER BY cv DESC, i DESC LIMIT 1)"""
+
+_NEAR_SQL = f"""pairs AS (
+  SELECT q.f, q.row_id, q.y AS truth, t.row_id AS other, t.y, abs(q.a - t.a) + abs(q.b - t.b) AS l1,
+         sqrt((q.a - t.a) * (q.a - t.a) + (q.b - t.b) * (q.b - t.b)) AS l2 FROM asked q JOIN t ON t.fold <> q.f),
+halves AS (SELECT f, row_id, truth, other, y, 1 AS p, l1 AS d FROM pairs UNION ALL SELECT f, row_id, truth, other, y, 2, l2 FROM pairs),
+near AS (SELECT *, row_number() OVER (PARTITION BY f, row_id, p ORDER BY d, other) AS place FROM halves QUALIFY place <= 10),
+sizes AS (SELECT unnest([3, 5, 7, 10]) AS k),
+means AS (SELECT f, row_id, truth, p, k, avg(y) AS uniform,
+    CASE WHEN min(d) = 0 THEN avg(y) FILTER (WHERE d = 0) ELSE sum(y / d) FILTER (WHERE d > 0) / sum(1 / d) FILTER (WHERE d > 0) END AS distance
+  FROM near, sizes WHERE place <= k GROUP BY f, row_id, truth, p, k),
+said AS (SELECT f, row_id, truth, p, k, 'uniform' AS w, uniform AS q FROM means UNION ALL SELECT f, row_id, truth, p, k, 'distance', distance FROM means),
+near_scores AS (SELECT k, p, w, avg(r) AS cv FROM (SELECT f, k, p, w, {_r2('truth', 'q')} AS r FROM said WHERE f >= 0 GROUP BY f, k, p, w) GROUP BY k, p, w),
+near_best AS (SELECT * FROM near_scores ORDER BY cv DESC, k, p, w DESC LIMIT 1)"""
+
+_COMPARED_SQL = f"""WITH {_SPLIT_SQL}, {_LINE_SQL}, {_NEAR_SQL},
+compared AS (
+  SELECT 'LinearRegression' AS model, round({_r2('y', 'p')}, 4) AS r2_score, round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+         round(any_value(cv), 4) AS cv_r2, any_value(CASE WHEN i = 1 THEN '{{''fit_intercept'': True}}' ELSE '{{''fit_intercept'': False}}' END) AS best_params
+  FROM fitted JOIN line_best USING (i) WHERE f = -1
+  UNION ALL
+  SELECT 'KNeighborsRegressor', round({_r2('truth', 'q')}, 4), round(avg(abs(truth - q)), 4), round(sqrt(avg((truth - q) * (truth - q))), 4),
+         round(any_value(cv), 4), any_value('{{''n_neighbors'': ' || k || ', ''p'': ' || p || ', ''weights'': ''' || w || '''}}')
+  FROM said JOIN near_best USING (k, p, w) WHERE f = -1)"""
+
+
+def _two_families(spark, sf_dir):
+    part = load(spark, sf_dir, "part")  # no two parts have equal features, so no two distances are equal but for rounding
+    rows = part.select(F.col("p_partkey").alias("row_id"), F.col("p_size").cast("double").alias("x0"), F.log1p("p_partkey").alias("x1"),
+                       (F.col("p_retailprice") + 3 * F.col("p_size")).alias("y"))
+    return run_supervised(spark, rows, "y", "row_id", corr_threshold=0.0, only=("LinearRegression", "KNeighborsRegressor"))
+
+
+@report(_COMPARED_SQL + "\nSELECT * FROM compared")
+def two_family_comparison(spark, sf_dir):
+    """The comparison table of a whole run: split, folds, scaling, both grids, holdout measures."""
+    return _two_families(spark, sf_dir).results
+
+
+@report(_COMPARED_SQL + "\nSELECT model, r2_score AS score FROM compared ORDER BY r2_score DESC, model = 'LinearRegression' DESC LIMIT 1")
+def two_family_winner(spark, sf_dir):
+    run = _two_families(spark, sf_dir)
+    return run.results.where(F.col("model") == run.best_name).select("model", F.col("r2_score").alias("score"))
+
+
+@report("SELECT p_partkey AS row_id, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS DOUBLE) AS label FROM part")
+def target_labels(spark, sf_dir):
+    df = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("row_id"), "p_brand")
+    return with_label(df, "p_brand", "classification", class_labels(df, "p_brand")).select("row_id", "label")

@@ -202,9 +202,8 @@ def scaled_documents(spark, sf_dir):
     return x.select("row_id", (r6(F.col("x")[0]) + 0.0).alias("n_chars"), (r6(F.col("x")[1]) + 0.0).alias("lang"))
 
 
-@report("""SELECT 'p_size' AS "column", 'numeric' AS role FROM part HAVING count(*) > 0
-UNION ALL SELECT 'p_brand', 'categorical' FROM part HAVING count(*) > 0
-UNION ALL SELECT 'p_type', 'categorical' FROM part HAVING count(*) > 0""")
+@report("""SELECT column_name AS "column", CASE WHEN column_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS role
+FROM (DESCRIBE SELECT p_size, p_brand, p_type FROM part)""")
 def feature_roles(spark, sf_dir):
     df = part_ds(spark, sf_dir)
     return fit_preparation(df, ["p_size", "p_brand", "p_type"]).report(spark).select("column", "role")

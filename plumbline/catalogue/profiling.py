@@ -167,11 +167,9 @@ def feature_report(spark, sf_dir):
 
 
 @report(f"""WITH {DOCS_DS}
-SELECT 'n_chars' AS "column", 'numeric' AS kind FROM docs_ds HAVING var_samp(n_chars) > 0
-UNION ALL SELECT 'n_lines', 'numeric' FROM docs_ds HAVING var_samp(n_lines) > 0
-UNION ALL SELECT 'n_words', 'numeric' FROM docs_ds HAVING var_samp(n_words) > 0
-UNION ALL SELECT 'lang', 'categorical' FROM docs_ds HAVING count(DISTINCT lang) > 1
-UNION ALL SELECT 'source', 'categorical' FROM docs_ds HAVING count(DISTINCT source) > 1""")
+SELECT column_name AS "column", CASE WHEN column_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS kind
+FROM (SUMMARIZE SELECT * EXCLUDE (row_id, quality, toxic) FROM docs_ds)
+WHERE CASE WHEN column_type = 'VARCHAR' THEN approx_unique > 1 ELSE CAST(std AS DOUBLE) > 0 END""")
 def remaining_features(spark, sf_dir):
     df = docs_ds(spark, sf_dir).drop("row_id", "quality")
     result = P.filter_supervised(df, "toxic", corr_threshold=0.0, multicollinearity_threshold=2.0)

@@ -75,8 +75,8 @@ def run_supervised(spark: SparkSession, source: DataFrame | str, target: str, id
                    variance_threshold: float = 0.0, corr_threshold: float = 0.05,
                    multicollinearity_threshold: float = 0.95, test_size: float = 0.2, cv: int = 5,
                    random_state: int = 42, grid: str = "full", fit_on: str = "all", parallelism: int = 4,
-                   save_to: str | None = None) -> SupervisedResult:
-    """Model ``target`` from the other columns of a table and keep the best family.
+                   save_to: str | None = None, only: tuple[str, ...] | None = None) -> SupervisedResult:
+    """Model ``target`` from the other columns of a table and keep the best family, of those named in ``only`` if given.
 
     ``fit_on`` chooses whether imputation and scaling see all rows or only the
     training rows. The winner is refitted on all rows; ``save_to`` also writes it.
@@ -99,7 +99,10 @@ def run_supervised(spark: SparkSession, source: DataFrame | str, target: str, id
     preparation, classes, train, test = prepare_rows(
         known, target, filtered.kept, task, present, medians, test_size, cv, random_state, fit_on)
     dims = len(preparation.features)
-    found = S.search_all(families(task, grid), train, task, cv, dims, len(classes), random_state, parallelism)
+    tried = [f for f in families(task, grid) if only is None or f.name in only]
+    if not tried:
+        raise ValueError(f"no family of {only} is for {task}")
+    found = S.search_all(tried, train, task, cv, dims, len(classes), random_state, parallelism)
     rows = S.compare(found, test, task, parallelism)
     best = found[S.choose(rows, task)]
     everything = train.drop("fold").unionByName(test)
