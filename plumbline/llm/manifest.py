@@ -101,6 +101,8 @@ def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
     blocks = F.explode(F.sequence(F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS))).alias("block")
     empty = spark.createDataFrame([], "node bigint, kids binary, lo bigint, hi bigint, spot bigint")
     every = reduce(DataFrame.unionByName, nodes, empty).select("node", "kids", "spot", blocks)
+    # dealt once as the join of every step wants them
+    every = every.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "node", "block").persist()
     views = {"leaves": f"leaves_{uuid4().hex}", "nodes": f"nodes_{uuid4().hex}"}
     leaves.select("position", "spot", "folded").createOrReplaceTempView(views["leaves"])
     every.createOrReplaceTempView(views["nodes"])
@@ -119,6 +121,7 @@ def _climbed(leaves: DataFrame, nodes: list[DataFrame]) -> DataFrame:
                                    F.sha2(F.lower(F.hex(proof)), 256).alias("proof_sha256")).drop("folded"))
     finally:
         spark.conf.set(setting, before)
+        every.unpersist()
         for view in views.values():
             spark.catalog.dropTempView(view)
 
