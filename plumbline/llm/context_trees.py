@@ -43,7 +43,7 @@ CHUNK = 250_000
 HELD_GRAMS = 2_000_000
 HELD_TOKENS = 1_000_000
 #: Distinct (context, byte) pairs, distinct words, and bytes of text that a task sums up before it sends the counts on.
-SUMMED_GRAMS, SUMMED_TOKENS, SUMMED_BYTES = 1_000_000, 400_000, 64 << 20
+SUMMED_GRAMS, SUMMED_TOKENS, SUMMED_BYTES = 2_000_000, 400_000, 64 << 20
 #: Texts of one batch, if these have fewer bytes than a batch may, and bytes of texts that are arrays at a time.
 TEXTS, PIECE_BYTES = 2048, 2 << 20
 
@@ -114,7 +114,7 @@ class _Sums:
         self.tokens[train].update(chain.from_iterable(lists))
         self.tokens[train][END] += len(lists)
         self.bytes += sum(sum(map(len, words)) for words in lists)
-        if sum(len(c[0]) for c in self.codes) > 2 * SUMMED_GRAMS:
+        if sum(len(c[0]) for c in self.codes) > SUMMED_GRAMS + SUMMED_GRAMS // 2:
             self._merge()
 
     def _merge(self) -> None:
