@@ -44,8 +44,8 @@ HELD_GRAMS = 2_000_000
 HELD_TOKENS = 1_000_000
 #: Distinct (context, byte) pairs, distinct words, and bytes of text that a task sums up before it sends the counts on.
 SUMMED_GRAMS, SUMMED_TOKENS, SUMMED_BYTES = 2_000_000, 400_000, 64 << 20
-#: Texts of one batch, if these have fewer bytes than a batch may, and bytes of texts that are arrays at a time.
-TEXTS, PIECE_BYTES = 2048, 2 << 20
+#: Texts of one batch, if these have fewer bytes than a batch may, and bytes of texts that are arrays at a time, counted or scored.
+TEXTS, PIECE_BYTES, SCORED_BYTES = 2048, 2 << 20, 512 << 10
 
 END = b"\n"
 _LOWERED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -82,15 +82,18 @@ def _added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     order = np.argsort(codes, kind="stable")
     codes = codes[order]
     starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
-    counts = [np.concatenate([p[i] for p in parts])[order] for i in range(1, len(parts[0]))]
-    return codes[starts], *[np.add.reduceat(c, starts) if len(starts) else c for c in counts]
+    codes, counts = codes[starts], []
+    for i in range(1, len(parts[0])):
+        column = np.concatenate([p[i] for p in parts])[order]
+        counts.append(np.add.reduceat(column, starts, dtype=np.int64) if len(starts) else column)
+    return codes, *counts
 
 
-def _pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """``(start, count)`` of runs of texts of at most ``PIECE_BYTES`` together, or of one text."""
+def _pieces(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """``(start, count)`` of runs of texts of at most ``most`` bytes together, or of one text."""
     start, size = 0, 0
     for i, n in enumerate(pc.binary_length(texts).to_pylist()):
-        if i > start and size + n > PIECE_BYTES:
+        if i > start and size + n > most:
             yield start, i - start
             start, size = i, 0
         size += n
@@ -110,7 +113,8 @@ class _Sums:
 
     def add(self, lists: list[list[bytes]], train: bool) -> None:
         codes, n = np.unique(grams_of(lists, self.depth)[0], return_counts=True)
-        self.codes.append((codes, n * train, n))
+        n = n.astype(np.uint32)  # at most the bytes of the texts
+        self.codes.append((codes, n * np.uint32(train), n))
         self.tokens[train].update(chain.from_iterable(lists))
         self.tokens[train][END] += len(lists)
         self.bytes += sum(sum(map(len, words)) for words in lists)
@@ -119,7 +123,8 @@ class _Sums:
 
     def _merge(self) -> None:
         if len(self.codes) > 1:
-            self.codes = [_added(self.codes)]
+            codes, *counts = _added(self.codes)
+            self.codes = [(codes, *[c.astype(np.uint32) for c in counts])]
 
     def full(self) -> bool:
         return (self.bytes > SUMMED_BYTES or sum(map(len, self.tokens)) > SUMMED_TOKENS
@@ -133,22 +138,27 @@ class _Sums:
         order = np.argsort(at, kind="stable")  # codes stay in order inside a bucket
         cuts = np.searchsorted(at[order], np.arange(buckets + 1))
         held, learnt = self.tokens
-        words: list[list[bytes]] = [[] for _ in range(buckets)]
-        for word in held.keys() | learnt.keys():
-            words[zlib.crc32(word) % buckets].append(word)
+        words: list[tuple[list, list, list]] = [([], [], []) for _ in range(buckets)]
+        for word in chain(learnt, held.keys() - learnt.keys()):
+            own, own_train, own_n = words[zlib.crc32(word) % buckets]
+            t = learnt.get(word, 0)  # a Counter's own way to say zero is slow
+            own.append(word)
+            own_train.append(t)
+            own_n.append(t + held.get(word, 0))
         for bucket in range(buckets):
-            some, own = order[cuts[bucket]:cuts[bucket + 1]], words[bucket]
-            if len(some) or own:
-                yield _packed_row(bucket, codes[some], train[some], n[some], own, [learnt[w] for w in own], [learnt[w] + held[w] for w in own])
+            some = order[cuts[bucket]:cuts[bucket + 1]]
+            if len(some) or words[bucket][0]:
+                yield _packed_row(bucket, codes[some], train[some], n[some], *words[bucket])
         self.start_anew()
 
 
-#: A packed row: codes as bytes of their sorted differences, counts as bytes, and words with counts.
+#: A packed row: codes as bytes of their sorted differences, counts as bytes of 32 bits where these do, and words with counts.
 _PACKED = "bucket int, codes binary, train binary, n binary, words array<binary>, word_train array<bigint>, word_n array<bigint>"
 
 
 def _packed_row(bucket: int, codes: np.ndarray, train: np.ndarray, n: np.ndarray, words: list, word_train: list, word_n: list) -> pa.RecordBatch:
-    values = [[bucket], [np.diff(codes, prepend=0).astype("<i8").tobytes()], [train.astype("<i8").tobytes()], [n.astype("<i8").tobytes()],
+    width = "<i8" if len(n) and n.max() >> 32 else "<u4"
+    values = [[bucket], [np.diff(codes, prepend=0).astype("<i8").tobytes()], [train.astype(width).tobytes()], [n.astype(width).tobytes()],
               [words], [word_train], [word_n]]
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64())]
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)],
@@ -156,7 +166,8 @@ def _packed_row(bucket: int, codes: np.ndarray, train: np.ndarray, n: np.ndarray
 
 
 def _unpacked(codes: bytes, train: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.cumsum(np.frombuffer(codes, "<i8")), np.frombuffer(train, "<i8"), np.frombuffer(n, "<i8")
+    width = "<i8" if len(n) == len(codes) else "<u4"
+    return np.cumsum(np.frombuffer(codes, "<i8")), *(np.frombuffer(c, width).astype(np.int64) for c in (train, n))
 
 
 def _stems(codes: np.ndarray, depth: int, stem: int) -> np.ndarray:
@@ -175,13 +186,13 @@ def _merged(rows: list[tuple], depth: int, stem: int) -> Iterator[pa.RecordBatch
         some = np.sort(order[start:end])
         yield _packed_row(bucket, codes[some], train[some], n[some], [], [], [])
         start = end
-    learnt, every = Counter(), Counter()
+    learnt, every = {}, {}
     for r in rows:
         for word, t, k in zip(r[4], r[5], r[6], strict=True):
-            learnt[word] += t
-            every[word] += k
+            learnt[word] = learnt.get(word, 0) + t
+            every[word] = every.get(word, 0) + k
     none = np.zeros(0, np.int64)
-    yield _packed_row(bucket, none, none, none, list(every), [learnt[w] for w in every], list(every.values()))
+    yield _packed_row(bucket, none, none, none, list(every), list(learnt.values()), list(every.values()))
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -201,7 +212,7 @@ def count_corpus(docs: DataFrame, held_out: Column, depth: int, stem: int, bucke
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(depth)
-        for batch, at, n in ((b, *piece) for b in batches for piece in _pieces(b.column(0))):
+        for batch, at, n in ((b, *piece) for b in batches for piece in _pieces(b.column(0), PIECE_BYTES)):
             lists, held = [tokens_of(t) for t in batch.column(0).slice(at, n).to_pylist()], batch.column(1).slice(at, n).to_pylist()
             for train in (False, True):
                 some = [words for words, h in zip(lists, held, strict=True) if h != train]
@@ -475,7 +486,7 @@ def _scored(docs: DataFrame, held_out: Column, shared) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(Model.of(shared.value))
-        for batch in (b.slice(*piece) for b in batches for piece in _pieces(b.column(2))):
+        for batch in (b.slice(*piece) for b in batches for piece in _pieces(b.column(2), SCORED_BYTES)):
             n = batch.num_rows
             tokens, known, base, score, at, codes, word_at, words = scorer.score(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(

@@ -3,6 +3,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +113,23 @@ def test_nothing_learned_and_nothing_to_score(spark, make_docs):
     assert C.score_documents(make_docs([]), held_rows()).count() == 0
     with pytest.raises(ValueError):
         C.score_documents(make_docs([]), held_rows(), 7)
+
+
+def test_counts_of_a_task_take_half_the_room():
+    codes = np.array([3, 5, 1 << 50])
+    for counts, width in (([1, 2, 3], 4), ([1, 2, 1 << 40], 8)):
+        row = C._packed_row(0, codes, np.array(counts), np.array(counts), [], [], []).to_pylist()[0]
+        assert len(row["n"]) == len(row["train"]) == 3 * width
+        for got, want in zip(C._unpacked(row["codes"], row["train"], row["n"]), (codes, counts, counts), strict=True):
+            assert got.tolist() == list(want)
+    parts = [(codes, np.full(3, 3 << 30, np.uint32), np.full(3, 3 << 30, np.uint32))] * 2  # sums of several tasks are wider
+    assert C._added(parts)[1].tolist() == [6 << 30] * 3
+
+
+def test_texts_are_scored_a_few_at_a_time(spark, make_docs, monkeypatch):
+    docs = make_docs(sample())
+    whole = sorted(map(tuple, C.score_documents(docs, held_rows(), 4).fillna(-1).collect()))
+    monkeypatch.setattr(C, "SCORED_BYTES", 50)
+    assert sorted(map(tuple, C.score_documents(docs, held_rows(), 4).fillna(-1).collect())) == whole
+    texts = pa.array([b"a" * 30, b"b" * 20, b"c", b"d" * 90, b"e"])
+    assert list(C._pieces(texts, C.SCORED_BYTES)) == [(0, 2), (2, 1), (3, 1), (4, 1)]
