@@ -80,7 +80,7 @@ SELECT row_id, CAST(CASE {pick} END AS DOUBLE) AS prediction FROM s"""
 def _predicted(spark, sf_dir, growth: T.Growth, depth: int, node_rows: int = T.NODE_ROWS) -> DataFrame:
     rows = _rows(spark, sf_dir, "c" if growth.classes else "y")
     model = T.Forest(growth, T.fit_trees(rows, growth, node_rows), depth, 2, growth.trees)
-    out = model.predict(rows).select("row_id", "prediction")
+    out = model.predict(T.spread(rows, rows.count() * growth.trees)).select("row_id", "prediction")
     return out if growth.classes else out.select("row_id", r6("prediction", 4).alias("prediction"))
 
 

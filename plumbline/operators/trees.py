@@ -234,6 +234,12 @@ def _weight(growth: Growth) -> Column:
     return reduce(lambda a, b: a + b, [F.when(draw > float(p), 1.0).otherwise(0.0) for p in _POISSON])
 
 
+def spread(rows: DataFrame, count: int) -> DataFrame:
+    """``rows`` dealt by id if they make more than ``CHUNK_ROWS`` pairs, so that a task makes no more, however few
+    partitions a small file has."""
+    return rows.repartition(_tasks(rows.sparkSession, count), "row_id") if count > CHUNK_ROWS else rows
+
+
 def pairs(rows: DataFrame, growth: Growth, folds: int) -> DataFrame:
     """``(tree, path, depth, w, row_id, x, label)`` of all rows ``(row_id, x, label, fold)`` and trees.
 
@@ -416,7 +422,8 @@ def _batches(spark: SparkSession) -> None:
 def ride(rows: DataFrame, growth: Growth, folds: int, stops: list[tuple[int | None, int]], sizes: list[int], node_rows: int = NODE_ROWS) -> DataFrame:
     """``(row_id, label, stop, size, votes)``: what the first ``size`` trees say of the rows that ride along, summed up by stop."""
     spark = rows.sparkSession
-    small, _, ended = split_large(growth, pairs(rows, growth, folds), stops, node_rows)
+    count = rows.count() * growth.trees * max(folds, 1)
+    small, _, ended = split_large(growth, pairs(spread(rows, count), growth, folds), stops, node_rows)
     trees, width = growth.trees, growth.width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,7 +448,6 @@ def ride(rows: DataFrame, growth: Growth, folds: int, stops: list[tuple[int | No
 
     _batches(spark)
     columns = ", ".join(f"v{c} double" for c in range(width))
-    count = rows.count() * growth.trees * max(folds, 1)
     voted = _dealt(small, _tasks(spark, count)).mapInArrow(run, f"row_id bigint, label double, stop int, size int, {columns}")
     before = [ended.where(F.col("tree") % trees < size).select(
         "row_id", "label", "stop", F.lit(k).alias("size"), *[F.col("value")[c].alias(f"v{c}") for c in range(width)]) for k, size in enumerate(sizes)]
@@ -466,7 +472,9 @@ def fit_trees(rows: DataFrame, growth: Growth, node_rows: int = NODE_ROWS) -> Da
     child, whose sibling follows it, -1 in a leaf, and -2 in a large node, whose children are other rows.
     """
     spark = rows.sparkSession
-    small, large, _ = split_large(growth, pairs(rows.select("row_id", "x", "label", F.lit(0).alias("fold")), growth, 0), [], node_rows)
+    count = rows.count() * growth.trees
+    dealt = spread(rows.select("row_id", "x", "label", F.lit(0).alias("fold")), count)
+    small, large, _ = split_large(growth, pairs(dealt, growth, 0), [], node_rows)
     names = ["tree", "path", "feature", "threshold", "left", "rows", "depth", "value"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -485,7 +493,6 @@ def fit_trees(rows: DataFrame, growth: Growth, node_rows: int = NODE_ROWS) -> Da
 
     _batches(spark)
     schema = "tree int, path string, feature array<int>, threshold array<double>, left array<int>, rows array<bigint>, depth array<int>, value array<double>"
-    count = rows.count() * growth.trees
     folder = scratch_folder(spark, "trees")
     grown = _dealt(small, _tasks(spark, count)).mapInArrow(run, schema)
     above = large.select("tree", "path", F.array("feature").alias("feature"), F.array("threshold").alias("threshold"),

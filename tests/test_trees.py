@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import learners as L
 from plumbline.operators import trees as T
@@ -139,3 +140,21 @@ def test_parts_of_a_model_add_up(spark, make_points, monkeypatch):
     parts = sorted(T.Forest(growth, nodes, None, 2, 3).votes(df.select("row_id", "x")).select("row_id", "votes").collect())
     assert [r["row_id"] for r in whole] == [r["row_id"] for r in parts]
     assert np.allclose([r["votes"] for r in whole], [r["votes"] for r in parts])
+
+
+def test_pairs_of_a_table_in_one_partition_are_many_tasks_work(spark, make_points, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = cells(rng, 400, 2, 9)
+    rows = make_points(x, label=(x[:, 0] + rng.integers(0, 2, 400)).tolist()).coalesce(1)
+    growth = T.Growth(0, "variance", 3, True, 2, 2, 1)
+
+    def said():
+        return sorted(map(tuple, T.Forest(growth, T.fit_trees(rows, growth, 60), 3, 2, 3).predict(rows).select("row_id", "prediction").collect()))
+
+    whole, seen = said(), []
+    monkeypatch.setattr(T, "CHUNK_ROWS", 100)
+    split_large = T.split_large
+    monkeypatch.setattr(T, "split_large", lambda growth, live, *a: seen.append(live.select(F.spark_partition_id()).distinct().count()) or split_large(growth, live, *a))
+    again = said()
+    assert min(seen) > 1
+    assert [r[0] for r in again] == [r[0] for r in whole] and np.allclose([r[1] for r in again], [r[1] for r in whole])
