@@ -167,40 +167,62 @@ def _cluster_sizes(points: DataFrame, labelings: list[str]) -> dict[str, dict]:
     return sizes
 
 
+def _members(at: np.ndarray, weights: np.ndarray, width: int) -> list[np.ndarray]:
+    """Matrices whose product has the weight of each row in the columns of its clusters: rows by their kinds, few
+    in a piece, and kinds by columns; or one matrix where there are as many kinds as columns."""
+    new = np.concatenate([[True], (at[1:] != at[:-1]).any(axis=1)])
+    kind, kinds = np.cumsum(new) - 1, at[new]
+    hot = np.zeros((len(kinds), width + 1))
+    np.put_along_axis(hot, np.where(kinds < 0, width, kinds), 1.0, axis=1)
+    hot = hot[:, :width]
+    if len(kinds) >= width:
+        return [hot[kind] * weights[:, None]]
+    few = np.zeros((len(at), len(kinds)))
+    few[np.arange(len(at)), kind] = weights
+    return [few, hot]
+
+
+def _summed(d: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
+    for part in parts:
+        d = d @ part
+    return d
+
+
 def _pass(unique: DataFrame, labelings: list[str], sizes: dict, columns: list, blocks: int) -> DataFrame:
     """Own and nearest-other mean distance per row, over the clusters in ``columns``."""
     place = {n: {c: i for i, (m, c) in enumerate(columns) if m == n} for n in labelings}
     width = len(columns)
 
-    def member(rows: pd.DataFrame) -> np.ndarray:
-        """Weight of each row in the column of its cluster, for every labeling."""
-        hot, weights = np.zeros((len(rows), width)), rows["w"].to_numpy()
-        for n in labelings:
-            column = rows[n].map(place[n]).to_numpy(dtype=float)
-            here = np.flatnonzero(~np.isnan(column))
-            hot[here, column[here].astype(int)] = weights[here]
-        return hot
+    def together(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+        """Rows of equal labels in all labelings side by side, and the column of each label, -1 where there is none."""
+        at = np.stack([rows[n].map(place[n]).fillna(-1).to_numpy(dtype=np.int64) for n in labelings], axis=1)
+        order = np.lexsort(at.T)
+        return rows.iloc[order], at[order]
 
     def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Distances of a tile are made a piece at a time and turned into sums at once."""
         if left.empty or right.empty:
             return pd.DataFrame({"row_id": [], "sums": []})
         same = left["lb"].iat[0] == right["rb"].iat[0]
+        (left, left_at), (right, right_at) = together(left), together(right)
         a, b = matrix(left["x"]), matrix(right["x"])
         ids, others = left["row_id"].to_numpy(), right["row_id"].to_numpy()
+        left_w, right_w = left["w"].to_numpy(float), right["w"].to_numpy(float)
         to_left, to_right = np.zeros((len(a), width)), np.zeros((0 if same else len(b), width))
         for j in range(0, len(b), PIECE_ROWS):
             part = b[j:j + PIECE_ROWS]
-            squares, hot = (part * part).sum(axis=1), member(right.iloc[j:j + PIECE_ROWS])
+            squares, hot = (part * part).sum(axis=1), _members(right_at[j:j + PIECE_ROWS], right_w[j:j + PIECE_ROWS], width)
             for i in range(0, len(a), PIECE_ROWS):
                 own = a[i:i + PIECE_ROWS]
-                d = (own * own).sum(axis=1)[:, None] + squares[None, :] - 2.0 * (own @ part.T)
+                d = own @ part.T
+                d *= 2.0
+                np.subtract((own * own).sum(axis=1)[:, None] + squares[None, :], d, out=d)
                 np.sqrt(np.maximum(d, 0.0, out=d), out=d)
                 if same:
                     d[ids[i:i + PIECE_ROWS, None] == others[None, j:j + PIECE_ROWS]] = 0.0
-                to_left[i:i + PIECE_ROWS] += d @ hot
+                to_left[i:i + PIECE_ROWS] += _summed(d, hot)
                 if not same:
-                    to_right[j:j + PIECE_ROWS] += d.T @ member(left.iloc[i:i + PIECE_ROWS])
+                    to_right[j:j + PIECE_ROWS] += _summed(d.T, _members(left_at[i:i + PIECE_ROWS], left_w[i:i + PIECE_ROWS], width))
         found = [(ids, to_left)] if same else [(ids, to_left), (others, to_right)]
         return pd.concat([pd.DataFrame({"row_id": rows, "sums": list(s)}) for rows, s in found])
 

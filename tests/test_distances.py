@@ -3,6 +3,7 @@ import pytest
 
 from plumbline.operators import bayes as B
 from plumbline.operators import neighbors as N
+from plumbline.operators import silhouette
 from plumbline.operators.silhouette import silhouettes, squared_silhouette
 
 
@@ -151,3 +152,15 @@ def test_silhouette_of_many_clusters(make_points, tile):
     labels[:30] = 3
     points = make_points(x, a=labels.tolist())
     assert silhouettes(points, ["a"], tile, 8)["a"] == pytest.approx(brute_silhouette(x, labels), abs=1e-7)
+
+
+def test_products_of_silhouettes_are_as_narrow_as_the_kinds_of_rows():
+    at = np.array([[0, 3], [0, 3], [0, 4], [1, -1], [-1, -1]])
+    weights, d = np.array([1.0, 2.0, 1.0, 5.0, 7.0]), np.random.default_rng(1).random((3, 5))
+    want = np.zeros((5, 6))
+    for row, columns in enumerate(at):
+        want[row, columns[columns >= 0]] = weights[row]
+    parts = silhouette._members(at, weights, 6)
+    assert [p.shape for p in parts] == [(5, 4), (4, 6)]
+    assert np.allclose(silhouette._summed(d, parts), d @ want)
+    assert np.allclose(silhouette._members(np.arange(5)[:, None], weights, 5)[0], np.diag(weights))
