@@ -20,6 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ from plumbline.session import cut_lineage, scratch_folder
 NODE_ROWS = 100_000
 #: Pairs of complete subtrees that a task grows at a time, if one subtree has no more.
 CHUNK_ROWS = 200_000
-#: Nodes of a fitted model that are broadcast at a time.
-NODES_HELD = 4_000_000
+#: Nodes of a fitted model that are broadcast at a time; every task slot holds a copy of about 50 bytes a node.
+NODES_HELD = 1_000_000
 
 #: Gains are compared after rounding, so that sums in another order choose the same cut.
 _PLACES = 9
@@ -385,25 +386,25 @@ def _whole_subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         count += batch.num_rows
         if count >= CHUNK_ROWS:
             table = pa.Table.from_batches(held)
-            tree, path = table.column("tree").to_numpy(), np.array(table.column("path").to_pylist(), object)
-            other = np.flatnonzero((tree != tree[-1]) | (path != path[-1]))
+            tree, path = table.column("tree"), table.column("path")
+            other = np.flatnonzero(pc.or_(pc.not_equal(tree, tree[-1]), pc.not_equal(path, path[-1])).to_numpy())
             if len(other):
                 cut = int(other[-1]) + 1
-                yield table.slice(0, cut)
                 held, count = table.slice(cut).to_batches(), count - cut
+                yield table.slice(0, cut)
     if count:
         yield pa.Table.from_batches(held)
 
 
 def _grown(growth: Growth, table: pa.Table, stops: list[tuple[int | None, int]]):
     """Roots, subtrees, riders and what they reach, of a table of whole subtrees."""
-    tree, path = table.column("tree").to_numpy(), table.column("path").to_pylist()
-    new = np.concatenate([[True], [a != b or c != d for a, b, c, d in zip(tree[1:].tolist(), tree[:-1].tolist(), path[1:], path[:-1], strict=True)]])
+    tree, path = table.column("tree").to_numpy(), table.column("path")
+    new = np.concatenate([[True], (tree[1:] != tree[:-1]) | pc.not_equal(path.slice(1), path.slice(0, len(path) - 1)).to_numpy()])
     starts = np.flatnonzero(new)
     x = table.column("x").combine_chunks()
     x = (x.chunk(0) if isinstance(x, pa.ChunkedArray) else x).flatten().to_numpy(zero_copy_only=False).reshape(len(tree), -1)
     w, depth = table.column("w").to_numpy(), table.column("depth").to_numpy()
-    roots = tree[starts].tolist(), [path[i] for i in starts]
+    roots = tree[starts].tolist(), path.take(pa.array(starts)).to_pylist()
     return roots, *grow(growth, x, table.column("label").to_numpy(), w, np.cumsum(new) - 1, *roots, depth[starts], stops), np.flatnonzero(w == 0)
 
 
@@ -515,8 +516,20 @@ class Forest:
     _blocks: list = field(default_factory=list, repr=False)
 
     def _parts(self, spark: SparkSession):
-        """Broadcast parts of the trees of at most ``NODES_HELD`` nodes each, all with the large nodes."""
-        own = self.table.where(F.col("tree") < self.trees).withColumn("nodes", F.size("left"))
+        """Broadcast parts of the trees of at most ``NODES_HELD`` nodes each, all with the large nodes.
+
+        Nodes deeper than ``max_depth`` are reached by no walk and stay behind; a subtree has its nodes level by
+        level, so the others are the first of its lists.
+        """
+        own = self.table.where(F.col("tree") < self.trees)
+        if self.max_depth is not None:
+            own = own.withColumn("kept", F.size(F.filter("depth", lambda d: d <= self.max_depth))).where("kept > 0")
+            lists = {c: F.slice(c, F.lit(1), F.col("kept")) for c in ("feature", "threshold", "left", "rows", "depth")}
+            own = own.withColumns(lists | {"value": F.slice("value", F.lit(1), F.col("kept") * self.growth.width)}).drop("kept")
+        # a large node that ends all walks is a leaf, so it speaks in one part only
+        first = [F.get(c, F.lit(0)) for c in ("left", "rows", "depth")]
+        ends = (first[1] < self.min_rows) | (F.lit(False) if self.max_depth is None else first[2] == self.max_depth)
+        own = own.withColumn("left", F.when((first[0] == -2) & ends, F.array(F.lit(-1))).otherwise(F.col("left"))).withColumn("nodes", F.size("left"))
         count = own.agg(F.sum("nodes")).first()[0] or 0
         parts = -(-count // NODES_HELD) or 1
         dealt = own.withColumn("block", F.when(F.get("left", F.lit(0)) == -2, -1).otherwise(F.pmod(F.xxhash64("tree", "path"), F.lit(parts))))
@@ -562,25 +575,27 @@ class Forest:
 
 def _flat(rows: pa.Table, width: int) -> dict:
     """Nodes of all rows in one array each; ``roots`` are the places where a walk down a tree begins."""
-    place, size = {}, 0
-    lists = {name: rows.column(name).to_pylist() for name in ("tree", "path", "left")}
-    for tree, path, left in zip(lists["tree"], lists["path"], lists["left"], strict=True):
-        place[tree, path] = size
-        size += len(left)
-    left = np.full(size, -1, np.int64)
-    right = np.full(size, -1, np.int64)
-    for tree, path, own in zip(lists["tree"], lists["path"], lists["left"], strict=True):
-        at = place[tree, path]
-        if own[0] == -2:  # -2 as a child: a subtree that is in another part
-            left[at], right[at] = place.get((tree, path + "0"), -2), place.get((tree, path + "1"), -2)
-        else:
-            here = np.array(own, np.int64)
-            left[at:at + len(own)] = np.where(here >= 0, here + at, -1)
-            right[at:at + len(own)] = np.where(here >= 0, here + at + 1, -1)
-    flat = {c: np.concatenate([*[np.asarray(v) for v in rows.column(c).to_pylist()], np.empty(0)]) for c in ("feature", "threshold", "rows", "depth", "value")}
-    return {"left": left, "right": right, "feature": flat["feature"].astype(np.int64), "threshold": flat["threshold"].astype(float),
-            "rows": flat["rows"].astype(np.int64), "depth": flat["depth"].astype(np.int64), "value": flat["value"].astype(float).reshape(-1, width),
-            "roots": np.array([at for (_, path), at in place.items() if path == ""], np.int64)}
+    flat = {c: _numbers(rows, c) for c in ("feature", "threshold", "left", "rows", "depth", "value")}
+    sizes = pc.list_value_length(rows.column("left")).to_numpy().astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    own, base, ends = flat["left"], np.repeat(starts, sizes), np.repeat(starts + sizes, sizes)
+    left = np.where(own >= 0, own + base, -1)
+    left[left >= ends] = -1  # children below the depth that is read
+    right = np.where(left >= 0, left + 1, -1)
+    path, tree = rows.column("path"), rows.column("tree").to_numpy()
+    if (own == -2).any():
+        place = dict(zip(zip(tree.tolist(), path.to_pylist(), strict=True), starts.tolist(), strict=True))
+        for (t, p), at in place.items():
+            if own[at] == -2:  # -2 as a child: a subtree that is in another part
+                left[at], right[at] = place.get((t, p + "0"), -2), place.get((t, p + "1"), -2)
+    return {"left": left.astype(np.int32), "right": right.astype(np.int32), "feature": flat["feature"].astype(np.int32),
+            "threshold": flat["threshold"].astype(float), "rows": flat["rows"].astype(np.int64), "depth": flat["depth"].astype(np.int32),
+            "value": flat["value"].astype(float).reshape(-1, width), "roots": starts[pc.equal(path, "").to_numpy().astype(bool)]}
+
+
+def _numbers(rows: pa.Table, name: str) -> np.ndarray:
+    """The lists of a column behind one another."""
+    return np.concatenate([np.empty(0, np.int64), *[c.flatten().to_numpy(zero_copy_only=False) for c in rows.column(name).chunks]])
 
 
 def _walk(flat: dict, x: np.ndarray, deepest: int | None, least: int) -> np.ndarray:

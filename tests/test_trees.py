@@ -142,6 +142,22 @@ def test_parts_of_a_model_add_up(spark, make_points, monkeypatch):
     assert np.allclose([r["votes"] for r in whole], [r["votes"] for r in parts])
 
 
+def test_parts_of_a_model_hold_the_nodes_that_are_read(spark, make_points, monkeypatch):
+    growth = CASES[1]
+    _, _, _, df = table(spark, make_points, growth)
+    nodes = T.fit_trees(df, growth, 20)
+    said = sorted(T.Forest(growth, nodes, 2, 2, 3).votes(df.select("row_id", "x")).select("row_id", "votes").collect())
+    whole = [p.value for p in T.Forest(growth, nodes, None, 2, 3)._parts(spark)]
+    read = [p.value for p in T.Forest(growth, nodes, 2, 2, 3)._parts(spark)]
+    assert len(whole) == len(read) == 1
+    assert len(read[0]["left"]) == (whole[0]["depth"] <= 2).sum() < len(whole[0]["left"])
+    monkeypatch.setattr(T, "NODES_HELD", 4)
+    assert len(list(T.Forest(growth, nodes, 2, 2, 3)._parts(spark))) > 1
+    parts = sorted(T.Forest(growth, nodes, 2, 2, 3).votes(df.select("row_id", "x")).select("row_id", "votes").collect())
+    assert [r["row_id"] for r in said] == [r["row_id"] for r in parts]
+    assert np.allclose([r["votes"] for r in said], [r["votes"] for r in parts])
+
+
 def test_pairs_of_a_table_in_one_partition_are_many_tasks_work(spark, make_points, monkeypatch):
     rng = np.random.default_rng(5)
     x = cells(rng, 400, 2, 9)
