@@ -3,11 +3,14 @@
 Equal training rows are reduced to their k lowest ids and equal queries to one,
 which loses nothing: only those can appear in an answer, ordered by (distance, id).
 A region is searched only where its box may hold a closer row than the bound that
-the regions around the query box already guarantee.
+the regions around the query box already guarantee. Where boxes rule out little, as in
+many dimensions, rows are dealt by id into larger tiles, so that they are copied less.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,10 +18,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.limits import BLOCK_ROWS
-from plumbline.operators.blocks import box_bounds, matrix, measure_side, pair_blocks, split_tree, with_region
+from plumbline.operators.blocks import Side, box_bounds, matrix, measure_side, pair_blocks, split_tree, with_region
 
 NEIGHBOUR_SCHEMA = "qid bigint, p int, dist double, tid bigint, target double"
 
+#: Blocks on a side of a tile where boxes prune little, and the part of a block of queries that is worth a task.
+TILE_BLOCKS, LEAST_PART = 4, 4
+#: Distances that are held at a time, and rows and columns whose sums stay in a processor's cache.
+CELLS, CACHED = 4_000_000, (64, 1024)
+#: Distances of which the least stands for all when a bound is looked for.
+GROUP = 16
+
 
 def neighbours(queries: DataFrame, train: DataFrame, k: int, powers: tuple[int, ...] = (2,), dims: int | None = None,
                folds: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -52,6 +62,9 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, powers: tuple[int,
             reach = far[i, order[enough[0]]] if len(enough) else np.inf
             allowed[i] |= near[i] <= reach * (1 + 1e-9)
     allowed &= (left.counts > 0)[:, None] & (right.counts > 0)[None, :]
+    if 2 * int(left.counts @ allowed @ right.counts) > int(left.counts.sum()) * int(right.counts.sum()):
+        left, right = _tiles(left, right, block_rows)
+        allowed = np.ones((1, 1), dtype=bool)
 
     def kernel(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         return nearest_in_block(q, t, k, powers, folds)
@@ -71,6 +84,19 @@ def _by_region(table: DataFrame, regions: int) -> np.ndarray:
     return out
 
 
+def _tiles(left: Side, right: Side, block_rows: int) -> tuple[Side, Side]:
+    """Both sides as one region of large blocks: as few as a task can hold, but enough queries' blocks for all task slots."""
+    many, rows, asked = TILE_BLOCKS * block_rows, int(right.counts.sum()), int(left.counts.sum())
+    slots = 2 * right.df.sparkSession.sparkContext.defaultParallelism
+    wanted = min(-(-slots // -(-rows // many)), -(-asked * LEAST_PART // block_rows))
+    per_block = min(many, -(-asked // wanted))
+
+    def whole(side: Side, n: int, size: int) -> Side:
+        return replace(side, df=side.df.withColumn("region", F.lit(0)), counts=np.array([n]), lo=side.lo[:1], hi=side.hi[:1], block_rows=size)
+
+    return whole(left, asked, per_block), whole(right, rows, many)
+
+
 def nearest_in_block(q: pd.DataFrame, t: pd.DataFrame, k: int, powers: tuple[int, ...], folds: bool) -> pd.DataFrame:
     """The k nearest rows of one block for every query of another, per distance power."""
     if q.empty or t.empty:
@@ -78,26 +104,84 @@ def nearest_in_block(q: pd.DataFrame, t: pd.DataFrame, k: int, powers: tuple[int
     t = t.sort_values("tid", ignore_index=True)
     a, b = matrix(q["x"]), matrix(t["x"])
     qid, tid, target = q["qid"].to_numpy(), t["tid"].to_numpy(), t["target"].to_numpy()
+    columns, middle = np.ascontiguousarray(b.T), b.mean(axis=0)
+    centered = b - middle
+    squares = (centered * centered).sum(axis=1)
+    step = max(1, CELLS // len(b))
     out = []
-    for start in range(0, len(a), 512):
-        part = a[start:start + 512]
+    for start in range(0, len(a), step):
+        part = a[start:start + step]
+        barred = q["fold"].to_numpy()[start:start + step, None] == t["fold"].to_numpy()[None, :] if folds else None
         for p in powers:
-            d = np.zeros((len(part), len(b)))
-            for j in range(b.shape[1]):
-                gap = np.abs(part[:, j, None] - b[None, :, j])
-                d += gap if p == 1 else gap * gap
-            d = d if p == 1 else np.sqrt(d)
-            if folds:
-                d[q["fold"].to_numpy()[start:start + 512, None] == t["fold"].to_numpy()[None, :]] = np.inf
-            near = np.argsort(d, axis=1, kind="stable")[:, :k]
-            dist = np.take_along_axis(d, near, axis=1)
+            i, j = _near_pairs(part, columns, centered, squares, middle, k, barred) if p == 2 else (None, None)
+            if i is None:
+                d = _distances(part, columns, p)
+                if folds:
+                    d[barred] = np.inf
+                i, j = np.nonzero(d <= _bound(d, k)[:, None])
+                dist = d[i, j]
+            else:
+                dist = np.zeros(len(i))
+                for f in range(len(columns)):
+                    gap = part[i, f] - columns[f][j]
+                    dist += gap * gap
+                dist = np.sqrt(dist)
             real = np.isfinite(dist)
-            out.append(pd.DataFrame({
-                "qid": np.repeat(qid[start:start + 512], real.sum(axis=1)), "p": p, "dist": dist[real],
-                "tid": tid[near][real], "target": target[near][real]}))
+            i, j, dist = i[real], j[real], dist[real]
+            order = np.lexsort((j, dist, i))
+            i, j, dist = i[order], j[order], dist[order]
+            first = np.arange(len(i)) - np.searchsorted(i, i) < k
+            out.append(pd.DataFrame({"qid": qid[start + i[first]], "p": p, "dist": dist[first], "tid": tid[j[first]], "target": target[j[first]]}))
     return pd.concat(out, ignore_index=True)
 
 
+def _bound(d: np.ndarray, k: int) -> np.ndarray:
+    """A number per row that at least k of its distances do not exceed; infinite if there are fewer."""
+    groups = d.shape[1] // GROUP
+    if groups >= 2 * k:
+        d = d[:, :groups * GROUP].reshape(len(d), GROUP, groups).min(axis=1)
+    return np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] > k else np.full(len(d), np.inf)
+
+
+def _near_pairs(a: np.ndarray, columns: np.ndarray, centered: np.ndarray, squares: np.ndarray, middle: np.ndarray, k: int,
+                barred: np.ndarray | None) -> tuple:
+    """Pairs among which are the k nearest rows of every row of ``a``, and all that are as near as these.
+
+    They are found by squared distances from a matrix product, widened by more than its rounding
+    and that of the distances themselves; None for numbers too large for that.
+    """
+    own = a - middle
+    norms = (own * own).sum(axis=1)
+    error = 8 * (len(columns) + 8) * np.finfo(float).eps * (np.sqrt(norms) + np.sqrt(squares.max())) ** 2
+    if not np.isfinite(error).all():
+        return None, None
+    d = own @ centered.T
+    d *= -2.0
+    d += norms[:, None]
+    d += squares[None, :]
+    if barred is not None:
+        d[barred] = np.inf
+    near = d <= (_bound(d, k) + error)[:, None]
+    if barred is not None:
+        near &= ~barred
+    return np.nonzero(near)
+
+
+def _distances(a: np.ndarray, columns: np.ndarray, p: int) -> np.ndarray:
+    """Distances of all rows to all columns, summed up a piece of cached size at a time."""
+    out = np.zeros((len(a), columns.shape[1]))
+    for r in range(0, len(a), CACHED[0]):
+        for c in range(0, columns.shape[1], CACHED[1]):
+            part, rows, cols = np.zeros_like(out[r:r + CACHED[0], c:c + CACHED[1]]), a[r:r + CACHED[0]], columns[:, c:c + CACHED[1]]
+            gap = np.empty_like(part)
+            for f in range(len(columns)):
+                np.subtract(rows[:, f, None], cols[f][None, :], out=gap)
+                np.abs(gap, out=gap) if p == 1 else np.multiply(gap, gap, out=gap)
+                part += gap
+            out[r:r + CACHED[0], c:c + CACHED[1]] = part
+    return out if p == 1 else np.sqrt(out, out=out)
+
+
 def candidate_name(k: int, weights: str, p: int) -> str:
     return f"k{k}_{weights}_p{p}"
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from plumbline.operators import bayes as B
@@ -47,6 +48,39 @@ def test_neighbours_outside_the_fold(make_points, block_rows):
     assert {(r["row_id"], r["rn"]): r["tid"] for r in got} == {(i, k + 1): order[i, k] for i in range(90) for k in range(4)}
 
 
+def test_rows_that_boxes_cannot_part_are_dealt_in_large_tiles(make_points, monkeypatch):
+    x = np.random.default_rng(5).normal(size=(500, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    met, pair_blocks = [], N.pair_blocks
+    monkeypatch.setattr(N, "pair_blocks", lambda left, right, *a, **b: met.append((left.blocks.sum(), right.blocks.sum())) or pair_blocks(left, right, *a, **b))
+    got = N.neighbours(make_points(x[:100]), make_points(x[100:], target=[0.0] * 400), 5, (2,), 24, block_rows=16).collect()
+    assert met[0][1] <= 400 / (N.TILE_BLOCKS * 16) + 1  # a block of 16 rows each before, so four times the copies of a query
+    d = distances(x[:100], x[100:], 2)
+    order = np.argsort(d, axis=1, kind="stable")
+    assert {(r["row_id"], r["rn"]): r["tid"] for r in got} == {(i, k + 1): order[i, k] for i in range(100) for k in range(5)}
+
+
+@pytest.mark.parametrize("kind", ["ties", "near copies", "far off", "too large", "equal"])
+def test_nearest_rows_are_those_of_plain_distances(kind):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(700, 3))
+    x = {"ties": np.round(x * 2), "near copies": 1 + x * 1e-9, "far off": 1e8 + x, "too large": x * 1e200, "equal": np.full_like(x, 0.3)}[kind]
+    q = pd.DataFrame({"qid": np.arange(40), "x": list(x[:40]), "fold": np.arange(40) % 3})
+    t = pd.DataFrame({"tid": np.arange(660), "x": list(x[40:]), "target": 0.0, "fold": np.arange(660) % 3})
+    for p in (1, 2):
+        with np.errstate(all="ignore"):
+            d = np.zeros((40, 660))
+            for f in range(3):
+                gap = np.abs(x[:40, f, None] - x[None, 40:, f])
+                d += gap if p == 1 else gap * gap
+            d = d if p == 1 else np.sqrt(d)
+            d[q["fold"].to_numpy()[:, None] == t["fold"].to_numpy()[None, :]] = np.inf
+            got = N.nearest_in_block(q, t, 6, (p,), True)
+        order = np.argsort(d, axis=1, kind="stable")[:, :6]
+        want = [(i, j, d[i, j]) for i in range(40) for j in order[i] if np.isfinite(d[i, j])]
+        assert list(zip(got["qid"], got["tid"], got["dist"], strict=True)) == want
+
+
 def test_votes(spark):
     rows = [(1, 2, 1, 0.0, 5, 3.0), (1, 2, 2, 1.0, 6, 1.0), (1, 2, 3, 2.0, 7, 1.0),
             (2, 2, 1, 1.0, 5, 3.0), (2, 2, 2, 2.0, 6, 1.0), (2, 2, 3, 4.0, 7, 2.0)]
