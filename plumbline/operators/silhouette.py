@@ -14,6 +14,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from plumbline.operators.blocks import cogroup_blocks, matrix
 from plumbline.session import cut_lineage
 
 #: Rows of a side whose distances are held at a time.
-PIECE_ROWS = 2048
+PIECE_ROWS = 1024
 
 
 def tiles_for(rows: int, width: int, slots: int, block_rows: int | None = None) -> int:
@@ -188,49 +189,69 @@ def _summed(d: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
     return d
 
 
+def _tile(rows: pa.Table, labelings: list[str], place: dict) -> tuple[np.ndarray, ...]:
+    """Ids, coordinates, weights and columns of labels (-1 where there is none), rows of equal labels side by side."""
+    at = np.full((rows.num_rows, len(labelings)), -1, dtype=np.int64)
+    for i, n in enumerate(labelings):
+        known = np.array(sorted(place[n]), dtype=np.int64)
+        if len(known):
+            column = rows.column(n)
+            label, there = column.fill_null(0).to_numpy(), column.is_valid().to_numpy()
+            spot = np.minimum(np.searchsorted(known, label), len(known) - 1)
+            at[:, i] = np.where(there & (known[spot] == label), np.array([place[n][c] for c in known.tolist()])[spot], -1)
+    order = np.lexsort(at.T)
+    x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in rows.column("x").chunks]).reshape(rows.num_rows, -1)
+    return rows.column("row_id").to_numpy()[order], x[order], rows.column("w").to_numpy()[order], at[order]
+
+
+def _tile_sums(one: tuple, two: tuple, same: bool, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted sums of distances to each cluster, for the rows of both sides; distances are made a piece at a time."""
+    (ids, a, left_w, left_at), (others, b, right_w, right_at) = one, two
+    to_left, to_right = np.zeros((len(a), width)), np.zeros((0 if same else len(b), width))
+    for j in range(0, len(b), PIECE_ROWS):
+        part = b[j:j + PIECE_ROWS]
+        squares, hot = (part * part).sum(axis=1), _members(right_at[j:j + PIECE_ROWS], right_w[j:j + PIECE_ROWS], width)
+        for i in range(0, len(a), PIECE_ROWS):
+            own = a[i:i + PIECE_ROWS]
+            d = own @ part.T
+            d *= 2.0
+            np.subtract((own * own).sum(axis=1)[:, None] + squares[None, :], d, out=d)
+            np.sqrt(np.maximum(d, 0.0, out=d), out=d)
+            if same:
+                d[ids[i:i + PIECE_ROWS, None] == others[None, j:j + PIECE_ROWS]] = 0.0
+            to_left[i:i + PIECE_ROWS] += _summed(d, hot)
+            if not same:
+                to_right[j:j + PIECE_ROWS] += _summed(d.T, _members(left_at[i:i + PIECE_ROWS], left_w[i:i + PIECE_ROWS], width))
+    return to_left, to_right
+
+
+def _sums_table(found: list[tuple[np.ndarray, np.ndarray]], width: int) -> pa.Table:
+    """Rows ``(row_id, sums)`` around the buffers of the sums."""
+    kind = pa.schema([("row_id", pa.int64()), ("sums", pa.list_(pa.float64()))])
+    return pa.Table.from_batches([pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(
+        np.arange(0, sums.size + 1, width, dtype=np.int32), pa.array(sums.ravel()))], schema=kind) for ids, sums in found], kind)
+
+
 def _pass(unique: DataFrame, labelings: list[str], sizes: dict, columns: list, blocks: int) -> DataFrame:
     """Own and nearest-other mean distance per row, over the clusters in ``columns``."""
     place = {n: {c: i for i, (m, c) in enumerate(columns) if m == n} for n in labelings}
     width = len(columns)
 
-    def together(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
-        """Rows of equal labels in all labelings side by side, and the column of each label, -1 where there is none."""
-        at = np.stack([rows[n].map(place[n]).fillna(-1).to_numpy(dtype=np.int64) for n in labelings], axis=1)
-        order = np.lexsort(at.T)
-        return rows.iloc[order], at[order]
-
-    def kernel(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Distances of a tile are made a piece at a time and turned into sums at once."""
-        if left.empty or right.empty:
-            return pd.DataFrame({"row_id": [], "sums": []})
-        same = left["lb"].iat[0] == right["rb"].iat[0]
-        (left, left_at), (right, right_at) = together(left), together(right)
-        a, b = matrix(left["x"]), matrix(right["x"])
-        ids, others = left["row_id"].to_numpy(), right["row_id"].to_numpy()
-        left_w, right_w = left["w"].to_numpy(float), right["w"].to_numpy(float)
-        to_left, to_right = np.zeros((len(a), width)), np.zeros((0 if same else len(b), width))
-        for j in range(0, len(b), PIECE_ROWS):
-            part = b[j:j + PIECE_ROWS]
-            squares, hot = (part * part).sum(axis=1), _members(right_at[j:j + PIECE_ROWS], right_w[j:j + PIECE_ROWS], width)
-            for i in range(0, len(a), PIECE_ROWS):
-                own = a[i:i + PIECE_ROWS]
-                d = own @ part.T
-                d *= 2.0
-                np.subtract((own * own).sum(axis=1)[:, None] + squares[None, :], d, out=d)
-                np.sqrt(np.maximum(d, 0.0, out=d), out=d)
-                if same:
-                    d[ids[i:i + PIECE_ROWS, None] == others[None, j:j + PIECE_ROWS]] = 0.0
-                to_left[i:i + PIECE_ROWS] += _summed(d, hot)
-                if not same:
-                    to_right[j:j + PIECE_ROWS] += _summed(d.T, _members(left_at[i:i + PIECE_ROWS], left_w[i:i + PIECE_ROWS], width))
-        found = [(ids, to_left)] if same else [(ids, to_left), (others, to_right)]
-        return pd.concat([pd.DataFrame({"row_id": rows, "sums": list(s)}) for rows, s in found])
+    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A tile goes in and out as plain buffers: objects for each row would take several times its numbers."""
+        if not left.num_rows or not right.num_rows:
+            return _sums_table([], width)
+        same = left.column("lb")[0] == right.column("rb")[0]
+        one = _tile(left, labelings, place)
+        two = one if same else _tile(right, labelings, place)
+        to_one, to_two = _tile_sums(one, two, same, width)
+        return _sums_table([(one[0], to_one)] if same else [(one[0], to_one), (two[0], to_two)], width)
 
     block = F.pmod(F.xxhash64("row_id"), F.lit(blocks)).cast("int")
-    rows = unique.withColumn("block", block)
+    rows = unique.select("row_id", "x", F.col("w").cast("double").alias("w"), *[F.col(n).cast("bigint").alias(n) for n in labelings], block.alias("block"))
     left = rows.withColumn("rb", F.explode(F.sequence("block", F.lit(blocks - 1)))).withColumnRenamed("block", "lb")
     right = rows.withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("block")))).withColumnRenamed("block", "rb")
-    partial = cogroup_blocks(left, right).applyInPandas(kernel, "row_id bigint, sums array<double>")
+    partial = cogroup_blocks(left, right).applyInArrow(kernel, "row_id bigint, sums array<double>")
     total = partial.groupBy("row_id").agg(F.array(*[F.sum(F.col("sums")[i]) for i in range(width)]).alias("sums"))
     joined = total.join(unique.select("row_id", "w", *labelings), "row_id")
     out = []

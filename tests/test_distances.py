@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from plumbline.operators import bayes as B
@@ -198,3 +199,16 @@ def test_products_of_silhouettes_are_as_narrow_as_the_kinds_of_rows():
     assert [p.shape for p in parts] == [(5, 4), (4, 6)]
     assert np.allclose(silhouette._summed(d, parts), d @ want)
     assert np.allclose(silhouette._members(np.arange(5)[:, None], weights, 5)[0], np.diag(weights))
+
+
+def test_a_tile_goes_in_and_out_without_an_object_for_each_row():
+    rows = pa.table({"row_id": [5, 6, 7, 8], "x": pa.array([[0.0, 1.0], [2.0, 3.0], [4.0, 5.0], [6.0, 7.0]]), "w": [1.0, 2.0, 1.0, 3.0],
+                     "a": pa.array([9, None, 4, 9], pa.int64()), "b": pa.array([1, 2, 3, 1], pa.int64())})
+    ids, x, w, at = silhouette._tile(rows, ["a", "b"], {"a": {4: 0, 9: 1}, "b": {1: 2, 2: 3}})
+    got = {i: (v, n, c) for i, v, n, c in zip(ids.tolist(), x.tolist(), w.tolist(), at.tolist(), strict=True)}
+    assert got == {5: ([0, 1], 1, [1, 2]), 6: ([2, 3], 2, [-1, 3]), 7: ([4, 5], 1, [0, -1]), 8: ([6, 7], 3, [1, 2])}
+    assert abs(ids.tolist().index(5) - ids.tolist().index(8)) == 1
+    sums = np.arange(12.0).reshape(4, 3)
+    out = silhouette._sums_table([(ids, sums)], 3)
+    assert out.column("sums").chunk(0).values.buffers()[1].address == sums.ctypes.data
+    assert out.column("sums").to_pylist() == sums.tolist()
