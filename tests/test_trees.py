@@ -174,3 +174,19 @@ def test_pairs_of_a_table_in_one_partition_are_many_tasks_work(spark, make_point
     again = said()
     assert min(seen) > 1
     assert [r[0] for r in again] == [r[0] for r in whole] and np.allclose([r[1] for r in again], [r[1] for r in whole])
+
+
+def test_hash_of_a_pair_is_taken_once(spark, make_points):
+    growth = CASES[1]
+    _, _, _, df = table(spark, make_points, growth)
+    plan = T.pairs(df, growth, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1  # one for each threshold before, in the filter and in the weight
+
+
+def test_trees_over_few_rows_have_no_large_nodes_to_look_for(spark, make_points, monkeypatch):
+    growth = CASES[1]
+    _, _, _, df = table(spark, make_points, growth)
+    cuts = []
+    monkeypatch.setattr(T, "cut_lineage", lambda df: cuts.append(df) or df)
+    T.fit_trees(df, growth)
+    assert not cuts  # all pairs were made and counted before
