@@ -24,7 +24,7 @@ MAX_REGIONS = 256
 BOUNDARY_SAMPLE_ROWS = 20_000
 
 # Active clusters below which the remaining Ward merges are finished in one task.
-WARD_FINISH_ROWS = 2048
+WARD_FINISH_ROWS = 8192
 
 # Label columns whose distance sums are accumulated in one pass.
 LABEL_COLUMNS_PER_PASS = 512

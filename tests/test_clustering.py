@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
 
@@ -185,3 +186,57 @@ def test_kmeans_in_tasks_equals_scans(make_points, monkeypatch):
     scanned = kmeans.fit_kmeans(points, [2, 3, 4], 180, restarts=3)
     for k in (2, 3, 4):
         assert small[k].inertia == pytest.approx(scanned[k].inertia, rel=1e-9) and np.allclose(small[k].centers, scanned[k].centers)
+
+
+@pytest.mark.parametrize("kind", ["plain", "ties", "near copies", "far off", "too large", "equal", "one"])
+def test_nearest_cluster_of_a_block_is_that_of_plain_distances(kind):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 4))
+    x = {"plain": x, "ties": np.round(x), "near copies": 1 + x * 1e-9, "far off": 1e8 + x, "too large": x * 1e200, "equal": np.full_like(x, 0.3), "one": x[:1]}[kind]
+    size, ids = rng.integers(1, 9, len(x)).astype(float), np.arange(len(x)) * 3
+    with np.errstate(all="ignore"):
+        dist, place = ward._nearest(ids, x, size, ids, x, size)
+        for i in range(len(x)):
+            d = ward._ward(x[i], size[i], x, size)
+            d[i] = np.inf
+            j = int(np.argmin(d))
+            assert (dist[i], place[i]) == ((d[j], j) if np.isfinite(d[j]) else (np.inf, -1))
+
+
+def test_clusters_visit_only_regions_that_may_hold_a_nearer_one(make_points, monkeypatch):
+    x = np.random.default_rng(4).normal(size=(600, 2))
+    df = make_points(x).selectExpr("row_id AS cid", "x", "1L AS size")
+    monkeypatch.setattr(ward, "LEAF_ROWS", 16)
+    seen = []
+    monkeypatch.setattr(ward, "cut_lineage", lambda df: seen.append(df.localCheckpoint()) or seen[-1])
+    got = {r["cid"]: (r["dist"], r["lo"], r["hi"]) for r in ward.nearest_cluster(df, 600, 2).collect()}
+    copies = sum(len(r["visits"]) for r in seen[0].collect())
+    assert 0 < copies < 6 * 600  # all regions within the width of a region before
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    for i, (dist, lo, hi) in got.items():
+        j = int(d[i].argmin())
+        assert (lo, hi) == (min(i, j), max(i, j)) and dist == pytest.approx(d[i, j])
+
+
+def test_ward_where_boxes_rule_out_nothing(make_points):
+    x = np.random.default_rng(6).normal(size=(90, 24))
+    df = make_points(x).selectExpr("row_id AS cid", "x", "1L AS size")
+    got = {r["cid"]: r["lo"] + r["hi"] - r["cid"] for r in ward.nearest_cluster(df, 90, 24, block_rows=8).collect()}
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    assert got == {i: int(d[i].argmin()) for i in range(90)}
+
+
+@pytest.mark.parametrize("kind", ["plain", "on the edge", "near copies", "far off", "too large"])
+def test_near_pairs_are_those_of_plain_distances(kind):
+    x = np.random.default_rng(8).normal(size=(300, 3))
+    x = {"plain": x, "on the edge": np.round(x), "near copies": 1 + x * 1e-9, "far off": 1e8 + np.round(x), "too large": x * 1e200}[kind]
+    d = np.zeros((180, 170))
+    with np.errstate(all="ignore"):
+        for f in range(3):
+            gap = x[:180, f, None] - x[None, 130:, f]
+            d += gap * gap
+        for eps in (1.0, 3 ** 0.5, 1e-9):
+            got = np.concatenate(list(D.within_chunks(pd.DataFrame({"x": list(x[:180])}), pd.DataFrame({"x": list(x[130:])}), eps)))
+            assert (got == (np.sqrt(d) <= eps)).all()
