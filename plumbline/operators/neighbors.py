@@ -2,8 +2,8 @@
 
 Equal training rows are reduced to their k lowest ids and equal queries to one,
 which loses nothing: only those can appear in an answer, ordered by (distance, id).
-A region is searched only where its box may hold a closer row than the bound that
-the regions around the query box already guarantee. Where boxes rule out little, as in
+A query looks into its own region first, then into those whose boxes may hold a row
+within the k-th distance found there. Where boxes rule out little, as in
 many dimensions, rows are dealt by id into larger tiles, so that they are copied less.
 """
 
@@ -18,12 +18,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plumbline.limits import BLOCK_ROWS
-from plumbline.operators.blocks import Side, box_bounds, matrix, measure_side, pair_blocks, split_tree, with_region
+from plumbline.operators.blocks import Side, matrix, measure_side, pair_blocks, split_tree, with_region
+from plumbline.session import cut_lineage
 
 NEIGHBOUR_SCHEMA = "qid bigint, p int, dist double, tid bigint, target double"
 
 #: Blocks on a side of a tile where boxes prune little, and the part of a block of queries that is worth a task.
 TILE_BLOCKS, LEAST_PART = 4, 4
+#: Rows of a region that one box bounds, regions at most, and queries whose distances to all boxes are held at a time.
+LEAF_ROWS, LEAVES, VISIT_ROWS = 512, 4096, 128
+#: Dimensions above which some queries, about so many, first try whether boxes rule out enough.
+FEW_DIMS, ASKED_FIRST = 12, 4096
 #: Distances that are held at a time, and rows and columns whose sums stay in a processor's cache.
 CELLS, CACHED = 4_000_000, (64, 1024)
 #: Distances of which the least stands for all when a bound is looked for.
@@ -45,31 +50,16 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, powers: tuple[int,
     kept = (train.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k)
             .select(F.col("row_id").alias("tid"), "x", F.col("target").cast("double").alias("target"), *fold)).persist()
     rows = kept.count()
-    tree = split_tree(kept, rows, block_rows)
+    tree = split_tree(kept, rows, min(LEAF_ROWS, block_rows) if rows > block_rows else block_rows, LEAVES)
     left = measure_side(with_region(asked, tree), tree, dims, block_rows)
     right = measure_side(with_region(kept, tree), tree, dims, block_rows, at_most=rows)
-    available = right.counts
-    if folds and tree.depth:
-        # rows a query may use: all but the fold that has most of the region
-        most = with_region(kept, tree).groupBy("region", "fold").count().groupBy("region").agg(F.max("count").alias("m"))
-        available = right.counts - _by_region(most, tree.regions)
-    allowed = np.zeros((len(left.counts), len(right.counts)), dtype=bool)
-    for p in powers:
-        near, far = box_bounds(left, right, p)
-        for i in np.flatnonzero(left.counts):
-            order = np.argsort(far[i])
-            enough = np.flatnonzero(np.cumsum(available[order]) >= k)
-            reach = far[i, order[enough[0]]] if len(enough) else np.inf
-            allowed[i] |= near[i] <= reach * (1 + 1e-9)
-    allowed &= (left.counts > 0)[:, None] & (right.counts > 0)[None, :]
-    if 2 * int(left.counts @ allowed @ right.counts) > int(left.counts.sum()) * int(right.counts.sum()):
-        left, right = _tiles(left, right, block_rows)
-        allowed = np.ones((1, 1), dtype=bool)
 
     def kernel(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         return nearest_in_block(q, t, k, powers, folds)
 
-    partial = pair_blocks(left, right, allowed, "qid", "tid").applyInPandas(kernel, NEIGHBOUR_SCHEMA)
+    partial = _visited(left, right, k, powers, folds) if tree.depth else None
+    if partial is None:
+        partial = pair_blocks(*_tiles(left, right, block_rows), np.ones((1, 1), dtype=bool), "qid", "tid").applyInPandas(kernel, NEIGHBOUR_SCHEMA)
     best = W.partitionBy("qid", "p").orderBy("dist", "tid")
     top = partial.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k)
     keys = asked.select("qid", "x", *fold)
@@ -77,10 +67,88 @@ def neighbours(queries: DataFrame, train: DataFrame, k: int, powers: tuple[int,
     return back.join(top, "qid").select("row_id", "p", "rn", "dist", "tid", "target")
 
 
-def _by_region(table: DataFrame, regions: int) -> np.ndarray:
-    out = np.zeros(regions, dtype=np.int64)
-    for r in table.collect():
-        out[r["region"]] = r["m"]
+def _visited(left: Side, right: Side, k: int, powers: tuple[int, ...], folds: bool) -> DataFrame | None:
+    """The nearest rows of each block that a query visits, as far as they are no farther than what its own block guarantees.
+
+    None where the boxes rule out little, so that queries would meet half of all rows or more.
+    """
+    fold = ["fold"] if folds else []
+    blocks = np.maximum(1, right.blocks)
+    offsets, of = np.cumsum(blocks) - blocks, np.repeat(np.arange(len(blocks)), blocks)
+    lo, hi, sizes = right.lo[of], right.hi[of], right.counts[of] // blocks[of]
+
+    @F.pandas_udf("int")
+    def block_of(region: pd.Series, row: pd.Series) -> pd.Series:
+        return (offsets[region] + row % blocks[region]).astype("int32")
+
+    there = right.df.withColumn("block", block_of("region", "tid")).drop("region")
+    there = there.select([F.col(c).alias(c) for c in there.columns])  # fresh names keep two sides made from one table apart
+    home = left.df.withColumn("block", block_of("region", "qid")).drop("region")
+
+    def bounds(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        if q.empty:
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in ["qid", "x", *fold, "reach", "met", "visits"]})
+        found, reach = nearest_in_block(q, t, k, powers, folds), np.full((len(q), len(powers)), np.inf)
+        place = pd.Series(np.arange(len(q)), q["qid"].to_numpy())
+        for n, p in enumerate(powers):
+            # sorted by distance for every query, so the k-th is the last
+            last = found[found["p"] == p].groupby("qid")["dist"].agg(["size", "last"])
+            last = last[last["size"] == k]
+            reach[place[last.index].to_numpy(), n] = last["last"].to_numpy()
+        visits = _visits(matrix(q["x"]), reach, powers, lo, hi, sizes, int(q["block"].iloc[0]))
+        met = [int(sizes[v].sum()) for v in visits]
+        # a query that visits most blocks names none and visits all
+        visits = pd.Series([v if 2 * len(v) <= len(of) else None for v in visits], dtype=object)
+        return pd.DataFrame({"qid": q["qid"], "x": q["x"], **{f: q[f] for f in fold}, "reach": list(reach), "met": met, "visits": visits})
+
+    names = "qid bigint, x array<double>, " + ("fold int, " if folds else "") + "reach array<double>, met bigint, visits array<int>"
+    asked, rows = int(left.counts.sum()), int(right.counts.sum())
+
+    def seen_by(queries: DataFrame) -> DataFrame:
+        return queries.groupBy("block").cogroup(there.groupBy("block")).applyInPandas(bounds, names)
+
+    def little(seen: DataFrame) -> bool:
+        n, met = seen.agg(F.count(F.lit(1)), F.sum("met")).first()
+        return 2 * (met or 0) > n * rows
+
+    # in many dimensions a few queries tell whether the boxes rule out enough; the answers never depend on it
+    if len(lo[0]) > FEW_DIMS and little(seen_by(home.where(F.pmod(F.xxhash64("qid"), F.lit(max(1, asked // ASKED_FIRST))) == 0))):
+        return None
+    seen = cut_lineage(seen_by(home))
+    if little(seen):
+        return None
+    everywhere = F.sequence(F.lit(0), F.lit(len(of) - 1))
+    asked = seen.select("qid", "x", *fold, "reach", F.explode(F.coalesce("visits", everywhere)).alias("block"))
+
+    def near(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        found = nearest_in_block(q, t, k, powers, folds)
+        if not len(found):
+            return found
+        reach = pd.DataFrame(np.stack(q["reach"].to_numpy()), q["qid"].to_numpy(), list(powers))
+        keep = np.zeros(len(found), dtype=bool)
+        for p in powers:
+            own = (found["p"] == p).to_numpy()
+            keep[own] = found["dist"].to_numpy()[own] <= reach[p].loc[found["qid"].to_numpy()[own]].to_numpy()
+        return found[keep]
+
+    return asked.groupBy("block").cogroup(there.groupBy("block")).applyInPandas(near, NEIGHBOUR_SCHEMA)
+
+
+def _visits(x: np.ndarray, reach: np.ndarray, powers: tuple[int, ...], lo: np.ndarray, hi: np.ndarray, sizes: np.ndarray, home: int) -> list[np.ndarray]:
+    """For each query the blocks whose boxes may hold a row within ``reach``, its own among them."""
+    out, full = [], sizes > 0
+    for i in range(0, len(x), VISIT_ROWS):
+        a, may = x[i:i + VISIT_ROWS], np.zeros((len(x[i:i + VISIT_ROWS]), len(lo)), dtype=bool)
+        for n, p in enumerate(powers):
+            near = np.zeros(may.shape)
+            for f in range(x.shape[1]):
+                gap = np.maximum(np.maximum(lo[None, :, f] - a[:, None, f], a[:, None, f] - hi[None, :, f]), 0.0)
+                near += gap if p == 1 else gap * gap
+            far = reach[i:i + VISIT_ROWS, n, None] * (1 + 1e-9)
+            may |= near <= (far if p == 1 else far * far)
+        may &= full
+        may[:, home] = True
+        out += [np.flatnonzero(row) for row in may]
     return out
 
 

@@ -212,3 +212,27 @@ def test_a_tile_goes_in_and_out_without_an_object_for_each_row():
     out = silhouette._sums_table([(ids, sums)], 3)
     assert out.column("sums").chunk(0).values.buffers()[1].address == sums.ctypes.data
     assert out.column("sums").to_pylist() == sums.tolist()
+
+
+def test_queries_visit_only_blocks_within_their_own_bound(make_points, monkeypatch):
+    x = np.random.default_rng(9).normal(size=(800, 2))
+    fold = [i % 3 for i in range(800)]
+    rows = make_points(x, fold=fold, target=[0.0] * 800)
+    seen = []
+    monkeypatch.setattr(N, "cut_lineage", lambda df: seen.append(df.localCheckpoint()) or seen[-1])
+    got = N.neighbours(rows, rows, 4, (1, 2), 2, folds=True, block_rows=32).collect()
+    assert sum(len(r["visits"] or range(32)) for r in seen[0].collect()) < 8 * 800  # all blocks of the regions around before
+    for p in (1, 2):
+        d = distances(x, x, p)
+        d[np.equal.outer(fold, fold)] = np.inf
+        order = np.argsort(d, axis=1, kind="stable")
+        assert {(r["row_id"], r["rn"]): r["tid"] for r in got if r["p"] == p} == {(i, n + 1): order[i, n] for i in range(800) for n in range(4)}
+
+
+@pytest.mark.parametrize("dims", [2, 16])
+def test_queries_and_rows_of_one_table(make_points, dims):
+    x = np.random.default_rng(10).normal(size=(400, dims))
+    rows = make_points(x, target=[0.0] * 400)
+    got = N.neighbours(rows.where("row_id < 100").select("row_id", "x"), rows.where("row_id >= 100"), 3, (2,), dims, block_rows=32).collect()
+    order = np.argsort(distances(x[:100], x[100:], 2), axis=1, kind="stable") + 100
+    assert {(r["row_id"], r["rn"]): r["tid"] for r in got} == {(i, n + 1): order[i, n] for i in range(100) for n in range(3)}
