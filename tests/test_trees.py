@@ -190,3 +190,13 @@ def test_trees_over_few_rows_have_no_large_nodes_to_look_for(spark, make_points,
     monkeypatch.setattr(T, "cut_lineage", lambda df: cuts.append(df) or df)
     T.fit_trees(df, growth)
     assert not cuts  # all pairs were made and counted before
+
+
+def test_narrow_tables_are_split_by_spark_less_often(spark, make_points, monkeypatch):
+    growth = CASES[1]
+    _, _, _, df = table(spark, make_points, growth)
+    monkeypatch.setattr(T, "NODE_ROWS", 12)
+    split, before = [], T.split_large
+    monkeypatch.setattr(T, "split_large", lambda *a: split.append(a[3]) or before(*a))
+    T.fit_trees(df, growth)
+    assert split == [500_000] and T.largest_node(T.Growth(0, "variance", 1, False, 900_000, 900_000, 1)) == 12
